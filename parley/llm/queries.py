@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, repetition
 from .common import read
 
 
+def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.score(read(spark, sf_dir))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_source_mix,)}
+    return {f.__name__: f for f in (op6_repetition_rules, op9_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
