@@ -33,7 +33,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     computed outlives the executors that computed it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/parley/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

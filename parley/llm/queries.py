@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, repetition
+from . import matroska, mixing, repetition
 from .common import read
 
 
@@ -14,12 +14,16 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(read(spark, sf_dir))
 
 
+def op8_matroska_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.digest(matroska.stored(read(spark, sf_dir)))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_repetition_rules, op9_source_mix)}
+    return {f.__name__: f for f in (op6_repetition_rules, op8_matroska_columns, op9_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
