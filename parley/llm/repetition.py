@@ -44,7 +44,7 @@ def _lines(chunk: Chunk, w: Words, chars: np.ndarray) -> tuple[np.ndarray, np.nd
     cut = np.flatnonzero(raw == 10)
     starts = np.unique(np.concatenate([off[:-1], cut + 1]))
     starts = starts[starts < len(raw)]
-    ends = np.append(starts[1:], len(raw))
+    ends = np.append(starts[1:], len(raw))[: len(starts)]
     # a line ends before its \n, or where its document ends
     ends = ends - ((ends > starts) & (raw[np.maximum(ends - 1, 0)] == 10))
     words = np.searchsorted(w.starts, ends) - np.searchsorted(w.starts, starts)
