@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import matroska, mixing, repetition, rule_ensemble
+from . import matroska, mixing, repetition, rule_ensemble, shingle_join
 from .common import read
 
 
@@ -14,6 +14,10 @@ def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(read(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
+def op3_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.classes(read(spark, sf_dir), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(read(spark, sf_dir))
 
@@ -27,7 +31,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rule_ensemble, op6_repetition_rules, op8_matroska_columns, op9_source_mix)}
+    return {f.__name__: f for f in (op1_rule_ensemble, op3_order_join, op6_repetition_rules, op8_matroska_columns, op9_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
