@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import matroska, mixing, repetition, rule_ensemble, shingle_join
+from . import matroska, mixing, pii, repetition, rule_ensemble, shingle_join
 from .common import read
 
 
@@ -30,8 +30,12 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir))
 
 
+def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(read(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rule_ensemble, op3_order_join, op6_repetition_rules, op8_matroska_columns, op9_source_mix)}
+    return {f.__name__: f for f in (op1_rule_ensemble, op3_order_join, op6_repetition_rules, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
