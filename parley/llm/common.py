@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a small side is broadcast; its width is a few numbers or short strings.
 BROADCAST_ROWS = 200_000
 _own_dir: str | None = None
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: their Python may not find it."""
+    if (app := spark.sparkContext.applicationId) not in _shipped:
+        _shipped.add(app)
+        root = Path(__file__).resolve().parents[1]
+        if root.is_dir():  # else it was shipped here itself
+            out = Path(tempfile.mkdtemp(prefix="parley-ship-")) / "parley-package.zip"
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                for f in sorted(root.rglob("*.py")):
+                    z.write(f, f.relative_to(root.parent))
+            spark.sparkContext.addPyFile(str(out))
+            atexit.register(shutil.rmtree, out.parent, ignore_errors=True)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,6 +65,7 @@ def fresh(df: DataFrame, name: str) -> str:
 def documents(df: DataFrame, *also: str) -> DataFrame:
     """doc_id, text and ``also`` of a documents table: extra columns are left out, so that their
     names can't clash with what an operator adds."""
+    ship(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.col(c) for c in also))
 
 

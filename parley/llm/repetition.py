@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, fresh
+from .common import documents, fresh, ship
 from .textops import Chunk, Words, chunks, covered, mix, repeated, run_hash
 
 #: Words of a window, and the largest part of a text's word characters that windows of that
@@ -89,6 +89,7 @@ def measure(chunk: Chunk) -> dict[str, np.ndarray]:
 def measured(df: DataFrame) -> DataFrame:
     """``df`` (any columns; its text in ``text``) with the counts of SCHEMA in the struct ``_counts``
     (more underscores if that name is taken)."""
+    ship(df.sparkSession)
     name, names = fresh(df, "_counts"), [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

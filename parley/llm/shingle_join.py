@@ -6,7 +6,8 @@ put in. Three orders are used, all with rare tokens first by a count sketch over
 the coarseness of the counts and a hash: candidates are met under the first, kept only if they share
 a prefix token under the second and third as well, then verified on the whole sets.
 
-Copies (equal sets) are one class and never paired. Within a token's list pairs are made of its
+Copies (equal sets) are one class and never paired. Prefix tokens that no other prefix has bound what
+two sets can share at all. Within a token's list pairs are made of its
 first ``ALL_PAIRS`` members and of each further member with the first ones, the most typical; after
 these are verified and joined to components, every pair of a longer list that is still apart is
 compared, members outside the list's largest component against all. So no link is lost, yet a
@@ -66,18 +67,23 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
             if held:
                 total += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
         for i, part in enumerate(total.reshape(SLICES, -1)):
-            if part.any():
-                at = np.flatnonzero(part).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([part[at].tobytes()], pa.binary())], names=["slice", "at", "n"])
+            at = np.flatnonzero(part).astype(np.uint16)
+            if len(at):
+                dense = 3 * len(at) > len(part)
+                kind = np.uint8 if part.max() < 256 else np.uint32
+                held = (part if dense else part[at]).astype(kind)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([b"" if dense else at.tobytes()], pa.binary()), pa.array([held.tobytes()], pa.binary()), pa.array([kind().itemsize], pa.int32())], names=["slice", "at", "n", "width"])
 
     def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS // SLICES, np.uint64)
         for t in tables:
-            for at, n in zip(t.column("at"), t.column("n")):
-                total[np.frombuffer(at.as_py(), np.uint16)] += np.frombuffer(n.as_py(), np.uint32)
+            for at, n, width in zip(t.column("at"), t.column("n"), t.column("width")):
+                counts = np.frombuffer(n.as_py(), np.uint8 if width.as_py() == 1 else np.uint32)
+                where = at.as_py()
+                total[np.frombuffer(where, np.uint16) if where else slice(None)] += counts
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], names=["slice", "n"])
 
-    parts = docs.select("text").mapInArrow(count, "slice int, at binary, n binary").groupBy("slice").applyInArrow(add, "slice int, n binary").collect()
+    parts = docs.select("text").mapInArrow(count, "slice int, at binary, n binary, width int").groupBy("slice").applyInArrow(add, "slice int, n binary").collect()
     out = np.zeros((SLICES, CELLS // SLICES), np.uint32)
     for r in parts:
         out[r["slice"]] = np.frombuffer(r["n"], np.uint32)
@@ -88,22 +94,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
-def orders(tokens: np.ndarray, counts: np.ndarray, which: tuple[int, ...]) -> list[np.ndarray]:
-    """``tokens`` under each global order: by count (1st), its logarithm (2nd), its logarithm to
-    base 4 (3rd), each with ties by a hash of its own."""
+def order_keys(tokens: np.ndarray, counts: np.ndarray, which: int) -> np.ndarray:
+    """By these keys global order ``which`` sorts: by count (0), its logarithm to base 2 (1) or 4 (2),
+    each with ties by a hash of its own."""
     n = counts[_cells(tokens)].astype(np.uint64)
-    level = np.log2(n + 1.0)
-    keys = (n, level.astype(np.uint64), (level / 2).astype(np.uint64))
-    out = []
-    for j in which:
-        order = (np.minimum(keys[j], np.uint64(0xFFFFFFF)) << np.uint64(36)) | (mix(tokens ^ _SEEDS[j]) >> np.uint64(28))
-        out.append(tokens[np.argsort(order, kind="stable")])
-    return out
+    rank = n if not which else (np.log2(n + 1.0) / which).astype(np.uint64)
+    return (np.minimum(rank, np.uint64((1 << 27) - 1)) << np.uint64(36)) | (mix(tokens ^ _SEEDS[which]) >> np.uint64(28))
 
 
 def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
     """Per document: n (set size), s1 and s2 (a 128-bit signature of the set), typical (how common
-    its tokens are), and its prefix under the first order."""
+    its tokens are), its prefix under the first order, and the key of the prefix's last token."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,56 +112,72 @@ def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFra
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                n, s1, s2, typical, prefix = [], [], [], [], []
+                n, s1, s2, typical, prefix, last = [], [], [], [], [], []
                 for s in shingle_sets(part.column("text"), k):
                     n.append(len(s))
                     s1.append(int(mix(s).sum(dtype=np.uint64)) if len(s) else 0)
                     s2.append(int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)) if len(s) else 0)
                     typical.append(float(np.log2(table[_cells(s)] + 1.0).mean()) if len(s) else 0.0)
-                    prefix.append(orders(s, table, (0,))[0][: prefix_length(len(s), percent)] if len(s) else s)
+                    key = order_keys(s, table, 0)
+                    first = np.argsort(key, kind="stable")[: prefix_length(len(s), percent) if len(s) else 0]
+                    prefix.append(s[first])
+                    last.append(int(key[first[-1]]) if len(s) else 0)
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 flat = np.concatenate(prefix).view(np.int64) if prefix else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["doc_id", "n", "s1", "s2", "typical", "prefix"],
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.array(last, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["doc_id", "n", "s1", "s2", "typical", "last", "prefix"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, typical float, prefix array<long>")
-
-
-_POST = "token long, cls long, n int, pos int"
-
-
-def _fits(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray, percent: int) -> np.ndarray:
-    """Length and position filters, for sets that share the token at positions p1 and p2 and are
-    not known to share an earlier one. In any order, what they share up to there is in both prefixes."""
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, typical float, last long, prefix array<long>")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of postings sorted by token, those of tokens that stand in more than one class."""
+    last, told = None, False  # the last posting of the batch before, and whether it was given
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = b.column("token").to_numpy()
+        same = t[1:] == t[:-1]
+        keep = np.zeros(len(t), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        if last is not None and last.column("token")[0].as_py() == t[0]:
+            keep[0] = True
+            if not told:
+                yield last
+        yield b.filter(pa.array(keep))
+        last, told = b.slice(b.num_rows - 1), bool(keep[-1])
+
+
+def _fits(x: list, y: list, percent: int) -> np.ndarray:
+    """Whether two sets (n, core, last) can be similar. Of the set whose prefix ends first in the
+    order, a prefix token that the other set has is in that one's prefix too: so no more than its core is shared."""
+    (n1, c1, l1), (n2, c2, l2) = x, y
     small, large = np.minimum(n1, n2), np.maximum(n1, n2)
-    # of what stands before the positions no more than min(p1, p2) can be shared
-    most = np.minimum(n1 - p1, n2 - p2) + np.minimum(p1, p2)
-    return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (n1 + n2))
+    core = np.where(l1 < l2, c1, np.where(l2 < l1, c2, np.minimum(c1, c2)))
+    return (100 * small >= percent * large) & ((100 + percent) * core >= percent * (n1 + n2))
 
 
 def _list_pairs(percent: int):
     """Over postings sorted by token and falling typicality: kind 0 pairs (a < b), and kind 1 the
     postings of lists longer than ALL_PAIRS."""
 
-    def emit(rows: list, lead: list, cls: np.ndarray, n: np.ndarray, pos: np.ndarray, start: int) -> None:
-        for k, (c, m, p) in enumerate(lead):
+    def emit(rows: list, lead: list, cols: list, start: int) -> None:
+        for k, (c, *about) in enumerate(lead):
             first = max(0, k + 1 - start)
-            if first >= len(cls):
-                continue
-            ok = _fits(np.int64(m), np.int64(p), n[first:], pos[first:], percent) & (cls[first:] != c)
-            other = cls[first:][ok]
-            if len(other):
-                rows.append((np.minimum(other, c), np.maximum(other, c)))
+            if first < len(cols[0]):
+                other = cols[0][first:][_fits(about, [v[first:] for v in cols[1:]], percent)]
+                if len(other):
+                    rows.append((np.minimum(other, c), np.maximum(other, c)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, lead, seen = None, [], 0  # of the list that a batch may leave open
-
         for b in batches:
-            t, c, n, p = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
-            if not len(t):
+            if not b.num_rows:
                 continue
+            t, *cols = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))  # token; class, n, core, last
             cuts = np.flatnonzero(np.diff(t)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(t))
             pairs: list = []
@@ -173,33 +190,39 @@ def _list_pairs(percent: int):
                     token, lead, seen = t[s], [], 0
                 begin = seen
                 for i in range(s, min(e, s + max(0, ALL_PAIRS - len(lead)))):
-                    lead.append((c[i], n[i], p[i]))
-                emit(pairs, lead, c[s:e], n[s:e], p[s:e], begin)
+                    lead.append(tuple(v[i] for v in cols))
+                emit(pairs, lead, [v[s:e] for v in cols], begin)
                 if begin + e - s > ALL_PAIRS:
                     if begin <= ALL_PAIRS:
                         long += [(token, *x) for x in lead[:begin]]
-                    long.append((t[s:e], c[s:e], n[s:e], p[s:e]))
+                    long.append((t[s:e], *(v[s:e] for v in cols)))
                 seen = begin + e - s
-            out = []
             if pairs:
                 a, z = np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs])
                 keep = np.unique(np.stack([a, z], 1), axis=0)
-                out.append((np.zeros(len(keep), np.int64), keep[:, 0], keep[:, 1], np.zeros(len(keep), np.int64), np.zeros(len(keep), np.int64)))
+                none = np.zeros(len(keep), np.int64)
+                yield _listed(0, keep[:, 0], keep[:, 1], none, none, none)
             if long:
-                cols = [np.concatenate([np.atleast_1d(x[i]) for x in long]) for i in range(4)]
-                out.append((np.ones(len(cols[0]), np.int64), *cols))
-            for o in out:
-                yield pa.RecordBatch.from_arrays([pa.array(o[0], pa.int32()), pa.array(o[1]), pa.array(o[2]), pa.array(o[3], pa.int32()), pa.array(o[4], pa.int32())], names=["kind", "a", "b", "n", "pos"])
+                yield _listed(1, *(np.concatenate([np.atleast_1d(x[i]) for x in long]) for i in range(5)))
 
     return run
 
 
+_LISTS = "kind int, a long, b long, n int, core int, last long"
+
+
+def _listed(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, core: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+    kinds = pa.array(np.full(len(a), kind, np.int32))
+    return pa.RecordBatch.from_arrays([kinds, pa.array(a), pa.array(b), pa.array(n, pa.int32()), pa.array(core, pa.int32()), pa.array(last)], names=[x.split()[0] for x in _LISTS.split(", ")])
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose prefixes meet under the other orders and whose sets are similar."""
     slim = lambda x: sets.select(F.col("cls").alias(x), F.col("second").alias(f"second_{x}"), F.col("third").alias(f"third_{x}"))
     whole = lambda x: sets.select(F.col("cls").alias(x), F.col("tokens").alias(f"tokens_{x}"))
     met = pairs.join(slim("a"), "a").join(slim("b"), "b").filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
     met = store(met, "candidates")
+    n = met.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -213,7 +236,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(both) - shared))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return met.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
+    # the pairs meet each set where it lies, so that only sets of pairs move, to the place of their a
+    carried = whole("b").join(F.broadcast(met) if n <= 5 * BROADCAST_ROWS else met, "b")
+    heads = met.select("a").distinct()
+    leading = whole("a").join(F.broadcast(heads) if n <= 5 * BROADCAST_ROWS else heads, "a", "left_semi")
+    return carried.join(leading, "a").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -244,16 +271,20 @@ def classes(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     rows = store(signed(docs, k, percent, counts), "signed")
     known = F.when(F.col("n") > 0, F.xxhash64("s1", "s2", "n"))
     rows = rows.withColumn("cls", known)
-    distinct = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("prefix").alias("prefix"))
-    posts = distinct.select("cls", "n", "typical", F.posexplode("prefix").alias("pos", "token"))
-    ordered = posts.repartition("token").sortWithinPartitions("token", F.col("typical").desc(), "cls").select("token", "cls", F.col("n").cast("int").alias("n"), "pos")
-    lists = store(ordered.mapInArrow(_list_pairs(percent), "kind int, a long, b long, n int, pos int"), "lists")
+    distinct = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("last").alias("last"), F.first("prefix").alias("prefix"))
+    posts = distinct.select("cls", F.col("n").cast("int").alias("n"), F.size("prefix").alias("m"), "typical", "last", F.explode("prefix").alias("token"))
+    ordered = posts.repartition("token").sortWithinPartitions("token").select("token", "cls", "n", "m", "typical", "last")
+    met = store(ordered.mapInArrow(_shared, "token long, cls long, n int, m int, typical float, last long"), "shared")
+    # of a set's tokens all but the prefix tokens that no other prefix has
+    core = met.groupBy("cls").agg((F.first("n") - F.first("m") + F.count("*")).cast("int").alias("core"))
+    ordered = met.join(core, "cls").repartition("token").sortWithinPartitions("token", (F.col("n") - F.col("core")).asc(), F.col("typical").desc(), "cls").select("token", "cls", "n", "core", "last")
+    lists = store(ordered.mapInArrow(_list_pairs(percent), _LISTS), "lists")
     pairs = store(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
-    long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "pos")
+    long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "core", "last")
     ids = rows.select("cls", "doc_id").filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b"))).union(long.select("cls")).distinct()
     wanted = store(ids.join(wanted, "cls"), "wanted")
-    sets = store(_sets(docs, wanted, k, percent, counts), "sets")
+    sets = _sets(docs, wanted, k, percent, counts)
     links = store(verified(pairs, sets, percent), "links")
     label = components(distinct, links)
     more = _apart(long, label, percent)
@@ -281,7 +312,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
                 for s in shingle_sets(part.column("text"), k):
                     if len(s):
                         p = prefix_length(len(s), percent)
-                        two, three = orders(s, table, (1, 2))
+                        two, three = (s[np.argsort(order_keys(s, table, j), kind="stable")] for j in (1, 2))
                         for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), two[:p].view(np.int64), three[:p].view(np.int64), s.tobytes())):
                             col.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
@@ -292,25 +323,27 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
     keys = wanted.select(F.col("doc_id").alias("id")).distinct()
     some = docs.join(F.broadcast(keys) if n <= 10 * BROADCAST_ROWS else keys, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     made = some.select("text").mapInArrow(run, "s1 long, s2 long, n long, second array<long>, third array<long>, tokens binary")
-    made = made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n")
-    return made.groupBy("cls").agg(F.first("second").alias("second"), F.first("third").alias("third"), F.first("tokens").alias("tokens"))
+    made = store(made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n"), "sets")
+    if not made.groupBy("cls").count().filter("count > 1").limit(1).count():
+        return made
+    return store(made.dropDuplicates(["cls"]), "sets")  # doc_ids that repeat, with other texts
 
 
 def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     """Pairs of the same long list in different components, not yet compared: members outside the
     largest component against all others that the filters allow."""
-    at = store(long.join(label, "cls", "left").select("token", "cls", "n", "pos", F.coalesce("label", "cls").alias("label")), "members")
+    at = store(long.join(label, "cls", "left").select("token", "cls", "n", "core", "last", F.coalesce("label", "cls").alias("label")), "members")
     share = at.groupBy("token", "label").agg(F.count("*").alias("m"))
     main = share.groupBy("token").agg(F.max(F.struct("m", "label")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("token", F.col("main.label").alias("main"))
     main = store(main, "split-lists")
     if not main.limit(1).count():
         return None
     split = store(at.join(main, "token"), "split-members")
-    few = split.filter("label <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("cls", "n", "pos", "label")))
-    x, y = few, split
-    most = F.least(F.col("n1") - F.col("pos1"), F.col("n") - F.col("pos")) + F.least("pos1", "pos")
-    fits = (100 * F.least("n1", "n") >= percent * F.greatest("n1", "n")) & ((100 + percent) * most >= percent * (F.col("n1") + F.col("n")))
-    met = x.join(y, "token").filter((F.col("label1") != F.col("label")) & fits)
+    few = split.filter("label <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("cls", "n", "core", "last", "label")))
+    small, large = F.least("n1", "n"), F.greatest("n1", "n")
+    core = F.when(F.col("last1") < F.col("last"), F.col("core1")).when(F.col("last") < F.col("last1"), F.col("core")).otherwise(F.least("core1", "core"))
+    fits = (100 * small >= percent * large) & ((100 + percent) * core >= percent * (F.col("n1") + F.col("n")))
+    met = few.join(split, "token").filter((F.col("label1") != F.col("label")) & fits)
     return met.select(F.least("cls1", "cls").alias("a"), F.greatest("cls1", "cls").alias("b")).distinct()
 
 
