@@ -44,8 +44,8 @@ _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,word:string,left:st
 _BLOCKS = "array<struct<steps:array<struct<gap:int,len:int,tail:string,word:string>>,tail:string,base:int>>"
 
 
-def _matches(text: Column, pattern: str, needle: str) -> Column:
-    return F.when(text.rlike(needle), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def _matches(text: Column, pattern: str, if_any: Column) -> Column:
+    return F.when(if_any, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,7 +109,8 @@ _TESTS = {
     "card": lambda w: F.when(F.length(_digits(w)).between(12, 19), luhn(_digits(w))).otherwise(F.lit(False)),
     "phone": lambda w: F.length(_digits(w)).between(9, 15),
 }
-_FIND = {"email": (EMAIL, "@"), "ip": (IP, r"[0-9]\.[0-9]"), "card": (CARD, r"[0-9][\x20-]?[0-9]"), "phone": (PHONE, r"\+[0-9]")}
+#: The expression of each kind, and a character that its matches hold; none: a digit.
+_FIND = {"email": (EMAIL, "@"), "ip": (IP, None), "card": (CARD, None), "phone": (PHONE, "+")}
 
 
 def _passes(kind: str) -> Callable[[Column], Column]:
@@ -123,9 +124,11 @@ def _is(kind: str) -> Callable[[Column], Column]:
 def with_base(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with the array ``name`` of base spans of the column ``text``, by start, then kind."""
     held = {k: fresh(df, f"_m_{k}") for k in KINDS}
-    df = df.withColumns({held[k]: _matches(F.col(text), *_FIND[k]) for k in KINDS})
+    digit = F.col("_digit")
+    df = df.withColumn("_digit", F.col(text).rlike("[0-9]"))  # most texts have none, and are left at once
+    df = df.withColumns({held[k]: _matches(F.col(text), p, F.col(text).contains(c) if c else digit) for k, (p, c) in _FIND.items()})
     found = [F.filter(_located(F.col(text), _FIND[k][0], F.col(held[k]), k, i), _passes(k)) for i, k in enumerate(KINDS)]
-    return df.withColumn(name, F.array_sort(F.concat(*found))).drop(*held.values())
+    return df.withColumn(name, F.array_sort(F.concat(*found))).drop("_digit", *held.values())
 
 
 def _context(left: Column) -> Column:
@@ -137,7 +140,7 @@ def _context(left: Column) -> Column:
 def occurrences(df: DataFrame, base: str) -> DataFrame:
     """One row per base span and per other identifier-like token of ``df`` (doc_id, text, digest
     and the array ``base``): doc_id, digest, start, end, word, seed, context."""
-    tokens = df.withColumn("_tokens", _matches(F.col("text"), TOKEN, r"[0-9]"))
+    tokens = df.withColumn("_tokens", _matches(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")))
     spans = _located(F.col("text"), TOKEN, F.col("_tokens"), "id", len(KINDS))
 
     def apart(x: Column) -> Column:
