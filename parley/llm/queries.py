@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import matroska, mixing, pii, repetition, rule_ensemble, shingle_join
+from . import matroska, mixing, packing, pii, repair_tokens, repetition, rule_ensemble, shingle_join
 from .common import read
 
 
@@ -18,6 +18,14 @@ def op3_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.classes(read(spark, sf_dir), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_tokens.digest(repair_tokens.stored(read(spark, sf_dir)))
+
+
+def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir))
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(read(spark, sf_dir))
 
@@ -35,7 +43,7 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rule_ensemble, op3_order_join, op6_repetition_rules, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
+    return {f.__name__: f for f in (op1_rule_ensemble, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
