@@ -205,8 +205,9 @@ def extract(df: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE) -> Da
 
 
 def redact(df: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE) -> DataFrame:
-    """``df``, all columns, with each span of its text replaced by <KIND>; null texts stay null.
-    Of spans that overlap the first one's tag stands for all that they cover."""
+    """``df``, all columns, with each span of its text replaced by <KIND>, and n_chars, if there is
+    such a column, the new text's length. Null texts stay null. Of spans that overlap the first
+    one's tag stands for all that they cover."""
     row = fresh(df, "_row")
     held = df.select(F.struct(*df.columns).alias(row), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = _with_spans(_prepared(held), min_seeds, sure)
@@ -220,4 +221,7 @@ def redact(df: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE) -> Dat
 
     rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
     text = F.when(F.col(f"{row}.text").isNull(), F.lit(None).cast("string")).when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(F.col("text"))
-    return out.select(*(text.alias(c) if c == "text" else F.col(f"{row}.`{c}`").alias(c) for c in df.columns))
+    out = out.withColumn("masked", text)
+    kind = dict(df.dtypes)
+    new = {"text": F.col("masked"), "n_chars": F.when(F.size("spans") > 0, F.length("masked").cast(kind.get("n_chars", "long"))).otherwise(F.col(f"{row}.n_chars")) if "n_chars" in kind else None}
+    return out.select(*(new[c].alias(c) if c in new else F.col(f"{row}.`{c}`").alias(c) for c in df.columns))

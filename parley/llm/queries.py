@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import matroska, mixing, packing, pii, repair_tokens, repetition, rule_ensemble, sharding, shingle_join
+from . import licences, matroska, mixing, packing, pii, repair_tokens, repetition, rule_ensemble, sharding, shingle_join
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(read(spark, sf_dir))
 
 
+def op7_licence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(read(spark, sf_dir))
+
+
 def op8_matroska_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.digest(matroska.stored(read(spark, sf_dir)))
 
@@ -47,7 +51,7 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rule_ensemble, op2_kd_shards, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
+    return {f.__name__: f for f in (op1_rule_ensemble, op2_kd_shards, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op7_licence_windows, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -73,8 +73,9 @@ class Chunk:
     def n(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self, lower: bool = False) -> Words:
-        return Words.of(self.raw, self.offsets, lower)
+    def words(self, lower: bool = False, between: np.ndarray | None = None) -> Words:
+        """``between``: which bytes separate words, if not white space alone."""
+        return Words.of(self.raw, self.offsets, lower, between)
 
 
 def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[Chunk]:
@@ -110,11 +111,11 @@ class Words:
     counts: np.ndarray  # words of each document
 
     @classmethod
-    def of(cls, raw: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
+    def of(cls, raw: np.ndarray, offsets: np.ndarray, lower: bool, between: np.ndarray | None = None) -> Words:
         n = len(offsets) - 1
         if lower:
             raw = _LOWER[raw]
-        inside = ~_SEP[raw]
+        inside = ~(_SEP if between is None else between)[raw]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         last = inside.copy()
