@@ -331,8 +331,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
 
 def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     """Pairs of the same long list in different components, not yet compared: members outside the
-    largest component against all others that the filters allow."""
-    at = store(long.join(label, "cls", "left").select("token", "cls", "n", "core", "last", F.coalesce("label", "cls").alias("label")), "members")
+    largest component against all others that the filters allow. Pairs that meet in a short list
+    were compared there, so of the pairs left none shares a prefix token other than of long lists."""
+    many = long.groupBy("cls").agg(F.count("*").alias("many"))
+    core = F.floor((F.col("n") * percent + 99) / 100) - 1 + F.col("many")  # what isn't in the prefix, and that
+    at = store(long.join(many, "cls").join(label, "cls", "left").select("token", "cls", "n", core.cast("int").alias("core"), "last", F.coalesce("label", "cls").alias("label")), "members")
     share = at.groupBy("token", "label").agg(F.count("*").alias("m"))
     main = share.groupBy("token").agg(F.max(F.struct("m", "label")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("token", F.col("main.label").alias("main"))
     main = store(main, "split-lists")
