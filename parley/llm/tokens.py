@@ -2,27 +2,40 @@
 
 Encoding goes by segments at which the tokenizer itself always begins anew, so that the ids of a
 text are those of its segments one after another: before white space that follows another
-character, and between a Latin letter or digit and ASCII punctuation. Segments met before come from a bounded
-cache; new ones are encoded by the library, many at a time.
+character, and between a Latin letter or digit and ASCII punctuation. Segments met before come from a
+bounded cache. Of new ones, runs of Latin letters go to the library's model at once (what the
+tokenizer does before is plain for them: lower case where the file says so, and bytes as the
+model's letters), all others through the whole tokenizer.
 """
 
 from __future__ import annotations
 
-import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
-import numpy as np
-
-# Unicode white space, Latin letters and digits, ASCII punctuation.
+# Unicode white space, Latin letters (but the dotted capital I, whose small form ends
+# in a mark that joins what follows) and digits, ASCII punctuation.
 _WHITE = r"\t-\r \x85\xa0  -     　"
-_LETTER = r"0-9A-Za-zÀ-ÖØ-öø-ɏ"
+_LETTER = r"0-9A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE, BATCH = 700_000, 1 << 22
+CACHE = 700_000
+#: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+
+
+def _letters() -> dict[int, int]:
+    """The byte-level rule: printable bytes of Latin-1 stand for themselves, the others, in order,
+    for the characters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_LETTERS = _letters()
 
 
 def vocabulary(name: str) -> str:
@@ -32,44 +45,43 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Cache(dict):
+    """Segment to bytes of its ids; asks ``learn`` for what it lacks."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self[segment] = array("I", self.learn(segment)).tobytes()
+        return found
+
+
 class Encoder:
     """Texts to the bytes of their ids, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, segments: re.Pattern) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.segments = segments.findall
-        self.cache: dict[str, bytes] = {}
+        self.small = "Lowercase" in str(self.tokenizer.normalizer)
+        self.model = self.tokenizer.model
+        self.cache = _Cache(self._learn)
 
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[word] = np.array(found.ids, "<u4").tobytes()
+    def _learn(self, segment: str) -> list[int]:
+        if _PLAIN.fullmatch(segment):
+            word = segment.lower() if self.small else segment
+            return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+        return self.tokenizer.encode(segment, add_special_tokens=False).ids
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        held: list[list[str]] = []
-        size = 0
-        for t in texts:
-            held.append(self.segments(t or ""))
-            size += len(t or "")
-            if size > BATCH:
-                yield from self._flush(held)
-                held, size = [], 0
-        yield from self._flush(held)
-
-    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
-        used = set(chain.from_iterable(held))
-        new = [w for w in used if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
-            self.cache = {w: self.cache[w] for w in used if w in self.cache}
-        self._learn(new)
         get = self.cache.__getitem__
-        for words in held:
-            yield b"".join(map(get, words))
+        for t in texts:
+            if len(self.cache) > CACHE:
+                self.cache.clear()
+            yield b"".join(map(get, self.segments(t or "")))
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
