@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from .plans import audits, identities, notes, relational, searches, streams, texts, transcripts  # noqa: F401  (they fill the registry)
+from .plans.base import QUERIES, SQL, Query
 
 FLAGSHIP = "transcript_turn_summary"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
