@@ -8,7 +8,7 @@ a prefix token under the second and third as well, then verified on the whole se
 
 Copies (equal sets) are one class and never paired. Prefix tokens that no other prefix has bound what
 two sets can share at all. Within a token's list pairs are made of its
-first ``ALL_PAIRS`` members and of each further member with the first ones, the most typical; after
+first ``ALL_PAIRS`` members and of each further member with the first ``STARS``, the most typical; after
 these are verified and joined to components, every pair of a longer list that is still apart is
 compared, members outside the list's largest component against all. So no link is lost, yet a
 group of n near copies makes about n pairs rather than n * n.
@@ -33,7 +33,7 @@ from .textops import chunks, mix
 
 #: Cells of the count sketch, in slices that are summed apart: 4 MB in all, whatever the input.
 CELLS, SLICES = 1 << 20, 64
-ALL_PAIRS = 6
+ALL_PAIRS, STARS = 4, 2
 _SEEDS = np.array([0x51ED270B, 0x2545F491, 0x9E3779B1], np.uint64)
 
 
@@ -166,9 +166,9 @@ def _list_pairs(percent: int):
 
     def emit(rows: list, lead: list, cols: list, start: int) -> None:
         for k, (c, *about) in enumerate(lead):
-            first = max(0, k + 1 - start)
-            if first < len(cols[0]):
-                other = cols[0][first:][_fits(about, [v[first:] for v in cols[1:]], percent)]
+            first, stop = max(0, k + 1 - start), len(cols[0]) if k < STARS else max(0, ALL_PAIRS - start)
+            if first < stop:
+                other = cols[0][first:stop][_fits(about, [v[first:stop] for v in cols[1:]], percent)]
                 if len(other):
                     rows.append((np.minimum(other, c), np.maximum(other, c)))
 
@@ -282,16 +282,18 @@ def classes(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     pairs = store(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
     long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "core", "last")
     ids = rows.select("cls", "doc_id").filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b"))).union(long.select("cls")).distinct()
-    wanted = store(ids.join(wanted, "cls"), "wanted")
+    wanted = store(ids.join(_nodes(pairs), "cls"), "wanted")
     sets = _sets(docs, wanted, k, percent, counts)
     links = store(verified(pairs, sets, percent), "links")
     label = components(distinct, links)
     more = _apart(long, label, percent)
     if more is not None:
         rest = store(more.join(pairs, ["a", "b"], "left_anti"), "rest")
-        links = store(links.union(verified(rest, sets, percent)), "links")
-        label = components(distinct, links)
+        if rest.limit(1).count():
+            wanted = store(ids.join(_nodes(rest), "cls").join(wanted.select("cls"), "cls", "left_anti"), "wanted")
+            sets = sets.union(_sets(docs, wanted, k, percent, counts)) if wanted.limit(1).count() else sets
+            links = store(links.union(verified(rest, sets, percent)), "links")
+            label = components(distinct, links)
     named = store(ids.select("cls", "doc_id").join(label, "cls", "left").select("cls", F.coalesce("label", "cls").alias("label"), "doc_id"), "named")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "label").select("cls", "component_id")
@@ -299,6 +301,10 @@ def classes(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
     """The whole sets, and the prefixes under the second and third order, of the wanted classes."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
@@ -323,7 +329,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
     keys = wanted.select(F.col("doc_id").alias("id")).distinct()
     some = docs.join(F.broadcast(keys) if n <= 10 * BROADCAST_ROWS else keys, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     made = some.select("text").mapInArrow(run, "s1 long, s2 long, n long, second array<long>, third array<long>, tokens binary")
-    made = store(made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n"), "sets")
+    made = made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n")
+    keep = wanted.select("cls").distinct()  # a doc_id that repeats brings other texts along
+    made = store(made.join(F.broadcast(keep) if n <= 10 * BROADCAST_ROWS else keep, "cls", "left_semi"), "sets")
     if not made.groupBy("cls").count().filter("count > 1").limit(1).count():
         return made
     return store(made.dropDuplicates(["cls"]), "sets")  # doc_ids that repeat, with other texts
