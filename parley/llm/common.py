@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a small side is broadcast; its width is a few numbers or short strings.
 BROADCAST_ROWS = 200_000
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: str | None = None
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each application: their Python may not find it."""
+    """Give the executors this package, once for each application: their Python may not find it.
+    Batches to Python become BATCH_ROWS rows where the session leaves that at Spark's default, since texts
+    are long and both sides hold a batch whole."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if (app := spark.sparkContext.applicationId) not in _shipped:
         _shipped.add(app)
         root = Path(__file__).resolve().parents[1]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PINV = np.uint64(pow(int(_P), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -25,14 +25,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _pow(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to 4 chunks, computed anew beyond."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to 8 chunks, computed anew beyond."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        have = np.empty(max(n, CHUNK + (1 << 17)), dtype=np.uint64)
+        have = np.empty(max(n, CHUNK + (1 << 16)), dtype=np.uint64)
         have[0] = 1
         have[1:] = base
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 4 * CHUNK:
+        if len(have) <= 8 * CHUNK:
             _powers[int(base)] = have
     return have[:n]
 

@@ -22,7 +22,7 @@ _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE = 700_000
+CACHE = 400_000
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
