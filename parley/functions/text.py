@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 # Tokens that carry no speech; jamo in Unicode order; two-syllable surnames.
 NOISE = ("", ".", "..", "...", "?", "!", "Q.", "q.", "Q", "q", "음", "어", "아", "응", "[음악]", "[Music]", "♪", "♫", "MBC", "BGM")
@@ -195,13 +196,13 @@ def safe_int(value: Column) -> Column:
 # No built-in function gives these; they run on Arrow batches.
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode composition."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """twice the matched characters over all, by longest matching blocks."""
     return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)])
