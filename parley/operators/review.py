@@ -47,7 +47,7 @@ def merged(candidates: DataFrame, evidence: DataFrame, reviews: DataFrame) -> Da
 
 def verdict_counts(checked: DataFrame) -> DataFrame:
     """A3: counts of all verdicts, zeros too."""
-    return checked.groupBy().pivot("verdict", list(VERDICTS)).agg(F.count("*")).fillna(0)
+    return checked.groupBy().pivot("verdict", list(VERDICTS)).agg(F.count(F.lit(1))).fillna(0)
 
 
 def independent_hosts(urls: Column) -> Column:

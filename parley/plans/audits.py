@@ -1 +1,223 @@
-"""To be filled."""
+"""Queries of corrections, quality, fact checks and pipeline state."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import corrections as C
+from ..operators import review as R
+from ..operators import state as S
+from .base import query, table
+
+LINES = [("d", 0, "[00:00:01 - 00:00:04] A: 김민중 님이 제이케 서비스를 설명했다"), ("d", 1, "[00:00:05 - 00:00:09] B: 예산은 3억이고 니까 도입은 안 한다고 했다"), ("d", 2, "notes"), ("d", 3, "[00:00:10 - 00:00:14] A: API 문서를 니까 팀이 공유했다")]
+PATCHES = [
+    (0, 1, "김민중", "김민준", "person_name", 0.99), (1, 1, "제이케", "JK", "proper_noun", 0.95), (2, 2, "3억", "4억", "proper_noun", 0.99), (3, 2, "니까", "니카", "proper_noun", 0.97), (4, 3, "notes", "note", "proper_noun", 0.99),
+    (5, 9, "x", "y", "proper_noun", 0.99), (6, 1, "제이케", "JK", "sentence", 0.99), (7, 1, "제이케", "JK", "proper_noun", 0.5), (8, 1, "제이케", "제이케", "proper_noun", 0.99), (9, 4, "API", "API 게이트웨이", "acronym", 0.99),
+    (10, 4, "문서를", "문서를(doc)", "proper_noun", 0.99), (11, 4, "공유했다", "공[유]", "proper_noun", 0.99), (12, 4, "니까", "니콜라", "proper_noun", 0.99), (13, 1, "", "JK", "proper_noun", 0.99), (14, 1, "제이케", "JK", "proper_noun", 1.5), (15, 4, "에러로그", "JK", "proper_noun", 0.99),
+]
+_EXPECTED = {0: "accepted", 1: "accepted", 2: "protected number/negation/commitment token changed", 3: "accepted", 4: "target line is not a transcript utterance", 5: "invalid line number", 6: "category is not auto-applicable", 7: "confidence below threshold", 8: "before and after are identical", 9: "already-canonical acronym expansion", 10: "already-canonical term expansion", 11: "patch contains structural characters", 12: "no deterministic ledger/roster evidence", 13: "before/after must be non-empty strings", 14: "confidence must be between 0 and 1", 15: "before must occur exactly once in the target utterance"}
+
+
+def _decided(spark: SparkSession) -> DataFrame:
+    lines = spark.createDataFrame(LINES, "doc string, line_no int, line string")
+    patches = spark.createDataFrame([("d", *p) for p in PATCHES], "doc string, patch_idx int, line int, before string, after string, category string, confidence double")
+    ledger = spark.createDataFrame([("제이케", "JK", 7), ("니까", "니카", 9)], "variant string, target string, count int")
+    roster = spark.createDataFrame([("김민준",), ("이서연",)], "name string")
+    return C.decided(patches, lines, ledger, roster, roster.filter("name = '김민준'"))
+
+
+@query("select * from (values " + ", ".join(f"({i}, '{r}')" for i, r in _EXPECTED.items()) + ") t(patch_idx, reason)")
+def patch_decision_rules(spark: SparkSession, d: str) -> DataFrame:
+    """E5: each rule on a literal patch that breaks it first."""
+    return _decided(spark).select("patch_idx", "reason")
+
+
+@query("""select * from (values (0, '[00:00:01 - 00:00:04] A: 김민준 님이 JK 서비스를 설명했다'), (1, '[00:00:05 - 00:00:09] B: 예산은 3억이고 니카 도입은 안 한다고 했다'), (2, 'notes'), (3, '[00:00:10 - 00:00:14] A: API 문서를 니까 팀이 공유했다')) t(line_no, line)""")
+def patch_application(spark: SparkSession, d: str) -> DataFrame:
+    """The kept patches put into their lines."""
+    decided = _decided(spark)
+    sizes = spark.createDataFrame([("d", 1000)], "doc string, chars int")
+    kept = C.budgeted(decided, sizes).join(decided.select("doc", "patch_idx", "after"), ["doc", "patch_idx"])
+    lines = spark.createDataFrame(LINES, "doc string, line_no int, line string")
+    return C.applied(lines, kept).select("line_no", "line")
+
+
+@query("""with recursive p as (select l_orderkey doc, l_linenumber i, (l_partkey % 3)::int line, (l_suppkey % 40)::int s, (l_suppkey % 40 + 1 + l_quantity % 9)::int e, 100 + 2 * (l_orderkey % 400) chars from lineitem where l_orderkey < 4000),
+  o as (select *, row_number() over (partition by doc order by i, line, s, e) n from p),
+  f as (select doc, chars, 0::bigint n, 0::bigint used, [] :: struct(i int, line int, s int, e int)[] kept from (select distinct doc, chars from o)
+    union all select f.doc, f.chars, f.n + 1, case when x.ok then f.used + o.e - o.s else f.used end, case when x.ok then list_append(f.kept, {'i': o.i::int, 'line': o.line, 's': o.s, 'e': o.e}) else f.kept end
+    from f join o on o.doc = f.doc and o.n = f.n + 1, lateral (select not coalesce(list_bool_or(list_transform(f.kept, lambda k: k.line = o.line and k.s < o.e and o.s < k.e)), false) and (f.used + o.e - o.s)::double / f.chars <= 0.05 ok) x)
+  select doc, max(used)::bigint used, max(len(kept))::bigint kept from f group by 1 having max(len(kept)) > 0""")
+def patch_budget_fold(spark: SparkSession, d: str) -> DataFrame:
+    """E6 and W15 over patches made of order lines."""
+    p = table(spark, d, "lineitem").filter("l_orderkey < 4000")
+    s = (F.col("l_suppkey") % 40).cast("int")
+    made = p.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("patch_idx"), (F.col("l_partkey") % 3).cast("int").alias("line"), s.alias("start"), (s + 1 + F.col("l_quantity") % 9).cast("int").alias("end"), F.lit(True).alias("accepted"))
+    sizes = p.select(F.col("l_orderkey").alias("doc"), (100 + 2 * (F.col("l_orderkey") % 400)).alias("chars")).distinct()
+    return C.budgeted(made, sizes).groupBy("doc").agg(F.max("used").cast("long").alias("used"), F.count("*").alias("kept"))
+
+
+def _cases(spark: SparkSession, d: str) -> DataFrame:
+    """Passages of documents against their lower case with every seventh word gone."""
+    w = F.slice(T.words(F.regexp_replace("text", "[^ -~]", "?")), 1, 60)
+    gone = F.filter(F.col("w"), lambda x, i: i % 7 != 6)
+    docs = table(spark, d, "documents").select("doc_id", "lang", w.alias("w")).filter(F.size("w") > 0)
+    return docs.select(F.col("doc_id").alias("id"), "lang", F.array_join("w", " ").alias("reference"), F.lower(F.array_join(gone, " ")).alias("hypothesis"))
+
+
+_CASES = "w as (select doc_id, lang, list_filter(string_split_regex(trim(regexp_replace(regexp_replace(text, '[^ -~]', '?', 'g'), '\\s+', ' ', 'g')), ' '), lambda x: x <> '')[1:60] w from documents), c as (select doc_id id, lang, array_to_string(w, ' ') r, lower(array_to_string(list_filter(w, lambda x, i: (i - 1) % 7 <> 6), ' ')) h from w where len(w) > 0), u as (select *, replace(r, ' ', '') rc, replace(h, ' ', '') hc from c)"
+
+
+@query(f"with {_CASES} select lang, count(*)::bigint cases, round(sum(levenshtein(rc, hc))::double / sum(length(rc)), 9) cer from u group by 1")
+def cer_micro(spark: SparkSession, d: str) -> DataFrame:
+    """A5: character error rates by language."""
+    return R.micro(R.rates(_cases(spark, d)), ["lang"]).select("lang", "cases", F.round("cer", 9).alias("cer"))
+
+
+@query()
+def cer_wer_micro(spark: SparkSession, d: str) -> DataFrame:
+    """E10 and A5, with token distances, which no SQL function gives."""
+    return R.micro(R.rates(_cases(spark, d)), ["lang"])
+
+
+@query("select doc_id, case when not coalesce(quality is not null, false) then 'not_reviewed' when n_chars % 10 = 0 then 'measured_not_gated' when quality = 0 or toxic = 1 then 'gated_fail' else 'gated_pass' end verdict from documents left join labels using (doc_id)")
+def quality_gate_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """E10's verdict, with labels as reviews."""
+    x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    return x.select("doc_id", R.verdict(F.col("quality").isNotNull(), F.col("n_chars") % 10 != 0, (F.col("quality") == 0) | (F.col("toxic") == 1)).alias("verdict"))
+
+
+_FACT = "cand as (select doc_id::varchar id, doc_id % 4 = 0 stt_risk, (doc_id % 100)::double s, lang from documents), ev as (select doc_id::varchar id, case when quality = 1 then 'confirmed' else 'contradicted' end verdict from labels where toxic = 0), rv as (select doc_id::varchar id, case when doc_id % 8 = 0 then 'confirmed' else 'unclear' end status from documents where doc_id % 4 = 0)"
+_MERGED = "m as (select id, lang, case when ev.verdict is null then 'unverifiable' when stt_risk and not coalesce(status = 'confirmed', false) then 'unverifiable' else ev.verdict end verdict, coalesce(status, 'not_reviewed') audio from cand left join ev using (id) left join rv using (id))"
+
+
+def _facts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    start = (F.col("doc_id") % 100).cast("double")
+    c = docs.select(F.col("doc_id").cast("string").alias("id"), (F.col("doc_id") % 4 == 0).alias("stt_risk"), start.alias("start_seconds"), (start + 5).alias("end_seconds"), "lang")
+    e = labels.filter("toxic = 0").select(F.col("doc_id").cast("string").alias("candidate_id"), F.when(F.col("quality") == 1, "confirmed").otherwise("contradicted").alias("verdict"), F.lit("high").alias("confidence"))
+    r = docs.filter("doc_id % 4 = 0").select(F.col("doc_id").cast("string").alias("candidate_id"), F.when(F.col("doc_id") % 8 == 0, "confirmed").otherwise("unclear").alias("status"))
+    return c, e, r
+
+
+@query(f"with {_FACT}, {_MERGED} select id, verdict, audio from m")
+def factcheck_merge(spark: SparkSession, d: str) -> DataFrame:
+    """J13 and E15."""
+    return R.merged(*_facts(spark, d)).select("id", "verdict", "audio")
+
+
+@query(f"with {_FACT}, {_MERGED} select count(*) filter (verdict = 'confirmed')::bigint confirmed, count(*) filter (verdict = 'contradicted')::bigint contradicted, 0::bigint outdated, 0::bigint partially_correct, count(*) filter (verdict = 'unverifiable')::bigint unverifiable from m")
+def verdict_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A3: zeros for verdicts that no candidate has."""
+    return R.verdict_counts(R.merged(*_facts(spark, d)))
+
+
+@query(f"with {_FACT} select id, greatest(s - 3, 0.0)::double \"start\", (s + 8)::double \"end\" from cand where stt_risk and id in (select id from ev where verdict <> 'unverifiable')")
+def listening_windows(spark: SparkSession, d: str) -> DataFrame:
+    """J14."""
+    c, e, _ = _facts(spark, d)
+    return R.listening_windows(c, e, 3.0)
+
+
+@query("""with h as (select conv_id, list(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1))) filter (lower(url) like 'https://%') hosts from (select page_id % 50 conv_id, url from pages) group by 1) select conv_id, coalesce(len(list_distinct(hosts)), 0)::int hosts from h""")
+def independent_hosts(spark: SparkSession, d: str) -> DataFrame:
+    """A19."""
+    p = table(spark, d, "pages").groupBy((F.col("page_id") % 50).alias("conv_id")).agg(F.collect_list("url").alias("urls"))
+    return p.select("conv_id", R.independent_hosts(F.col("urls")).alias("hosts"))
+
+
+_STATE = "n as (select doc_id k, n_chars >= 200 valid from documents where doc_id % 5 <> 0), p as (select distinct doc_id k from labels where doc_id % 3 = 0), j as (select doc_id k from documents where doc_id % 7 = 0), x as (select k, valid, valid is not null has_note, p.k is not null queued, j.k is not null has_job from (select coalesce(coalesce(n.k, p.k), j.k) k, valid from n full join p on n.k = p.k full join j on coalesce(n.k, p.k) = j.k) b left join p using (k) left join j using (k)), a as (select k, queued, list_filter([case when queued and not has_note then 'pending_without_note' end, case when has_note and not valid then 'invalid_note' end, case when has_job and not has_note then 'job_without_note' end, case when has_job and queued then 'queued_with_open_job' end, case when has_note and not queued and not has_job then 'unqueued_note' end], lambda i: i is not null) issues from x)"
+
+
+def _audit(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    notes = docs.filter("doc_id % 5 <> 0").select(F.col("doc_id").alias("key"), (F.col("n_chars") >= 200).alias("valid"))
+    pending = table(spark, d, "labels").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("key"))
+    jobs = docs.filter("doc_id % 7 = 0").select(F.col("doc_id").alias("key"), F.lit("note").alias("stage"))
+    return S.audit(notes, pending, jobs)
+
+
+@query(f"with {_STATE} select k \"key\", array_to_string(issues, ',') issues from a")
+def state_audit_issues(spark: SparkSession, d: str) -> DataFrame:
+    """J20 and E17."""
+    return _audit(spark, d).select("key", F.array_join("issues", ",").alias("issues"))
+
+
+@query(f"with {_STATE} select issue, count(*)::bigint n, count(*) filter (queued)::bigint n_queued from (select queued, unnest(issues) issue from a) group by 1")
+def issue_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A4."""
+    return S.issue_counts(_audit(spark, d))
+
+
+@query(f"""with {_STATE} select k "key", case when list_contains(issues, 'pending_without_note') then 'drop_from_queue' when list_contains(issues, 'job_without_note') then 'rerun_note' when list_contains(issues, 'invalid_note') then 'repair_note' when list_contains(issues, 'queued_with_open_job') then 'finish_job' when list_contains(issues, 'unqueued_note') then 'enqueue' else 'none' end "action",
+  case when len(issues) = 0 then 0 when list_contains(issues, 'pending_without_note') or list_contains(issues, 'invalid_note') then 2 else 1 end status from a""")
+def recovery_action(spark: SparkSession, d: str) -> DataFrame:
+    """E17's actions and status."""
+    return _audit(spark, d).select("key", "action", "status")
+
+
+_B = "b as (select o_orderkey k, o_orderstatus st, o_totalprice pr from orders where o_orderkey % 10 <> 3), a as (select o_orderkey k, case when o_orderkey % 17 = 0 then 'X' else o_orderstatus end st, o_totalprice pr from orders)"
+
+
+@query(f"with {_B} select a.k \"key\", case when b.k is null then 'new' else 'changed' end kind from a left join b using (k) where b.k is null or a.st is distinct from b.st or a.pr is distinct from b.pr")
+def change_detection(spark: SparkSession, d: str) -> DataFrame:
+    """E21, J25 and K3."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("st"), F.col("o_totalprice").alias("pr"))
+    after = o.withColumn("st", F.when(F.col("key") % 17 == 0, "X").otherwise(F.col("st")))
+    return S.changed(o.filter("key % 10 <> 3"), after, "key", ["st", "pr"])
+
+
+@query("""select doc_id "key", case when (doc_id % 11 = 0 or lb.doc_id is null) and (doc_id % 11 = 0 or doc_id % 7 = 0 or doc_id % 2 = 0) then 'note' when lb.doc_id is not null and doc_id % 7 = 0 then 'review' else 'none' end plan from documents left join (select distinct doc_id from labels) lb using (doc_id)""")
+def job_plan(spark: SparkSession, d: str) -> DataFrame:
+    """E25."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"))
+    return S.planned(docs, table(spark, d, "labels").select(F.col("doc_id").alias("key")), docs.filter("key % 7 = 0"), docs.filter("key % 2 = 0"), F.col("key") % 11 == 0)
+
+
+@query("""select doc_id, coalesce((select project from (values (0, 'src1', 'one'), (1, 'SRC', 'all'), (2, 'src2', 'two')) r(idx, prefix, project) where lower(source) like lower(prefix) || '%' order by idx limit 1), 'unsorted') project from documents""")
+def routing_first_match(spark: SparkSession, d: str) -> DataFrame:
+    """P19."""
+    rules = spark.createDataFrame([(0, "src1", "one"), (1, "SRC", "all"), (2, "src2", "two")], "idx int, prefix string, project string")
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return docs.join(S.routed(docs.select("source").distinct(), rules, "source", None), "source").select("doc_id", "project")
+
+
+@query("""with x as (select doc_id::varchar source, lower(regexp_replace(trim(substr(text, 1, 6)), '[^0-9A-Za-z가-힣._-]+', '-', 'g')) base from documents), r as (select *, row_number() over (partition by base order by source) r from x), t as (select source, case when r = 1 then base else base || '-' || substr(sha256(source), 1, 8) end target from r), a as (select *, row_number() over (partition by target order by source) n from t) select source, case when n = 1 then target else target || '-' || n end target from a""")
+def collision_names(spark: SparkSession, d: str) -> DataFrame:
+    """E30."""
+    files = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source"), F.substring("text", 1, 6).alias("name"))
+    return S.collision_names(files)
+
+
+@query("""with l as (select o_orderkey k, o_orderpriority || o_custkey title, o_orderstatus h from orders), r as (select k + case when k % 5 = 0 then 1000000 else 0 end k, title, case when k % 3 = 0 then 'Z' else h end h from l where k % 2 = 0), t as (select title, count(*) n from r group by 1)
+  select l.k "key", case when r.h = l.h then 'skip' when r.h is not null then 'update' when n = 1 then 'adopt' else 'create' end decision from l left join r using (k) left join t on l.title = t.title""")
+def upload_decision(spark: SparkSession, d: str) -> DataFrame:
+    """E31 and K9."""
+    local = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.concat("o_orderpriority", F.col("o_custkey").cast("string")).alias("title"), F.col("o_orderstatus").alias("hash"))
+    remote = local.filter("key % 2 = 0").select((F.col("key") + F.when(F.col("key") % 5 == 0, 1_000_000).otherwise(0)).alias("key"), "title", F.when(F.col("key") % 3 == 0, "Z").otherwise(F.col("hash")).alias("hash"))
+    return S.upload_decision(local, remote)
+
+
+@query("""with recursive b as (select c_custkey id, case when c_custkey > 1 then c_custkey // 2 end parent, case when c_custkey % 3 = 0 then c_name else '' end title from customer),
+  u as (select b.id, p.id "at", p.title, 1 depth from b join b p on b.parent = p.id union all select u.id, p.id, p.title, depth + 1 from u join b c on u."at" = c.id join b p on c.parent = p.id where depth < 6)
+  select id, arg_min(title, depth) title, min(depth)::int depth from u where title <> '' group by 1""")
+def parent_walk(spark: SparkSession, d: str) -> DataFrame:
+    """J19 over a tree of customers."""
+    c = table(spark, d, "customer")
+    blocks = c.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") > 1, F.floor(F.col("c_custkey") / 2).cast("long")).alias("parent_id"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise("").alias("title"))
+    return S.ancestors(blocks)
+
+
+@query("select o_orderkey \"key\", o_orderdate from orders where o_orderstatus = 'O' order by o_orderdate desc, o_orderkey desc limit 100")
+def queue_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The newest hundred of a queue."""
+    return table(spark, d, "orders").filter("o_orderstatus = 'O'").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(100).select(F.col("o_orderkey").alias("key"), "o_orderdate")
+
+
+@query("""with p as (select conv_id, turn, row_number() over (partition by role order by conv_id desc, turn desc) r from conversations where conv_id < 80) select conv_id, turn from p where r <= 3""")
+def previous_notes(spark: SparkSession, d: str) -> DataFrame:
+    """The three most recent before a key, for each role."""
+    w = Window.partitionBy("role").orderBy(F.desc("conv_id"), F.desc("turn"))
+    return table(spark, d, "conversations").filter("conv_id < 80").withColumn("r", F.row_number().over(w)).filter("r <= 3").select("conv_id", "turn")

@@ -1 +1,66 @@
-"""To be filled."""
+"""Queries that run a bounded stream to its end and give its table, and sinks' renderings."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources import sinks
+from ..streaming import watch
+from .base import query, table
+
+
+def _run(stream: DataFrame, mode: str) -> DataFrame:
+    """The rows that a stream gives from the files there are."""
+    spark = stream.sparkSession
+    name = f"parley_{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="parley-stream-")
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    schema = table(spark, d, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).parquet(d)
+
+
+@query("""with g as (select user_id, ts, case when epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts) < 10800000000 then 0 else 1 end n from events), h as (select *, sum(n) over (partition by user_id order by ts rows unbounded preceding) s from g)
+  select user_id, count(*)::bigint n, epoch_us(min(ts)) "start" from h group by user_id, s""")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Session windows of three hours over a stream of events, all given at the end."""
+    return _run(watch.sessions(_events(spark, d), "user_id", "ts", "3 hours", "1 day"), "complete").select("user_id", "n", F.unix_micros("start").alias("start"))
+
+
+@query("select event_type, count(distinct user_id)::bigint users from events group by 1")
+def stream_deduplicated(spark: SparkSession, d: str) -> DataFrame:
+    """Seen state: the first event of each user and kind within a watermark longer than the data."""
+    e = _events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    return _run(watch.deduplicated(e, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type"), "append").groupBy("event_type").agg(F.count("*").alias("users"))
+
+
+@query("""with s as (select user_id::varchar "key", epoch_us(ts) a, epoch_us(ts) + greatest(floor(value), 0)::bigint * 60000000 b from events), f as (select *, case when a - lag(b) over w >= 0 and a - lag(b) over w <= 10800000000 then 0 else 1 end n from s window w as (partition by "key" order by a, b)),
+  g as (select *, sum(n) over (partition by "key" order by a, b rows unbounded preceding) grp from f), h as (select "key", grp, min(a) "begin", arg_max(b, (a, b)) last_end, count(*)::bigint n from g group by 1, 2) select "key", "begin", last_end, n from h qualify grp < max(grp) over (partition by "key")""")
+def stream_restart_groups(spark: SparkSession, d: str) -> DataFrame:
+    """W2 with keyed state; each user's last group is still open."""
+    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    length = F.greatest(F.floor("value"), F.lit(0)).cast("long") * 60_000_000
+    items = _events(spark, d).select(F.col("user_id").cast("string").alias("key"), start.alias("start"), (start + length).alias("end"))
+    return _run(watch.merged_items(items, 10_800_000_000), "append")
+
+
+@query("select '| ' || r_regionkey || ' | ' || r_name || ' |' line from region")
+def markdown_rows(spark: SparkSession, d: str) -> DataFrame:
+    """K6."""
+    return table(spark, d, "region").select(sinks.markdown_table(["r_regionkey", "r_name"]).alias("line"))
+
+
+@query("""select n_regionkey, 60 * count(*)::bigint + 20 height, count(*)::bigint boxes from nation group by 1""")
+def svg_render(spark: SparkSession, d: str) -> DataFrame:
+    """K7: boxes for the nations of each region."""
+    n = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("labels"))
+    svg = n.select("n_regionkey", sinks.svg_boxes(F.col("labels")).alias("svg"))
+    return svg.select("n_regionkey", F.regexp_extract("svg", 'height="([0-9]+)">', 1).cast("long").alias("height"), F.regexp_count("svg", F.lit("<rect")).cast("long").alias("boxes"))
