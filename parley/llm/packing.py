@@ -108,8 +108,10 @@ def plan(counts: dict[int, int], sequence: int = SEQUENCE, unit: int = UNIT) ->
         n = int(repeats + 1e-6)
         while n > 0:
             lengths = []
-            for u in shape:  # the longest length of the class that has a piece left, given the ones before
-                found = next((x for x in klass[u] if left.get(x, 0) > lengths.count(x)), None)
+            for i, u in enumerate(shape):  # the longest length of the class that has a piece left, given the ones before;
+                # the last one may be longer than its class, by what the classes before were rounded up
+                choice = klass[u] if i + 1 < len(shape) else range(sequence - sum(lengths), (u - 1) * unit, -1)
+                found = next((x for x in choice if left.get(x, 0) > lengths.count(x)), None)
                 if found is None:
                     break
                 lengths.append(found)
@@ -118,9 +120,8 @@ def plan(counts: dict[int, int], sequence: int = SEQUENCE, unit: int = UNIT) ->
             k = min([n, *(left[x] // lengths.count(x) for x in lengths)])
             for x in lengths:
                 left[x] -= k
-            for u in set(shape):
-                while klass[u] and not left[klass[u][0]]:
-                    klass[u].pop(0)
+            for u in {-(-x // unit) for x in lengths}:
+                klass[u] = [x for x in klass[u] if left[x]]
             open_bins[sequence - sum(lengths)].append((tuple(lengths), k))
             n -= k
     # best fit, longest first

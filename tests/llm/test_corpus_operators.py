@@ -1,0 +1,341 @@
+"""Joins, shards, mixes, packing, token files, personal data and the pipeline against brute force."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from parley.llm import mixing, packing, pii, repair_tokens, repetition, sharding, shingle_join, tokens
+from parley.llm.common import read
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(spark):
+    return [(r.doc_id, r.text) for r in read(spark, SF).collect()]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+# ---- 3, n-gram Jaccard join ----
+
+
+def brute_join(rows, k, percent):
+    sets = []
+    for _, t in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    inverted = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        near = collections.Counter(j for g in s for j in inverted[g])
+        for j, c in near.items():
+            if 100 * c >= percent * (len(s) + len(sets[j]) - c):
+                up[find(i)] = find(j)
+        for g in s:
+            inverted[g].append(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), d), d)
+    return {d: (len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)}
+
+
+def families(seed):
+    r = random.Random(seed)
+    vocabulary, out = [f"w{i}" for i in range(3000)], []
+    for _ in range(2):
+        base = [r.choice(vocabulary) for _ in range(150)]
+        for _ in range(60):
+            w = list(base)
+            for _ in range(r.randint(0, 6)):
+                w[r.randrange(150)] = r.choice(vocabulary)
+            out.append(" ".join(w))
+    w = [r.choice(vocabulary) for _ in range(120)]
+    for i in range(40):  # a chain: each differs a little from the one before
+        w = list(w)
+        w[r.randrange(120)] = f"q{i}"
+        out.append(" ".join(w))
+    passage = " ".join(r.choice(vocabulary) for _ in range(60))
+    out += [passage + " " + " ".join(r.choice(vocabulary) for _ in range(r.choice((0, 1, 3, 40)))) for _ in range(50)]
+    out += ["", "A b", "a B", "x", None, "a b c", "A B C", "é x y", "z " * 500, "same text here"] + ["same text here"] * 30
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+def test_join_equals_brute_force(spark, k, percent):
+    rows = families(k)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.classes(frame(spark, rows), k, percent).collect()}
+    assert got == brute_join(rows, k, percent)
+
+
+def test_join_edges_and_survivors(spark):
+    df = spark.createDataFrame([(1, "a b", 1), (2, "A B", 2), (None, "q", 3), (3, None, 4), (1, "a b", 1)], "doc_id long, text string, cls int")
+    kept = shingle_join.survivors(df)
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "q"), (1, "a b"), (3, "")] and kept.columns == df.columns
+    assert shingle_join.classes(df.limit(0)).count() == 0
+
+
+# ---- 2, sharding ----
+
+
+def test_shards(spark):
+    df = read(spark, SF)
+    got = sharding.shard(df).collect()
+    text = dict(rows_of(spark))
+    by = collections.defaultdict(list)
+    for r in got:
+        assert r.size == len(text[r.doc_id].encode()) + 16 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) and r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 40
+        by[r.shard].append(r)
+    assert len(got) == len(text) and all(sorted(r.slot for r in v) == list(range(len(v))) for v in by.values())
+
+
+def test_shards_split_a_group_of_copies(spark):
+    rows = [(i, "copy " * 20, "en", "s") for i in range(600)] + [(5000 + i, f"w{i}", None, None) for i in range(200)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 8)
+    sizes = [r.b for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 0.02 * sum(sizes) / 8 + 2 * 116
+
+
+def test_shards_edges(spark):
+    kind = "doc_id long, text string, lang string, source string, slot int, size int"
+    got = sharding.shard(spark.createDataFrame([(None, None, None, None, 1, 2), (1, "", "a", "b", 1, 2), (1, "", "a", "b", 1, 2)], kind)).collect()
+    assert len(got) == 3 and {(r.size, r.text_crc32) for r in got} == {(16, 0)}
+    assert sharding.shard(spark.createDataFrame([], kind)).count() == 0
+
+
+# ---- 9, mixing ----
+
+
+def brute_targets(sizes, weights=(5, 2, 1), cap=3):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s) + [None] * (None in sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        if not free:
+            return fixed
+        level = (total - sum(fixed.values())) / sum(w[s] for s in free)
+        over = [s for s in free if level * w[s] > cap * sizes[s]]
+        if not over:
+            return fixed | {s: level * w[s] for s in free}
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+def test_mix(spark):
+    r = random.Random(1)
+    rows = [(i, " ".join("w" * r.randint(1, 5) for _ in range(r.randint(0, 40))), r.choice(["a", "b", "é", "Z", None, "tiny"][: 6 if i % 50 == 0 else 5]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, skey int")
+    got = mixing.mix(df).collect()
+    sizes = collections.Counter()
+    for _, t, s, _ in rows:
+        sizes[s] += len(t.split())
+    want, taken = brute_targets(sizes), collections.Counter()
+    for x in got:
+        taken[x.source] += x.taken
+        assert x.source_size == sizes[x.source] and x.target == pytest.approx(want[x.source]) and x.taken in (0, x.size, 2 * x.size, 3 * x.size)
+    assert sum(want.values()) == pytest.approx(sum(sizes.values()))
+    assert all(abs(taken[s] - want[s]) <= 3 for s in sizes)
+    again = mixing.mix(df.repartition(7))
+    assert sorted((x.doc_id, x.taken) for x in again.collect()) == sorted((x.doc_id, x.taken) for x in got)
+    out = mixing.sample(df)
+    assert out.columns == df.columns and out.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).count() <= 6
+    assert collections.Counter(x.doc_id for x in out.collect()) == collections.Counter({x.doc_id: x.times for x in got if x.times})
+
+
+def test_mix_edges(spark):
+    df = spark.createDataFrame([(1, "a b", "x"), (None, None, None), (2, "", "x"), (2, "", "x"), (None, "c c c", "y")], "doc_id long, text string, source string")
+    assert mixing.mix(df).count() == 5 and mixing.mix(df.limit(0)).count() == 0
+    assert {x.taken for x in mixing.mix(df.filter("text is null")).collect()} == {0}
+
+
+def test_mix_runs_no_python(spark):
+    assert not re.search("Python|Pandas|Arrow", mixing.mix(read(spark, SF))._jdf.queryExecution().toString())
+    assert not re.search("Python|Pandas|Arrow", pii.extract(read(spark, SF))._jdf.queryExecution().toString())
+
+
+# ---- 4 and 5, ids in files and in sequences ----
+
+ODD = [None, "", "Don't  stop\n\n\tit's    x　y ABC'S ok!!\x85??́e\x1c z", "<|endoftext|> a<|startoftext|>", "é" * 30, " " * 5000, "x" * 9000, "日本語テキスト、です。" * 300, "we'll've 'tis 12,345.67 it.'s a_b 'S'", "Ǆ ǅ ß ſ İI İ. ΑΣ Σ. ͅ", "½²x٣4 \U0001d7d8 ​z"]
+
+
+def ids_of(name, end):
+    t = Tokenizer.from_file(tokens.vocabulary(name))
+    t.encode_special_tokens = True
+    return lambda x: np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4")
+
+
+def test_token_files(spark):
+    rows = rows_of(spark) + [(10_000 + i, t) for i, t in enumerate(ODD)] + [(3, "again"), (3, "again")]
+    ids = ids_of("word_bpe_49k.json", 2)
+    got = repair_tokens.digest(repair_tokens.stored(frame(spark, rows), block=3000)).collect()
+    want, size = collections.Counter(), collections.Counter()
+    for d, t in rows:
+        x = ids(t)
+        want[d, len(x), zlib.crc32(x.tobytes())] += 1
+        size[d] += len(x)
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    spans = sorted((r.start, r.n_tokens, r.doc_id) for r in got)
+    assert [s for s, _, _ in spans] == [0, *np.cumsum([n for _, n, _ in spans])[:-1].tolist()]
+    assert [d for _, _, d in spans] == sorted(d for d, _ in rows)
+    assert len({(r.part, r.shard) for r in got}) > 4
+
+
+def test_repair_round_trip_and_random_access():
+    r = random.Random(2)
+    for t in range(60):
+        docs = [np.array([r.choice((0, 1, 2, 3, 70_000 if t % 3 == 0 else 9)) for _ in range(r.choice((0, 1, 5, 300)))] + [2], "<u4").tobytes() for _ in range(r.randint(1, 8))]
+        image = repair_tokens.write(docs)
+        f = repair_tokens.TokenFile.open(image)
+        assert [f.document(k).astype("<u4").tobytes() for k in reversed(range(len(docs)))] == docs[::-1]
+        assert f.decode(0, len(f.symbols)).astype("<u4").tobytes() == b"".join(docs)
+    with pytest.raises(ValueError):
+        repair_tokens.TokenFile.open(image[:-1])
+    long = repair_tokens.write([np.array([5, 6, 7, 8] * 5000 + [2], "<u4").tobytes()])
+    assert len(long) < 80_000 * 0.2 and len(repair_tokens.TokenFile.open(long).rules)
+
+
+def check_packed(spark, rows, sequence):
+    ids = ids_of("byte_bpe_50k.json", 0)
+    got = packing.pack(frame(spark, rows), sequence).collect()
+    want = collections.Counter()
+    for d, t in rows:
+        x = ids(t)
+        n = len(x)
+        cuts = [0, n if n <= sequence else n % sequence or sequence]
+        while cuts[-1] < n:
+            cuts.append(cuts[-1] + sequence)
+        for k, (a, z) in enumerate(zip(cuts, cuts[1:])):
+            want[d, k, a, z - a, zlib.crc32(x[a:z].tobytes())] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for v in by.values():
+        v.sort()
+        assert sum(n for _, n in v) <= sequence and [o for o, _ in v] == [sum(n for _, n in v[:i]) for i in range(len(v))]
+    return len(by), -(-sum(r.length for r in got) // sequence)
+
+
+def test_packing(spark):
+    n, least = check_packed(spark, rows_of(spark) + [(10_000 + i, t) for i, t in enumerate(ODD)], 2048)
+    assert n <= least + max(1, least // 50)
+    check_packed(spark, [(i, f"w{i % 7} " * 300) for i in range(60)] + [(1, "same")] * 80 + [(None, "x")], 512)
+    assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_packing_plan():
+    r = random.Random(1)
+    for lengths, slack in (({1: 5}, 0), ({2048: 3, 1: 1}, 0), ({1024: 9}, 0), ({k: r.randint(1, 400) for k in range(1, 2049)}, 0.02), ({k: 1_000_000 for k in (100, 300, 700, 1300, 1948)}, 0.04)):
+        bins = packing.plan(dict(lengths))
+        used = collections.Counter()
+        for shape, n in bins:
+            assert sum(shape) <= 2048 and n > 0
+            for x in shape:
+                used[x] += n
+        assert used == collections.Counter(lengths)
+        least = -(-sum(k * n for k, n in lengths.items()) // 2048)
+        assert sum(n for _, n in bins) <= least * (1 + slack) + 1
+
+
+# ---- 10, personal data ----
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def base_spans(t):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    out = []
+    for rank, (kind, p) in enumerate(BASE.items()):
+        for m in re.finditer(p, t or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")), "card": 12 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]:
+                out.append((m.start(), rank, kind, m.end()))
+    return ",".join(f"{k}:{a}:{z}" for a, _, k, z in sorted(out))
+
+
+def test_pii_base(spark):
+    r = random.Random(1)
+    odd = ["a" * 20_000, "1" * 20_000, "1." * 20_000, "a@b" + ".c" * 20_000, "+1" + "(" * 20_000, None, "", "x@y.z " * 3000, "+" * 3000 + "1 2 3 4 5 6 7 8 9", "a@b.c_d@e.f", "0255.1.1.1 1.2.3.4.5.6.7.8"]
+    odd += ["".join(r.choice("ab1.2@-+ ()_%345678é\U0001f600\n") for _ in range(r.randint(0, 120))) for _ in range(1500)]
+    odd += ["".join(r.choice("0123456789 -+.") for _ in range(200)) for _ in range(500)]
+    rows = rows_of(spark) + [(10_000 + i, t) for i, t in enumerate(odd)]
+    text = dict(rows)
+    for x in pii.extract(frame(spark, rows)).collect():
+        want = base_spans(text[x.doc_id])
+        assert x.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), x
+        assert [x.n_email, x.n_ip, x.n_card, x.n_phone] == [sum(p.startswith(k) for p in want.split(",")) for k in BASE]
+        assert set(filter(None, want.split(","))) <= set(x.spans.split(","))
+
+
+def test_pii_bootstrap_finds_identifiers_in_learned_contexts(spark):
+    rows = [(i, f"Please note her member number AB{i}{i}77{i}X ok") for i in range(10, 30)] + [(100 + i, f"her member number jo{i}@ex.com is") for i in range(24)] + [(200, "plain 12345 text"), (201, "the year 20241 passed")]
+    found = {x.doc_id: x.spans for x in pii.extract(frame(spark, rows)).collect()}
+    assert all(found[i].startswith("id:30:") for i in range(10, 30)) and found[200] == found[201] == ""
+    few = {x.doc_id: x.spans for x in pii.extract(frame(spark, rows[:20] + rows[20:23])).collect()}
+    assert few[10] == ""  # three seeds teach nothing
+
+
+def test_pii_redaction(spark):
+    df = spark.createDataFrame([(1, "call +1 (201) 555-0100, or a@b.co now", 37), (None, None, None), (2, "4539 1488 0343 6467 é 10.0.0.1", 30)], "doc_id long, text string, n_chars long")
+    got = pii.redact(df)
+    assert got.schema == df.schema
+    assert {(x.doc_id, x.text, x.n_chars) for x in got.collect()} == {(1, "call <PHONE>, or <EMAIL> now", 28), (None, None, None), (2, "<CARD> é <IP>", 13)}
+
+
+# ---- the pipeline ----
+
+
+def test_pipeline_stages(spark):
+    docs = read(spark, SF)
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "near_copies", "mask_pii", "mix_sources", "pack_sequences"]
+    kept = corpus_pipeline.store(corpus_pipeline.quality_rules(spark, docs, SF), "t")
+    rejected = {r.doc_id for r in repetition.score(docs).filter("not kept").collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    left = [(d, t) for d, t in rows if d not in rejected]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in left)
+    single = corpus_pipeline.store(corpus_pipeline.near_copies(spark, kept, SF), "t")
+    assert sorted(r.doc_id for r in single.collect()) == sorted({c for _, c in brute_join(left, 5, 80).values()})
+    masked = corpus_pipeline.store(corpus_pipeline.mask_pii(spark, single, SF), "t")
+    assert masked.schema == docs.schema and masked.count() == single.count()
+    assert not any(base_spans(r.text) for r in masked.collect())
+    mixed = corpus_pipeline.store(corpus_pipeline.mix_sources(spark, masked, SF), "t")
+    assert mixed.columns == docs.columns
+    size = collections.Counter()
+    for r in masked.collect():
+        size[r.source] += len(re.findall("[^\x20\x09-\x0d]+", r.text))
+    got = collections.Counter()
+    for r in mixed.collect():
+        got[r.source] += len(re.findall("[^\x20\x09-\x0d]+", r.text))
+    want = brute_targets(size)
+    assert all(abs(got[s] - want[s]) <= 0.25 * max(size[s], 1) for s in size)
+    whole = corpus_pipeline.run(spark, SF)
+    assert whole.select("sequence_id", "offset").distinct().count() == whole.count() > 0
+
+
+def test_pipeline_on_empty_documents(spark):
+    docs = spark.createDataFrame([], DOCS)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.store(stage(spark, docs, SF), "t")
+    assert docs.count() == 0
