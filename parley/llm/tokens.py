@@ -22,7 +22,7 @@ _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE = 400_000
+CACHE, WORDS = 400_000, 1_000_000
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
@@ -46,14 +46,14 @@ def vocabulary(name: str) -> str:
 
 
 class _Cache(dict):
-    """Segment to bytes of its ids; asks ``learn`` for what it lacks."""
+    """Piece of text to the bytes of its ids; asks ``learn`` for what it lacks."""
 
     def __init__(self, learn) -> None:
         super().__init__()
         self.learn = learn
 
-    def __missing__(self, segment: str) -> bytes:
-        found = self[segment] = array("I", self.learn(segment)).tobytes()
+    def __missing__(self, piece: str | bytes) -> bytes:
+        found = self[piece] = self.learn(piece)
         return found
 
 
@@ -66,22 +66,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.segments = segments.findall
+        self.bare = segments is BARE
         self.small = "Lowercase" in str(self.tokenizer.normalizer)
         self.model = self.tokenizer.model
         self.cache = _Cache(self._learn)
+        self.words = _Cache(self._learn_word)  # where white space is dropped: runs between ASCII white space, in UTF-8
 
-    def _learn(self, segment: str) -> list[int]:
+    def _learn(self, segment: str) -> bytes:
         if _PLAIN.fullmatch(segment):
             word = segment.lower() if self.small else segment
-            return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
-        return self.tokenizer.encode(segment, add_special_tokens=False).ids
+            found = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+        else:
+            found = self.tokenizer.encode(segment, add_special_tokens=False).ids
+        return array("I", found).tobytes()
+
+    def _learn_word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters
+            return array("I", [t.id for t in self.model.tokenize((word.lower() if self.small else word).decode())]).tobytes()
+        text = word.decode()
+        if _PLAIN.fullmatch(text):
+            return self._learn(text)
+        return b"".join(map(self.cache.__getitem__, self.segments(text)))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        get = self.cache.__getitem__
+        """The ids of each text; null is empty."""
+        get, word = self.cache.__getitem__, self.words.__getitem__
         for t in texts:
             if len(self.cache) > CACHE:
                 self.cache.clear()
-            yield b"".join(map(get, self.segments(t or "")))
+            if len(self.words) > WORDS:
+                self.words.clear()
+            yield b"".join(map(word, (t or "").encode().split()) if self.bare else map(get, self.segments(t or "")))
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
