@@ -86,6 +86,11 @@ def target_base(target: Column) -> Column:
     return F.trim(F.regexp_replace(target, r"(?s)\(.*$", ""))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import stripped, without_particle
+
 # The headings of the contract, and endings of formulaic reports.
 HEADINGS = ("## 1. 핵심 결론 및 결정사항", "## 2. Action Items", "## 3. 미결 쟁점 및 다음 결정", "## 4. 상세 논의와 근거", "## 5. 참석자·용어 검증 부록")
 FACTS = "## 6. 객관 명제 팩트체크"
@@ -98,14 +100,12 @@ def contract(notes: DataFrame, summary_chars: int = 1400, summary_items: int = 7
         lambda a, x: F.struct(x.alias("last"), F.when(x.isNull(), 0).when(x == a["last"], a["n"] + 1).otherwise(1).alias("n"), F.greatest(a["most"], F.when(x.isNull(), 0).when(x == a["last"], a["n"] + 1).otherwise(1)).alias("most")),
         lambda a: a["most"],
     )
-    summary = F.trim(body(0))
+    summary = stripped(body(0))
     points = F.size(F.filter(F.split(summary, "\n"), lambda x: F.trim(x).rlike(r"^(?:[-*+]\s+|[0-9]+[.)]\s+)")))
     first_four = F.concat(*(body(i) for i in range(4)))
     attendees = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[0]}\E(.*?)(?=\n##|\z)", 1)
     verified = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[1]}\E(.*?)(?=\n##|\z)", 1)
     pending = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[2]}\E(.*?)(?=\n##|\z)", 1)
-    from ..functions.text import without_particle
-
     sources = lambda part, p: F.transform(F.regexp_extract_all(part, F.lit(p), F.lit(1)), without_particle)
     rules: list[tuple[Column, Column | str]] = [
         (~first.startswith("# ") | first.startswith("## "), "title"),

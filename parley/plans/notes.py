@@ -140,3 +140,70 @@ def readable_projection(spark: SparkSession, d: str) -> DataFrame:
 def visual_selection(spark: SparkSession, d: str) -> DataFrame:
     """E20 and T9."""
     return table(spark, d, "documents").select("doc_id", N.visual_kind(F.col("text")).alias("kind"))
+
+
+@query("""select o_orderkey, missing::bigint missing, stale::bigint stale, missing = 0 and stale = 0 ready from (select o_orderkey, count(*) filter (k % 9 = 0) missing, count(*) filter (k % 9 <> 0 and k % 13 = 0) stale from (select o_orderkey, o_orderkey * 3 + i k from orders, range(3) t(i)) group by 1)""")
+def queue_admission(spark: SparkSession, d: str) -> DataFrame:
+    """Three artifacts each, some gone, some changed."""
+    from ..operators import publication as U
+
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("kind")).withColumn("k", F.col("key") * 3 + F.col("kind"))
+    r = o.select("key", "kind", F.sha2(F.col("k").cast("string"), 256).alias("sha256"))
+    a = o.filter("k % 9 <> 0").select("key", "kind", F.sha2(F.when(F.col("k") % 13 == 0, "x").otherwise(F.col("k").cast("string")), 256).alias("sha256"))
+    return U.admitted(r, a).withColumnRenamed("key", "o_orderkey")
+
+
+@query("""select * from (values ('a', 'ok'), ('b', 'no approval'), ('c', 'source changed'), ('d', 'visibility differs'), ('e', 'expired'), ('f', 'expired')) t("key", verdict)""")
+def approval_check(spark: SparkSession, d: str) -> DataFrame:
+    """E23 on literal approvals."""
+    from ..operators import publication as U
+
+    req = spark.createDataFrame([(k, "s", "public") for k in "abcdef"], "key string, source_sha256 string, visibility string")
+    app = spark.createDataFrame([("a", "s", "public", "2030-01-01T00:00:00Z"), ("c", "t", "public", "2030-01-01T00:00:00Z"), ("d", "s", None, "2030-01-01T00:00:00Z"), ("e", "s", "public", "2020-01-01T00:00:00+09:00"), ("f", "s", "public", "2030-01-01T00:00:00")], "key string, source_sha256 string, visibility string, expires string")
+    return U.approved(req, app, F.lit("2024-06-01 00:00:00").cast("timestamp"))
+
+
+@query("""with b as (select o_custkey k, o_orderkey p, o_orderdate t from orders), l as (select k, p from b qualify row_number() over (partition by k order by t desc, p desc) = 1) select k "key", p page_id from b except select k, p from l""")
+def superseded_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that a later one of the same key replaced."""
+    from ..operators import publication as U
+
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("page_id"), F.col("o_orderdate").alias("at"))
+    return U.history(o.filter("page_id % 2 = 0"), o.filter("page_id % 2 = 1"))[1]
+
+
+@query("""select * from (values ('주간 회의', '2024-05-01', '- 출시일을 확정했다.')) t(title, "time", summary)""")
+def note_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """E27."""
+    from ..operators import publication as U
+
+    return U.metadata(literal_notes(spark).filter("note_key = 'ok'")).select("title", "time", "summary")
+
+
+@query("""select * from (values (0, '김민준,이서연'), (1, '박지호'), (2, '')) t(i, names)""")
+def attendee_names(spark: SparkSession, d: str) -> DataFrame:
+    """The first source with names."""
+    from ..operators import publication as U
+
+    rows = spark.createDataFrame([(0, "참석자: 김민준, 이서연 (PM), 화자, 2024-05-01", None), (1, "attendees: 미정", "박지호"), (2, "", None)], "i int, line string, label string")
+    names = U.first_attendees(U.attendees(F.col("line"), F.array(F.lit("이서연"))), U.attendees(F.coalesce("label", F.lit("")), F.array().cast("array<string>")))
+    return rows.select("i", F.array_join(names, ",").alias("names"))
+
+
+@query("""select doc_id, array_to_string(list_distinct(regexp_extract_all(t, '\\b[A-Z][A-Z0-9]{1,7}\\b')), '') is not null has, len(list_distinct(regexp_extract_all(t, '\\b[A-Z][A-Z0-9]{1,7}\\b')))::int n, regexp_replace(trim(substr(t, 1, 30)), '[^0-9A-Za-z가-힣._-]+', '_', 'g') stem from (select doc_id, regexp_replace(text, '[^ -~]', '?', 'g') t from documents)""")
+def acronyms_and_stems(spark: SparkSession, d: str) -> DataFrame:
+    """F13, F21 and F24."""
+    from ..functions import predicates as P
+
+    t = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^ -~]", "?").alias("t"))
+    return t.select("doc_id", P.acronyms(F.col("t")).isNotNull().alias("has"), F.size(P.acronyms(F.col("t"))).alias("n"), P.safe_stem(F.substring("t", 1, 30)).alias("stem"))
+
+
+@query("""select page_id, url like 'https://%' and regexp_matches(key, '^notes/[^/]+/[^/]+\\.md$') canonical, key = 'notes/p/' || (page_id % 10) || '.md' same from (select page_id, url, case when page_id % 3 = 0 then 'notes/p/' || (page_id % 10) || '.md' else 'notes/' || page_id end key from pages)""")
+def canonical_keys(spark: SparkSession, d: str) -> DataFrame:
+    """P6 and P7."""
+    from ..functions import predicates as P
+
+    stem = (F.col("page_id") % 10).cast("string")
+    x = table(spark, d, "pages").withColumn("key", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("notes/p/"), stem, F.lit(".md"))).otherwise(F.concat(F.lit("notes/"), F.col("page_id").cast("string"))))
+    return x.select("page_id", (F.col("url").startswith("https://") & P.is_canonical(F.col("key"))).alias("canonical"), P.is_target(F.col("key"), F.concat(F.lit("notes/p/"), stem)).alias("same"))
