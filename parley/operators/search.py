@@ -29,13 +29,14 @@ def found(terms: DataFrame, index: DataFrame, key: str, top: int) -> DataFrame:
 
 
 def substring_hits(terms: DataFrame, docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """Terms that stand anywhere in a text, ASCII case aside. Terms meet texts by shared runs of ``n``
-    characters, so only texts that hold a term's first run are searched for it."""
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(n))))
-    low = docs.select(key, F.lower(text).alias("t"))
-    asked = terms.filter(F.length("term") >= n).select("term", F.lower("term").alias("l")).withColumn("run", F.substring("l", 1, n))
-    met = low.select(key, F.explode(runs).alias("run")).join(asked, "run").select(key, "term", "l")
-    return met.join(low, key).filter(F.expr("contains(t, l)")).select("term", key)
+    """Terms (ASCII letters, ``n`` or more) that stand anywhere in a text, in any case. A term without
+    other characters lies within one word, so terms meet the distinct words of all texts, by the runs of ``n``
+    letters that a word has, and then the texts that have these words."""
+    spoken = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{{n},}}"), F.lit(0)))).alias("word"))
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word") - n + 1), lambda i: F.substring(F.col("word"), i, F.lit(n))))
+    asked = terms.filter(F.col("term").rlike(f"^[A-Za-z]{{{n},}}$")).select("term", F.lower("term").alias("l")).withColumn("run", F.substring("l", 1, n))
+    met = spoken.select("word").distinct().select("word", F.explode(runs).alias("run")).join(asked, "run").filter(F.expr("contains(word, l)")).select("term", "word")
+    return spoken.join(met, "word").select("term", key).distinct()
 
 
 def related(terms: DataFrame, notes: DataFrame, top: int, least: float = 2.0) -> DataFrame:
