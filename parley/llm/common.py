@@ -19,6 +19,7 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: str | None = None
 _shipped: set[str] = set()
+_stored: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,15 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dir}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, and what was
-    computed outlives the executors that computed it."""
+    computed outlives the executors that computed it. Unless ``keep``, release() removes it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/parley/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        _stored.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the tables stored so far: for a caller whose results so far are all written elsewhere."""
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

@@ -11,7 +11,9 @@ two sets can share at all. Within a token's list pairs are made of its
 first ``ALL_PAIRS`` members and of each further member with the first ``STARS``, the most typical; after
 these are verified and joined to components, every pair of a longer list that is still apart is
 compared, members outside the list's largest component against all. So no link is lost, yet a
-group of n near copies makes about n pairs rather than n * n.
+group of n near copies makes about n pairs rather than n * n. The list of a token that stands in very
+many documents is dealt to sublists, whose first members are then paired with one another, so that
+no list is one task's work.
 
 Defined results: lower case is A-Z only. Fewer than k words: the whole sequence is the one shingle.
 Null or empty text, or white space only: 0 shingles, linked with nothing, its own component. Null
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, documents, fresh, store
@@ -33,7 +35,9 @@ from .textops import chunks, mix
 
 #: Cells of the count sketch, in slices that are summed apart: 4 MB in all, whatever the input.
 CELLS, SLICES = 1 << 20, 64
-ALL_PAIRS, STARS = 4, 2
+ALL_PAIRS, STARS = 4, 1
+#: Documents from which on (by the sketch) a token's list is dealt to SALTS sublists.
+HOT, SALTS = 100_000, 256
 _SEEDS = np.array([0x51ED270B, 0x2545F491, 0x9E3779B1], np.uint64)
 
 
@@ -102,9 +106,10 @@ def order_keys(tokens: np.ndarray, counts: np.ndarray, which: int) -> np.ndarray
     return (np.minimum(rank, np.uint64((1 << 27) - 1)) << np.uint64(36)) | (mix(tokens ^ _SEEDS[which]) >> np.uint64(28))
 
 
-def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray, hot: int) -> DataFrame:
     """Per document: n (set size), s1 and s2 (a 128-bit signature of the set), typical (how common
-    its tokens are), its prefix under the first order, and the key of the prefix's last token."""
+    its tokens are), its prefix under the first order, how many tokens of that aren't hot (those come first), and the key
+    of the prefix's last token."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +117,7 @@ def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFra
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                n, s1, s2, typical, prefix, last = [], [], [], [], [], []
+                n, s1, s2, typical, prefix, last, cool = [], [], [], [], [], [], []
                 for s in shingle_sets(part.column("text"), k):
                     n.append(len(s))
                     s1.append(int(mix(s).sum(dtype=np.uint64)) if len(s) else 0)
@@ -122,18 +127,19 @@ def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFra
                     first = np.argsort(key, kind="stable")[: prefix_length(len(s), percent) if len(s) else 0]
                     prefix.append(s[first])
                     last.append(int(key[first[-1]]) if len(s) else 0)
+                    cool.append(int(np.count_nonzero(table[_cells(s[first])] < hot)))
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 flat = np.concatenate(prefix).view(np.int64) if prefix else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.array(last, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["doc_id", "n", "s1", "s2", "typical", "last", "prefix"],
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.array(last, pa.int64()), pa.array(cool, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["doc_id", "n", "s1", "s2", "typical", "last", "cool", "prefix"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, typical float, last long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, typical float, last long, cool int, prefix array<long>")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of postings sorted by token, those of tokens that stand in more than one class."""
+    """Of postings sorted by token, those of tokens that stand in more than one class, or are hot."""
     last, told = None, False  # the last posting of the batch before, and whether it was given
     for b in batches:
         if not b.num_rows:
@@ -143,6 +149,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = np.zeros(len(t), bool)
         keep[1:] |= same
         keep[:-1] |= same
+        keep |= b.column("salt").to_numpy() >= 0
         if last is not None and last.column("token")[0].as_py() == t[0]:
             keep[0] = True
             if not told:
@@ -161,8 +168,9 @@ def _fits(x: list, y: list, percent: int) -> np.ndarray:
 
 
 def _list_pairs(percent: int):
-    """Over postings sorted by token and falling typicality: kind 0 pairs (a < b), and kind 1 the
-    postings of lists longer than ALL_PAIRS."""
+    """Over postings sorted by token, salt and falling typicality: kind 0 pairs (a < b), kind 1 the
+    postings of lists longer than ALL_PAIRS and of sublists, kind 2 the first members of sublists.
+    ``salt`` is negative where a token's list is whole."""
 
     def emit(rows: list, lead: list, cols: list, start: int) -> None:
         for k, (c, *about) in enumerate(lead):
@@ -177,24 +185,27 @@ def _list_pairs(percent: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            t, *cols = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))  # token; class, n, core, last
-            cuts = np.flatnonzero(np.diff(t)) + 1
+            t, salt, *cols = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6))  # token, salt; class, n, core, last
+            cuts = np.flatnonzero((np.diff(t) != 0) | (np.diff(salt) != 0)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(t))
             pairs: list = []
             long: list = []
-            single = ends - starts == 1
-            single[0] &= t[0] != token
+            heads: list = []
+            single = (ends - starts == 1) & (salt[starts] < 0)
+            single[0] &= (t[0], salt[0]) != token
             single[-1] = False  # may go on in the next batch
             for s, e in zip(starts[~single], ends[~single]):
-                if t[s] != token:
-                    token, lead, seen = t[s], [], 0
+                if (t[s], salt[s]) != token:
+                    token, lead, seen = (t[s], salt[s]), [], 0
                 begin = seen
                 for i in range(s, min(e, s + max(0, ALL_PAIRS - len(lead)))):
                     lead.append(tuple(v[i] for v in cols))
+                    if salt[s] >= 0:
+                        heads.append((t[s], *lead[-1]))
                 emit(pairs, lead, [v[s:e] for v in cols], begin)
-                if begin + e - s > ALL_PAIRS:
-                    if begin <= ALL_PAIRS:
-                        long += [(token, *x) for x in lead[:begin]]
+                if begin + e - s > ALL_PAIRS or salt[s] >= 0:
+                    if begin <= ALL_PAIRS and salt[s] < 0:
+                        long += [(t[s], *x) for x in lead[:begin]]
                     long.append((t[s:e], *(v[s:e] for v in cols)))
                 seen = begin + e - s
             if pairs:
@@ -202,8 +213,9 @@ def _list_pairs(percent: int):
                 keep = np.unique(np.stack([a, z], 1), axis=0)
                 none = np.zeros(len(keep), np.int64)
                 yield _listed(0, keep[:, 0], keep[:, 1], none, none, none)
-            if long:
-                yield _listed(1, *(np.concatenate([np.atleast_1d(x[i]) for x in long]) for i in range(5)))
+            for kind, found in ((1, long), (2, heads)):
+                if found:
+                    yield _listed(kind, *(np.concatenate([np.atleast_1d(x[i]) for x in found]) for i in range(5)))
 
     return run
 
@@ -216,6 +228,27 @@ def _listed(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, core: np.nda
     return pa.RecordBatch.from_arrays([kinds, pa.array(a), pa.array(b), pa.array(n, pa.int32()), pa.array(core, pa.int32()), pa.array(last)], names=[x.split()[0] for x in _LISTS.split(", ")])
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """The lowest five bytes of sorted distinct tokens, sorted: two tokens of a pair of sets share
+    them with a probability of n * n / 2**40."""
+    low = np.sort(tokens & np.uint64((1 << 40) - 1)).astype("<u8")
+    return low.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def _overlap(s: np.ndarray, t: np.ndarray) -> int:
+    """How many values two sorted arrays share; a value that one has twice counts as often as both have it."""
+    both = np.concatenate([s, t])
+    both.sort(kind="stable")
+    again = int(np.count_nonzero(both[1:] == both[:-1]))
+    return again - sum(int(np.count_nonzero(x[1:] == x[:-1])) for x in (s, t))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose prefixes meet under the other orders and whose sets are similar."""
     slim = lambda x: sets.select(F.col("cls").alias(x), F.col("second").alias(f"second_{x}"), F.col("third").alias(f"third_{x}"))
@@ -229,11 +262,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             x, y = b.column("tokens_a"), b.column("tokens_b")
             for i in range(b.num_rows):
-                s, t = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                both = np.concatenate([s, t])
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(both) - shared))
+                s, t = _unpacked(x[i].as_py()), _unpacked(y[i].as_py())
+                shared = _overlap(s, t)
+                keep.append(100 * shared >= percent * (len(s) + len(t) - shared))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # the pairs meet each set where it lies, so that only sets of pairs move, to the place of their a
@@ -264,21 +295,28 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return label
 
 
-def classes(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def classes(df: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
     """Per row of ``df``: doc_id, n_shingles, cls (null without words) and component_id."""
     docs = documents(df)
     counts = sketch(docs, k)
-    rows = store(signed(docs, k, percent, counts), "signed")
+    rows = store(signed(docs, k, percent, counts, hot), "signed")
     known = F.when(F.col("n") > 0, F.xxhash64("s1", "s2", "n"))
     rows = rows.withColumn("cls", known)
-    distinct = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("last").alias("last"), F.first("prefix").alias("prefix"))
-    posts = distinct.select("cls", F.col("n").cast("int").alias("n"), F.size("prefix").alias("m"), "typical", "last", F.explode("prefix").alias("token"))
-    ordered = posts.repartition("token").sortWithinPartitions("token").select("token", "cls", "n", "m", "typical", "last")
-    met = store(ordered.mapInArrow(_shared, "token long, cls long, n int, m int, typical float, last long"), "shared")
+    distinct = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("last").alias("last"), F.first("cool").alias("cool"), F.first("prefix").alias("prefix"))
+    salt = F.when(F.col("pos") >= F.col("cool"), F.pmod(F.xxhash64("cls", "token"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+    about = distinct.select("cls", F.col("n").cast("int").alias("n"), F.size("prefix").alias("m"), "typical", "last")
+    posts = distinct.select("cls", "cool", F.posexplode("prefix").alias("pos", "token")).withColumn("salt", salt)
+    ordered = posts.select("token", "salt", "cls").repartition("token", "salt").sortWithinPartitions("token", "salt")
+    met = store(ordered.mapInArrow(_shared, "token long, salt int, cls long"), "shared")
     # of a set's tokens all but the prefix tokens that no other prefix has
-    core = met.groupBy("cls").agg((F.first("n") - F.first("m") + F.count("*")).cast("int").alias("core"))
-    ordered = met.join(core, "cls").repartition("token").sortWithinPartitions("token", (F.col("n") - F.col("core")).asc(), F.col("typical").desc(), "cls").select("token", "cls", "n", "core", "last")
+    many = met.groupBy("cls").agg(F.count("*").cast("int").alias("many"))
+    core = about.join(many, "cls").withColumn("core", F.col("n") - F.col("m") + F.col("many"))
+    first = [F.col("token"), F.col("salt"), (F.col("n") - F.col("core")).asc(), F.col("typical").desc(), F.col("cls")]
+    ordered = met.join(core, "cls").repartition("token", "salt").sortWithinPartitions(*first).select("token", "salt", "cls", "n", "core", "last")
     lists = store(ordered.mapInArrow(_list_pairs(percent), _LISTS), "lists")
+    heads = lists.filter("kind = 2").select(F.col("a").alias("token"), F.lit(-1).alias("salt"), F.col("b").alias("cls"), "n", "core", "last")
+    over = heads.repartition("token").sortWithinPartitions("token", F.col("n") - F.col("core"), "cls").mapInArrow(_list_pairs(percent), _LISTS).filter("kind = 0")
+    lists = lists.unionByName(over)
     pairs = store(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
     long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "core", "last")
     ids = rows.select("cls", "doc_id").filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
@@ -319,7 +357,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
                     if len(s):
                         p = prefix_length(len(s), percent)
                         two, three = (s[np.argsort(order_keys(s, table, j), kind="stable")] for j in (1, 2))
-                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), two[:p].view(np.int64), three[:p].view(np.int64), s.tobytes())):
+                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), two[:p].view(np.int64), three[:p].view(np.int64), _packed(s))):
                             col.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
                 arrays = [pa.array(np.array(c, np.uint64).view(np.int64), t) if i < 2 else pa.array(c, t) for i, (c, t) in enumerate(zip(cols, kinds))]
@@ -343,7 +381,11 @@ def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     were compared there, so of the pairs left none shares a prefix token other than of long lists."""
     many = long.groupBy("cls").agg(F.count("*").alias("many"))
     core = F.floor((F.col("n") * percent + 99) / 100) - 1 + F.col("many")  # what isn't in the prefix, and that
-    at = store(long.join(many, "cls").join(label, "cls", "left").select("token", "cls", "n", core.cast("int").alias("core"), "last", F.coalesce("label", "cls").alias("label")), "members")
+    # of a set's tokens that may be shared, any slack + 1 hold a shared one: the token's number among
+    # the long ones of its set says whether the pair has to be met there
+    turn = F.row_number().over(Window.partitionBy("cls").orderBy("token")) - 1
+    long = long.withColumn("turn", turn)
+    at = store(long.join(many, "cls").join(label, "cls", "left").select("token", "cls", "n", (core - F.col("turn")).cast("int").alias("core"), "last", F.coalesce("label", "cls").alias("label")), "members")
     share = at.groupBy("token", "label").agg(F.count("*").alias("m"))
     main = share.groupBy("token").agg(F.max(F.struct("m", "label")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("token", F.col("main.label").alias("main"))
     main = store(main, "split-lists")
@@ -352,7 +394,8 @@ def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     split = store(at.join(main, "token"), "split-members")
     few = split.filter("label <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("cls", "n", "core", "last", "label")))
     small, large = F.least("n1", "n"), F.greatest("n1", "n")
-    core = F.when(F.col("last1") < F.col("last"), F.col("core1")).when(F.col("last") < F.col("last1"), F.col("core")).otherwise(F.least("core1", "core"))
+    ends_first = (F.col("last1") < F.col("last")) | ((F.col("last1") == F.col("last")) & (F.col("cls1") < F.col("cls")))
+    core = F.when(ends_first, F.col("core1")).otherwise(F.col("core"))
     fits = (100 * small >= percent * large) & ((100 + percent) * core >= percent * (F.col("n1") + F.col("n")))
     met = few.join(split, "token").filter((F.col("label1") != F.col("label")) & fits)
     return met.select(F.least("cls1", "cls").alias("a"), F.greatest("cls1", "cls").alias("b")).distinct()
