@@ -228,6 +228,11 @@ def _listed(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, core: np.nda
     return pa.RecordBatch.from_arrays([kinds, pa.array(a), pa.array(b), pa.array(n, pa.int32()), pa.array(core, pa.int32()), pa.array(last)], names=[x.split()[0] for x in _LISTS.split(", ")])
 
 
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of each token: enough for a filter that must lose nothing."""
+    return (tokens >> np.uint64(8)).astype(np.uint32).view(np.int32)
+
+
 def _packed(tokens: np.ndarray) -> bytes:
     """The lowest five bytes of sorted distinct tokens, sorted: two tokens of a pair of sets share
     them with a probability of n * n / 2**40."""
@@ -251,11 +256,8 @@ def _overlap(s: np.ndarray, t: np.ndarray) -> int:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose prefixes meet under the other orders and whose sets are similar."""
-    slim = lambda x: sets.select(F.col("cls").alias(x), F.col("second").alias(f"second_{x}"), F.col("third").alias(f"third_{x}"))
-    whole = lambda x: sets.select(F.col("cls").alias(x), F.col("tokens").alias(f"tokens_{x}"))
-    met = pairs.join(slim("a"), "a").join(slim("b"), "b").filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
-    met = store(met, "candidates")
-    n = met.count()
+    part = lambda x: sets.select(F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("second", "third", "tokens")))
+    n = pairs.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,10 +270,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # the pairs meet each set where it lies, so that only sets of pairs move, to the place of their a
-    carried = whole("b").join(F.broadcast(met) if n <= 5 * BROADCAST_ROWS else met, "b")
-    heads = met.select("a").distinct()
-    leading = whole("a").join(F.broadcast(heads) if n <= 5 * BROADCAST_ROWS else heads, "a", "left_semi")
-    return carried.join(leading, "a").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
+    carried = part("b").join(F.broadcast(pairs) if n <= 5 * BROADCAST_ROWS else pairs, "b")
+    heads = pairs.select("a").distinct()
+    leading = part("a").join(F.broadcast(heads) if n <= 5 * BROADCAST_ROWS else heads, "a", "left_semi")
+    met = carried.join(leading, "a").filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    return met.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -357,16 +360,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
                     if len(s):
                         p = prefix_length(len(s), percent)
                         two, three = (s[np.argsort(order_keys(s, table, j), kind="stable")] for j in (1, 2))
-                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), two[:p].view(np.int64), three[:p].view(np.int64), _packed(s))):
+                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), _short(two[:p]), _short(three[:p]), _packed(s))):
                             col.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
                 arrays = [pa.array(np.array(c, np.uint64).view(np.int64), t) if i < 2 else pa.array(c, t) for i, (c, t) in enumerate(zip(cols, kinds))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["s1", "s2", "n", "second", "third", "tokens"])
 
     n = wanted.count()
     keys = wanted.select(F.col("doc_id").alias("id")).distinct()
     some = docs.join(F.broadcast(keys) if n <= 10 * BROADCAST_ROWS else keys, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    made = some.select("text").mapInArrow(run, "s1 long, s2 long, n long, second array<long>, third array<long>, tokens binary")
+    made = some.select("text").mapInArrow(run, "s1 long, s2 long, n long, second array<int>, third array<int>, tokens binary")
     made = made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n")
     keep = wanted.select("cls").distinct()  # a doc_id that repeats brings other texts along
     made = store(made.join(F.broadcast(keep) if n <= 10 * BROADCAST_ROWS else keep, "cls", "left_semi"), "sets")
