@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 # Unicode white space, Latin letters (but the dotted capital I, whose small form ends
 # in a mark that joins what follows) and digits, ASCII punctuation.
@@ -22,7 +22,7 @@ _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE, WORDS = 400_000, 1_000_000
+CACHE, WORDS = 150_000, 400_000
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
@@ -36,6 +36,7 @@ def _letters() -> dict[int, int]:
 
 
 _LETTERS = _letters()
+_ENDS = frozenset(b".,;:!?)]}\"*#$%&|")
 
 
 def vocabulary(name: str) -> str:
@@ -46,16 +47,25 @@ def vocabulary(name: str) -> str:
 
 
 class _Cache(dict):
-    """Piece of text to the bytes of its ids; asks ``learn`` for what it lacks."""
+    """Piece of text to the bytes of its ids; asks ``learn`` for what it lacks. Beyond ``most`` pieces
+    it begins anew, but still takes over from the ones before what is asked for again."""
 
-    def __init__(self, learn) -> None:
+    def __init__(self, learn: Callable, most: int) -> None:
         super().__init__()
-        self.learn = learn
+        self.learn, self.most, self.before = learn, most, {}
 
     def __missing__(self, piece: str | bytes) -> bytes:
-        found = self[piece] = self.learn(piece)
+        found = self.before.get(piece)
+        if found is None:
+            found = self.learn(piece)
+        self[piece] = found
         return found
 
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
 
 class Encoder:
     """Texts to the bytes of their ids, as little-endian unsigned 32-bit integers."""
@@ -69,8 +79,8 @@ class Encoder:
         self.bare = segments is BARE
         self.small = "Lowercase" in str(self.tokenizer.normalizer)
         self.model = self.tokenizer.model
-        self.cache = _Cache(self._learn)
-        self.words = _Cache(self._learn_word)  # where white space is dropped: runs between ASCII white space, in UTF-8
+        self.cache = _Cache(self._learn, CACHE)
+        self.words = _Cache(self._learn_word, WORDS)  # where white space is dropped: runs between ASCII white space, in UTF-8
 
     def _learn(self, segment: str) -> bytes:
         if _PLAIN.fullmatch(segment):
@@ -83,19 +93,17 @@ class Encoder:
     def _learn_word(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters
             return array("I", [t.id for t in self.model.tokenize((word.lower() if self.small else word).decode())]).tobytes()
+        if word[-1] in _ENDS and word[:-1].isalpha():  # ASCII letters, then one mark
+            return array("I", [t.id for t in self.model.tokenize((word[:-1].lower() if self.small else word[:-1]).decode())]).tobytes() + self.cache[chr(word[-1])]
         text = word.decode()
-        if _PLAIN.fullmatch(text):
-            return self._learn(text)
         return b"".join(map(self.cache.__getitem__, self.segments(text)))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text; null is empty."""
         get, word = self.cache.__getitem__, self.words.__getitem__
         for t in texts:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            if len(self.words) > WORDS:
-                self.words.clear()
+            self.cache.turn()
+            self.words.turn()
             yield b"".join(map(word, (t or "").encode().split()) if self.bare else map(get, self.segments(t or "")))
 
 
