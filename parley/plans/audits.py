@@ -11,11 +11,11 @@ from ..operators import review as R
 from ..operators import state as S
 from .base import query, table
 
-LINES = [("d", 0, "[00:00:01 - 00:00:04] A: 김민중 님이 제이케 서비스를 설명했다"), ("d", 1, "[00:00:05 - 00:00:09] B: 예산은 3억이고 니까 도입은 안 한다고 했다"), ("d", 2, "notes"), ("d", 3, "[00:00:10 - 00:00:14] A: API 문서를 니까 팀이 공유했다")]
+LINES = [("d", 0, "[00:00:01 - 00:00:04] A: 김민중 님이 비티에 서비스를 설명했다"), ("d", 1, "[00:00:05 - 00:00:09] B: 예산은 3억이고 가옹 도입은 안 한다고 했다"), ("d", 2, "notes"), ("d", 3, "[00:00:10 - 00:00:14] A: API 문서를 가옹 팀이 공유했다")]
 PATCHES = [
-    (0, 1, "김민중", "김민준", "person_name", 0.99), (1, 1, "제이케", "JK", "proper_noun", 0.95), (2, 2, "3억", "4억", "proper_noun", 0.99), (3, 2, "니까", "니카", "proper_noun", 0.97), (4, 3, "notes", "note", "proper_noun", 0.99),
-    (5, 9, "x", "y", "proper_noun", 0.99), (6, 1, "제이케", "JK", "sentence", 0.99), (7, 1, "제이케", "JK", "proper_noun", 0.5), (8, 1, "제이케", "제이케", "proper_noun", 0.99), (9, 4, "API", "API 게이트웨이", "acronym", 0.99),
-    (10, 4, "문서를", "문서를(doc)", "proper_noun", 0.99), (11, 4, "공유했다", "공[유]", "proper_noun", 0.99), (12, 4, "니까", "니콜라", "proper_noun", 0.99), (13, 1, "", "JK", "proper_noun", 0.99), (14, 1, "제이케", "JK", "proper_noun", 1.5), (15, 4, "에러로그", "JK", "proper_noun", 0.99),
+    (0, 1, "김민중", "김민준", "person_name", 0.99), (1, 1, "비티에", "BT", "proper_noun", 0.95), (2, 2, "3억", "4억", "proper_noun", 0.99), (3, 2, "가옹", "가온", "proper_noun", 0.97), (4, 3, "notes", "note", "proper_noun", 0.99),
+    (5, 9, "x", "y", "proper_noun", 0.99), (6, 1, "비티에", "BT", "sentence", 0.99), (7, 1, "비티에", "BT", "proper_noun", 0.5), (8, 1, "비티에", "비티에", "proper_noun", 0.99), (9, 4, "API", "API 게이트웨이", "acronym", 0.99),
+    (10, 4, "문서를", "문서를(doc)", "proper_noun", 0.99), (11, 4, "공유했다", "공[유]", "proper_noun", 0.99), (12, 4, "가옹", "가올라", "proper_noun", 0.99), (13, 1, "", "BT", "proper_noun", 0.99), (14, 1, "비티에", "BT", "proper_noun", 1.5), (15, 4, "에러로그", "BT", "proper_noun", 0.99),
 ]
 _EXPECTED = {0: "accepted", 1: "accepted", 2: "protected number/negation/commitment token changed", 3: "accepted", 4: "target line is not a transcript utterance", 5: "invalid line number", 6: "category is not auto-applicable", 7: "confidence below threshold", 8: "before and after are identical", 9: "already-canonical acronym expansion", 10: "already-canonical term expansion", 11: "patch contains structural characters", 12: "no deterministic ledger/roster evidence", 13: "before/after must be non-empty strings", 14: "confidence must be between 0 and 1", 15: "before must occur exactly once in the target utterance"}
 
@@ -23,7 +23,7 @@ _EXPECTED = {0: "accepted", 1: "accepted", 2: "protected number/negation/commitm
 def _decided(spark: SparkSession) -> DataFrame:
     lines = spark.createDataFrame(LINES, "doc string, line_no int, line string")
     patches = spark.createDataFrame([("d", *p) for p in PATCHES], "doc string, patch_idx int, line int, before string, after string, category string, confidence double")
-    ledger = spark.createDataFrame([("제이케", "JK", 7), ("니까", "니카", 9)], "variant string, target string, count int")
+    ledger = spark.createDataFrame([("비티에", "BT", 7), ("가옹", "가온", 9)], "variant string, target string, count int")
     roster = spark.createDataFrame([("김민준",), ("이서연",)], "name string")
     return C.decided(patches, lines, ledger, roster, roster.filter("name = '김민준'"))
 
@@ -34,7 +34,7 @@ def patch_decision_rules(spark: SparkSession, d: str) -> DataFrame:
     return _decided(spark).select("patch_idx", "reason")
 
 
-@query("""select * from (values (0, '[00:00:01 - 00:00:04] A: 김민준 님이 JK 서비스를 설명했다'), (1, '[00:00:05 - 00:00:09] B: 예산은 3억이고 니카 도입은 안 한다고 했다'), (2, 'notes'), (3, '[00:00:10 - 00:00:14] A: API 문서를 니까 팀이 공유했다')) t(line_no, line)""")
+@query("""select * from (values (0, '[00:00:01 - 00:00:04] A: 김민준 님이 BT 서비스를 설명했다'), (1, '[00:00:05 - 00:00:09] B: 예산은 3억이고 가온 도입은 안 한다고 했다'), (2, 'notes'), (3, '[00:00:10 - 00:00:14] A: API 문서를 가옹 팀이 공유했다')) t(line_no, line)""")
 def patch_application(spark: SparkSession, d: str) -> DataFrame:
     """The kept patches put into their lines."""
     decided = _decided(spark)

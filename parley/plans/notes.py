@@ -83,11 +83,11 @@ NOTE = """# 주간 회의
 
 ### 5.2 검증 완료
 
-- `니까` → 니카
+- `가옹` → 가온
 
 ### 5.3 검증 필요
 
-- `제이케`
+- `비티에`
 """
 
 
@@ -95,7 +95,7 @@ def literal_notes(spark: SparkSession) -> DataFrame:
     """A note that keeps the contract and copies that each break a rule."""
     broken = {
         "ok": NOTE, "title": NOTE.replace("# 주간 회의", "주간 회의", 1), "no_actions": NOTE.replace("- [ ] **A1 · 일정표 공유**\n", ""), "gap": NOTE.replace("**A1", "**A2"),
-        "handoff": NOTE + "\n## 7. Task Handoff\n", "table": NOTE.replace("- 출시일", "| a | b |\n- 출시일"), "overlap": NOTE.replace("`제이케`", "`니까`"),
+        "handoff": NOTE + "\n## 7. Task Handoff\n", "table": NOTE.replace("- 출시일", "| a | b |\n- 출시일"), "overlap": NOTE.replace("`비티에`", "`가옹`"),
         "runs": NOTE.replace("- 일정을 논의했다.", "- 일정을 논의했다.\n" * 4), "order": NOTE.replace("## 2. Action", "## X").replace("## 3.", "## 2. Action Items\n\n## 3."), "anonymous": NOTE.replace("홍길동 · 2024", "화자 A · 2024"),
     }
     return spark.createDataFrame(sorted(broken.items()), "note_key string, text string")

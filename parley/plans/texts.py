@@ -124,10 +124,10 @@ def normalized_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", T.normalized(F.concat(F.lit("[00:01 - 00:02] 화자 A: "), F.col("text"))).alias("text"))
 
 
-@query("""select * from (values ('김민준', 'ㄱㅣㅁㅁㅣㄴㅈㅜㄴ', '민준'), ('남궁민수', 'ㄴㅏㅁㄱㅜㅇㅁㅣㄴㅅㅜ', '민수'), ('Nika', 'Nika', 'ika'), ('이수', 'ㅇㅣㅅㅜ', '이수')) t(name, jamo, given)""")
+@query("""select * from (values ('김민준', 'ㄱㅣㅁㅁㅣㄴㅈㅜㄴ', '민준'), ('남궁민수', 'ㄴㅏㅁㄱㅜㅇㅁㅣㄴㅅㅜ', '민수'), ('Gaon', 'Gaon', 'aon'), ('이수', 'ㅇㅣㅅㅜ', '이수')) t(name, jamo, given)""")
 def jamo_given_names(spark: SparkSession, d: str) -> DataFrame:
     """F1 and F4 on literal names."""
-    names = spark.createDataFrame([("김민준",), ("남궁민수",), ("Nika",), ("이수",)], "name string")
+    names = spark.createDataFrame([("김민준",), ("남궁민수",), ("Gaon",), ("이수",)], "name string")
     return names.select("name", T.jamo(F.col("name")).alias("jamo"), T.given_name(F.col("name")).alias("given"))
 
 

@@ -107,11 +107,11 @@ def test_roster_stale_snapshot_and_supplemental(spark):
 
     history = spark.createDataFrame([("k1", "Kim", "A", "", "former", "2024-01-01", "2024-03-01", "2024-02-01", True, ["x"]), ("k2", "Lee", "확인 필요", "", "active", "2024-01-01", "2024-03-01", "", True, ["x"])], schemas.HISTORY)
     current = spark.createDataFrame([("k1", "Kim", "B", "lead", "dir")], schemas.EMPLOYEES)
-    extra = spark.createDataFrame([("other", "Lee", "C", "", "notion"), ("new", "Park", "D", "", "notion")], schemas.EMPLOYEES)
+    extra = spark.createDataFrame([("other", "Lee", "C", "", "wiki"), ("new", "Park", "D", "", "wiki")], schemas.EMPLOYEES)
     got = {x.identity_key: x for x in identity.merge_history(history, current, extra, "2024-04-01", False).collect()}
     assert set(got) == {"k1", "k2", "new"}
     assert (got["k1"].employment_status, got["k1"].department, got["k1"].former_since) == ("former", "B", "2024-02-01")
-    assert (got["k2"].employment_status, got["k2"].department, got["k2"].sources) == ("active", "C", ["notion", "x"])
+    assert (got["k2"].employment_status, got["k2"].department, got["k2"].sources) == ("active", "C", ["wiki", "x"])
     assert (got["new"].employment_status, got["new"].ever_authoritative) == ("unverified", False)
     fresh = {x.identity_key: x for x in identity.merge_history(history, current, extra.limit(0), "2024-04-01", True).collect()}
     assert (fresh["k1"].employment_status, fresh["k2"].employment_status, fresh["k2"].former_since) == ("active", "former", "2024-04-01")
@@ -132,16 +132,16 @@ def test_text_functions(spark):
     assert one(times.seconds(F.lit("01:01:01"))) == 3661
     assert one(T.strip_honorific(F.lit("김민준님"))) == "김민준"
     assert one(T.jamo_similarity(F.lit(""), F.lit("가"))) == 0.0
-    assert one(T.without_particle(F.lit("니카는"))) == "니카"
+    assert one(T.without_particle(F.lit("가온는"))) == "가온"
     assert one(T.is_noise(F.lit(" 음 "))) is True
     assert one(T.capped(F.lit("a" * 20), 5)) == "aaaa…"
     assert one(times.stem_time(F.lit("meet 20240501 093000")).cast("string")) == "2024-05-01 09:30:00"
 
 
 def test_parsers(spark):
-    lines = parsers.numbered_lines(spark.createDataFrame([("k", "## Sales\n| name | x |\n|---|---|\n| Kim | 1 |\n- 니까 / `제이`님 → **니카**, ok (3회)")], "key string, text string"), "key", "text")
+    lines = parsers.numbered_lines(spark.createDataFrame([("k", "## Sales\n| name | x |\n|---|---|\n| Kim | 1 |\n- 가옹 / `비티`님 → **가온**, ok (3회)")], "key string, text string"), "key", "text")
     assert [(x.department, x.cells) for x in parsers.pipe_table(lines, "key").orderBy("line_no").collect()] == [("Sales", ["name", "x"]), ("Sales", ["Kim", "1"])]
-    assert sorted((x.variant, x.target, x["count"]) for x in parsers.ledger(lines).collect()) == [("니까", "니카", 3), ("제이", "니카", 3)]
+    assert sorted((x.variant, x.target, x["count"]) for x in parsers.ledger(lines).collect()) == [("가옹", "가온", 3), ("비티", "가온", 3)]
     log = spark.createDataFrame([("p", 0, "silence_start: -0.1"), ("p", 1, "silence_end: 2.5 |"), ("p", 2, "silence_start: 9")], "path string, line_no int, line string")
     assert [(x.silence_start, x.silence_end) for x in parsers.silences(log).orderBy("silence_start").collect()] == [(0.0, 2.5), (9.0, None)]
     blocks = spark.createDataFrame([("p", "transcription", None, '["b","a"]', None, "x", 1, 1), ("a", "text", '{"title":[["A"],["!"]]}', None, "p", "block", 1, 1), ("b", "text", '{"title":[["B"]]}', None, "p", "block", 1, 1)], "id string, type string, properties string, content string, parent_id string, parent_table string, alive int, created_time long")
