@@ -1,15 +1,16 @@
-"""Scalar functions on text, as column builders. All stay in the JVM but the three at the end."""
+"""Scalar functions on text, as column builders. All stay in the JVM but the five at the end."""
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, IntegerType, StringType
 
 # Tokens that carry no speech; jamo in Unicode order; two-syllable surnames.
 NOISE = ("", ".", "..", "...", "?", "!", "Q.", "q.", "Q", "q", "음", "어", "아", "응", "[음악]", "[Music]", "♪", "♫", "MBC", "BGM")
@@ -211,3 +212,74 @@ def nfc(text: pd.Series) -> pd.Series:
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """twice the matched characters over all, by longest matching blocks."""
     return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)])
+
+
+def edits(a: Sequence, b: Sequence) -> int:
+    """F2 of two sequences of any length: bit vectors of a column's vertical steps (Myers, Hyyrö), as
+    integers of as many bits as the shorter one has items. Equal ends are left out first."""
+    if len(a) > len(b):
+        a, b = b, a
+    low, high = 0, len(a)
+    while low < high and a[low] == b[low]:
+        low += 1
+    while high > low and a[high - 1] == b[high - len(a) - 1]:
+        high -= 1
+    a, b = a[low:high], b[low : len(b) - (len(a) - high)]
+    at: dict = {}
+    for i, x in enumerate(a):
+        at.setdefault(x, []).append(i)
+    held = {}
+    for x, places in at.items():
+        bits = bytearray((len(a) + 7) // 8)
+        for i in places:
+            bits[i >> 3] |= 1 << (i & 7)
+        held[x] = int.from_bytes(bits, "little")
+    more, side = len(b) - len(a), 32
+    while more + 2 * side + 1 < len(a) // 2:
+        found = _banded(held, b, more, side)
+        if found <= more + 2 * side + 1:  # a path of so few edits leaves no diagonal of the band
+            return found
+        side = min(4 * side, (found - more) // 2 + 1)
+    mask = (1 << len(a)) - 1
+    up, down = mask, 0
+    for x in b:
+        eq = held.get(x, 0)
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = ((down | ~(xh | up)) << 1) | 1
+        down, up = ph & xv, (((up & xh) << 1) | ~(xv | ph)) & mask
+    return len(b) + up.bit_count() - down.bit_count()
+
+
+def _banded(held: dict, b: Sequence, more: int, side: int) -> int:
+    """The fewest edits of a path within ``side`` diagonals of the two that the ends lie on: a window of the
+    bit vectors moves down with the columns. Columns come in blocks, whose part of ``held`` is cut out once."""
+    width, above = more + 2 * side + 1, more + side
+    mask, end = (1 << width) - 1, 1 << side
+    up, down, edits_ = mask ^ ((1 << above) - 1), 0, 0
+    for first in range(0, len(b), width):
+        part, cut = {}, (1 << 2 * width) - 1
+        for j, x in enumerate(b[first : first + width]):
+            if (bits := part.get(x)) is None:
+                bits = held.get(x, 0)
+                part[x] = bits = ((bits >> (first - above)) if first >= above else (bits << (above - first))) & cut
+            eq = (bits >> j) & mask
+            zero = (((eq & up) + up) ^ up) | eq | down
+            plus = down | ~(zero | up)
+            if not zero & end:
+                edits_ += 1
+            minus, zero = zero & up, (zero & mask) >> 1
+            down, up = zero & plus, (minus | ~(zero | plus)) & mask
+    return edits_
+
+
+@pandas_udf(IntegerType())
+def edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """F2 of whole texts, in code points; null if either is."""
+    return pd.Series([None if x is None or y is None else edits(x, y) for x, y in zip(a, b)], dtype="Int32")
+
+
+@pandas_udf(IntegerType())
+def token_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """F2 of whole arrays of tokens; null if either is."""
+    return pd.Series([None if x is None or y is None else edits(list(x), list(y)) for x, y in zip(a, b)], dtype="Int32")

@@ -11,17 +11,14 @@ VERDICTS = ("confirmed", "contradicted", "partially_correct", "unverifiable", "o
 
 
 def token_distance(a: Column, b: Column) -> Column:
-    """F2 over tokens: each distinct token of a pair becomes one private-use character, then code points are
-    compared. Null beyond 6,400 distinct tokens, which have no such character."""
-    both = F.array_distinct(F.concat(a, b))
-    code = lambda t: F.array_join(F.transform(t, lambda x: F.decode(F.unhex(F.hex(F.lit(0xE000) + F.array_position(both, x) - 1)), "UTF-16BE")), "")
-    return F.when(F.size(both) <= 6400, F.levenshtein(code(a), code(b)))
+    """F2 over tokens, however many distinct ones there are."""
+    return T.token_edit_distance(a, b)
 
 
 def rates(cases: DataFrame) -> DataFrame:
     """``cases`` (id, reference, hypothesis) with distances and units of characters and tokens."""
     u = cases.withColumn("rc", T.cer_units(F.col("reference"))).withColumn("hc", T.cer_units(F.col("hypothesis"))).withColumn("rw", T.words(F.col("reference"))).withColumn("hw", T.words(F.col("hypothesis")))
-    return u.select(*cases.columns, F.levenshtein("rc", "hc").alias("char_distance"), F.length("rc").alias("char_units"), token_distance(F.col("rw"), F.col("hw")).alias("word_distance"), F.size("rw").alias("word_units"))
+    return u.select(*cases.columns, T.edit_distance("rc", "hc").alias("char_distance"), F.length("rc").alias("char_units"), token_distance(F.col("rw"), F.col("hw")).alias("word_distance"), F.size("rw").alias("word_units"))
 
 
 def micro(rated: DataFrame, keys: list[str]) -> DataFrame:

@@ -101,11 +101,20 @@ def transcript_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select doc_id, levenshtein(a, b)::bigint distance, greatest(length(a), length(b))::bigint longer, levenshtein(a, b)::double / length(a) rate from (select doc_id, substr(regexp_replace(text, '[^ -~]', '?', 'g'), 1, 200) a, substr(regexp_replace(lower(text), '[^ -~]', '?', 'g'), 3, 200) b from documents where length(text) > 0)""")
 def edit_distance(spark: SparkSession, d: str) -> DataFrame:
-    """F2 and the rate of F9's errors, on ASCII-mapped passages."""
-    a, b = (F.substring(F.regexp_replace(c, ASCII, "?"), i, 200) for c, i in ((F.col("text"), 1), (F.lower("text"), 3)))
-    x = _docs(spark, d).filter(F.length("text") > 0).select("doc_id", a.alias("a"), b.alias("b"))
-    dist = F.levenshtein("a", "b")
-    return x.select("doc_id", dist.cast("long").alias("distance"), F.greatest(F.length("a"), F.length("b")).cast("long").alias("longer"), (dist.cast("double") / F.length("a")).alias("rate"))
+    """F2 and the rate of F9's errors, on the ASCII-mapped passages that its SQL takes; edit_distance_whole has whole texts."""
+    return _edits(spark, d, 200)
+
+
+@query()
+def edit_distance_whole(spark: SparkSession, d: str) -> DataFrame:
+    """F2 and the rate of F9's errors, on whole ASCII-mapped texts."""
+    return _edits(spark, d)
+
+
+def _edits(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    a, b = (F.substring(F.regexp_replace(c, ASCII, "?"), F.lit(i), F.lit(most) if most else F.length(c)) for c, i in ((F.col("text"), 1), (F.lower("text"), 3)))
+    x = _docs(spark, d).filter(F.length("text") > 0).select("doc_id", a.alias("a"), b.alias("b")).withColumn("distance", T.edit_distance("a", "b").cast("long"))
+    return x.select("doc_id", "distance", F.greatest(F.length("a"), F.length("b")).cast("long").alias("longer"), (F.col("distance").cast("double") / F.length("a")).alias("rate"))
 
 
 @query()

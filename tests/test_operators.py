@@ -123,6 +123,55 @@ def test_token_distance(spark):
     assert [x.d for x in df.collect()] == [1, 2, 2, 0]
 
 
+def levenshtein_restated(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_edits_equal_brute_force():
+    r = random.Random(7)
+    for _ in range(400):
+        a, b = ("".join(r.choice("abé") for _ in range(r.choice((0, 1, 5, 40, 130)))) for _ in "12")
+        assert T.edits(a, b) == levenshtein_restated(a, b)
+        assert T.edits(a, a[3:] + b[:2]) == levenshtein_restated(a, a[3:] + b[:2])
+    for _ in range(40):  # long enough for a band
+        a = [r.choice("abcd") for _ in range(r.choice((200, 400)))]
+        b = list(a)
+        for _ in range(r.choice((1, 20, 90))):
+            i = r.randrange(len(b))
+            b[i : i + r.randint(0, 2)] = r.choices("abcd", k=r.choice((0, 1, 1, 9)))
+            b = b or ["a"]
+        assert T.edits(a, b) == levenshtein_restated(a, b)
+    many = [f"t{i}" for i in range(7000)]
+    assert T.edits(many, ["x", *many[:6000], *many[6001:]]) == 2
+
+
+def test_distances_of_whole_texts(spark, tmp_path):
+    """What stands after the 60th word or the 200th character counts, and 7,000 distinct tokens have a distance."""
+    from parley.plans import audits, texts
+
+    docs = [(1, "en", " ".join(f"Ab{i}" for i in range(150))), (2, "de", " ".join(f"w{i}" for i in range(7000))), (3, "en", "x" * 250 + "ABCDEF" + "y" * 50)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rate = {}
+    for _, lang, t in docs:
+        w = t.split()
+        gone = [x.lower() for i, x in enumerate(w) if i % 7 != 6]
+        # lower-case long texts only lose words, so the distance is what is gone
+        pair = [(len(w) - len(gone), len("".join(w)) - len("".join(gone)))] if lang == "de" else [(levenshtein_restated(w, gone), levenshtein_restated("".join(w), "".join(gone)))]
+        n = rate.setdefault(lang, [0, 0, 0, 0])
+        rate[lang] = [n[0] + pair[0][0], n[1] + len(w), n[2] + pair[0][1], n[3] + len("".join(w))]
+    got = {x.lang: (round(x.wer, 9), round(x.cer, 9)) for x in audits.cer_wer_micro(spark, str(tmp_path)).collect()}
+    assert got == {k: (round(n[0] / n[1], 9), round(n[2] / n[3], 9)) for k, n in rate.items()}
+    whole = {x.doc_id: (x.distance, x.longer) for x in texts.edit_distance_whole(spark, str(tmp_path)).collect()}
+    assert whole[1] == (levenshtein_restated(docs[0][2], docs[0][2].lower()[2:]), len(docs[0][2]))
+    assert whole[3] == (levenshtein_restated(docs[2][2], docs[2][2].lower()[2:]), 306)
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("[00:01 - 00:02] 화자 A:  x  y \n\nB: 각",)], "t string")
     assert df.select(T.normalized(F.col("t"))).first()[0] == "x y 각"
