@@ -161,3 +161,24 @@ def visual_kind(text: Column) -> Column:
         F.when(choices >= 5, F.struct(choices.alias("score"), F.lit(-4).alias("rank"), F.lit("decision").alias("kind"))),
     )
     return F.array_max(F.filter(scored, lambda x: x.isNotNull()))["kind"]
+
+
+def previous(notes: DataFrame, group: str, key: str, turn: str, most: int, wide: int = 1000) -> DataFrame:
+    """W14 for every key: the ``most`` notes of its group by (-key, -turn) among those of smaller keys, as group,
+    at (the key asked for), key, turn. The last ones of ``wide`` neighbouring keys are told to the next ones, so no
+    group is one task."""
+    last = notes.withColumn("r", F.row_number().over(Window.partitionBy(group, key).orderBy(F.desc(turn)))).filter(F.col("r") <= most)
+    newest = lambda c: F.slice(F.sort_array(c, asc=False), 1, most)
+    held = last.groupBy(group, key).agg(newest(F.collect_list(F.struct(key, turn))).alias("own")).withColumn("part", F.floor(F.col(key) / wide))
+    none = F.array().cast(held.schema["own"].dataType)
+
+    def before(w: Window) -> Column:
+        """Each row before has one note at least, so ``most`` rows do."""
+        return F.concat(*(F.coalesce(F.lag("own", i).over(w), none) for i in range(1, most + 1)))
+
+    top = held.withColumn("n", F.row_number().over(Window.partitionBy(group, "part").orderBy(F.desc(key)))).filter(F.col("n") <= most)
+    parts = top.groupBy(group, "part").agg(newest(F.flatten(F.collect_list("own"))).alias("own"))
+    told = parts.select(group, "part", before(Window.partitionBy(group).orderBy("part")).alias("told"))
+    near = held.select(group, "part", F.col(key).alias("at"), before(Window.partitionBy(group, "part").orderBy(key)).alias("near"))
+    found = near.join(told, [group, "part"]).select(group, "at", F.explode(F.slice(F.concat("near", "told"), 1, most)).alias("x"))
+    return found.select(group, "at", f"x.{key}", f"x.{turn}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import corrections as C
+from ..operators import notes as N
 from ..operators import review as R
 from ..operators import state as S
 from .base import query, table
@@ -51,17 +52,27 @@ def patch_application(spark: SparkSession, d: str) -> DataFrame:
     from f join o on o.doc = f.doc and o.n = f.n + 1, lateral (select not coalesce(list_bool_or(list_transform(f.kept, lambda k: k.line = o.line and k.s < o.e and o.s < k.e)), false) and (f.used + o.e - o.s)::double / f.chars <= 0.05 ok) x)
   select doc, max(used)::bigint used, max(len(kept))::bigint kept from f group by 1 having max(len(kept)) > 0""")
 def patch_budget_fold(spark: SparkSession, d: str) -> DataFrame:
-    """E6 and W15 over patches made of order lines."""
-    p = table(spark, d, "lineitem").filter("l_orderkey < 4000")
+    """E6 and W15 over patches made of the order lines that its SQL takes; patch_budget_fold_whole has all orders."""
+    return _budgets(table(spark, d, "lineitem").filter("l_orderkey < 4000"))
+
+
+@query()
+def patch_budget_fold_whole(spark: SparkSession, d: str) -> DataFrame:
+    """E6 and W15 over patches made of all order lines."""
+    return _budgets(table(spark, d, "lineitem"))
+
+
+def _budgets(p: DataFrame) -> DataFrame:
     s = (F.col("l_suppkey") % 40).cast("int")
     made = p.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("patch_idx"), (F.col("l_partkey") % 3).cast("int").alias("line"), s.alias("start"), (s + 1 + F.col("l_quantity") % 9).cast("int").alias("end"), F.lit(True).alias("accepted"))
     sizes = p.select(F.col("l_orderkey").alias("doc"), (100 + 2 * (F.col("l_orderkey") % 400)).alias("chars")).distinct()
     return C.budgeted(made, sizes).groupBy("doc").agg(F.max("used").cast("long").alias("used"), F.count("*").alias("kept"))
 
 
-def _cases(spark: SparkSession, d: str) -> DataFrame:
-    """Passages of documents against their lower case with every seventh word gone."""
-    w = F.slice(T.words(F.regexp_replace("text", "[^ -~]", "?")), 1, 60)
+def _cases(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    """Documents, or their first ``most`` words, against their lower case with every seventh word gone."""
+    w = T.words(F.regexp_replace("text", "[^ -~]", "?"))
+    w = F.slice(w, 1, most) if most else w
     gone = F.filter(F.col("w"), lambda x, i: i % 7 != 6)
     docs = table(spark, d, "documents").select("doc_id", "lang", w.alias("w")).filter(F.size("w") > 0)
     return docs.select(F.col("doc_id").alias("id"), "lang", F.array_join("w", " ").alias("reference"), F.lower(F.array_join(gone, " ")).alias("hypothesis"))
@@ -218,6 +229,13 @@ def queue_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""with p as (select conv_id, turn, row_number() over (partition by role order by conv_id desc, turn desc) r from conversations where conv_id < 80) select conv_id, turn from p where r <= 3""")
 def previous_notes(spark: SparkSession, d: str) -> DataFrame:
-    """The three most recent before a key, for each role."""
+    """The three most recent before one key, for each role; previous_notes_whole has every key."""
     w = Window.partitionBy("role").orderBy(F.desc("conv_id"), F.desc("turn"))
     return table(spark, d, "conversations").filter("conv_id < 80").withColumn("r", F.row_number().over(w)).filter("r <= 3").select("conv_id", "turn")
+
+
+@query()
+def previous_notes_whole(spark: SparkSession, d: str) -> DataFrame:
+    """For each turn of a conversation as the key, the three most recent of its role in the conversations before."""
+    held = table(spark, d, "conversations").select("conv_id", "turn", "role")
+    return N.previous(held, "role", "conv_id", "turn", 3)
