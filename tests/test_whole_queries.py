@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import random
 
-from parley.plans import audits
+from parley.functions.text import edits
+from parley.plans import audits, identities
 
 
 def written(spark, tmp_path, name, rows, schema):
@@ -37,3 +38,15 @@ def test_previous_notes_of_every_key(spark, tmp_path):
         want |= {(role, c, x, t) for x, t in sorted(((x, t) for x, t, k in rows if k == role and x < c), reverse=True)[:3]}
     got = [tuple(x) for x in audits.previous_notes_whole(spark, where).select("role", "at", "conv_id", "turn").collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_fuzzy_names_of_all_parts(spark, tmp_path):
+    r = random.Random(8)
+    names = sorted({" ".join("".join(r.choice("ab") for _ in range(r.randint(3, 5))) for _ in "12") for _ in range(70)})
+    where = written(spark, tmp_path, "part", list(enumerate(names, 1)), "p_partkey long, p_name string")
+    tokens = {n.replace(" ", "") for n in names}
+    want = set()
+    for t in tokens:
+        scored = sorted((-(1 - edits(t, n) / max(len(t), len(n))), n) for n in {x + "x" for x in tokens} if n != t and 1 - edits(t, n) / max(len(t), len(n)) >= 0.72)
+        want |= {(t, n, i) for i, (_, n) in enumerate(scored[:2], 1)}
+    assert {(x.token, x.name, x.rank) for x in identities.fuzzy_name_join_whole(spark, where).collect()} == want
