@@ -42,9 +42,19 @@ def evidence_search(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_DO} select term, doc_id from terms, documents where length(term) >= 5 and contains(regexp_replace(lower(text), '[^ -~]', '?', 'g'), term) and term like 'th%'")
 def substring_search(spark: SparkSession, d: str) -> DataFrame:
-    """Terms anywhere in a text."""
+    """Terms anywhere in a text, those that its SQL takes; substring_search_whole has all terms."""
+    return _held(spark, d, _terms(spark, d).filter("term like 'th%'"))
+
+
+@query()
+def substring_search_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All terms anywhere in a text."""
+    return _held(spark, d, _terms(spark, d))
+
+
+def _held(spark: SparkSession, d: str, terms: DataFrame) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", F.regexp_replace(F.lower("text"), "[^ -~]", "?").alias("text"))
-    return S.substring_hits(_terms(spark, d).filter("term like 'th%'"), docs, "doc_id", "text", 5)
+    return S.substring_hits(terms, docs, "doc_id", "text", 5)
 
 
 @query(f"""with {_DO}, n as (select doc_id::varchar "key", n_chars::varchar "day", source title, text from documents), h as (select "key", "day", token, max(points) points from (select "key", "day", unnest(list_distinct(regexp_extract_all(lower(title), '[a-z]{{3,}}'))) token, 3 points from n union all select "key", "day", unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{{3,}}'))), 1 from n) join terms on token = term group by 1, 2, 3)

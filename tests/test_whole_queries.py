@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 from parley.functions.text import edits
-from parley.plans import audits, identities
+from parley.plans import audits, identities, searches
 
 
 def written(spark, tmp_path, name, rows, schema):
@@ -50,3 +50,13 @@ def test_fuzzy_names_of_all_parts(spark, tmp_path):
         scored = sorted((-(1 - edits(t, n) / max(len(t), len(n))), n) for n in {x + "x" for x in tokens} if n != t and 1 - edits(t, n) / max(len(t), len(n)) >= 0.72)
         want |= {(t, n, i) for i, (_, n) in enumerate(scored[:2], 1)}
     assert {(x.token, x.name, x.rank) for x in identities.fuzzy_name_join_whole(spark, where).collect()} == want
+
+
+def test_substrings_of_all_terms(spark, tmp_path):
+    passages = [(1, "Their harbour lantern thistle"), (2, "quarry Lantern walnut é")]
+    docs = [(1, "LANTERNS and unquarried stone"), (2, "the thistledown"), (3, "walnu t"), (4, "theirs: harbours"), (5, None)]
+    written(spark, tmp_path, "benchmark", passages, "item_id long, text string")
+    where = written(spark, tmp_path, "documents", docs, "doc_id long, text string")
+    terms = {"their", "harbour", "lantern", "thistle", "quarry", "walnut"}
+    want = {(t, d) for t in terms for d, x in docs if x and t in x.lower()}
+    assert {(x.term, x.doc_id) for x in searches.substring_search_whole(spark, where).collect()} == want
