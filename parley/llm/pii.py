@@ -6,10 +6,11 @@ possessive repeats and a look back that only skip starts at which the plain one
 that no text makes them slow or deep.
 
 These entities are seeds. The two words before a seed are a lexical pattern; so are those before any other
-identifier-like token. Patterns that stand before ``MIN_SEEDS`` distinct seeds or more form a bipartite graph with the
-instances that they extract, scored in rounds: a pattern by the mean confidence of its instances,
+identifier-like token. Patterns that stand before ``MIN_SEEDS`` distinct known words or more form a bipartite graph with
+the instances that they extract, scored in rounds: a pattern by the mean confidence of its instances,
 an instance by the noisy-or of its patterns. Tokens of confidence ``SURE`` in a pattern of that
-confidence are further spans, of kind ``id``. Only built-in functions run; the graph is aggregated
+confidence are further spans, of kind ``id``. Known words are the seeds, and then such tokens too, wherever they
+stand: patterns are admitted and scored anew until no new one appears. Only built-in functions run; the graph is aggregated
 by pattern and instance before it is joined, so no frequent pattern gathers rows.
 
 Positions count code points, ends are exclusive. Defined results: null text is empty, without spans. Null doc_id is
@@ -35,7 +36,6 @@ BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 KINDS = ("email", "ip", "card", "phone")
 #: An identifier-like token: a run of these characters that holds a digit.
 TOKEN = r"(?<![A-Za-z0-9._/@+-])(?=[A-Za-z._/@+-]*+[0-9])[A-Za-z0-9._/@+-]++"
-TOKEN_DIGITS, TOKEN_LENGTH = 4, (5, 64)
 MIN_SEEDS, SURE, ROUNDS = 5, 0.7, 3
 
 LEFT, BLOCK = 80, 256
@@ -146,8 +146,7 @@ def occurrences(df: DataFrame, base: str) -> DataFrame:
     def apart(x: Column) -> Column:
         return ~F.exists(F.col(base), lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
 
-    like = lambda x: (F.regexp_count(x["word"], F.lit("[0-9]")) >= TOKEN_DIGITS) & F.length(x["word"]).between(*TOKEN_LENGTH) & apart(x)
-    every = tokens.select("doc_id", "digest", F.concat(F.col(base), F.filter(spans, like)).alias("spans")).filter(F.size("spans") > 0)
+    every = tokens.select("doc_id", "digest", F.concat(F.col(base), F.filter(spans, apart)).alias("spans")).filter(F.size("spans") > 0)
     each = every.select("doc_id", "digest", F.explode("spans").alias("x"))
     out = each.select("doc_id", "digest", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.col("x.word").alias("word"), (F.col("x.kind") != "id").alias("seed"), _context(F.col("x.left")).alias("context"))
     return out.filter("context <> ''")
@@ -155,21 +154,32 @@ def occurrences(df: DataFrame, base: str) -> DataFrame:
 
 def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE, rounds: int = ROUNDS) -> DataFrame:
     """The occurrences that confident patterns extract and that aren't seeds: doc_id, digest, start, end."""
-    none = found.filter("false").select("doc_id", "digest", "start", "end")
-    edges = found.groupBy("context", "word").agg(F.max("seed").alias("seed"))
-    live = store(edges.groupBy("context").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n")).filter((F.col("seeds") >= min_seeds) & (F.col("n") > F.col("seeds"))), "patterns")
-    n = live.count()
-    if not n:
-        return none
-    graph = store(joined(edges, live, ["context"], n).withColumn("sure", F.col("seed").cast("double")), "graph")
-    for _ in range(rounds):
-        score = graph.groupBy("context").agg((F.sum("sure") / (F.count("*") + 1)).alias("score"))
-        known = joined(graph.drop("sure"), score, ["context"], n)
-        belief = known.filter("not seed").groupBy("word").agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("belief"))
-        graph = store(known.join(belief, "word", "left").withColumn("sure", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0)))).drop("belief"), "graph")
-        graph, scored = graph.drop("score"), graph
-    good = scored.filter((F.col("score") >= sure) & (F.col("sure") >= sure) & ~F.col("seed")).select("context", "word")
-    good = store(good, "extractions")
+    edges = store(found.groupBy("context", "word").agg(F.max("seed").alias("seed")), "edges")
+    # a word may be a seed in one place only; what it is known with grows from step to step
+    held = edges.withColumn("sure", F.col("seed").cast("double"))
+    good, n = None, 0
+    while True:
+        support = held.groupBy("context").agg(F.count_if(F.col("sure") >= sure).alias("known"), F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
+        live = store(support.filter((F.col("known") >= min_seeds) & (F.col("n") > F.col("seeds"))).select("context"), "patterns")
+        before, n = n, live.count()
+        if n == before:  # patterns are only added: scores rise with what is known
+            break
+        graph = store(joined(held, live, ["context"], n), "graph")
+        for _ in range(rounds):
+            score = graph.groupBy("context").agg((F.sum("sure") / (F.count("*") + 1)).alias("score"))
+            known = joined(graph, score, ["context"], n)
+            belief = known.filter("not seed").groupBy("word").agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("belief"))
+            scored = known.join(belief, "word", "left").withColumn("sure", F.when(F.col("seed"), 1.0).otherwise(F.greatest("sure", F.coalesce("belief", F.lit(0.0)))))
+            scored = store(scored.drop("belief"), "graph")
+            graph = scored.drop("score")
+        good = store(scored.filter((F.col("score") >= sure) & (F.col("sure") >= sure) & ~F.col("seed")).select("context", "word", "sure"), "extractions")
+        words = store(good.groupBy("word").agg(F.max("sure").alias("belief")), "known")
+        if not (m := words.count()):
+            break
+        held = joined(edges, words, ["word"], m, "left").withColumn("sure", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0)))).drop("belief")
+    if good is None:
+        return found.filter("false").select("doc_id", "digest", "start", "end")
+    good = good.select("context", "word")
     return joined(found.filter("not seed"), good, ["context", "word"], good.count()).select("doc_id", "digest", "start", "end")
 
 

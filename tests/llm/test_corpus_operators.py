@@ -296,6 +296,21 @@ def test_pii_bootstrap_finds_identifiers_in_learned_contexts(spark):
     assert few[10] == ""  # three seeds teach nothing
 
 
+def test_pii_bootstrap_grows_from_what_it_found(spark):
+    """Identifiers known from one context teach a second one without seeds of its own, and that a third; short and long tokens too."""
+    ids = [f"q{i}" for i in range(8)] + [f"r{i}" for i in range(8)] + ["s1" * 50]
+    rows = [(i, f"her member number jo{i}@ex.com is") for i in range(40)]
+    rows += [(100 + i, f"her member number {w} is") for i, w in enumerate(ids[:8])]
+    rows += [(200 + i, f"please quote code {w} now") for i, w in enumerate(ids[:12])]
+    rows += [(300 + i, f"under file mark {w} there") for i, w in enumerate(ids[8:])] + [(400 + i, f"under file mark {w} there") for i, w in enumerate(ids[:8])]
+    rows += [(500 + i, f"the year {2000 + i} passed") for i in range(20)] + [(520, "the year q1 passed")]
+    found = {x.doc_id: x.spans for x in pii.extract(frame(spark, rows)).collect()}
+    assert all(found[100 + i].startswith("id:18:") for i in range(8))
+    assert all(found[200 + i].startswith("id:18:") for i in range(12))
+    assert all(found[300 + i].startswith("id:16:") for i in range(len(ids) - 8))
+    assert not any(found[500 + i] for i in range(21))
+
+
 def test_pii_redaction(spark):
     df = spark.createDataFrame([(1, "call +1 (201) 555-0100, or a@b.co now", 37), (None, None, None), (2, "4539 1488 0343 6467 é 10.0.0.1", 30)], "doc_id long, text string, n_chars long")
     got = pii.redact(df)
