@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, documents, fresh, store
@@ -106,6 +106,10 @@ def order_keys(tokens: np.ndarray, counts: np.ndarray, which: int) -> np.ndarray
     return (np.minimum(rank, np.uint64((1 << 27) - 1)) << np.uint64(36)) | (mix(tokens ^ _SEEDS[which]) >> np.uint64(28))
 
 
+def _digest() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray, hot: int) -> DataFrame:
     """Per document: n (set size), s1 and s2 (a 128-bit signature of the set), typical (how common
     its tokens are), its prefix under the first order, how many tokens of that aren't hot (those come first), and the key
@@ -131,11 +135,11 @@ def signed(docs: DataFrame, k: int, percent: int, counts: np.ndarray, hot: int)
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 flat = np.concatenate(prefix).view(np.int64) if prefix else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.array(last, pa.int64()), pa.array(cool, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["doc_id", "n", "s1", "s2", "typical", "last", "cool", "prefix"],
+                    [part.column("doc_id"), part.column("digest"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(typical, pa.float32()), pa.array(last, pa.int64()), pa.array(cool, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["doc_id", "digest", "n", "s1", "s2", "typical", "last", "cool", "prefix"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, typical float, last long, cool int, prefix array<long>")
+    return docs.select("doc_id", "text", _digest().alias("digest")).mapInArrow(run, "doc_id long, digest long, n long, s1 long, s2 long, typical float, last long, cool int, prefix array<long>")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,6 +304,11 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def classes(df: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
     """Per row of ``df``: doc_id, n_shingles, cls (null without words) and component_id."""
+    return labelled(df, k, percent, hot).drop("digest", "label")
+
+
+def labelled(df: DataFrame, k: int, percent: int, hot: int = HOT) -> DataFrame:
+    """``classes`` with the digest of the row's text and the label of its component, which is null without words."""
     docs = documents(df)
     counts = sketch(docs, k)
     rows = store(signed(docs, k, percent, counts, hot), "signed")
@@ -337,9 +346,9 @@ def classes(df: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> Dat
             label = components(distinct, links)
     named = store(ids.select("cls", "doc_id").join(label, "cls", "left").select("cls", F.coalesce("label", "cls").alias("label"), "doc_id"), "named")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "label").select("cls", "component_id")
-    out = rows.select("doc_id", "n", "cls").join(named, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.join(least, "label").select("cls", "label", "component_id")
+    out = rows.select("doc_id", "digest", "n", "cls").join(named, "cls", "left")
+    return out.select("doc_id", "digest", F.col("n").alias("n_shingles"), "cls", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -405,11 +414,16 @@ def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
 
 
 def survivors(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``df`` without near copies: of each component the row of the smallest doc_id stays, and of
-    rows that repeat that doc_id within it one; rows without words all stay."""
-    found = store(classes(df, k, percent), "classes")
-    name = fresh(df, "_stay")
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    kept = df.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
-    twice = found.groupBy("doc_id").agg(F.count("*").alias("m")).filter("m > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if twice else kept
+    """``df`` without near copies: one row of each component stays, that of the smallest doc_id (none comes
+    last) and, where a doc_id repeats within it, of the least digest of its text; rows without words all stay."""
+    found = store(labelled(df, k, percent), "classes")
+    key, text, words = (fresh(df, x) for x in ("_stay", "_text", "_words"))
+    worded = found.filter("n_shingles > 0")
+    first = worded.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("row"))
+    bare = found.filter("n_shingles = 0").select("doc_id", "digest").distinct()
+    stay = first.select("row.doc_id", "row.digest", F.lit(True).alias(words)).union(bare.withColumn(words, F.lit(False)))
+    stay = stay.withColumnRenamed("doc_id", key).withColumnRenamed("digest", text)
+    kept = df.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (_digest() == F.col(text)))
+    if worded.groupBy("doc_id", "digest").count().filter("count > 1").limit(1).count():  # rows that repeat both
+        kept = kept.filter(F.col(words)).dropDuplicates([key, text]).union(kept.filter(~F.col(words)))
+    return kept.select(*(F.col(f"`{c}`") for c in df.columns))

@@ -94,6 +94,20 @@ def test_join_edges_and_survivors(spark):
     assert shingle_join.classes(df.limit(0)).count() == 0
 
 
+def test_survivors_keep_one_row_of_each_component(spark):
+    """Rows without an id, ids that repeat with other texts, and repeated rows without words."""
+    base = [f"w{i}" for i in range(60)]
+    near, other = [" ".join([*base[:59], x]) for x in ("p", "q", "r")], " ".join(f"v{i}" for i in range(60))
+    rows = [(None, near[0].upper().replace("W", "u")), (None, near[1].upper().replace("W", "u")), (None, near[2].upper().replace("W", "u"))]  # no id at all
+    rows += [(7, near[0]), (None, near[1]), (9, near[2]), (9, other), (9, other), (None, "lone words here")]
+    rows += [(4, ""), (4, ""), (None, None), (None, None), (4, None)]
+    kept = sorted((r.doc_id or 0, r.text or "") for r in shingle_join.survivors(frame(spark, rows)).collect())
+    first = [x for x in kept if x[0] == 0 and x[1].startswith("u")]
+    assert len(first) == 1 and first[0][1] in {t for d, t in rows[:3]}
+    assert sorted(set(kept) - set(first)) == sorted({(7, near[0]), (9, other), (0, "lone words here"), (4, ""), (0, "")})
+    assert kept.count((4, "")) == 3 and kept.count((0, "")) == 2 and len(kept) == 9
+
+
 # ---- 2, sharding ----
 
 
