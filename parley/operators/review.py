@@ -16,7 +16,7 @@ def token_distance(a: Column, b: Column) -> Column:
 
 
 def rates(cases: DataFrame) -> DataFrame:
-    """``cases`` (id, reference, hypothesis) with distances and units of characters and tokens."""
+    """``cases`` (id, reference, hypothesis) with distances and units of characters and tokens."""
     u = cases.withColumn("rc", T.cer_units(F.col("reference"))).withColumn("hc", T.cer_units(F.col("hypothesis"))).withColumn("rw", T.words(F.col("reference"))).withColumn("hw", T.words(F.col("hypothesis")))
     return u.select(*cases.columns, T.edit_distance("rc", "hc").alias("char_distance"), F.length("rc").alias("char_units"), token_distance(F.col("rw"), F.col("hw")).alias("word_distance"), F.size("rw").alias("word_units"))
 
@@ -28,7 +28,7 @@ def micro(rated: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def verdict(reviewed: Column, gated: Column, failed: Column) -> Column:
-    """E10's verdict."""
+    """The verdict of E10; whether a case failed is told by the caller, as A10 and A11 aren't built."""
     return F.when(~reviewed, "not_reviewed").when(~gated, "measured_not_gated").when(failed, "gated_fail").otherwise("gated_pass")
 
 

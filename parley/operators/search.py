@@ -40,7 +40,7 @@ def substring_hits(terms: DataFrame, docs: DataFrame, key: str, text: str, n: in
 
 
 def related(terms: DataFrame, notes: DataFrame, top: int, least: float = 2.0) -> DataFrame:
-    """Notes (key, day, title, text) by the sum over terms of 3 for one in the title, else 1
+    """Notes (key, day, title, text) by the sum over terms of 3 for one in the title, else 1
     for one in the text; the ``top`` by (score, day, key) of those that reach ``least``."""
     in_title = notes.select("key", "day", F.explode(F.array_distinct(tokens(F.col("title")))).alias("token"), F.lit(3).alias("points"))
     in_text = notes.select("key", "day", F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"), F.lit(1).alias("points"))

@@ -89,13 +89,13 @@ def cer_micro(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def cer_wer_micro(spark: SparkSession, d: str) -> DataFrame:
-    """E10 and A5 of whole documents, with token distances, which no SQL function gives."""
+    """A5 over F2 of whole documents, with token distances, which no SQL function gives."""
     return R.micro(R.rates(_cases(spark, d)), ["lang"])
 
 
 @query("select doc_id, case when not coalesce(quality is not null, false) then 'not_reviewed' when n_chars % 10 = 0 then 'measured_not_gated' when quality = 0 or toxic = 1 then 'gated_fail' else 'gated_pass' end verdict from documents left join labels using (doc_id)")
 def quality_gate_verdict(spark: SparkSession, d: str) -> DataFrame:
-    """E10's verdict, with labels as reviews."""
+    """The verdict of E10, without its A10 and A11, with labels as reviews."""
     x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return x.select("doc_id", R.verdict(F.col("quality").isNotNull(), F.col("n_chars") % 10 != 0, (F.col("quality") == 0) | (F.col("toxic") == 1)).alias("verdict"))
 

@@ -60,7 +60,7 @@ def _held(spark: SparkSession, d: str, terms: DataFrame) -> DataFrame:
 @query(f"""with {_DO}, n as (select doc_id::varchar "key", n_chars::varchar "day", source title, text from documents), h as (select "key", "day", token, max(points) points from (select "key", "day", unnest(list_distinct(regexp_extract_all(lower(title), '[a-z]{{3,}}'))) token, 3 points from n union all select "key", "day", unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{{3,}}'))), 1 from n) join terms on token = term group by 1, 2, 3)
   select "key", "day", sum(points)::bigint score from h group by 1, 2 having sum(points) >= 2 order by 3 desc, 2 desc, 1 limit 50""")
 def related_doc_score(spark: SparkSession, d: str) -> DataFrame:
-    """Documents by the terms that they share with the benchmark."""
+    """Documents by the terms that they share with the benchmark."""
     n = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.col("n_chars").cast("string").alias("day"), F.col("source").alias("title"), "text")
     return S.related(_terms(spark, d), n, 50)
 
