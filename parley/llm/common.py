@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,7 +23,6 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: str | None = None
 _shipped: set[str] = set()
-_stored: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -41,35 +44,61 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset
-    (local tests) a temporary folder that goes when Python ends."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a temporary
+    folder that goes when Python ends, with a local master only: on a cluster others wouldn't see it."""
     global _own_dir
     if where := spark.conf.get("spark.checkpoint.dir", None):
         return where.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="parley-")
         atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
     return f"file://{_own_dir}"
 
 
+class Scratch:
+    """The tables that one call of an operator has stored for itself."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def drop(self, *names: str) -> None:
+        """Remove the tables of these names, or all: nothing that is still to be computed may read them."""
+        for path in [p for p in self.paths if not names or p.rpartition("/")[2].rpartition("-")[0] in names]:
+            self.paths.remove(path)
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open_scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """What store() writes inside belongs to this block and is removed at its end, however it ends. A table stored
+    with ``keep`` belongs to the block around it; without one it stays until the shared folder is cleaned."""
+    own = Scratch(spark)
+    token = _open.set((*_open.get(), own))
+    try:
+        yield own
+    finally:
+        _open.reset(token)
+        own.drop()
+
+
 def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, and what was
-    computed outlives the executors that computed it. Unless ``keep``, release() removes it."""
+    computed outlives the executors that computed it. ``scratch`` says how long it stays."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/parley/{name}-{uuid.uuid4().hex}"
-    if not keep:
-        _stored.append(path)
+    owners = _open.get()[: -1 if keep else None]
+    if owners:
+        owners[-1].paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables stored so far: for a caller whose results so far are all written elsewhere."""
-    while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

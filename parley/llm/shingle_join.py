@@ -6,7 +6,7 @@ put in. Three orders are used, all with rare tokens first by a count sketch over
 the coarseness of the counts and a hash: candidates are met under the first, kept only if they share
 a prefix token under the second and third as well, then verified on the whole sets.
 
-Copies (equal sets) are one class and never paired. Prefix tokens that no other prefix has bound what
+Copies (equal sets: equal 128-bit signature and size) are one class and never paired. Prefix tokens that no other prefix has bound what
 two sets can share at all. Within a token's list pairs are made of its
 first ``ALL_PAIRS`` members and of each further member with the first ``STARS``, the most typical; after
 these are verified and joined to components, every pair of a longer list that is still apart is
@@ -24,13 +24,14 @@ row each. Extra columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, documents, fresh, store
+from .common import BROADCAST_ROWS, documents, fresh, scratch, store
 from .textops import chunks, mix
 
 #: Cells of the count sketch, in slices that are summed apart: 4 MB in all, whatever the input.
@@ -58,7 +59,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
     """In how many documents (about; never fewer) the tokens of each cell stand: summed slice by slice on the
     executors, so that only the sketch itself, of fixed size, reaches the driver."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.uint32)
         for b in batches:
             held, size = [], 0
@@ -87,7 +88,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
                 total[np.frombuffer(where, np.uint16) if where else slice(None)] += counts
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], names=["slice", "n"])
 
-    parts = docs.select("text").mapInArrow(count, "slice int, at binary, n binary, width int").groupBy("slice").applyInArrow(add, "slice int, n binary").collect()
+    parts = docs.select("text").mapInArrow(counted, "slice int, at binary, n binary, width int").groupBy("slice").applyInArrow(add, "slice int, n binary").collect()
     out = np.zeros((SLICES, CELLS // SLICES), np.uint32)
     for r in parts:
         out[r["slice"]] = np.frombuffer(r["n"], np.uint32)
@@ -237,25 +238,11 @@ def _short(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(8)).astype(np.uint32).view(np.int32)
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """The lowest five bytes of sorted distinct tokens, sorted: two tokens of a pair of sets share
-    them with a probability of n * n / 2**40."""
-    low = np.sort(tokens & np.uint64((1 << 40) - 1)).astype("<u8")
-    return low.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def _unpacked(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
-
-
 def _overlap(s: np.ndarray, t: np.ndarray) -> int:
-    """How many values two sorted arrays share; a value that one has twice counts as often as both have it."""
+    """How many values two sorted arrays of distinct values share."""
     both = np.concatenate([s, t])
     both.sort(kind="stable")
-    again = int(np.count_nonzero(both[1:] == both[:-1]))
-    return again - sum(int(np.count_nonzero(x[1:] == x[:-1])) for x in (s, t))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -268,7 +255,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             x, y = b.column("tokens_a"), b.column("tokens_b")
             for i in range(b.num_rows):
-                s, t = _unpacked(x[i].as_py()), _unpacked(y[i].as_py())
+                s, t = np.frombuffer(x[i].as_py(), "<u8"), np.frombuffer(y[i].as_py(), "<u8")
                 shared = _overlap(s, t)
                 keep.append(100 * shared >= percent * (len(s) + len(t) - shared))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -281,25 +268,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(cls, label): the smallest node that edges reach, by alternating large-star and small-star
-    steps until no edge changes; nodes without an edge are left out."""
-    e = store(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), "edges")
-    # labels only fall: label = least label of the node, its neighbours and its label's own label
-    label = store(e.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = e.join(label.select(F.col("cls").alias("b"), "label"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("label").alias("near"))
-        hook = label.join(near, "cls").select("cls", "label", F.least("label", "near").alias("new"))
-        # a label's own node takes the least of what the nodes under it have found
-        root = hook.groupBy(F.col("label").alias("cls")).agg(F.min("new").alias("root"))
-        step = hook.join(root, "cls", "left").select("cls", F.col("label").alias("old"), F.least("new", F.coalesce("root", "new")).alias("label"))
-        step = store(step, "labels")
-        jump = step.join(step.select(F.col("cls").alias("label"), F.col("label").alias("up")), "label", "left").select("cls", "old", F.least("label", F.coalesce("up", "label")).alias("label"))
-        jump = store(jump, "labels")
-        changed = jump.filter("label <> old").limit(1).count()
-        label = jump.select("cls", "label")
-        if not changed:
-            return label
+def components(edges: DataFrame) -> DataFrame:
+    """(cls, label): the smallest node that edges reach, for every node with an edge. Labels are hooked to the least
+    label next to them and pointers are jumped, until nothing changes. What is gathered for a label is summed before it
+    is shuffled and stored before it is joined, so that adaptive execution can split a label that many nodes have."""
+    spark = edges.sparkSession
+    with scratch(spark) as own:
+        e = store(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), "edges")
+        # labels only fall: label = least label of the node, its neighbours and its label's own label
+        label = store(e.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels-0")
+        for i in count(1):
+            near = e.join(label.select(F.col("cls").alias("b"), "label"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("label").alias("near"))
+            hook = store(label.join(near, "cls").select("cls", "label", F.least("label", "near").alias("new")), "hooks")
+            # a label's own node takes the least of what the nodes under it have found
+            root = store(hook.groupBy(F.col("label").alias("cls")).agg(F.min("new").alias("root")), "roots")
+            step = store(hook.join(root, "cls", "left").select("cls", F.col("label").alias("old"), F.least("new", F.coalesce("root", "new")).alias("label")), "steps")
+            up = step.filter("cls <> label").select(F.col("cls").alias("label"), F.col("label").alias("up"))
+            jump = store(step.join(up, "label", "left").select("cls", "old", F.least("label", F.coalesce("up", "label")).alias("label")), f"labels-{i}")
+            label = jump.select("cls", "label")
+            if not jump.filter("label <> old").limit(1).count():
+                return store(label, "components", keep=True)
+            own.drop("hooks", "roots", "steps", f"labels-{i - 1}")
 
 
 def classes(df: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
@@ -309,46 +298,49 @@ def classes(df: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> Dat
 
 def labelled(df: DataFrame, k: int, percent: int, hot: int = HOT) -> DataFrame:
     """``classes`` with the digest of the row's text and the label of its component, which is null without words."""
-    docs = documents(df)
-    counts = sketch(docs, k)
-    rows = store(signed(docs, k, percent, counts, hot), "signed")
-    known = F.when(F.col("n") > 0, F.xxhash64("s1", "s2", "n"))
-    rows = rows.withColumn("cls", known)
-    distinct = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("last").alias("last"), F.first("cool").alias("cool"), F.first("prefix").alias("prefix"))
-    salt = F.when(F.col("pos") >= F.col("cool"), F.pmod(F.xxhash64("cls", "token"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
-    about = distinct.select("cls", F.col("n").cast("int").alias("n"), F.size("prefix").alias("m"), "typical", "last")
-    posts = distinct.select("cls", "cool", F.posexplode("prefix").alias("pos", "token")).withColumn("salt", salt)
-    ordered = posts.select("token", "salt", "cls").repartition("token", "salt").sortWithinPartitions("token", "salt")
-    met = store(ordered.mapInArrow(_shared, "token long, salt int, cls long"), "shared")
-    # of a set's tokens all but the prefix tokens that no other prefix has
-    many = met.groupBy("cls").agg(F.count("*").cast("int").alias("many"))
-    core = about.join(many, "cls").withColumn("core", F.col("n") - F.col("m") + F.col("many"))
-    first = [F.col("token"), F.col("salt"), (F.col("n") - F.col("core")).asc(), F.col("typical").desc(), F.col("cls")]
-    ordered = met.join(core, "cls").repartition("token", "salt").sortWithinPartitions(*first).select("token", "salt", "cls", "n", "core", "last")
-    lists = store(ordered.mapInArrow(_list_pairs(percent), _LISTS), "lists")
-    heads = lists.filter("kind = 2").select(F.col("a").alias("token"), F.lit(-1).alias("salt"), F.col("b").alias("cls"), "n", "core", "last")
-    over = heads.repartition("token").sortWithinPartitions("token", F.col("n") - F.col("core"), "cls").mapInArrow(_list_pairs(percent), _LISTS).filter("kind = 0")
-    lists = lists.unionByName(over)
-    pairs = store(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
-    long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "core", "last")
-    ids = rows.select("cls", "doc_id").filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
-    wanted = store(ids.join(_nodes(pairs), "cls"), "wanted")
-    sets = _sets(docs, wanted, k, percent, counts)
-    links = store(verified(pairs, sets, percent), "links")
-    label = components(distinct, links)
-    more = _apart(long, label, percent)
-    if more is not None:
-        rest = store(more.join(pairs, ["a", "b"], "left_anti"), "rest")
-        if rest.limit(1).count():
-            wanted = store(ids.join(_nodes(rest), "cls").join(wanted.select("cls"), "cls", "left_anti"), "wanted")
-            sets = sets.union(_sets(docs, wanted, k, percent, counts)) if wanted.limit(1).count() else sets
-            links = store(links.union(verified(rest, sets, percent)), "links")
-            label = components(distinct, links)
-    named = store(ids.select("cls", "doc_id").join(label, "cls", "left").select("cls", F.coalesce("label", "cls").alias("label"), "doc_id"), "named")
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "label").select("cls", "label", "component_id")
-    out = rows.select("doc_id", "digest", "n", "cls").join(named, "cls", "left")
-    return out.select("doc_id", "digest", F.col("n").alias("n_shingles"), "cls", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
+    with scratch(df.sparkSession) as own:
+        docs = documents(df)
+        counts = sketch(docs, k)
+        key = ["s1", "s2", "n"]
+        full = store(signed(docs, k, percent, counts, hot), "signed")
+        made = full.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least"), F.first("typical").alias("typical"), F.first("last").alias("last"), F.first("cool").alias("cool"), F.first("prefix").alias("prefix"))
+        # a class is told apart by its whole 128-bit signature and its size, and numbered
+        distinct = store(made.withColumn("cls", F.monotonically_increasing_id()), "distinct")
+        rows = store(full.select("doc_id", "digest", *key).join(distinct.select(*key, "cls", "least"), key, "left"), "rows")
+        own.drop("signed")
+        about = distinct.select("cls", F.col("n").cast("int").alias("n"), F.size("prefix").alias("m"), "typical", "last")
+        salt = F.when(F.col("pos") >= F.col("cool"), F.pmod(F.xxhash64("cls", "token"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+        posts = distinct.select("cls", "cool", F.posexplode("prefix").alias("pos", "token")).withColumn("salt", salt)
+        ordered = posts.select("token", "salt", "cls").repartition("token", "salt").sortWithinPartitions("token", "salt")
+        met = store(ordered.mapInArrow(_shared, "token long, salt int, cls long"), "shared")
+        # of a set's tokens all but the prefix tokens that no other prefix has
+        many = met.groupBy("cls").agg(F.count("*").cast("int").alias("many"))
+        core = about.join(many, "cls").withColumn("core", F.col("n") - F.col("m") + F.col("many"))
+        first = [F.col("token"), F.col("salt"), (F.col("n") - F.col("core")).asc(), F.col("typical").desc(), F.col("cls")]
+        ordered = met.join(core, "cls").repartition("token", "salt").sortWithinPartitions(*first).select("token", "salt", "cls", "n", "core", "last")
+        lists = store(ordered.mapInArrow(_list_pairs(percent), _LISTS), "lists")
+        heads = lists.filter("kind = 2").select(F.col("a").alias("token"), F.lit(-1).alias("salt"), F.col("b").alias("cls"), "n", "core", "last")
+        over = heads.repartition("token").sortWithinPartitions("token", F.col("n") - F.col("core"), "cls").mapInArrow(_list_pairs(percent), _LISTS).filter("kind = 0")
+        pairs = store(lists.unionByName(over).filter("kind = 0").select("a", "b").distinct(), "pairs")
+        long = lists.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cls"), "n", "core", "last")
+        ids = store(distinct.select("cls", *key, "least"), "ids")
+        own.drop("distinct", "shared")
+        wanted = store(ids.join(_nodes(pairs), "cls"), "wanted")
+        sets = _sets(docs, wanted, k, percent, counts)
+        links = store(verified(pairs, sets, percent), "links")
+        label = components(links)
+        more = _apart(long, label, percent)
+        if more is not None:
+            rest = store(more.join(pairs, ["a", "b"], "left_anti"), "rest")
+            if rest.limit(1).count():
+                further = store(ids.join(_nodes(rest), "cls").join(wanted.select("cls"), "cls", "left_anti"), "further")
+                sets = sets.union(_sets(docs, further, k, percent, counts)) if further.limit(1).count() else sets
+                links = store(links.union(verified(rest, sets, percent)), "links")
+                label = components(links)
+        least = store(label.join(ids.select("cls", "least"), "cls").groupBy("label").agg(F.min("least").alias("component_id")), "least")
+        named = store(label.join(least, "label").select("cls", "label", "component_id"), "named")
+        out = rows.join(named, "cls", "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), "cls", F.coalesce("label", "cls").alias("label"), F.coalesce("component_id", "least", "doc_id").alias("component_id"))
+        return store(out, "classes", keep=True)
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -369,19 +361,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int, counts: np.n
                     if len(s):
                         p = prefix_length(len(s), percent)
                         two, three = (s[np.argsort(order_keys(s, table, j), kind="stable")] for j in (1, 2))
-                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), _short(two[:p]), _short(three[:p]), _packed(s))):
+                        for col, v in zip(cols, (int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ _SEEDS[0]).sum(dtype=np.uint64)), len(s), _short(two[:p]), _short(three[:p]), s.astype("<u8").tobytes())):
                             col.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
                 arrays = [pa.array(np.array(c, np.uint64).view(np.int64), t) if i < 2 else pa.array(c, t) for i, (c, t) in enumerate(zip(cols, kinds))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["s1", "s2", "n", "second", "third", "tokens"])
 
     n = wanted.count()
-    keys = wanted.select(F.col("doc_id").alias("id")).distinct()
+    keys = wanted.select(F.col("least").alias("id")).distinct()
     some = docs.join(F.broadcast(keys) if n <= 10 * BROADCAST_ROWS else keys, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     made = some.select("text").mapInArrow(run, "s1 long, s2 long, n long, second array<int>, third array<int>, tokens binary")
-    made = made.withColumn("cls", F.xxhash64("s1", "s2", "n")).drop("s1", "s2", "n")
-    keep = wanted.select("cls").distinct()  # a doc_id that repeats brings other texts along
-    made = store(made.join(F.broadcast(keep) if n <= 10 * BROADCAST_ROWS else keep, "cls", "left_semi"), "sets")
+    keep = wanted.select("cls", "s1", "s2", "n")  # a doc_id that repeats brings other texts along
+    made = made.join(F.broadcast(keep) if n <= 5 * BROADCAST_ROWS else keep, ["s1", "s2", "n"]).select("cls", "second", "third", "tokens")
+    made = store(made, "sets")
     if not made.groupBy("cls").count().filter("count > 1").limit(1).count():
         return made
     return store(made.dropDuplicates(["cls"]), "sets")  # doc_ids that repeat, with other texts
@@ -403,27 +395,37 @@ def _apart(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     main = store(main, "split-lists")
     if not main.limit(1).count():
         return None
-    split = store(at.join(main, "token"), "split-members")
-    few = split.filter("label <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("cls", "n", "core", "last", "label")))
-    small, large = F.least("n1", "n"), F.greatest("n1", "n")
-    ends_first = (F.col("last1") < F.col("last")) | ((F.col("last1") == F.col("last")) & (F.col("cls1") < F.col("cls")))
-    core = F.when(ends_first, F.col("core1")).otherwise(F.col("core"))
-    fits = (100 * small >= percent * large) & ((100 + percent) * core >= percent * (F.col("n1") + F.col("n")))
-    met = few.join(split, "token").filter((F.col("label1") != F.col("label")) & fits)
+    split = store(at.join(main, "token").withColumn("few", F.col("label") != F.col("main")).drop("main"), "split-members")
+    # The set of a pair whose prefix ends first bounds what they share by its core, and so the size of the other one: sets
+    # meet only those of sizes that this allows, and a set that allows none begins no pair.
+    high = F.least(F.floor(F.col("core") * (100 + percent) / percent) - F.col("n"), F.floor(F.col("n") * 100 / percent))
+    low = F.ceil(F.col("n") * percent / 100)
+    step = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(1.1))).cast("int")
+    begin = split.withColumn("low", low).withColumn("high", high).filter("low <= high")
+    begin = begin.select("token", F.explode(F.sequence(step(F.col("low")), step(F.col("high")))).alias("size"), *(F.col(c).alias(f"{c}1") for c in ("cls", "last", "label", "few")), "low", "high")
+    other = split.withColumn("size", step(F.col("n")))
+    after = (F.col("last1") < F.col("last")) | ((F.col("last1") == F.col("last")) & (F.col("cls1") < F.col("cls")))
+    fits = after & (F.col("label1") != F.col("label")) & F.col("n").between(F.col("low"), F.col("high"))
+    met = begin.filter("few1").join(other, ["token", "size"]).filter(fits).union(begin.filter("not few1").join(other.filter("few"), ["token", "size"]).filter(fits))
     return met.select(F.least("cls1", "cls").alias("a"), F.greatest("cls1", "cls").alias("b")).distinct()
 
 
 def survivors(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``df`` without near copies: one row of each component stays, that of the smallest doc_id (none comes
     last) and, where a doc_id repeats within it, of the least digest of its text; rows without words all stay."""
-    found = store(labelled(df, k, percent), "classes")
-    key, text, words = (fresh(df, x) for x in ("_stay", "_text", "_words"))
-    worded = found.filter("n_shingles > 0")
-    first = worded.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("row"))
-    bare = found.filter("n_shingles = 0").select("doc_id", "digest").distinct()
-    stay = first.select("row.doc_id", "row.digest", F.lit(True).alias(words)).union(bare.withColumn(words, F.lit(False)))
-    stay = stay.withColumnRenamed("doc_id", key).withColumnRenamed("digest", text)
-    kept = df.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (_digest() == F.col(text)))
-    if worded.groupBy("doc_id", "digest").count().filter("count > 1").limit(1).count():  # rows that repeat both
-        kept = kept.filter(F.col(words)).dropDuplicates([key, text]).union(kept.filter(~F.col(words)))
-    return kept.select(*(F.col(f"`{c}`") for c in df.columns))
+    id_, text = (fresh(df, x) for x in ("_id", "_text"))
+    with scratch(df.sparkSession):
+        found = labelled(df, k, percent).filter("n_shingles > 0").select("doc_id", "digest", "label")
+        rows = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("stays"), F.count("*").alias("n"))
+        many = store(rows.filter("n > 1").drop("n"), "groups")
+        members = found.join(many, "label").groupBy("doc_id", "digest").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+        stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("digest") == F.col("stays.digest"))
+        members = store(members.select(F.col("doc_id").alias(id_), F.col("digest").alias(text), stays.alias("stays"), "n"), "members", keep=True)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (_digest() == F.col(text))
+    small = lambda x: F.broadcast(x) if x.count() <= BROADCAST_ROWS else x
+    gone = members.filter("not stays or n > 1").select(id_, text)
+    kept = df.join(small(gone), same, "left_anti")
+    again = members.filter("stays and n > 1").select(id_, text)  # rows equal in both that stay: one of them
+    if again.limit(1).count():
+        kept = kept.union(df.join(small(again), same).dropDuplicates([id_, text]).select(*(F.col(f"`{c}`") for c in df.columns)))
+    return kept
