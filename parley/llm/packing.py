@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, ranked_within, store
+from .common import documents, ranked_within, scratch, store
 from .tokens import SPACED, encoder, vocabulary
 
 SEQUENCE, END, VOCABULARY = 2048, 0, "byte_bpe_50k.json"
@@ -39,7 +39,7 @@ def pieces(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str |
         enc = encoder(path, SPACED)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(enc.encode(b.column("text").to_pylist())):
+            for i, ids in enumerate(enc.encode(b.column("text"))):
                 ids += tail
                 n = len(ids) // 4
                 first = n if n <= sequence else n % sequence or sequence
@@ -171,8 +171,11 @@ def places(bins: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
 
 def pack(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str | None = None) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    spark = df.sparkSession
-    cut = store(pieces(df, sequence, end, path), "pieces")
+    with scratch(df.sparkSession):
+        return store(_packed(df.sparkSession, store(pieces(df, sequence, end, path), "pieces"), sequence), "packed", keep=True)
+
+
+def _packed(spark: SparkSession, cut: DataFrame, sequence: int) -> DataFrame:
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # no more rows than ``sequence``
     where = places(plan(counts, sequence))
     table = spark.createDataFrame(where or [(0, 0, 0, 0, 0)], "length long, low long, high long, first long, offset long")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, fresh, ship
-from .textops import Chunk, Words, chunks, covered, mix, repeated, run_hash
+from .textops import Chunk, Words, chunks, covered, distinct, mix, repeated, run_hash
 
 #: Words of a window, and the largest part of a text's word characters that windows of that
 #: length, met more than once, may cover.
@@ -42,7 +42,7 @@ def _lines(chunk: Chunk, w: Words, chars: np.ndarray) -> tuple[np.ndarray, np.nd
     """Lines that have a word, those of them equal to an earlier one, and the latter's characters."""
     n, raw, off = chunk.n, chunk.raw, chunk.offsets
     cut = np.flatnonzero(raw == 10)
-    starts = np.unique(np.concatenate([off[:-1], cut + 1]))
+    starts = distinct(np.concatenate([off[:-1], cut + 1]))
     starts = starts[starts < len(raw)]
     ends = np.append(starts[1:], len(raw))[: len(starts)]
     # a line ends before its \n, or where its document ends

@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 18
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_PINV = np.uint64(pow(int(_P), -1, 1 << 64))
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_P = tuple(np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95))
+_PINV = tuple(np.uint64(pow(int(p), -1, 1 << 64)) for p in _P)
+_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SEP = np.zeros(256, dtype=bool)
@@ -89,14 +89,14 @@ def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[Chunk]:
         i = j
 
 
-def run_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs raw[start:end], from one prefix sum of a polynomial."""
+def run_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte runs raw[start:end], from one prefix sum of a polynomial; by one of two, told apart by ``which``."""
     if not len(starts):
         return np.empty(0, np.uint64)
     total = np.empty(len(raw) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[raw] * _pow(_P, len(raw)), out=total[1:])
-    return mix((total[ends] - total[starts]) * _pow(_PINV, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_BYTE[which][raw] * _pow(_P[which], len(raw)), out=total[1:])
+    return mix((total[ends] - total[starts]) * _pow(_PINV[which], len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 @dataclass
@@ -156,13 +156,21 @@ class Words:
 _SLOT = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    ordered = np.sort(values)
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return ordered[new]
+
+
 def repeated(values: np.ndarray) -> np.ndarray:
     """True where a value stands more than once."""
     out = np.zeros(len(values), bool)
     if len(values) < 2:
         return out
     ordered = np.sort(values)
-    again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    again = distinct(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(again):
         return out
     low = np.uint64((1 << 16) - 1)

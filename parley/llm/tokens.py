@@ -5,14 +5,24 @@ text are those of its segments one after another: before white space that follow
 character, and between a Latin letter or digit and ASCII punctuation. Segments met before come from a
 bounded cache. Of new ones, runs of Latin letters go to the library's model at once (what the
 tokenizer does before is plain for them: lower case where the file says so, and bytes as the
-model's letters), all others through the whole tokenizer.
+model's letters), all others through the whole tokenizer. Where words end in a mark of their own, the new
+words of many texts go to the model in one call, and their ids are cut apart at these marks.
 """
 
 from __future__ import annotations
 
+import codecs
+import json
+import os
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .textops import run_hash, text_buffers
 
 # Unicode white space, Latin letters (but the dotted capital I, whose small form ends
 # in a mark that joins what follows) and digits, ASCII punctuation.
@@ -22,21 +32,27 @@ _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE, WORDS = 150_000, 400_000
+CACHE, WORDS = 150_000, 1_000_000
+#: Bytes of text whose words are looked up together, and how many new words go to the model in one string.
+TOGETHER, RUN = 1 << 22, 1000
+_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
-_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+_PLAIN = re.compile(rf" ?[{_LATIN}]+")
+#: For words, in the syntax of Arrow's expressions: such letters alone, and what may follow them from an ASCII punctuation mark on, a segment of its own.
+_LETTERED, _PARTED = rf"^[{_LATIN}]+$", rf"^(?P<head>[{_LATIN}]+)(?P<rest>[{_PUNCT}][^{_WHITE}]*)$"
 
 
-def _letters() -> dict[int, int]:
-    """The byte-level rule: printable bytes of Latin-1 stand for themselves, the others, in order,
+def _letters() -> str:
+    """The byte-level rule, by byte: printable bytes of Latin-1 stand for themselves, the others, in order,
     for the characters from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
-    return {b: 256 + k for k, b in enumerate(hidden)}
+    return "".join(chr(b if b in shown else 256 + hidden.index(b)) for b in range(256))
 
 
 _LETTERS = _letters()
-_ENDS = frozenset(b".,;:!?)]}\"*#$%&|")
+#: The same with a space for a line break.
+_LINES = _LETTERS[:10] + " " + _LETTERS[11:]
 
 
 def vocabulary(name: str) -> str:
@@ -67,44 +83,178 @@ class _Cache(dict):
             self.clear()
 
 
+def _runs(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs flat[begin : begin + size] one after another."""
+    upto = np.cumsum(size)
+    total = int(upto[-1]) if len(upto) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    return flat[np.repeat((begin - upto + size).astype(kind), size) + np.arange(total, dtype=kind)]
+
+
+def _keys(words: pa.Array) -> np.ndarray:
+    """A row of two 64-bit hashes for each word: by both a word is known."""
+    raw, off = text_buffers(words)
+    raw, off = raw[off[0] : off[-1]], off - off[0]
+    return np.stack([run_hash(raw, off[:-1], off[1:], which) for which in (0, 1)], 1)
+
+
+class _Words:
+    """Distinct words by their keys, with their ids, in flat arrays and an open-addressed table."""
+
+    def __init__(self) -> None:
+        self.keys, self.flat = np.empty((0, 2), np.uint64), np.empty(0, "<u4")
+        self.begin = self.size = np.empty(0, np.int64)
+        self.table = np.full(1 << 16, -1, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys[:, 0] & np.uint64(len(self.table) - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each word, -1 for one that isn't there."""
+        out, slot, todo = np.full(len(keys), -1, np.int64), self._slots(keys), np.arange(len(keys))
+        while len(todo):
+            at = self.table[slot[todo]]
+            todo, at = todo[at >= 0], at[at >= 0]
+            hit = (self.keys[at] == keys[todo]).all(1)
+            out[todo[hit]] = at[hit]
+            todo = todo[~hit]
+            slot[todo] = (slot[todo] + 1) & (len(self.table) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Take up words that aren't there yet."""
+        first = len(self.keys)
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat, self.keys = np.concatenate([self.size, size]), np.concatenate([self.flat, ids]), np.concatenate([self.keys, keys])
+        if 2 * len(self.keys) > len(self.table):
+            self.table = np.full(4 << len(self.keys).bit_length(), -1, np.int32)
+            first = 0
+        todo, slot = np.arange(first, len(self.keys)), self._slots(self.keys[first:])
+        while len(todo):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = todo[free]
+            left = self.table[slot] != todo
+            todo, slot = todo[left], (slot[left] + 1) & (len(self.table) - 1)
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        return _runs(self.flat, self.begin[at], self.size[at])
+
+
 class Encoder:
     """Texts to the bytes of their ids, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, segments: re.Pattern) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.segments = segments.findall
-        self.bare = segments is BARE
+        self.bare = segments.pattern == BARE.pattern  # a pattern that came with a task is another object
         self.small = "Lowercase" in str(self.tokenizer.normalizer)
         self.model = self.tokenizer.model
         self.cache = _Cache(self._learn, CACHE)
-        self.words = _Cache(self._learn_word, WORDS)  # where white space is dropped: runs between ASCII white space, in UTF-8
+        self.words, self.before = _Words(), _Words()  # where white space is dropped: runs between ASCII white space
+        if self.bare:
+            self.plain = Tokenizer(self.model)
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            with open(path, encoding="utf-8") as f:
+                model = json.load(f)["model"]
+            mark = model["end_of_word_suffix"]
+            self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(mark)]] = True
+
+    def _lettered(self, word: str) -> str:
+        return codecs.charmap_decode((word.lower() if self.small else word).encode(), "strict", _LETTERS)[0]
 
     def _learn(self, segment: str) -> bytes:
         if _PLAIN.fullmatch(segment):
-            word = segment.lower() if self.small else segment
-            found = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+            found = [t.id for t in self.model.tokenize(self._lettered(segment))]
         else:
             found = self.tokenizer.encode(segment, add_special_tokens=False).ids
         return array("I", found).tobytes()
 
-    def _learn_word(self, word: bytes) -> bytes:
-        if word.isalpha():  # ASCII letters
-            return array("I", [t.id for t in self.model.tokenize((word.lower() if self.small else word).decode())]).tobytes()
-        if word[-1] in _ENDS and word[:-1].isalpha():  # ASCII letters, then one mark
-            return array("I", [t.id for t in self.model.tokenize((word[:-1].lower() if self.small else word[:-1]).decode())]).tobytes() + self.cache[chr(word[-1])]
-        text = word.decode()
-        return b"".join(map(self.cache.__getitem__, self.segments(text)))
+    def _learn_lettered(self, words: pa.Array, keys: np.ndarray) -> None:
+        """Take up words of Latin letters: their ids end where the model's mark for the end of a word stands."""
+        lists = pa.ListArray.from_arrays(pa.array([*range(0, len(words), RUN), len(words)], pa.int32()), words)
+        runs = [codecs.charmap_decode((r.lower() if self.small else r).encode(), "strict", _LINES)[0] for r in pc.binary_join(lists, "\n").to_pylist()]
+        ids = np.array([i for e in self.plain.encode_batch_fast(runs, add_special_tokens=False) for i in e.ids], "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            raise ValueError("the vocabulary doesn't mark the ends of words")
+        self.words.add(keys, np.diff(stops, prepend=0), ids)
+
+    def _learn_words(self, new: pa.Array, keys: np.ndarray) -> None:
+        """Take up words: from those kept before the cache began anew, else by their segments."""
+        known, only = self.words, lambda mask: (new.filter(pa.array(mask)), keys[mask])
+        kept = self.before.find(keys)
+        if (kept >= 0).any():
+            at = kept[kept >= 0]
+            known.add(keys[kept >= 0], self.before.size[at], self.before.ids(at))
+            new, keys = only(kept < 0)
+        lettered = pc.match_substring_regex(new, _LETTERED).to_numpy(zero_copy_only=False)
+        self._learn_lettered(*only(lettered))
+        new, keys = only(~lettered)
+        parts = pc.extract_regex(new, _PARTED)
+        parted = parts.is_valid().to_numpy(zero_copy_only=False)
+        heads, rests = (pc.struct_field(parts.filter(pa.array(parted)), x).dictionary_encode() for x in ("head", "rest"))
+        head_keys = _keys(heads.dictionary)
+        lacks = known.find(head_keys) < 0
+        self._learn_lettered(heads.dictionary.filter(pa.array(lacks)), head_keys[lacks])
+        size, ids = self._segments(rests.dictionary, lambda x: [x])
+        a, z = known.find(head_keys)[heads.indices.to_numpy()], rests.indices.to_numpy()
+        begin = np.stack([known.begin[a], len(known.flat) + (np.cumsum(size) - size)[z]], 1).ravel()
+        both = np.stack([known.size[a], size[z]], 1).ravel()
+        known.add(keys[parted], known.size[a] + size[z], _runs(np.concatenate([known.flat, ids]), begin, both))
+        known.add(keys[~parted], *self._segments(new.filter(pa.array(~parted)), self.segments))
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def _segments(self, words: pa.Array, cut: Callable) -> tuple[np.ndarray, np.ndarray]:
+        found = [b"".join(map(self.cache.__getitem__, cut(w))) for w in words.to_pylist()]
+        return np.array([len(x) // 4 for x in found], np.int64), np.frombuffer(b"".join(found), "<u4")
+
+    def _encode_words(self, texts: pa.Array) -> Iterator[bytes]:
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        keys = _keys(coded.dictionary)
+        if len(self.words.keys) > WORDS:
+            self.before, self.words = self.words, _Words()
+        at = self.words.find(keys)
+        if (at < 0).any():
+            self._learn_words(coded.dictionary.filter(pa.array(at < 0)), keys[at < 0])
+            at = self.words.find(keys)
+        self.cache.turn()
+        word = at[coded.indices.to_numpy()]
+        ids = self.words.ids(word).tobytes()
+        stops = 4 * np.append(0, np.cumsum(self.words.size[word]))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        for i, j in zip(stops[:-1].tolist(), stops[1:].tolist()):
+            yield ids[i:j]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; null is empty."""
-        get, word = self.cache.__getitem__, self.words.__getitem__
-        for t in texts:
+        if self.bare:
+            texts = texts.fill_null("")
+            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < len(texts):
+                stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 2 * TOGETHER, "right")))
+                yield from self._encode_words(texts.slice(at, stop - at))
+                at = stop
+            return
+        get = self.cache.__getitem__
+        for t in texts.to_pylist():
             self.cache.turn()
-            self.words.turn()
-            yield b"".join(map(word, (t or "").encode().split()) if self.bare else map(get, self.segments(t or "")))
+            yield b"".join(map(get, self.segments(t or "")))
+
+
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches joined to about TOGETHER bytes: fewer distinct words in all."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= TOGETHER:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -112,6 +262,7 @@ _encoders: dict[tuple[str, str], Encoder] = {}
 
 def encoder(path: str, segments: re.Pattern) -> Encoder:
     """The encoder of a vocabulary file, one for each Python worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     key = (path, segments.pattern)
     if key not in _encoders:
         _encoders[key] = Encoder(path, segments)
