@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, fresh, store
+from .common import documents, fresh, scratch, store
 from .repetition import measure
 from .textops import Chunk, chunks, mix
 
@@ -140,7 +140,7 @@ def tree_rules(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[R
     found: dict[Rule, None] = {}
     offset = np.arange(x.shape[1]) * BINS
 
-    def grow(rows: np.ndarray, rule: Rule, depth: int, g: np.ndarray, h: np.ndarray, out: list) -> None:
+    def grow(rows: np.ndarray, rule: Rule, depth: int, g: np.ndarray, h: np.ndarray, out: list[tuple[Rule, float]]) -> None:
         at = (binned[rows] + offset).ravel()
         sums = [np.bincount(at, weights=np.repeat(v[rows], x.shape[1]), minlength=offset[-1] + BINS).reshape(-1, BINS) for v in (g, h)]
         left = [np.cumsum(s, 1)[:, :-1] for s in sums]
@@ -149,7 +149,7 @@ def tree_rules(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[R
         gain[(left[1] < 0.5) | (total[1] - left[1] < 0.5)] = 0
         j, b = np.unravel_index(int(np.argmax(gain)), gain.shape)
         if depth == DEPTH or gain[j, b] < 1e-3 or b >= len(edges[j]):
-            out.append((rows, total[0] / (total[1] + 1)))
+            out.append((rule, total[0] / (total[1] + 1)))
             return
         cut = float(edges[j][b])
         goes = binned[rows, j] <= b
@@ -159,12 +159,12 @@ def tree_rules(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[R
 
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-f))
-        leaves: list = []
+        leaves: list[tuple[Rule, float]] = []
         some = np.sort(rng.choice(len(y), max(1, len(y) // 2), replace=False))
         before = len(found)
         grow(some, Rule(()), 0, y - p, np.maximum(p * (1 - p), 1e-6), leaves)
-        for rows, value in leaves:
-            f[rows] += RATE * value * 4
+        for rule, value in leaves:  # the tree was grown on half of the rows and speaks for all
+            f[rule.holds(x)] += RATE * value * 4
         if len(found) == before and np.abs(y - p).max() < 0.05:
             break
     return list(found)
@@ -258,7 +258,8 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
 def classify(df: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    stats = store(with_statistics(documents(df)), "statistics")
-    model = train(stats, labels, label, rows)
-    scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.column("_stats").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    with scratch(df.sparkSession):
+        stats = store(with_statistics(documents(df)), "statistics")
+        model = train(stats, labels, label, rows)
+        scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.column("_stats").alias("score"))
+        return store(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), "scores", keep=True)
