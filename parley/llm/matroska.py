@@ -76,10 +76,11 @@ def _uint(kind: int, value: int, width: int = 0) -> bytes:
     return element(kind, value.to_bytes(width or max(1, (value.bit_length() + 7) // 8), "big"))
 
 
-def children(b: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
-    """(id, body start, body end) of the elements in b[at:end]; one of unknown size ends where an
+def elements(b: bytes, at: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """(start, id, body start, body end) of the elements in b[at:end]; one of unknown size ends where an
     element of the upper level begins."""
     while at < end:
+        start = at
         kind, at = read_id(b, at)
         size, at = read_vint(b, at)
         if size == UNKNOWN:
@@ -97,10 +98,15 @@ def children(b: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
             stop = at + size
         if stop > end:
             raise ValueError(f"element {kind:X} runs past byte {end}")
-        yield kind, at, stop
+        yield start, kind, at, stop
         at = stop
 
 
+def children(b: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
+    """(id, body start, body end) of the elements in b[at:end]."""
+    return (x[1:] for x in elements(b, at, end))
+
+
 def _number(b: bytes, at: int, end: int) -> int:
     return int.from_bytes(b[at:end], "big")
 
@@ -205,7 +211,7 @@ def parse(b: bytes) -> Media:
             out.doc_type = next((b[x:y].rstrip(b"\0").decode("ascii") for k, x, y in children(b, s, e) if k == DOC_TYPE), "")
         elif kind == SEGMENT:
             found = True
-            for k1, s1, e1 in children(b, s, e):
+            for start, k1, s1, e1 in elements(b, s, e):
                 if k1 == INFO:
                     for k2, s2, e2 in children(b, s1, e1):
                         if k2 == TIMESTAMP_SCALE:
@@ -218,10 +224,7 @@ def parse(b: bytes) -> Media:
                             t = _track(b, s2, e2)
                             out.tracks[t["number"]] = t
                 elif k1 == CLUSTER:
-                    head = s1 - 4 - 1  # the id has 4 bytes, the size at least one
-                    while read_id(b, head)[0] != CLUSTER:
-                        head -= 1
-                    out.clusters.append(head - s)
+                    out.clusters.append(start - s)
                     _cluster(b, s1, e1, out)
                 elif k1 == CUES:
                     for k2, s2, e2 in children(b, s1, e1):
