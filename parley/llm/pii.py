@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, fresh, joined, store
+from .common import documents, fresh, joined, scratch, store
 
 # The expressions of the base kinds, in the order in which kinds are listed.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -38,7 +38,8 @@ KINDS = ("email", "ip", "card", "phone")
 TOKEN = r"(?<![A-Za-z0-9._/@+-])(?=[A-Za-z._/@+-]*+[0-9])[A-Za-z0-9._/@+-]++"
 MIN_SEEDS, SURE, ROUNDS = 5, 0.7, 3
 
-LEFT, BLOCK = 80, 256
+#: Characters in which the last two words are looked for first, and matches that are placed one after another.
+NEAR, BLOCK = 80, 256
 
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,word:string,left:string>>"
 _BLOCKS = "array<struct<steps:array<struct<gap:int,len:int,tail:string,word:string>>,tail:string,base:int>>"
@@ -53,35 +54,40 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _tail(text: Column) -> Column:
+    """The last two words of ``text``, whatever their length, from the white space before them on; all of it where it
+    has no more. The tail of texts one after another is that of their tails."""
+    last = r"\s\S++\s++\S++\s*+\z"
+    near = F.regexp_extract(F.right(text, F.lit(NEAR)), last, 0)
+    far = F.regexp_extract(text, last, 0)
+    return F.when(F.length(text) <= NEAR, text).when(near != "", near).when(far != "", far).otherwise(text)
+
+
 def _located(text: Column, pattern: str, matches: Column, kind: str, rank: int) -> Column:
     """Spans of ``matches``: the same expression splits the text, and the lengths of what lies
     between add up. They are added in blocks, since appending to one long array would take time in
-    the square of its length. ``left`` is what stands before, up to LEFT characters; at
-    a block's begin it reaches back to the match before last."""
+    the square of its length. ``left`` is the tail of what stands before."""
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
-    steps = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("len"), F.right(g, F.lit(LEFT)).alias("tail"), m.alias("word")))
+    steps = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("len"), _tail(g).alias("tail"), m.alias("word")))
 
     def step(acc: Column, x: Column) -> Column:
-        begin, left = acc["at"] + x["gap"], F.right(F.concat(acc["tail"], x["tail"]), F.lit(LEFT))
+        begin, left = acc["at"] + x["gap"], _tail(F.concat(acc["tail"], x["tail"]))
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (begin + x["len"]).alias("end"), x["word"].alias("word"), left.alias("left"))
-        return F.struct((begin + x["len"]).alias("at"), F.right(F.concat(left, x["word"]), F.lit(LEFT)).alias("tail"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return F.struct((begin + x["len"]).alias("at"), F.concat(left, x["word"]).alias("tail"), F.concat(acc["out"], F.array(span)).alias("out"))
 
     def block(x: Column) -> Column:
         first = F.struct(x["base"].alias("at"), x["tail"].alias("tail"), F.array().cast(_SPAN).alias("out"))
         return F.aggregate(x["steps"], first, step, lambda acc: acc["out"])
 
     def whole(s: Column) -> Column:
-        def cut(i: Column) -> Column:
-            before = F.when(i > 0, F.right(F.concat(s[i * BLOCK - 1]["tail"], s[i * BLOCK - 1]["word"]), F.lit(LEFT))).otherwise(F.lit(""))
-            return F.struct(F.slice(s, i * BLOCK + 1, F.lit(BLOCK)).alias("steps"), before.alias("tail"))
-
-        def add(acc: Column, x: Column) -> Column:
-            size = F.aggregate(x["steps"], F.lit(0), lambda n, y: n + y["gap"] + y["len"])
-            based = F.struct(x["steps"].alias("steps"), x["tail"].alias("tail"), acc["at"].alias("base"))
-            return F.struct((acc["at"] + size).alias("at"), F.concat(acc["out"], F.array(based)).alias("out"))
-
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / BLOCK).cast("int")), cut)
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_BLOCKS).alias("out"))
+        def add(acc: Column, steps: Column) -> Column:
+            size = F.aggregate(steps, F.lit(0), lambda n, y: n + y["gap"] + y["len"])
+            tail = F.aggregate(steps, acc["tail"], lambda t, y: _tail(F.concat(t, y["tail"], y["word"])))
+            based = F.struct(steps.alias("steps"), acc["tail"].alias("tail"), acc["at"].alias("base"))
+            return F.struct((acc["at"] + size).alias("at"), F.when(F.size(steps) < BLOCK, "").otherwise(tail).alias("tail"), F.concat(acc["out"], F.array(based)).alias("out"))
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / BLOCK).cast("int")), lambda i: F.slice(s, i * BLOCK + 1, F.lit(BLOCK)))
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(_BLOCKS).alias("out"))
         return F.flatten(F.transform(F.aggregate(blocks, start, add, lambda acc: acc["out"]), block))
 
     return F.when(F.size(matches) > 0, _let(steps, whole)).otherwise(F.array().cast(_SPAN))
@@ -133,8 +139,8 @@ def with_base(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def _context(left: Column) -> Column:
     """The last two words of ``left``, in lower case, digits as 0; empty where there are none."""
-    words = F.regexp_extract(left, r"(?:[^\s]+\s+)?[^\s]+\s*\z", 0)
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(words), "[0-9]", "0"), r"\s+", " "))
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(left), "[0-9]", "0"), r"\s+", " "))
+    return F.regexp_extract(words, r"(?<!\S)(?:\S++ )?+\S++\z", 0)
 
 
 def occurrences(df: DataFrame, base: str) -> DataFrame:
@@ -185,10 +191,8 @@ def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE,
 
 def _with_spans(docs: DataFrame, min_seeds: int, sure: float) -> DataFrame:
     """``docs`` (doc_id, text, digest, base and anything else) with ``spans``: base and discovered."""
-    found = store(occurrences(docs, "base"), "occurrences")
-    more = discovered(found, min_seeds, sure)
-    span = F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("id").alias("kind"), F.col("end").cast("int").alias("end"), F.lit("").alias("word"), F.lit("").alias("left"))
-    more = store(more.groupBy("doc_id", "digest").agg(F.collect_set(span).alias("more")), "discovered")
+    with scratch(docs.sparkSession):
+        more = _found(docs, min_seeds, sure)
     n = more.count()
     if not n:
         return docs.withColumn("spans", F.col("base"))
@@ -198,6 +202,14 @@ def _with_spans(docs: DataFrame, min_seeds: int, sure: float) -> DataFrame:
     return both.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPAN))))).drop("more")
 
 
+def _found(docs: DataFrame, min_seeds: int, sure: float) -> DataFrame:
+    """Per document with discovered spans: doc_id, digest and ``more``, those spans."""
+    found = store(occurrences(docs, "base"), "occurrences")
+    more = discovered(found, min_seeds, sure)
+    span = F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("id").alias("kind"), F.col("end").cast("int").alias("end"), F.lit("").alias("word"), F.lit("").alias("left"))
+    return store(more.groupBy("doc_id", "digest").agg(F.collect_set(span).alias("more")), "discovered", keep=True)
+
+
 def _listed(spans: str) -> Column:
     return F.array_join(F.transform(F.col(spans), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
