@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, fresh, joined, range_ranks, store
+from .common import WORD, documents, fresh, joined, range_ranks, scratch, store
 
 SYMBOLS = r"[#*$%&|<>{}\[\]=~^_\\]"
 
@@ -98,7 +98,8 @@ def cuts(drawn: DataFrame, weights: tuple[int, ...], cap: int, share: float) ->
 
 def _under() -> Column:
     place = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("buckets")).cast("long")
-    return (place < F.col("edge")) | ((place == F.col("edge")) & (F.struct("key", "id", "digest") <= F.col("cut")))
+    before = (place < F.col("edge")) | ((place == F.col("edge")) & (F.struct("key", "id", "digest") <= F.col("cut")))
+    return before & (F.col("size") > 0)  # rows without words come with the epochs alone
 
 
 def _times(edge_of: DataFrame) -> DataFrame:
@@ -109,11 +110,16 @@ def _times(edge_of: DataFrame) -> DataFrame:
 
 def mix(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, share: float = 1.0, seed: int = 9) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, epochs, times, taken (words)."""
-    docs = documents(df, "source")
+    with scratch(df.sparkSession):
+        return _mixed(documents(df, "source"), weights, cap, share, seed)
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], cap: int, share: float, seed: int) -> DataFrame:
     drawn = store(docs.select("doc_id", "source", *(c.alias(k) for k, c in _drawn(F.col("text"), F.col("doc_id"), F.col("source"), seed).items())), "drawn")
     cut, n = cuts(drawn, weights, cap, share)
     out = _times(joined(drawn, cut.drop("source"), ["skey"], n))
-    return out.select("doc_id", "source", "size", "source_size", F.col("target").cast("double"), "epochs", "times", (F.col("times") * F.col("size")).cast("long").alias("taken"))
+    out = out.select("doc_id", "source", "size", "source_size", F.col("target").cast("double"), "epochs", "times", (F.col("times") * F.col("size")).cast("long").alias("taken"))
+    return store(out, "mixed", keep=True)
 
 
 def sample(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, share: float = 1.0, seed: int = 9) -> DataFrame:
@@ -122,8 +128,10 @@ def sample(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, sh
     whole = df.select(F.struct(*df.columns).alias(row))
     at = lambda c, kind: F.col(f"{row}.{c}").cast(kind)
     marks = _drawn(at("text", "string"), at("doc_id", "long"), at("source", "string"), seed)
-    drawn = store(whole.select(at("source", "string").alias("source"), *(marks[k].alias(k) for k in made)), "drawn")
-    cut, n = cuts(drawn, weights, cap, share)
+    with scratch(df.sparkSession):
+        drawn = store(whole.select(at("source", "string").alias("source"), *(marks[k].alias(k) for k in made)), "drawn")
+        cut, n = cuts(drawn, weights, cap, share)
+        cut = store(cut, "cuts", keep=True)
     full = whole.select(row, *(marks[k].alias(k) for k in made))
     timed = _times(joined(full, cut.drop("source"), ["skey"], n)).filter("times > 0")
     return timed.select(row, F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(f"{row}.*")

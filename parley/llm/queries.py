@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import licences, matroska, mixing, packing, pii, repair_tokens, repetition, rule_ensemble, sharding, shingle_join
-from .common import read
+from .common import read, scratch, store
 
 
 def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,8 @@ def op3_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repair_tokens.digest(repair_tokens.stored(read(spark, sf_dir)))
+    with scratch(spark):  # the files go once they have been read back
+        return store(repair_tokens.digest(repair_tokens.stored(read(spark, sf_dir))), "digest", keep=True)
 
 
 def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def op7_licence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_matroska_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matroska.digest(matroska.stored(read(spark, sf_dir)))
+    with scratch(spark):  # the files go once they have been read back
+        return store(matroska.digest(matroska.stored(read(spark, sf_dir))), "digest", keep=True)
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,9 @@ by shards times BINS, meet in one place.
 A point's key along a dimension is its coordinate, then a hash of doc_id and text: so a great many equal
 coordinates, such as a group of copies, are split too, and sizes come out near equal.
 
+Equal texts are groups, and one of them may hold more than a shard's bytes: the law of bytes comes first, so a
+group is cut where a median falls into it, and its members go by their hash to the shards on both sides.
+
 Defined results: null text: no bytes, crc32 0. Null lang, source or doc_id: values of their own. Rows equal in
 doc_id and text share a shard. Fewer documents than shards: some shards are empty. No rows: no rows.
 Extra columns are left out. ``grown_shard`` is null under the law of bytes.
@@ -22,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, ranked_within, store
+from .common import documents, ranked_within, scratch, store
 
 SHARDS, OVERHEAD, BINS = 40, 16, 1024
 DIMENSIONS = ("d_lang", "d_source", "d_size", "d_text")
@@ -116,9 +119,14 @@ def tree(at: DataFrame, shards: int) -> Node:
 
 def shard(df: DataFrame, shards: int = SHARDS, overhead: int = OVERHEAD) -> DataFrame:
     """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    at = store(points(df, overhead), "points")
-    root = tree(at, shards)
-    placed = at.select("doc_id", "size", "text_crc32", root.leaf_of(_keys()).alias("shard"))
+    with scratch(df.sparkSession):
+        at = store(points(df, overhead), "points")
+        root = tree(at, shards)
+        placed = at.select("doc_id", "size", "text_crc32", root.leaf_of(_keys()).alias("shard"))
+        return store(_slotted(placed), "shards", keep=True)
+
+
+def _slotted(placed: DataFrame) -> DataFrame:
     ranked = ranked_within(placed, ["shard"], ["doc_id", "text_crc32", "size"], "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, documents, fresh, scratch, store
-from .textops import chunks, mix
+from .textops import chunks, distinct, mix
 
 #: Cells of the count sketch, in slices that are summed apart: 4 MB in all, whatever the input.
 CELLS, SLICES = 1 << 20, 64
@@ -48,7 +48,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
         hashes, owner = c.words(lower=True).shingles(k)
         cuts = np.searchsorted(owner, np.arange(c.n + 1))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            yield np.unique(hashes[a:b])
+            yield distinct(hashes[a:b])
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
