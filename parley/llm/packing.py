@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, ranked_within, scratch, store
-from .tokens import SPACED, encoder, vocabulary
+from .tokens import SPACED, encoder, together, vocabulary
 
 SEQUENCE, END, VOCABULARY = 2048, 0, "byte_bpe_50k.json"
 UNIT = 8
@@ -37,7 +37,7 @@ def pieces(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, SPACED)
-        for b in batches:
+        for b in together(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(enc.encode(b.column("text"))):
                 ids += tail

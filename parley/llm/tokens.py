@@ -39,7 +39,11 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
 _PLAIN = re.compile(rf" ?[{_LATIN}]+")
 #: For words, in the syntax of Arrow's expressions: such letters alone, and what may follow them from an ASCII punctuation mark on, a segment of its own.
-_LETTERED, _PARTED = rf"^[{_LATIN}]+$", rf"^(?P<head>[{_LATIN}]+)(?P<rest>[{_PUNCT}][^{_WHITE}]*)$"
+#: With the space before a word, where it is kept, or without.
+_LETTERED = {space: rf"^{space}[{_LATIN}]+$" for space in ("", " ")}
+_PARTED = {space: rf"^(?P<head>{space}[{_LATIN}]+)(?P<rest>[{_PUNCT}][^{_WHITE}]*)$" for space in ("", " ")}
+#: Unicode white space beyond ASCII by its UTF-8 bytes.
+_WIDE = tuple(c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 
 
 def _letters() -> str:
@@ -91,6 +95,37 @@ def _runs(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return flat[np.repeat((begin - upto + size).astype(kind), size) + np.arange(total, dtype=kind)]
 
 
+def _white(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space."""
+    out = (raw == 32) | ((raw > 8) & (raw < 14))
+    at = np.flatnonzero((raw == 0xC2) | ((raw > 0xE0) & (raw < 0xE4)))
+    for c in _WIDE:
+        hit = at[at + len(c) <= len(raw)]
+        for i, b in enumerate(c):
+            hit = hit[raw[hit + i] == b]
+        for i in range(len(c)):
+            out[hit + i] = True
+    return out
+
+
+def _spaced(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Runs of white space each with the word after it, of all texts, and where each text's begin among them."""
+    raw, off = text_buffers(texts)
+    raw, off = np.ascontiguousarray(raw[off[0] : off[-1]]), off - off[0]
+    first = _white(raw)
+    first[1:] &= ~first[:-1].copy()
+    first[off[:-1][off[:-1] < off[1:]]] = True
+    starts = np.flatnonzero(first)
+    bounds = np.append(starts, len(raw)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(raw)), np.searchsorted(starts, off)
+
+
+def _bare(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space of all texts, and where each text's begin among them."""
+    lists = pc.ascii_split_whitespace(texts)
+    return lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
 def _keys(words: pa.Array) -> np.ndarray:
     """A row of two 64-bit hashes for each word: by both a word is known."""
     raw, off = text_buffers(words)
@@ -153,15 +188,16 @@ class Encoder:
         self.small = "Lowercase" in str(self.tokenizer.normalizer)
         self.model = self.tokenizer.model
         self.cache = _Cache(self._learn, CACHE)
-        self.words, self.before = _Words(), _Words()  # where white space is dropped: runs between ASCII white space
-        if self.bare:
-            self.plain = Tokenizer(self.model)
-            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-            with open(path, encoding="utf-8") as f:
-                model = json.load(f)["model"]
-            mark = model["end_of_word_suffix"]
-            self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
-            self.ends[[i for t, i in model["vocab"].items() if t.endswith(mark)]] = True
+        self.words, self.before = _Words(), _Words()  # with the white space before them, or without it where it is dropped
+        self.plain = Tokenizer(self.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        space = "" if self.bare else " "
+        self.lettered, self.parted = _LETTERED[space], _PARTED[space]
+        mark = model["end_of_word_suffix"] if self.bare else _LETTERS[32]
+        self.marked = np.zeros(max(model["vocab"].values()) + 1, bool)  # tokens that end a word, or begin one with its space
+        self.marked[[i for t, i in model["vocab"].items() if (t.endswith if self.bare else t.startswith)(mark)]] = True
 
     def _lettered(self, word: str) -> str:
         return codecs.charmap_decode((word.lower() if self.small else word).encode(), "strict", _LETTERS)[0]
@@ -174,13 +210,16 @@ class Encoder:
         return array("I", found).tobytes()
 
     def _learn_lettered(self, words: pa.Array, keys: np.ndarray) -> None:
-        """Take up words of Latin letters: their ids end where the model's mark for the end of a word stands."""
+        """Take up words of Latin letters: their ids are cut apart at the model's mark for the end of a word, or the space before it."""
+        if not len(words):
+            return
         lists = pa.ListArray.from_arrays(pa.array([*range(0, len(words), RUN), len(words)], pa.int32()), words)
         runs = [codecs.charmap_decode((r.lower() if self.small else r).encode(), "strict", _LINES)[0] for r in pc.binary_join(lists, "\n").to_pylist()]
         ids = np.array([i for e in self.plain.encode_batch_fast(runs, add_special_tokens=False) for i in e.ids], "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words):
-            raise ValueError("the vocabulary doesn't mark the ends of words")
+        at = np.flatnonzero(self.marked[ids])
+        if len(at) != len(words):
+            raise ValueError("the vocabulary doesn't mark where words end")
+        stops = at + 1 if self.bare else np.append(at, len(ids))[1:]
         self.words.add(keys, np.diff(stops, prepend=0), ids)
 
     def _learn_words(self, new: pa.Array, keys: np.ndarray) -> None:
@@ -191,10 +230,10 @@ class Encoder:
             at = kept[kept >= 0]
             known.add(keys[kept >= 0], self.before.size[at], self.before.ids(at))
             new, keys = only(kept < 0)
-        lettered = pc.match_substring_regex(new, _LETTERED).to_numpy(zero_copy_only=False)
+        lettered = pc.match_substring_regex(new, self.lettered).to_numpy(zero_copy_only=False)
         self._learn_lettered(*only(lettered))
         new, keys = only(~lettered)
-        parts = pc.extract_regex(new, _PARTED)
+        parts = pc.extract_regex(new, self.parted)
         parted = parts.is_valid().to_numpy(zero_copy_only=False)
         heads, rests = (pc.struct_field(parts.filter(pa.array(parted)), x).dictionary_encode() for x in ("head", "rest"))
         head_keys = _keys(heads.dictionary)
@@ -212,8 +251,8 @@ class Encoder:
         return np.array([len(x) // 4 for x in found], np.int64), np.frombuffer(b"".join(found), "<u4")
 
     def _encode_words(self, texts: pa.Array) -> Iterator[bytes]:
-        lists = pc.ascii_split_whitespace(texts)
-        coded = lists.flatten().dictionary_encode()
+        every, begins = (_bare if self.bare else _spaced)(texts)
+        coded = every.dictionary_encode()
         keys = _keys(coded.dictionary)
         if len(self.words.keys) > WORDS:
             self.before, self.words = self.words, _Words()
@@ -224,25 +263,19 @@ class Encoder:
         self.cache.turn()
         word = at[coded.indices.to_numpy()]
         ids = self.words.ids(word).tobytes()
-        stops = 4 * np.append(0, np.cumsum(self.words.size[word]))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        stops = 4 * np.append(0, np.cumsum(self.words.size[word]))[begins]
         for i, j in zip(stops[:-1].tolist(), stops[1:].tolist()):
             yield ids[i:j]
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; null is empty."""
-        if self.bare:
-            texts = texts.fill_null("")
-            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-            at = 0
-            while at < len(texts):
-                stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 2 * TOGETHER, "right")))
-                yield from self._encode_words(texts.slice(at, stop - at))
-                at = stop
-            return
-        get = self.cache.__getitem__
-        for t in texts.to_pylist():
-            self.cache.turn()
-            yield b"".join(map(get, self.segments(t or "")))
+        texts = texts.fill_null("")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 2 * TOGETHER, "right")))
+            yield from self._encode_words(texts.slice(at, stop - at))
+            at = stop
 
 
 def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -136,6 +137,84 @@ def test_shards_edges(spark):
     assert sharding.shard(spark.createDataFrame([], kind)).count() == 0
 
 
+def test_shards_of_a_real_table_are_near_equal(spark):
+    got = sharding.shard(read(spark, "/root/testdata/sf0.1"))
+    by = [r.b for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    mean = sum(by) / len(by)
+    assert len(by) == 40 and max(abs(b - mean) for b in by) <= 0.02 * mean
+
+
+def brute_tree(points, shards, first=0):
+    """Shards by recursion over sorted points, as the tree's cuts are meant."""
+    if shards == 1 or not points:
+        return {p: first for p in points}
+    width = [max(p[2 + j] for p in points) - min(p[2 + j] for p in points) for j in range(4)]
+    width = [w / max(1, max(p[2 + j] for p in points)) if j == 2 else w / 2**31 for j, w in enumerate(width)]
+    d = max(range(4), key=lambda j: (width[j], j))
+    ordered = sorted(points, key=lambda p: (p[2 + d], p[6]))
+    goal, upto, cut = sum(p[1] for p in points) * (shards // 2) / shards, 0, 0
+    for i, p in enumerate(ordered):
+        if upto + p[1] >= goal:
+            cut = i + 1 if upto + p[1] - goal <= goal - upto else i
+            break
+        upto += p[1]
+    return brute_tree(ordered[:cut], shards // 2, first) | brute_tree(ordered[cut:], shards - shards // 2, first + shards // 2)
+
+
+def test_shards_equal_a_tree_by_recursion(spark):
+    df = read(spark, SF)
+    for shards in (7, 16):
+        at = [tuple(r) for r in sharding.points(df).drop("text_crc32").collect()]
+        want = {p[0]: s for p, s in brute_tree(at, shards).items()}
+        assert {r.doc_id: r.shard for r in sharding.shard(df, shards).collect()} == want
+
+
+def test_join_meets_a_passage_in_unrelated_texts_once_each(spark):
+    """A passage in thousands of texts that share nothing else, some of them near copies: links as by brute force, and the rows
+    that joins make stay near linear."""
+    made = {}
+    for n in (200, 800):
+        r = random.Random(n)
+        passage = [f"p{i}" for i in range(60)]
+        rows = []
+        for i in range(n):
+            own = [f"u{i // 2}x{j}" for j in range(r.choice((14, 20, 40, 90)) if i % 2 == 0 else len(own))]
+            w = [*passage, *own]
+            if i % 2:
+                w[-1] = "other"
+            rows.append((i, " ".join(w)))
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in shingle_join.classes(frame(spark, rows), 5, 80).collect()}
+        assert got == brute_join(rows, 5, 80)
+        long = shingle_join._apart
+        counted = []
+        try:
+            shingle_join._apart = lambda *a: (lambda x: counted.append(0 if x is None else x.count()) or x)(long(*a))
+            shingle_join.classes(frame(spark, rows), 5, 80).count()
+        finally:
+            shingle_join._apart = long
+        made[n] = sum(counted)
+    assert made[800] <= 8 * max(made[200], 100)
+
+
+def test_stored_tables_belong_to_their_call(spark):
+    """A lazily read result outlives other calls and the pipeline; what a call stored for itself is gone."""
+    from parley.llm.common import scratch, shared_dir, store
+
+    lazy = mixing.sample(read(spark, SF))
+    mine = store(spark.range(5), "mine")
+    corpus_pipeline.run(spark, SF)
+    assert lazy.count() and mine.count() == 5
+    with pytest.raises(RuntimeError), scratch(spark):
+        inner = store(spark.range(3), "inner")
+        raise RuntimeError
+    with pytest.raises(Exception, match="inner"):
+        inner.count()
+    import pathlib
+
+    left = {p.name.rpartition("-")[0] for p in (pathlib.Path(shared_dir(spark).removeprefix("file://")) / "parley").iterdir()}
+    assert not left & {"signed", "distinct", "shared", "lists", "sets", "pieces", "dealt", "points", "statistics", "graph", "occurrences"}
+
+
 # ---- 9, mixing ----
 
 
@@ -181,8 +260,35 @@ def test_mix_edges(spark):
     assert {x.taken for x in mixing.mix(df.filter("text is null")).collect()} == {0}
 
 
+def test_sample_of_a_stopped_source(spark):
+    """Where the target is three times the source, its rows come three times each, those without words too; a very long text is one row."""
+    rows = [(i, "one two three", "small") for i in range(4)] + [(10 + i, " ", "small") for i in range(40)] + [(100 + i, "w " * 50, "large") for i in range(60)] + [(500, "long " * 60_000, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {x.doc_id: (x.times, x.taken, x.size) for x in mixing.mix(df).collect()}
+    times = collections.Counter(x.doc_id for x in mixing.sample(df).collect())
+    assert all(times[d] == t and taken == t * size and t <= 3 for d, (t, taken, size) in got.items())
+    assert len({got[10 + i][0] for i in range(40)}) == 1 and got[500][2] == 60_000
+
+
+def test_sampling_keys_are_exponential(spark):
+    """Keys divided by their rates are exponentials of rate 1; documents are taken by ascending key while they fit, and one more."""
+    rows = [(i, "a b # c" if i % 3 else "a b c d", "s" if i % 2 else "t") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    marks = mixing._drawn(F.col("text"), F.col("doc_id"), F.col("source"), 9)
+    x = df.select("doc_id", "source", marks["key"].alias("key"), marks["size"].alias("size"), mixing.quality_weight(F.col("text"), F.col("size") if False else mixing.size_of(F.col("text"))).alias("w")).collect()
+    unit = [r.key * r.w for r in x]
+    assert abs(np.mean(unit) - 1) < 0.06 and abs(np.std(unit) - 1) < 0.1
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    for source in "st":
+        mine = sorted((r.key, r.doc_id) for r in x if r.source == source)
+        extra = [got[d].times - got[d].epochs for _, d in mine]
+        last = max((i for i, e in enumerate(extra) if e), default=-1)
+        assert sum(extra[: last + 1]) >= last  # a run from the front, but for the one that closes the gap
+
+
 def test_mix_runs_no_python(spark):
-    assert not re.search("Python|Pandas|Arrow", mixing.mix(read(spark, SF))._jdf.queryExecution().toString())
+    assert not re.search("Python|Pandas|Arrow", mixing._mixed(read(spark, SF).select("doc_id", "text", "source"), (5, 2, 1), 3, 1.0, 9)._jdf.queryExecution().toString())
+    assert not re.search("Python|Pandas|Arrow", mixing.sample(read(spark, SF))._jdf.queryExecution().toString())
     assert not re.search("Python|Pandas|Arrow", pii.extract(read(spark, SF))._jdf.queryExecution().toString())
 
 
@@ -227,6 +333,42 @@ def test_repair_round_trip_and_random_access():
     assert len(long) < 80_000 * 0.2 and len(repair_tokens.TokenFile.open(long).rules)
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    """No pair without the end id stands MIN_COUNT times without overlap, and what is replaced was frequent."""
+    r = random.Random(3)
+    least = repair_tokens.MIN_COUNT
+    for words in (5, 40, 3000):
+        ids = np.array([x for _ in range(400) for x in [*(3 + min(int(r.expovariate(3 / words)), 40_000) for _ in range(r.randint(0, 60))), 2]], "<u4")
+        ids = np.concatenate([ids, np.full(500, 9, "<u4"), ids[:2000], ids[:2000]])
+        seq, rules, first = repair_tokens.grammar(ids)
+        left = collections.Counter()
+        skip = -1
+        for i, pair in enumerate(zip(seq.tolist(), seq.tolist()[1:])):
+            if 2 in pair or (pair[0] == pair[1] and i == skip):
+                continue
+            left[pair] += 1
+            skip = i + 1 if pair[0] == pair[1] else -1
+        assert max(left.values(), default=0) < least
+        seen = collections.Counter([*seq.tolist(), *rules.ravel().tolist()])
+        assert len({tuple(x) for x in rules.tolist()}) == len(rules) and all(seen[first + k] for k in range(len(rules)))
+
+
+def test_words_are_encoded_alike_in_any_order_and_with_a_full_cache(monkeypatch):
+    """The cache of words begins anew in between; words come again, with marks, capitals, and none at all."""
+    r = random.Random(4)
+    stems = ["".join(r.choice("abcdeéñöß") for _ in range(r.randint(1, 9))) for _ in range(300)]
+    gap = lambda: r.choice((" ", " ", " ", "  ", "\n", "\n\n", "\xa0", "\xa0 ", " \u2003", "\u3000\t ", "\x85", "\x1c"))
+    texts = ["".join(gap() + r.choice((str, str.upper, str.title))(r.choice(stems)) + r.choice(("", "", ".", ",%%", "'s", "-x9", "̈")) for _ in range(r.randint(0, 50))) for _ in range(60)] + [None, "", " x ", "\n", *ODD]
+    monkeypatch.setattr(tokens, "WORDS", 100)
+    for name, segments in (("word_bpe_49k.json", tokens.BARE), ("byte_bpe_50k.json", tokens.SPACED)):
+        e, ids = tokens.Encoder(tokens.vocabulary(name), segments), ids_of(name, 2)
+        for _ in range(3):
+            r.shuffle(texts)
+            for i in range(0, len(texts), 7):
+                got = list(e.encode(pa.array(["other", *texts[i : i + 7]], pa.string()).slice(1)))
+                assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids(t).tolist()[:-1] for t in texts[i : i + 7]]
+
+
 def check_packed(spark, rows, sequence):
     ids = ids_of("byte_bpe_50k.json", 0)
     got = packing.pack(frame(spark, rows), sequence).collect()
@@ -325,6 +467,79 @@ def test_pii_bootstrap_grows_from_what_it_found(spark):
     assert not any(found[500 + i] for i in range(21))
 
 
+def brute_graph(found, min_seeds, sure, rounds):
+    """The pattern-instance graph, edge by edge."""
+    edges = {}
+    for *_, word, seed, context in found:
+        edges[context, word] = edges.get((context, word), False) or seed
+    belief, before, good = {}, None, set()
+    while True:
+        held = {e: 1.0 if seed else belief.get(e[1], 0.0) for e, seed in edges.items()}
+        of = collections.defaultdict(list)
+        for (c, w), x in held.items():
+            of[c].append((w, x, edges[c, w]))
+        live = {c for c, v in of.items() if sum(x >= sure for _, x, _ in v) >= min_seeds and any(not seed for *_, seed in v)}
+        if len(live) == (before or 0) and (before is not None or not live):
+            return good
+        before = len(live)
+        graph = {e: x for e, x in held.items() if e[0] in live}
+        for _ in range(rounds):
+            score = {c: sum(x for (k, _), x in graph.items() if k == c) / (1 + sum(k == c for k, _ in graph)) for c in live}
+            miss = collections.defaultdict(lambda: 1.0)
+            for c, w in graph:
+                if not edges[c, w]:
+                    miss[w] *= 1 - min(score[c], 0.999)
+            graph = {(c, w): 1.0 if edges[c, w] else max(x, 1 - miss[w]) for (c, w), x in graph.items()}
+        good = {(c, w) for (c, w), x in graph.items() if not edges[c, w] and score[c] >= sure and x >= sure}
+        if not good:
+            return good
+        belief = {w: max(x for (c, v), x in graph.items() if v == w and (c, v) in good) for _, w in good}
+
+
+def test_pii_graph_equals_brute_force(spark):
+    """Random occurrences, in which contexts share words and one leads to the next: the same extractions."""
+    added = 0
+    for seed in range(6):
+        r = random.Random(seed)
+        found = []
+        for c in range(12):
+            strong = r.random() < 0.6
+            for i in range(r.randint(3, 40)):
+                is_seed = r.random() < (0.85 if strong and c < 5 else 0.05)
+                word = f"s{r.randrange(200)}@x" if is_seed else f"id{c // 2 * 4 + r.randrange(9)}"
+                found.append((len(found), c, i, i + 3, word, is_seed, f"c {c}"))
+        df = spark.createDataFrame(found, "doc_id long, digest long, start int, end int, word string, seed boolean, context string")
+        want = brute_graph(found, pii.MIN_SEEDS, pii.SURE, pii.ROUNDS)
+        got = {(x.doc_id, x.start) for x in pii.discovered(df).collect()}
+        assert got == {(d, at) for d, _, at, _, w, is_seed, c in found if not is_seed and (c, w) in want}
+        added += len(got)
+    assert added
+
+
+def test_pii_contexts_of_any_length(spark):
+    """The two words before a match count whole, however long they are, and across matches and blocks of them."""
+    long = "w" * 300
+    rows = [(i, f"x {long} {long} a{i}@ex.com") for i in range(12)] + [(50 + i, f"y {long} {long} Q{i}7") for i in range(8)] + [(80, f"z {long[1:]} {long} Q17")]
+    found = {x.doc_id: x.spans for x in pii.extract(frame(spark, rows)).collect()}
+    assert all(found[50 + i].startswith("id:604:") for i in range(8)) and found[80] == ""
+    many = " ".join(f"k{i} " + "v " * (i % 3) + f"n{i}@a.bc" for i in range(700))
+    base = pii._prepared(frame(spark, [(1, many)]))
+    got = sorted((x.start, x.context) for x in pii.occurrences(base, "base").collect())
+    words = [(m.start(), m[0]) for m in re.finditer(r"\S+", many)]
+    want = [(at, re.sub("[0-9]", "0", " ".join(x for _, x in words[max(0, i - 2) : i]))) for i, (at, w) in enumerate(words) if i and re.search("[0-9]", w)]
+    assert got == want
+
+
+def test_pii_edges(spark):
+    kind = "doc_id long, text string, spans int, digest int, base int, `_row` int"
+    df = spark.createDataFrame([(None, "a@b.co", 1, 2, 3, 4), (1, "a@b.co", 1, 2, 3, 4), (1, "a@b.co", 1, 2, 3, 4), (2, None, 1, 2, 3, 4), (3, "", 1, 2, 3, 4)], kind)
+    got = sorted((x.doc_id or 0, x.n_email, x.spans) for x in pii.extract(df).collect())
+    assert got == [(0, 1, "email:0:6"), (1, 1, "email:0:6"), (1, 1, "email:0:6"), (2, 0, ""), (3, 0, "")]
+    masked = pii.redact(df)
+    assert masked.columns == df.columns and sorted(x.text or "" for x in masked.collect()) == ["", "", "<EMAIL>", "<EMAIL>", "<EMAIL>"]
+    assert pii.extract(df.limit(0)).count() == 0 and pii.redact(df.limit(0)).count() == 0
+
+
 def test_pii_redaction(spark):
     df = spark.createDataFrame([(1, "call +1 (201) 555-0100, or a@b.co now", 37), (None, None, None), (2, "4539 1488 0343 6467 é 10.0.0.1", 30)], "doc_id long, text string, n_chars long")
     got = pii.redact(df)
