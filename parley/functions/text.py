@@ -16,6 +16,9 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType
 NOISE = ("", ".", "..", "...", "?", "!", "Q.", "q.", "Q", "q", "음", "어", "아", "응", "[음악]", "[Music]", "♪", "♫", "MBC", "BGM")
 SURNAMES_2 = ("남궁", "황보", "선우", "독고", "제갈", "사공", "서문", "동방")
 HONORIFICS = "님|씨"
+# Hosts of search pages, which are no source; the heading of a note's fact-check section.
+SEARCH_HOSTS = ("google.com", "www.google.com", "bing.com", "www.bing.com", "search.naver.com", "duckduckgo.com")
+FACTS = "## 6. 객관 명제 팩트체크"
 
 
 def is_noise(text: Column) -> Column:
@@ -97,9 +100,9 @@ def collapsed(text: Column) -> Column:
 
 
 def capped(text: Column, n: int) -> Column:
-    """white space collapsed, at most n characters, cut ones end in an ellipsis."""
+    """white space collapsed; after at most n characters cut ones end in an ellipsis."""
     c = collapsed(text)
-    return F.when(F.length(c) > n, F.concat(F.rtrim(F.substring(c, 1, n - 1)), F.lit("…"))).otherwise(c)
+    return F.when(F.length(c) > n, F.concat(F.rtrim(F.substring(c, 1, n)), F.lit("…"))).otherwise(c)
 
 
 def cer_units(text: Column) -> Column:
@@ -137,8 +140,8 @@ def slug(text: Column, n: int = 60) -> Column:
 
 
 def anchor(heading: Column) -> Column:
-    """the anchor of a Markdown heading."""
-    return F.regexp_replace(F.lower(F.trim(F.regexp_replace(heading, r"[^0-9A-Za-z가-힣 _-]", ""))), r" +", "-")
+    """the anchor of a Markdown heading: letters, digits and Hangul in lower case, joined by hyphens."""
+    return F.concat(F.lit("#"), F.regexp_replace(F.lower(F.trim(F.regexp_replace(heading, "[^0-9A-Za-z가-힣 -]+", ""))), "[ -]+", "-"))
 
 
 def plain_markdown(text: Column) -> Column:
@@ -188,10 +191,78 @@ def chunked(text: Column, n: int = 2000) -> Column:
 
 
 def direct_https(url: Column) -> Column:
-    """An https address with a host that isn't a search engine's."""
+    """An https address with a host that isn't one of the search pages."""
     host = F.lower(F.coalesce(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("")))
-    search = host.rlike(r"^(?:www\.)?(?:google|bing|duckduckgo|naver|daum|yahoo)\.")
-    return (F.lower(F.coalesce(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit(""))) == "https") & (host != "") & ~search
+    return (F.lower(F.coalesce(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit(""))) == "https") & (host != "") & ~host.isin(*SEARCH_HOSTS)
+
+
+def one_line(text: Column) -> Column:
+    """on one line, with double quotes as closing ones."""
+    return F.replace(collapsed(text), F.lit('"'), F.lit("”"))
+
+
+def link_text(text: Column) -> Column:
+    """on one line, with round brackets for square ones."""
+    return F.translate(one_line(text), "[]", "()")
+
+
+def without_facts(text: Column) -> Column:
+    """a note without its fact-check section, ending in one line break; doing it again changes nothing."""
+    cut = F.regexp_replace(F.regexp_replace(text, r"\s+\z", ""), rf"(?s)\n\Q{FACTS}\E\n.*\z", "")
+    return F.concat(F.regexp_replace(cut, r"\s+\z", ""), F.lit("\n"))
+
+
+def note_hash(text: Column) -> Column:
+    """the sha256 of a note without its fact-check section."""
+    return F.sha2(without_facts(text), 256)
+
+
+def with_facts(text: Column, section: Column) -> Column:
+    """a note with ``section`` as its one fact-check section, at its end."""
+    return F.concat(without_facts(text), F.lit("\n"), section)
+
+
+def like_escaped(term: Column) -> Column:
+    """a term in which LIKE's wildcards stand for themselves."""
+    return F.regexp_replace(term, r"([\\%_])", r"\\$1")
+
+
+def joined_words(words: Column) -> Column:
+    """words as a recogniser gives them, one after another; with spaces between them if none brings one along."""
+    compact = stripped(F.array_join(words, ""))
+    spaced = F.array_join(F.filter(F.transform(words, stripped), lambda w: w != ""), " ")
+    return F.when((F.size(words) > 1) & ~compact.contains(" ") & (spaced != ""), spaced).otherwise(compact)
+
+
+def shortened(text: Column, n: int) -> Column:
+    """at most n characters, cut ones ending in an ellipsis."""
+    return F.when(F.length(text) > n, F.concat(F.substring(text, 1, n - 1), F.lit("…"))).otherwise(text)
+
+
+def wrapped(text: Column, width: int, most: int = 2) -> Column:
+    """at most ``most`` lines of words within ``width`` where they fit; the last one ends in an ellipsis if words are left."""
+    start = F.struct(F.array().cast("array<string>").alias("lines"), F.lit("").alias("now"), F.lit(False).alias("full"))
+
+    def step(a: Column, word: Column) -> Column:
+        longer = F.when(a["now"] == "", word).otherwise(F.concat_ws(" ", a["now"], word))
+        fits = a["full"] | (F.length(longer) <= width)
+        lines = F.when(fits | (a["now"] == ""), a["lines"]).otherwise(F.concat(a["lines"], F.array(a["now"])))
+        now = F.when(a["full"], a["now"]).when(fits, longer).otherwise(word)
+        return F.struct(lines.alias("lines"), now.alias("now"), (a["full"] | (~fits & (F.size(lines) == most - 1))).alias("full"))
+
+    def end(a: Column) -> Column:
+        lines = F.when((a["now"] != "") & (F.size(a["lines"]) < most), F.concat(a["lines"], F.array(a["now"]))).otherwise(a["lines"])
+        return F.slice(lines, 1, most)
+
+    lines = F.aggregate(words(text), start, step, end)
+    last = F.concat(shortened(F.element_at(lines, -1), max(width - 1, 2)), F.lit("…"))
+    cut = F.concat(F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0))), F.array(last))
+    return F.when(F.size(lines) == 0, F.array(F.lit(""))).when(F.length(F.array_join(lines, " ")) < F.length(text), cut).otherwise(lines)
+
+
+def string_list(values: Column, most: int) -> Column:
+    """the strings of an array that aren't blank, each on one line and capped."""
+    return F.transform(F.filter(values, lambda v: F.coalesce(F.trim(v), F.lit("")) != ""), lambda v: capped(v, most))
 
 
 def safe_int(value: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.predicates import name_tokens
 
 
 def identity_key(email: Column, employee_id: Column, fallback: Column, company: str) -> Column:
@@ -17,7 +18,13 @@ def identity_key(email: Column, employee_id: Column, fallback: Column, company:
 
 
 def fuzzy_names(tokens: DataFrame, roster: DataFrame, least: float, top: int, similar=T.similarity) -> DataFrame:
-    """For each token the ``top`` most similar roster names, by (-similarity, name). Names are met
+    """For each token the ``top`` most similar roster names, by (-similarity, name)."""
+    w = Window.partitionBy("token").orderBy(F.col("sim").desc(), "name")
+    return fuzzy_pairs(tokens, roster, least, similar).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
+def fuzzy_pairs(tokens: DataFrame, roster: DataFrame, least: float, similar=T.similarity) -> DataFrame:
+    """All pairs of a token and another roster name of similarity ``least`` or more. Names are met
     by shared blocking keys instead of a cross join: a similarity of ``least`` or more over n characters leaves
     at most (1 - least) n edits, so of the pieces that a name falls into when cut that many times
     plus one, some piece stands in the other within that shift."""
@@ -35,20 +42,108 @@ def fuzzy_names(tokens: DataFrame, roster: DataFrame, least: float, top: int, si
     sizes = held.agg(F.array_sort(F.collect_set(F.length("piece"))).alias("sizes"))  # a few numbers
     asked = tokens.select("token").distinct().join(F.broadcast(sizes)).withColumn("size", F.explode("sizes")).withColumn("piece", F.explode(windows(F.col("token"), F.col("size")))).select("token", "piece").distinct()
     met = asked.join(held, "piece").select("token", "name").distinct().filter("token <> name")
-    scored = met.withColumn("sim", similar(F.col("token"), F.col("name"))).filter(F.col("sim") >= least)
-    w = Window.partitionBy("token").orderBy(F.col("sim").desc(), "name")
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-
-
-def ledger_counts(confirmed: DataFrame) -> DataFrame:
-    """A2: in how many distinct notes each (target, variant) was confirmed."""
+    return met.withColumn("sim", similar(F.col("token"), F.col("name"))).filter(F.col("sim") >= least)
+
+
+def phonetic_hints(transcripts: DataFrame, roster: DataFrame, floor: float = 0.72, bare_floor: float = 0.86, top: int = 2, most: int = 30) -> DataFrame:
+    """Per transcript (note, text) its name-like tokens that sound like names of the roster (name, department, position, employment_status):
+    the ``top`` names of each token by (-similarity, name) as one candidate text; tokens in a form of address first, longer ones before
+    shorter ones, then by place; equal lines once, the first ``most``. Similarity is that of the letters, with the whole name or the given name;
+    a token out of address needs ``bare_floor``."""
+    found = transcripts.select("note", F.posexplode(name_tokens(F.col("text"))).alias("first", "token"), "text").withColumn("addressed", F.contains("text", F.concat("token", F.lit("님"))) | F.contains("text", F.concat("token", F.lit("씨")))).drop("text")
+    names = roster.filter(F.col("name").rlike("^[가-힣]{2,5}$"))
+    forms = names.select("name", F.explode(F.array(T.jamo(F.col("name")), T.jamo(T.given_name(F.col("name"))))).alias("form")).distinct()
+    asked = found.select("token").distinct().withColumn("letters", T.jamo(F.col("token")))
+    near = fuzzy_pairs(asked.select(F.col("letters").alias("token")), forms.select(F.col("form").alias("name")), floor).select(F.col("token").alias("letters"), F.col("name").alias("form"), "sim")
+    same = asked.join(forms, F.col("letters") == F.col("form")).select("letters", "form", F.lit(1.0).alias("sim")).distinct()
+    pairs = near.union(same).join(asked, "letters").join(forms, "form").groupBy("token", "name").agg(F.max("sim").alias("sim")).filter("token <> name")
+    told = pairs.join(names, "name")
+    label = F.when(F.col("employment_status") == "former", " · 퇴사").when(F.col("employment_status") == "unverified", " · 재직 미확인").otherwise("")
+    place = F.concat(F.col("department"), F.when(F.coalesce("position", F.lit("")) != "", F.concat(F.lit(", "), "position")).otherwise(""), label)
+    told = told.select("token", "sim", "name", F.concat("name", F.lit("("), place, F.lit(") 유사도 "), F.format_number("sim", 2)).alias("said"))
+    each = found.join(told, "token").filter(F.col("sim") >= F.when(F.col("addressed"), floor).otherwise(bare_floor))
+    w = Window.partitionBy("note", "token").orderBy(F.desc("sim"), "name", "said")
+    best = each.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= top).groupBy("note", "token", "addressed", "first").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "said"))), lambda x: x["said"]), ", ").alias("candidates"))
+    order = Window.partitionBy("note").orderBy(F.desc("addressed"), F.desc(F.length("token")), "first")
+    return best.dropDuplicates(["note", "token", "candidates"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).drop("first")
+
+
+def roster_names(lines: DataFrame) -> DataFrame:
+    """the names of a roster's lines (line): what stands before the first tab, without the header and blank lines."""
+    name = F.trim(F.split("line", "\t")[0])
+    return lines.filter((F.trim("line") != "") & ~F.col("line").startswith("name\t")).select(name.alias("name")).filter("name <> ''").distinct()
+
+
+def confirmed_names(roster: DataFrame, ledger_lines: DataFrame) -> DataFrame:
+    """Names known to be real: of the roster (name), and the targets of ledger lines (line) up to a parenthesis."""
+    target = F.trim(F.regexp_extract("line", r"→\s*\*\*([^*(]+)", 1))
+    return roster.select("name").union(ledger_lines.select(target.alias("name"))).filter("name <> ''").distinct()
+
+
+def confirmed_mentions(notes: DataFrame, names: DataFrame) -> DataFrame:
+    """Per note (note, mentions) the mentions that are confirmed names, each once, in the order of first mention."""
+    each = notes.select("note", F.posexplode("mentions").alias("pos", "name")).groupBy("note", "name").agg(F.min("pos").alias("pos")).join(names, "name", "left_semi")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"])
+    return each.groupBy("note").agg(ordered.alias("confirmed"))
+
+
+# What a name may be followed by, and what no name begins within.
+BOUNDARY, PARTICLES = "가-힣A-Za-z0-9", "은|는|이|가|을|를|과|와|에게|께|도|만|로|으로|의"
+DONE = "검증 완료"
+
+
+def _begun(df: DataFrame, text: str, ledger: DataFrame, after: int) -> DataFrame:
+    """``df`` with each variant of ``ledger`` that stands in ``text`` where no letter or digit comes before it, and ``rest``, the next
+    characters, ``after`` of them at least unless the text ends. Variants meet the beginnings of what stands there, by equality."""
+    top = ledger.agg(F.max(F.length("variant")).alias("n"), F.array_sort(F.collect_set(F.length("variant"))).alias("sizes")).first()
+    sizes = [n for n in top["sizes"] if n]  # distinct lengths of names: a few numbers
+    piece = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?<![{BOUNDARY}])(?=(.{{1,{(top['n'] or 0) + after}}}))"), F.lit(1)))
+    each = df.withColumn("_piece", F.explode(piece)).withColumn("_n", F.explode(F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>"))).filter(F.length("_piece") >= F.col("_n"))
+    cut = each.withColumn("variant", F.substring("_piece", F.lit(1), F.col("_n"))).withColumn("rest", F.substring("_piece", F.col("_n") + 1, F.length("_piece")))
+    return cut.drop("_piece", "_n").join(ledger, "variant")
+
+
+def relevant_ledger(transcripts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Per transcript (note, text) the ledger entries (variant, target, count) whose variant it holds with nothing before it that could belong to it."""
+    return _begun(transcripts.select("note", "text"), "text", ledger, 0).select("note", "variant", "target", "count").distinct()
+
+
+def usage_issues(lines: DataFrame, ledger: DataFrame, roster: DataFrame, least: int = 7) -> DataFrame:
+    """Lines of notes (note, line_no, line) outside the section of completed checks in which a variant that was confirmed ``least`` times or more
+    still stands for its target; with a roster (name) only for targets named there. A variant counts alone, with a form of address, or with a particle."""
+    name = F.split(F.trim("target"), r"[\s(]")[0]
+    known = ledger.filter((F.col("count") >= least) & F.col("variant").rlike("^[가-힣]{2,8}$")).withColumn("_name", name).filter(F.col("variant") != F.col("_name"))
+    if roster.limit(1).count():
+        known = known.join(roster.select(F.col("name").alias("_name")).distinct(), "_name", "left_semi")
+    heading = F.regexp_extract("line", r"^#{2,3}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?(.+?)\s*$", 1)
+    section = F.last(F.when(heading != "", heading), ignorenulls=True).over(Window.partitionBy("note").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
+    body = lines.withColumn("_section", section).filter(F.coalesce(F.col("_section") != DONE, F.lit(True))).drop("_section")
+    ends = rf"^(?:님|씨)?(?:$|[^{BOUNDARY}]|{PARTICLES})"
+    hit = _begun(body.select("note", "line_no", "line"), "line", known.drop("_name"), 4).filter(F.col("rest").rlike(ends))
+    return hit.select("note", "line_no", F.trim("line").alias("line"), "variant", "target", "count").distinct()
+
+
+def reported(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """The first ``most`` rows of each key, with how many there are and whether some are left out."""
+    total = rows.groupBy(*keys).agg(F.count("*").alias("total"))
+    first = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= most)
+    return first.join(total, keys).withColumn("truncated", F.col("total") > most)
+
+
+def ledger_counts(confirmed: DataFrame, before: Column | None = None) -> DataFrame:
+    """A2: in how many distinct notes each (target, variant) was confirmed; with ``before`` only in notes strictly before that one,
+    so that a note that is made anew doesn't learn from itself."""
+    confirmed = confirmed if before is None else confirmed.filter(F.col("note") < before)
     return confirmed.select("note", "target", "variant").distinct().groupBy("target", "variant").agg(F.count("*").alias("count"))
 
 
 def grounded(confirmed: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Only variants that the note's own transcript holds; notes without one stay."""
     t = transcripts.select(F.col("note"), F.col("text").alias("transcript"))
-    return confirmed.join(t, "note", "left").filter(F.col("transcript").isNull() | F.expr("contains(transcript, variant)")).drop("transcript")
+    rest = [c for c in confirmed.columns if c != "note"]
+    held = confirmed.groupBy("note").agg(F.collect_list(F.struct(*rest)).alias("x")).join(t, "note", "left")  # each text moves once
+    stays = F.filter("x", lambda x: F.col("transcript").isNull() | F.contains(F.col("transcript"), x["variant"]))
+    return held.select("note", F.explode(stays).alias("x")).select("note", "x.*").select(*confirmed.columns)
 
 
 def ledger_lookup(words: DataFrame, ledger: DataFrame, suffixes: list[str]) -> DataFrame:

@@ -45,17 +45,15 @@ def overlaps(words: DataFrame, turns: DataFrame, width: int) -> DataFrame:
 
 
 def simultaneous(words: DataFrame, turns: DataFrame, width: int) -> DataFrame:
-    """Words within which turns of two speakers overlap: by a window over the turns of a word, in order
-    of start, some turn begins before the latest end so far of another speaker."""
-    inside = met(words, turns, width).filter("least(we, te) > greatest(ws, ts)").select("meeting", "word", "speaker", F.greatest("ws", "ts").alias("s"), F.least("we", "te").alias("e"))
-    before = Window.partitionBy("meeting", "word").orderBy("s", "e", "speaker").rowsBetween(Window.unboundedPreceding, -1)
-    # latest end so far, and the latest end so far of a speaker other than that one's
-    top = F.max(F.struct("e", "speaker")).over(before)
-    ranked = inside.withColumn("top", top)
-    ends = F.collect_list(F.struct("e", "speaker")).over(before)
-    other = F.exists(ends, lambda x: (x["speaker"] != F.col("speaker")) & (x["e"] > F.col("s")))
-    hit = F.when(F.col("top.speaker") != F.col("speaker"), F.col("top.e") > F.col("s")).when(F.col("top.e") > F.col("s"), other).otherwise(False)
-    return ranked.withColumn("hit", F.coalesce(hit, F.lit(False))).groupBy("meeting", "word").agg(F.max("hit").alias("simultaneous"))
+    """Words within which turns of two speakers overlap. A speaker's turns are joined where they overlap; then any that begins
+    before the latest end so far does so within another speaker's."""
+    inside = met(words, turns, width).filter("least(we, te) > greatest(ws, ts) and speaker is not null").select("meeting", "word", "speaker", F.greatest("ws", "ts").alias("s"), F.least("we", "te").alias("e"))
+    before = lambda *keys: F.max("e").over(Window.partitionBy(*keys).orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1))
+    own = ["meeting", "word", "speaker"]
+    flagged = inside.withColumn("_new", F.coalesce(F.col("s") >= before(*own), F.lit(True)))
+    joined = islands(flagged, own, ["s", "e"], F.col("_new")).groupBy(*own, "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    hit = F.coalesce(F.col("s") < before("meeting", "word"), F.lit(False))
+    return joined.withColumn("hit", hit).groupBy("meeting", "word").agg(F.max("hit").alias("simultaneous"))
 
 
 def assign_overlap(words: DataFrame, turns: DataFrame, width: int, margin: float = 0.15) -> DataFrame:
@@ -140,11 +138,13 @@ def speaker_stats(turns: DataFrame, keys: list[str]) -> DataFrame:
 
 def speech_window(silences: DataFrame, pad: float = 0.25, edge: float = 0.05) -> DataFrame:
     """The part of a recording (path, duration, silence_start, silence_end) between a silence at its
-    begin and one at its end, padded; null start where nothing is trimmed."""
+    begin and one at its end, padded; null start where nothing is trimmed, or nothing would be left."""
     first = F.min_by(F.struct("silence_start", "silence_end"), "silence_start")
     last = F.max_by(F.struct("silence_start", "silence_end"), "silence_start")
     ends = silences.groupBy("path", "duration").agg(first.alias("a"), last.alias("z"))
-    start = F.when(F.col("a.silence_start") <= edge, F.greatest(F.col("a.silence_end") - pad, F.lit(0.0))).otherwise(F.lit(0.0))
-    stop = F.when(F.coalesce("z.silence_end", "duration") >= F.col("duration") - edge, F.least(F.col("z.silence_start") + pad, F.col("duration"))).otherwise(F.col("duration"))
+    start = F.when((F.col("a.silence_start") <= edge) & F.col("a.silence_end").isNotNull(), F.greatest(F.col("a.silence_end") - pad, F.lit(0.0))).otherwise(F.lit(0.0))
+    at_end = (F.coalesce("z.silence_end", "duration") >= F.col("duration") - edge) & (F.col("z.silence_start") < F.col("duration"))
+    stop = F.when(at_end, F.least(F.col("z.silence_start") + pad, F.col("duration"))).otherwise(F.col("duration"))
     moved = ends.withColumn("from", start).withColumn("to", stop)
-    return moved.select("path", F.when((F.col("from") > 0) | (F.col("to") < F.col("duration")), F.col("from")).alias("start"), F.when((F.col("from") > 0) | (F.col("to") < F.col("duration")), F.col("to")).alias("end"))
+    some = (F.col("to") > F.col("from")) & ((F.col("from") > 0) | (F.col("to") < F.col("duration")))
+    return moved.select("path", F.when(some, F.col("from")).alias("start"), F.when(some, F.col("to")).alias("end"))

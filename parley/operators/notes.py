@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import stripped, without_particle
+from ..functions.text import FACTS, stripped, without_particle
 
-# The headings of the contract, and endings of formulaic reports.
+# The headings of the contract, the forms of its lines, and endings of formulaic reports.
 HEADINGS = ("## 1. 핵심 결론 및 결정사항", "## 2. Action Items", "## 3. 미결 쟁점 및 다음 결정", "## 4. 상세 논의와 근거", "## 5. 참석자·용어 검증 부록")
-FACTS = "## 6. 객관 명제 팩트체크"
 APPENDIX = ("### 5.1 참석자/언급 인물", "### 5.2 검증 완료", "### 5.3 검증 필요")
 ENDINGS = ("설명했다", "언급됐다", "제기됐다", "논의했다", "공유됐다", "확인됐다", "의견이 나왔다")
 ACTION = r"^- \[(?: |x|X)\] \*\*(A[1-9][0-9]*)\s+·\s+(.+?)\*\*\s*$"
 OPEN = r"^- \*\*(M[1-9][0-9]*)\s+·\s+(.+?)\*\*\s*$"
+ANONYMOUS = r"(?:^|[\s(/])화자\s+[A-Z?](?:$|[\s)/])"
+FIELD_LABELS = "(?:담당|기한|완료 기준|검증 상태|근거(?:/의존성)?):"
+UNCERTAIN = "추정|후보|가능성|불명확|확인 필요"
+REPLACED = r"`([^`]+)`\s*(?:→|->)"
+BOILERPLATE = r"직원 디렉토리에서\s*active로 확인|직원 디렉토리.*확인됨"
 META = r"^(?:\t| {2,})(.+?)\s+·\s+(.+?)\s+·\s+(§4\.[0-9]+(?:\s*,\s*§4\.[0-9]+)*)\s*$"
 
 
@@ -78,89 +82,96 @@ def ending_runs(bullets: DataFrame, key: str) -> DataFrame:
     return runs.filter("ending is not null").groupBy(key, "run", "ending").agg(F.min("pos").alias("begin"), F.count("*").alias("length"))
 
 
-def contract(notes: DataFrame, summary_chars: int = 1400, summary_items: int = 7) -> DataFrame:
-    """note_key and errors, an array of the rules that the note breaks, in their order."""
+def _body(text: Column, heading: str, until: str = "^##\\s") -> Column:
+    """What stands under the first place of a heading, up to the next heading of the kind ``until``."""
+    return stripped(F.regexp_extract(text, rf"(?sm)\Q{heading}\E[^\n]*\n(.*?)(?={until}|\z)", 1))
+
+
+def _items(body: Column, item: str) -> Column:
+    """The items of a section: id, title, whether the line after has their metadata, and the owner that it names."""
+    lines = F.split(body, r"\r\n|\n")
+
+    def one(line: Column, i: Column) -> Column:
+        after = F.coalesce(F.try_element_at(lines, i + 2), F.lit(""))
+        part = lambda k: F.regexp_extract(stripped(line), item, k)
+        return F.struct(part(1).alias("id"), part(2).alias("title"), after.rlike(META).alias("meta"), F.regexp_extract(after, META, 1).alias("owner"))
+
+    return F.filter(F.transform(lines, one), lambda x: x["id"] != "")
+
+
+def _occurs(text: Column, part: Column) -> Column:
+    """How often ``part`` stands in ``text``, without overlap."""
+    return (F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)
+
+
+def contract(notes: DataFrame, summary_chars: int = 1400, summary_items: int = 7, bilingual: tuple[str, ...] = ()) -> DataFrame:
+    """note_key and errors, an array of the rules that the note breaks, in their order. ``bilingual``: names in two scripts, as the
+    house writes them, that a note should spell out twice at most."""
     text = F.col("text")
-    lines = F.split(text, r"\r\n|\n")
-    first = F.element_at(F.concat(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != ""), F.array(F.lit(""))), 1)
-    heads = F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^##\s+.+$"), F.lit(0)), lambda x: F.trim(x))
+    first = F.element_at(F.concat(F.filter(F.transform(F.split(text, r"\r\n|\n"), stripped), lambda x: x != ""), F.array(F.lit(""))), 1)
+    heads = F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^##\s+.+$"), F.lit(0)), stripped)
     facts = F.array_contains(heads, FACTS)
-    want = F.when(facts, F.array(*map(F.lit, (*HEADINGS, FACTS)))).otherwise(F.array(*map(F.lit, HEADINGS)))
+    known = F.array(*map(F.lit, (*HEADINGS, FACTS)))
     required = F.array(*map(F.lit, HEADINGS))
-    body = lambda i: F.regexp_extract(text, rf"(?sm)^\Q{HEADINGS[i]}\E\s*$(.*?)(?=^## |\z)", 1)
-    at = [F.position(F.lit(h), text) for h in APPENDIX]
-    actions = F.regexp_extract_all(body(1), F.lit("(?m)" + ACTION), F.lit(1))
-    opens = F.regexp_extract_all(body(2), F.lit("(?m)" + OPEN), F.lit(1))
-    bullets = F.filter(F.transform(F.split(body(3), "\n"), lambda x: F.trim(x)), lambda x: x.startswith("- ") | x.startswith("* "))
-    ends = F.transform(bullets, lambda x: ending(x))
-    told = F.filter(ends, lambda x: x.isNotNull())
-    counts = F.transform(F.array_distinct(told), lambda e: F.size(F.filter(told, lambda x: x == e)))
-    runs = F.aggregate(
-        ends, F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most")),
-        lambda a, x: F.struct(x.alias("last"), F.when(x.isNull(), 0).when(x == a["last"], a["n"] + 1).otherwise(1).alias("n"), F.greatest(a["most"], F.when(x.isNull(), 0).when(x == a["last"], a["n"] + 1).otherwise(1)).alias("most")),
-        lambda a: a["most"],
-    )
-    summary = stripped(body(0))
-    points = F.size(F.filter(F.split(summary, "\n"), lambda x: F.trim(x).rlike(r"^(?:[-*+]\s+|[0-9]+[.)]\s+)")))
-    first_four = F.concat(*(body(i) for i in range(4)))
-    attendees = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[0]}\E(.*?)(?=\n##|\z)", 1)
-    verified = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[1]}\E(.*?)(?=\n##|\z)", 1)
-    pending = F.regexp_extract(text, rf"(?s)\Q{APPENDIX[2]}\E(.*?)(?=\n##|\z)", 1)
+    named = {name: _body(text, h) for name, h in zip(("summary", "actions", "open", "detail", "appendix", "facts"), (*HEADINGS, FACTS))}
+    named |= {name: _body(text, h, "^#{2,3}\\s") for name, h in zip(("attendees", "verified", "pending"), APPENDIX)}
+    x = notes.select("note_key", "text", first.alias("first"), heads.alias("heads"), *(c.alias(n) for n, c in named.items()))
+    x = x.withColumn("a", _items(F.col("actions"), ACTION)).withColumn("o", _items(F.col("open"), OPEN))
+    heads, at = F.col("heads"), [F.position(F.lit(h), text) for h in APPENDIX]
+    want = F.when(F.array_contains(heads, FACTS), known).otherwise(required)
+    points = F.size(F.filter(F.split("summary", "\n"), lambda l: stripped(l).rlike(r"^(?:[-*+]\s+|[0-9]+[.)]\s+)")))
+    summary = F.col("summary")
+
+    def listed(name: str, items: str, prefix: str) -> dict[str, Column]:
+        body, of = F.col(name), F.col(items)
+        used = (body != "") & (body != "- 해당 없음")
+        ids, titles = F.transform(of, lambda i: i["id"]), F.transform(of, lambda i: i["title"])
+        numbers = F.array_sort(F.transform(F.array_distinct(ids), lambda i: F.substring(i, F.lit(2), F.length(i)).cast("int")))
+        whole = F.when(F.size(of) == 0, F.lit(True)).otherwise(numbers == F.sequence(F.lit(1), F.greatest(F.size(of), F.lit(1))))
+        return {
+            "none": used & (F.size(of) == 0), "ids": used & (F.size(ids) != F.size(F.array_distinct(ids))), "titles": used & (F.size(titles) != F.size(F.array_distinct(titles))), "gaps": used & ~whole,
+            "elsewhere": used & F.exists(titles, lambda t: _occurs(text, t) > 1), "bare": used & F.exists(of, lambda i: ~i["meta"]), "anonymous": used & F.exists(of, lambda i: i["meta"] & i["owner"].rlike(ANONYMOUS)), "used": used,
+        }
+
+    act, opened = listed("actions", "a", "A"), listed("open", "o", "M")
+    bullets = F.filter(F.transform(F.split("detail", "\n"), stripped), lambda l: l.startswith("- ") | l.startswith("* "))
+    x = x.withColumn("ends", F.transform(bullets, lambda b: ending(b)))
+    told = F.filter("ends", lambda e: e.isNotNull())
+    most = F.coalesce(F.array_max(F.transform(F.array_distinct(told), lambda e: F.size(F.filter(told, lambda y: y == e)))), F.lit(0))
+    run = lambda a, e: F.when(e.isNull(), 0).when(e == a["last"], a["n"] + 1).otherwise(1)
+    runs = F.aggregate("ends", F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most")), lambda a, e: F.struct(e.alias("last"), run(a, e).alias("n"), F.greatest(a["most"], run(a, e)).alias("most")), lambda a: a["most"])
+    n = F.size("ends")
     sources = lambda part, p: F.transform(F.regexp_extract_all(part, F.lit(p), F.lit(1)), without_particle)
-    rules: list[tuple[Column, Column | str]] = [
-        (~first.startswith("# ") | first.startswith("## "), "title"),
+    checked, found = F.array_contains(heads, FACTS), F.col("facts")
+    fact_ids = F.transform(F.regexp_extract_all(found, F.lit(r"(?m)^### F([1-9][0-9]*)[.]\s+"), F.lit(1)), lambda i: i.cast("int"))
+    against = checked & found.contains("객관 사실과 충돌")
+    primary = ("summary", "actions", "open", "detail")
+    rules: list[tuple[Column, str]] = [
+        (~F.col("first").startswith("# ") | F.col("first").startswith("## "), "title"),
         *((~F.array_contains(heads, h), f"missing section: {h}") for h in HEADINGS),
-        (F.size(F.array_except(heads, F.array(*map(F.lit, (*HEADINGS, FACTS))))) > 0, "unexpected section"),
+        (F.size(F.array_except(heads, known)) > 0, "unexpected section"),
         ((F.size(F.array_except(required, heads)) == 0) & (heads != want), "section order"),
         *((p == 0, f"missing subsection: {h}") for p, h in zip(at, APPENDIX)),
         ((at[0] > 0) & (at[1] > 0) & (at[2] > 0) & ~((at[0] < at[1]) & (at[1] < at[2])), "subsection order"),
         (text.rlike(r"(?m)^##\s+.*Task Handoff"), "task handoff"),
         (F.length(summary) > summary_chars, "summary length"),
         ((summary != "") & ~points.between(1, summary_items), "summary items"),
-        (F.size(actions) == 0, "no action"),
-        (F.size(actions) != F.size(F.array_distinct(actions)), "action ids repeat"),
-        (~contiguous(F.array_distinct(actions), "A"), "action ids not contiguous"),
-        (body(1).rlike(r"(?m)^\s*\|"), "action table"),
-        (body(1).rlike(r"(?:담당|기한|완료 기준|검증 상태|근거(?:/의존성)?):"), "action field labels"),
-        (body(1).rlike(r"(?m)(?:^|[\s(/])화자\s+[A-Z?](?:$|[\s)/])"), "anonymous owner"),
-        (F.size(opens) != F.size(F.array_distinct(opens)), "open ids repeat"),
-        (~contiguous(F.array_distinct(opens), "M"), "open ids not contiguous"),
-        (first_four.rlike(r"(?m)^\s*\|"), "table in sections 1 to 4"),
-        (first_four.rlike("`[^`]+`"), "inline code in sections 1 to 4"),
-        (verified.rlike("추정|후보|가능성|불명확|확인 필요"), "uncertain verification"),
-        (F.size(F.filter(sources(verified, r"`([^`]+)`\s*(?:→|->)"), lambda x: x.rlike("[0-9]"))) > 0, "verified number"),
-        (F.size(F.array_intersect(sources(verified, r"`([^`]+)`\s*(?:→|->)"), sources(pending, "`([^`]+)`"))) > 0, "verified and pending"),
-        (runs >= 4, "repeated ending"),
-        ((F.size(bullets) >= 12) & (F.size(told) >= 8) & (F.size(told) / F.size(bullets) >= 0.45), "formulaic endings"),
-        ((F.coalesce(F.array_max(counts), F.lit(0)) >= 10) & (F.coalesce(F.array_max(counts), F.lit(0)) / F.greatest(F.size(bullets), F.lit(1)) >= 0.25), "overused ending"),
-        (F.regexp_count(attendees, F.lit(r"직원 디렉토리에서\s*active로 확인|직원 디렉토리.*확인됨")) >= 2, "roster boilerplate"),
-    ]
-    errors = F.filter(F.array(*(F.when(broken, F.lit(name)) for broken, name in rules)), lambda x: x.isNotNull())
-    return notes.select("note_key", errors.alias("errors"))
-
-
-def projected(notes: DataFrame) -> DataFrame:
-    """A readable form with evidence references as links, and whether removing them gives
-    the text back exactly."""
-    readable = F.regexp_replace("text", r"§(4\.[0-9]+)", r"[§$1](#sec-$1)")
-    back = F.regexp_replace(readable, r"\[§(4\.[0-9]+)\]\(#sec-4\.[0-9]+\)", "§$1")
-    return notes.select("note_key", readable.alias("readable"), (back == F.col("text")).alias("faithful"))
-
-
-def visual_kind(text: Column) -> Column:
-    """Of four scored kinds the best one that reaches its least counts, or null."""
-    n = lambda p: F.regexp_count(text, F.lit(p))
-    stages, strong = n("(?i)단계|phase|stage"), n("(?i)rollout|배포|출시")
-    nodes, links = n("(?i)system|시스템|server|api|db"), n("->|→|연동|연결")
-    dates, marks = n(r"[0-9]{4}-[0-9]{2}-[0-9]{2}"), n("(?i)milestone|마일스톤|일정")
-    choices = n("(?i)결정|decision|option|대안")
-    scored = F.array(
-        F.when((stages >= 4) & (strong >= 2), F.struct((stages + strong).alias("score"), F.lit(-1).alias("rank"), F.lit("rollout").alias("kind"))),
-        F.when((nodes >= 6) & (links >= 2), F.struct((nodes + links).alias("score"), F.lit(-2).alias("rank"), F.lit("system").alias("kind"))),
-        F.when((marks >= 3) & (dates >= 2), F.struct((marks + dates).alias("score"), F.lit(-3).alias("rank"), F.lit("milestone").alias("kind"))),
-        F.when(choices >= 5, F.struct(choices.alias("score"), F.lit(-4).alias("rank"), F.lit("decision").alias("kind"))),
-    )
-    return F.array_max(F.filter(scored, lambda x: x.isNotNull()))["kind"]
+        (act["ids"], "action ids repeat"), (act["titles"], "action text repeats"), (act["elsewhere"], "action text elsewhere"), (act["bare"], "action without metadata"), (act["anonymous"], "anonymous owner"),
+        (act["none"], "no action"), (act["gaps"], "action ids not contiguous"), (act["used"] & F.col("actions").contains("|"), "action table"), (act["used"] & F.col("actions").rlike(FIELD_LABELS), "action field labels"),
+        (opened["ids"], "open ids repeat"), (opened["elsewhere"], "open text elsewhere"), (opened["bare"], "open item without metadata"), (opened["anonymous"], "anonymous open owner"), (opened["none"], "no open item"), (opened["gaps"], "open ids not contiguous"),
+        *((F.col(c).contains("<table") | F.col(c).rlike(r"(?m)^[ \t]*\|"), f"table: {h}") for c, h in zip(primary, HEADINGS)), *((F.col(c).rlike("`[^`]+`"), f"inline code: {h}") for c, h in zip(primary, HEADINGS)),
+        (F.col("verified").rlike(UNCERTAIN), "uncertain verification"),
+        (F.exists(F.regexp_extract_all("verified", F.lit(REPLACED), F.lit(1)), lambda s: s.rlike("[0-9]")), "verified number"),
+        (F.size(F.array_intersect(sources(F.col("verified"), REPLACED), sources(F.col("pending"), "`([^`]+)`"))) > 0, "verified and pending"),
+        (checked & ~found.contains("- 웹검색:"), "search state missing"), (checked & (F.size(fact_ids) > 0) & (fact_ids != F.sequence(F.lit(1), F.greatest(F.size(fact_ids), F.lit(1)))), "fact ids not contiguous"),
+        (against & ~(found.contains("- 바로잡기:") & found.contains("- 틀린 이유:")), "contradicted without correction"), (against & ~found.rlike("(?m)^- 근거: .+"), "contradicted without evidence"),
+        (against & F.exists(F.regexp_extract_all(found, F.lit(r"\]\(([^)]+)\)"), F.lit(1)), lambda u: ~u.startswith("https://")), "indirect link"),
+        *((F.regexp_count(F.concat_ws("\n", *primary), F.lit(rf"\Q{p}\E")) > 2, f"repeated product name: {p}") for p in bilingual),
+        (runs >= 4, "repeated ending"), ((n >= 12) & (F.size(told) >= 8) & (F.size(told) / n >= 0.45), "formulaic endings"), ((most >= 10) & (most / F.greatest(n, F.lit(1)) >= 0.25), "overused ending"),
+        (F.regexp_count("attendees", F.lit(BOILERPLATE)) >= 2, "roster boilerplate"),
+    ]
+    errors = F.filter(F.array(*(F.when(broken, F.lit(name)) for broken, name in rules)), lambda e: e.isNotNull())
+    return x.select("note_key", errors.alias("errors"))
 
 
 def previous(notes: DataFrame, group: str, key: str, turn: str, most: int, wide: int = 1000) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.text import collapsed, stripped
+from ..functions.text import stripped
 
 
 def admitted(receipts: DataFrame, artifacts: DataFrame) -> DataFrame:
@@ -33,11 +33,21 @@ def history(before: DataFrame, published: DataFrame) -> tuple[DataFrame, DataFra
     return latest, old
 
 
+# What an attendee line or a recording's label says besides names.
+PRIVATE = r"(?<![0-9A-Za-z가-힣])비공개(?![0-9A-Za-z가-힣])"
+DATED = r"(?:^|[_\s-])20[0-9]{6}(?:[_\s-]?[0-9]{6})?(?:$|[_\s-])"
+GENERIC = ("미팅", "회의", "녹음", "음성", "새로운", "참석자", "비공개", "meeting")
+NAME = "^[가-힣]{2,4}$"
+
+
 def attendees(line: Column, roster: Column) -> Column:
-    """The names of an attendee line: markers, dates and generic labels dropped; roster names, or what looks like a name."""
-    bare = F.regexp_replace(F.regexp_replace(line, r"^\s*[-*]?\s*(?:참석자|attendees)\s*[:：]\s*", ""), r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}|\([^)]*\)", "")
-    parts = F.transform(F.split(bare, "[,/·]"), lambda x: collapsed(x))
-    return F.array_distinct(F.filter(parts, lambda x: F.array_contains(roster, x) | (x.rlike("^[가-힣]{2,5}$") & ~x.rlike("^(?:화자|참석자|미정|없음)$"))))
+    """The names of an attendee line, each once: privacy mark, heading, dates and generic labels go; with a roster only its names stay, without
+    one what looks like a name."""
+    bare = F.regexp_replace(line, PRIVATE, " ")
+    for mark in (r"(?i)^\s*참석자\s*:\s*", DATED, r"(?i)\bmeeting\b", r"(?:^|[\s_-])미팅(?:$|[\s_-])"):
+        bare = F.regexp_replace(bare, mark, "" if mark.startswith("(?i)^") else " ")
+    parts = F.filter(F.split(bare, r"[,，+&/\s_-]+"), lambda x: (x != "") & ~F.lower(x).isin(*GENERIC))
+    return F.array_distinct(F.filter(parts, lambda x: F.when(F.size(roster) > 0, F.array_contains(roster, x)).otherwise(x.rlike(NAME))))
 
 
 def first_attendees(*sources: Column) -> Column:

@@ -21,9 +21,19 @@ def distinctive(terms: DataFrame, generic: tuple[str, ...]) -> DataFrame:
     return terms.filter((F.length("term") >= 2) & ~F.lower("term").isin(*[g.lower() for g in generic])).distinct()
 
 
-def found(terms: DataFrame, index: DataFrame, key: str, top: int) -> DataFrame:
-    """For each term the ``top`` documents by (most hits, key)."""
-    hit = index.join(terms.select(F.lower("term").alias("token"), "term"), "token")
+SMALL = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has at most SMALL rows."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def found(terms: DataFrame, docs: DataFrame, key: str, text: str, top: int) -> DataFrame:
+    """For each term the ``top`` documents by (most hits, key). Only the terms' tokens are counted."""
+    asked = small(terms.select(F.lower("term").alias("token"), "term").distinct())
+    spoken = docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
+    hit = spoken.join(asked, "token").groupBy("term", key).agg(F.count("*").alias("tf"))
     w = Window.partitionBy("term").orderBy(F.col("tf").desc(), key)
     return hit.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("term", key, "tf", "rank")
 
@@ -39,13 +49,22 @@ def substring_hits(terms: DataFrame, docs: DataFrame, key: str, text: str, n: in
     return spoken.join(met, "word").select("term", key).distinct()
 
 
-def related(terms: DataFrame, notes: DataFrame, top: int, least: float = 2.0) -> DataFrame:
-    """Notes (key, day, title, text) by the sum over terms of 3 for one in the title, else 1
-    for one in the text; the ``top`` by (score, day, key) of those that reach ``least``."""
-    in_title = notes.select("key", "day", F.explode(F.array_distinct(tokens(F.col("title")))).alias("token"), F.lit(3).alias("points"))
-    in_text = notes.select("key", "day", F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"), F.lit(1).alias("points"))
-    hit = in_title.union(in_text).join(terms.select(F.lower("term").alias("token")).distinct(), "token").groupBy("key", "day", "token").agg(F.max("points").alias("points"))
-    return hit.groupBy("key", "day").agg(F.sum("points").alias("score")).filter(F.col("score") >= least).orderBy(F.desc("score"), F.desc("day"), "key").limit(top)
+def matched(terms: DataFrame, notes: DataFrame, since: Column, most: int = 25) -> DataFrame:
+    """Notes (key, day, title, text) from ``since`` on that hold a term as a token, in the title or the text: the newest ``most`` of
+    each term by (day, key), with whether the term stands in the title."""
+    asked = small(terms.select(F.lower("term").alias("token")).distinct())
+    spoken = lambda c, title: notes.filter(F.col("day") >= since).select("key", "day", F.explode(F.array_distinct(tokens(F.col(c)))).alias("token"), F.lit(title).alias("in_title"))
+    hit = spoken("title", True).union(spoken("text", False)).join(asked, "token").groupBy("token", "key", "day").agg(F.max("in_title").alias("in_title"))
+    w = Window.partitionBy("token").orderBy(F.desc("day"), F.desc("key"))
+    return hit.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
+
+
+def related(terms: DataFrame, notes: DataFrame, top: int, least: float = 2.0, since: Column | None = None, most: int = 25, generic: tuple[str, ...] = ()) -> DataFrame:
+    """The distinctive terms (P11) with the newest notes of each (J12); a note's score is the sum over its terms of 3 for one in the
+    title, else 1 (A9); the ``top`` by (score, day, key) of those that reach ``least`` (T3)."""
+    hit = matched(distinctive(terms, generic), notes, F.lit("") if since is None else since, most)
+    points = F.sum(F.when(F.col("in_title"), 3).otherwise(1))
+    return hit.groupBy("key", "day").agg(points.alias("score")).filter(F.col("score") >= least).orderBy(F.desc("score"), F.desc("day"), F.desc("key")).limit(top)
 
 
 def masked(own: Column, items: Column, keywords: Column, most: int, other: int) -> tuple[Column, Column]:

@@ -6,24 +6,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def audit(notes: DataFrame, pending: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Keys (key) of notes (sha, valid), queue and jobs (stage) in one table with issues, the
-    action to take and a status."""
-    n, p, j = notes.withColumn("has_note", F.lit(True)), pending.select("key").distinct().withColumn("queued", F.lit(True)), jobs.withColumn("has_job", F.lit(True))
-    x = n.join(p, "key", "full_outer").join(j, "key", "full_outer")
+# The codes of what can be wrong with a note's state, and the artifacts that a review leaves.
+ISSUES = (
+    "NOTE_MISSING", "NOTE_UNREADABLE", "NOTE_INVALID", "NOTE_REFERENCE_INVALID", "TRANSCRIPT_MISSING", "PREVIEW_MISSING", "PREVIEW_STALE", "REVIEW_MISSING", "REVIEW_INVALID",
+    "READINESS_MISSING", "READINESS_INVALID", "READINESS_STALE", "QUEUE_ORPHAN_REF", "JOB_STAGED_NOTE", "JOB_STAGED_REVIEW", "JOB_ORPHAN_REF", "LEGACY_NOTE_UNTRACKED",
+)
+ARTIFACTS = ("review.md", "review.json", "wiki-update-candidates.md")
+REPAIRABLE = ("PREVIEW_MISSING", "PREVIEW_STALE", "REVIEW_MISSING", "REVIEW_INVALID", "READINESS_MISSING", "READINESS_STALE", "JOB_STAGED_REVIEW")
+READINESS = ("source_path", "source_sha256", "transcript_path", "transcript_sha256", "readable_path", "readable_sha256", "review_dir")
+
+
+def receipt_shape(receipt: Column, artifacts: tuple[str, ...] = ARTIFACTS) -> Column:
+    """whether a readiness receipt (a struct of RECEIPTS' kind) is of version 1, names all of READINESS and has a hash of each artifact, and of no other."""
+    named = F.lit(True)
+    for field in READINESS:
+        named = named & (F.coalesce(receipt[field], F.lit("")) != "")
+    found = receipt["review_artifacts"]
+    same = F.array_sort(F.map_keys(found)) == F.array_sort(F.array(*map(F.lit, artifacts)))
+    return F.coalesce((receipt["schema_version"] == 1) & named & same & ~F.exists(F.map_values(found), lambda v: F.coalesce(v, F.lit("")) == ""), F.lit(False))
+
+
+def audit(notes: DataFrame, pending: DataFrame, jobs: DataFrame, published: DataFrame) -> DataFrame:
+    """Every key of the notes, the queue and the jobs (stage: note or review) with its issue codes, sorted, the action that
+    comes first, and whether its source is there. ``notes``: key, and booleans readable, valid (the contract), transcript (there and not
+    blank), preview (there), preview_faithful, review (all artifacts there), review_valid, receipt (there), receipt_valid (its shape)
+    and receipt_current (all its hashes); null counts as false. A key without such a row has no note; ``transcript`` may be given for it as well,
+    with ``exists`` false. ``published`` are the keys known from before."""
+    n = notes if "exists" in notes.columns else notes.withColumn("exists", F.lit(True))
+    x = n.join(pending.select("key").distinct().withColumn("queued", F.lit(True)), "key", "full_outer")
+    x = x.join(jobs.groupBy("key").agg(F.first("stage").alias("stage")), "key", "full_outer")
+    x = x.join(published.select("key").distinct().withColumn("published", F.lit(True)), "key", "left")
+    x = x.filter(F.coalesce("exists", F.lit(False)) | F.col("queued") | F.col("stage").isNotNull())
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    issue = lambda cond, name: F.when(cond, F.lit(name))
-    issues = F.filter(F.array(
-        issue(yes("queued") & ~yes("has_note"), "pending_without_note"),
-        issue(yes("has_note") & ~yes("valid"), "invalid_note"),
-        issue(yes("has_job") & ~yes("has_note"), "job_without_note"),
-        issue(yes("has_job") & yes("queued"), "queued_with_open_job"),
-        issue(yes("has_note") & ~yes("queued") & ~yes("has_job"), "unqueued_note"),
-    ), lambda i: i.isNotNull())
-    has = lambda name: F.array_contains("issues", name)
-    action = F.when(has("pending_without_note"), "drop_from_queue").when(has("job_without_note"), "rerun_note").when(has("invalid_note"), "repair_note").when(has("queued_with_open_job"), "finish_job").when(has("unqueued_note"), "enqueue").otherwise("none")
-    status = F.when(F.size("issues") == 0, 0).when(has("pending_without_note") | has("invalid_note"), 2).otherwise(1)
-    return x.withColumn("issues", issues).select("key", yes("queued").alias("queued"), "issues", action.alias("action"), status.alias("status"))
+    sound = F.col("key").rlike(r"^notes/[^/]+/[^/]+\.md$") & ~F.col("key").rlike(r"(?:^|/)\.\.?(?:/|$)")
+    there, job = yes("exists") & sound, F.col("stage").isNotNull()
+    open_ = there & yes("readable")
+    whole = yes("receipt") & yes("receipt_valid")
+    codes = F.array_sort(_told([
+        (~sound, "NOTE_REFERENCE_INVALID"), (sound & ~yes("exists"), "NOTE_MISSING"), (there & ~yes("readable"), "NOTE_UNREADABLE"), (open_ & ~yes("valid"), "NOTE_INVALID"), (open_ & ~yes("transcript"), "TRANSCRIPT_MISSING"),
+        (open_ & ~yes("preview"), "PREVIEW_MISSING"), (open_ & yes("preview") & ~yes("preview_faithful"), "PREVIEW_STALE"), (open_ & ~yes("review"), "REVIEW_MISSING"), (open_ & yes("review") & ~yes("review_valid"), "REVIEW_INVALID"),
+        (open_ & ~yes("receipt"), "READINESS_MISSING"), (open_ & yes("receipt") & ~yes("receipt_valid"), "READINESS_INVALID"), (open_ & whole & ~(yes("review") & yes("transcript") & yes("receipt_current")), "READINESS_STALE"),
+        (yes("queued") & ~there, "QUEUE_ORPHAN_REF"), (F.col("stage") == "note", "JOB_STAGED_NOTE"), (F.col("stage") == "review", "JOB_STAGED_REVIEW"), (job & ~there, "JOB_ORPHAN_REF"),
+        (there & ~yes("queued") & ~job & ~yes("receipt") & ~yes("published"), "LEGACY_NOTE_UNTRACKED"),
+    ]))
+    x = x.withColumn("issues", codes)
+    has = lambda *names: F.arrays_overlap("issues", F.array(*map(F.lit, names)))
+    action = (
+        F.when(F.size("issues") == 0, F.lit(None)).when(has("TRANSCRIPT_MISSING") | (has("NOTE_MISSING") & ~yes("transcript")), "restore_source_required").when(has("NOTE_MISSING"), "generate_missing_note")
+        .when(has("NOTE_INVALID"), "regenerate_invalid_note").when(has("READINESS_INVALID", "NOTE_REFERENCE_INVALID"), "manual_triage_required").when(has(*REPAIRABLE), "repair_preview_or_review").otherwise("manual_triage_required")
+    )
+    return x.select("key", yes("queued").alias("queued"), job.alias("job"), "issues", action.alias("action"))
+
+
+def _told(rules: list[tuple[Column, str]]) -> Column:
+    return F.filter(F.array(*(F.when(broken, F.lit(name)) for broken, name in rules)), lambda x: x.isNotNull())
 
 
 def issue_counts(audited: DataFrame) -> DataFrame:
@@ -31,6 +67,15 @@ def issue_counts(audited: DataFrame) -> DataFrame:
     return audited.select("queued", F.explode("issues").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"), F.count_if("queued").alias("n_queued"))
 
 
+def audit_summary(audited: DataFrame) -> DataFrame:
+    """One row: counts of keys, queued ones, jobs, those that need action, and issues; and the status: 2 if a receipt or a reference is invalid,
+    1 if anything needs action, else 0."""
+    bad = F.arrays_overlap("issues", F.array(F.lit("READINESS_INVALID"), F.lit("NOTE_REFERENCE_INVALID")))
+    act = F.size("issues") > 0
+    counts = audited.agg(F.count("*").alias("notes"), F.count_if("queued").alias("pending"), F.count_if("job").alias("jobs"), F.count_if(act).alias("actionable"), F.count_if(act & F.col("queued")).alias("pending_actionable"), F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("issues"), F.count_if(bad).alias("_bad"))
+    return counts.withColumn("status", F.when(F.col("_bad") > 0, 2).when(F.col("actionable") > 0, 1).otherwise(0)).drop("_bad")
+
+
 def changed(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Keys of ``after`` that are new or differ in a field, nulls equal."""
     b = before.select(key, *(F.col(f).alias(f"_b_{f}") for f in fields), F.lit(True).alias("_old"))

@@ -45,52 +45,29 @@ def patch_application(spark: SparkSession, d: str) -> DataFrame:
     return C.applied(lines, kept).select("line_no", "line")
 
 
-@query("""with recursive p as (select l_orderkey doc, l_linenumber i, (l_partkey % 3)::int line, (l_suppkey % 40)::int s, (l_suppkey % 40 + 1 + l_quantity % 9)::int e, 100 + 2 * (l_orderkey % 400) chars from lineitem where l_orderkey < 4000),
+@query("""with recursive p as (select l_orderkey doc, l_linenumber i, (l_partkey % 3)::int line, (l_suppkey % 40)::int s, (l_suppkey % 40 + 1 + l_quantity % 9)::int e, 100 + 2 * (l_orderkey % 400) chars from lineitem),
   o as (select *, row_number() over (partition by doc order by i, line, s, e) n from p),
   f as (select doc, chars, 0::bigint n, 0::bigint used, [] :: struct(i int, line int, s int, e int)[] kept from (select distinct doc, chars from o)
     union all select f.doc, f.chars, f.n + 1, case when x.ok then f.used + o.e - o.s else f.used end, case when x.ok then list_append(f.kept, {'i': o.i::int, 'line': o.line, 's': o.s, 'e': o.e}) else f.kept end
     from f join o on o.doc = f.doc and o.n = f.n + 1, lateral (select not coalesce(list_bool_or(list_transform(f.kept, lambda k: k.line = o.line and k.s < o.e and o.s < k.e)), false) and (f.used + o.e - o.s)::double / f.chars <= 0.05 ok) x)
   select doc, max(used)::bigint used, max(len(kept))::bigint kept from f group by 1 having max(len(kept)) > 0""")
 def patch_budget_fold(spark: SparkSession, d: str) -> DataFrame:
-    """E6 and W15 over patches made of the order lines that its SQL takes; patch_budget_fold_whole has all orders."""
-    return _budgets(table(spark, d, "lineitem").filter("l_orderkey < 4000"))
-
-
-@query()
-def patch_budget_fold_whole(spark: SparkSession, d: str) -> DataFrame:
-    """E6 and W15 over patches made of all order lines."""
-    return _budgets(table(spark, d, "lineitem"))
-
-
-def _budgets(p: DataFrame) -> DataFrame:
+    """E6 and W15 over patches made of the order lines."""
+    p = table(spark, d, "lineitem")
     s = (F.col("l_suppkey") % 40).cast("int")
     made = p.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("patch_idx"), (F.col("l_partkey") % 3).cast("int").alias("line"), s.alias("start"), (s + 1 + F.col("l_quantity") % 9).cast("int").alias("end"), F.lit(True).alias("accepted"))
     sizes = p.select(F.col("l_orderkey").alias("doc"), (100 + 2 * (F.col("l_orderkey") % 400)).alias("chars")).distinct()
     return C.budgeted(made, sizes).groupBy("doc").agg(F.max("used").cast("long").alias("used"), F.count("*").alias("kept"))
 
 
-def _cases(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
-    """Documents, or their first ``most`` words, against their lower case with every seventh word gone."""
-    w = T.words(F.regexp_replace("text", "[^ -~]", "?"))
-    w = F.slice(w, 1, most) if most else w
-    gone = F.filter(F.col("w"), lambda x, i: i % 7 != 6)
-    docs = table(spark, d, "documents").select("doc_id", "lang", w.alias("w")).filter(F.size("w") > 0)
-    return docs.select(F.col("doc_id").alias("id"), "lang", F.array_join("w", " ").alias("reference"), F.lower(F.array_join(gone, " ")).alias("hypothesis"))
-
-
-_CASES = "w as (select doc_id, lang, list_filter(string_split_regex(trim(regexp_replace(regexp_replace(text, '[^ -~]', '?', 'g'), '\\s+', ' ', 'g')), ' '), lambda x: x <> '')[1:60] w from documents), c as (select doc_id id, lang, array_to_string(w, ' ') r, lower(array_to_string(list_filter(w, lambda x, i: (i - 1) % 7 <> 6), ' ')) h from w where len(w) > 0), u as (select *, replace(r, ' ', '') rc, replace(h, ' ', '') hc from c)"
-
-
-@query(f"with {_CASES} select lang, count(*)::bigint cases, round(sum(levenshtein(rc, hc))::double / sum(length(rc)), 9) cer from u group by 1")
-def cer_micro(spark: SparkSession, d: str) -> DataFrame:
-    """A5: character error rates by language, of the first 60 words that its SQL takes; cer_wer_micro has whole texts."""
-    return R.micro(R.rates(_cases(spark, d, 60)), ["lang"]).select("lang", "cases", F.round("cer", 9).alias("cer"))
-
-
 @query()
 def cer_wer_micro(spark: SparkSession, d: str) -> DataFrame:
-    """A5 over F2 of whole documents, with token distances, which no SQL function gives."""
-    return R.micro(R.rates(_cases(spark, d)), ["lang"])
+    """A5 over F2 of whole documents: error rates by language of their lower case with every seventh word gone."""
+    w = T.words(F.regexp_replace("text", "[^ -~]", "?"))
+    gone = F.filter(F.col("w"), lambda x, i: i % 7 != 6)
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text").filter(F.col("text").rlike(r"\S")).repartition("doc_id").select("doc_id", "lang", w.alias("w"))
+    cases = docs.select(F.col("doc_id").alias("id"), "lang", F.array_join("w", " ").alias("reference"), F.lower(F.array_join(gone, " ")).alias("hypothesis"))
+    return R.micro(R.rates(cases), ["lang"])
 
 
 @query("select doc_id, case when not coalesce(quality is not null, false) then 'not_reviewed' when n_chars % 10 = 0 then 'measured_not_gated' when quality = 0 or toxic = 1 then 'gated_fail' else 'gated_pass' end verdict from documents left join labels using (doc_id)")
@@ -100,73 +77,148 @@ def quality_gate_verdict(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", R.verdict(F.col("quality").isNotNull(), F.col("n_chars") % 10 != 0, (F.col("quality") == 0) | (F.col("toxic") == 1)).alias("verdict"))
 
 
-_FACT = "cand as (select doc_id::varchar id, doc_id % 4 = 0 stt_risk, (doc_id % 100)::double s, lang from documents), ev as (select doc_id::varchar id, case when quality = 1 then 'confirmed' else 'contradicted' end verdict from labels where toxic = 0), rv as (select doc_id::varchar id, case when doc_id % 8 = 0 then 'confirmed' else 'unclear' end status from documents where doc_id % 4 = 0)"
-_MERGED = "m as (select id, lang, case when ev.verdict is null then 'unverifiable' when stt_risk and not coalesce(status = 'confirmed', false) then 'unverifiable' else ev.verdict end verdict, coalesce(status, 'not_reviewed') audio from cand left join ev using (id) left join rv using (id))"
+_FACT = """cand as (select doc_id::varchar id, doc_id % 4 = 0 stt_risk, (doc_id % 100)::double s, case doc_id % 5 when 0 then 'internal_authority' when 1 then 'speaker_conflict' when 2 then 'deterministic' else 'public_web' end checkability, doc_id % 11 <> 0 searched from documents),
+  ev as (select doc_id::varchar id, case when doc_id % 13 = 0 then 'not_assessable' when toxic = 1 then 'partially_verified' when quality = 1 then 'verified' else 'contradicted' end verdict from labels where doc_id % 3 <> 0),
+  rv as (select doc_id::varchar id, case doc_id % 12 when 0 then 'confirmed' when 4 then 'not_confirmed' else 'uncertain' end status from documents where doc_id % 8 = 0)"""
+_MERGED = """m as (select id, case when checkability = 'speaker_conflict' then 'speaker_conflict' when checkability = 'internal_authority' or not searched or ev.verdict is null then 'not_assessable'
+  when stt_risk and ev.verdict in ('verified', 'contradicted', 'partially_verified') and (status is null or status <> 'confirmed') then 'stt_review_needed' else ev.verdict end verdict,
+  case when checkability in ('speaker_conflict', 'internal_authority') or not searched or ev.verdict is null then null else status end audio,
+  case when checkability in ('speaker_conflict', 'internal_authority') or not searched or ev.verdict is null or (stt_risk and ev.verdict in ('verified', 'contradicted', 'partially_verified') and (status is null or status <> 'confirmed')) then 'low' else 'high' end confidence
+  from cand left join ev using (id) left join rv using (id))"""
 
 
 def _facts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    start = (F.col("doc_id") % 100).cast("double")
-    c = docs.select(F.col("doc_id").cast("string").alias("id"), (F.col("doc_id") % 4 == 0).alias("stt_risk"), start.alias("start_seconds"), (start + 5).alias("end_seconds"), "lang")
-    e = labels.filter("toxic = 0").select(F.col("doc_id").cast("string").alias("candidate_id"), F.when(F.col("quality") == 1, "confirmed").otherwise("contradicted").alias("verdict"), F.lit("high").alias("confidence"))
-    r = docs.filter("doc_id % 4 = 0").select(F.col("doc_id").cast("string").alias("candidate_id"), F.when(F.col("doc_id") % 8 == 0, "confirmed").otherwise("unclear").alias("status"))
+    n, start = F.col("doc_id") % 5, (F.col("doc_id") % 100).cast("double")
+    kind = F.when(n == 0, "internal_authority").when(n == 1, "speaker_conflict").when(n == 2, "deterministic").otherwise("public_web")
+    c = docs.select(F.col("doc_id").cast("string").alias("id"), (F.col("doc_id") % 4 == 0).alias("stt_risk"), start.alias("start_seconds"), (start + 5).alias("end_seconds"), kind.alias("checkability"), (F.col("doc_id") % 11 != 0).alias("searched"), F.substring("text", 1, 40).alias("public_claim"), F.lit("high").alias("importance"))
+    found = F.when(F.col("doc_id") % 13 == 0, "not_assessable").when(F.col("toxic") == 1, "partially_verified").when(F.col("quality") == 1, "verified").otherwise("contradicted")
+    e = labels.filter("doc_id % 3 <> 0").select(F.col("doc_id").cast("string").alias("candidate_id"), found.alias("verdict"), F.lit("high").alias("confidence"))
+    heard = F.when(F.col("doc_id") % 12 == 0, "confirmed").when(F.col("doc_id") % 12 == 4, "not_confirmed").otherwise("uncertain")
+    r = docs.filter("doc_id % 8 = 0").select(F.col("doc_id").cast("string").alias("candidate_id"), heard.alias("status"))
     return c, e, r
 
 
-@query(f"with {_FACT}, {_MERGED} select id, verdict, audio from m")
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    c, e, r = _facts(spark, d)
+    return R.merged(c, e, r, F.col("searched"))
+
+
+@query(f"with {_FACT}, {_MERGED} select id, verdict, audio, confidence from m")
 def factcheck_merge(spark: SparkSession, d: str) -> DataFrame:
     """J13 and E15."""
-    return R.merged(*_facts(spark, d)).select("id", "verdict", "audio")
+    return _merged(spark, d).select("id", "verdict", "audio", "confidence")
 
 
-@query(f"with {_FACT}, {_MERGED} select count(*) filter (verdict = 'confirmed')::bigint confirmed, count(*) filter (verdict = 'contradicted')::bigint contradicted, 0::bigint outdated, 0::bigint partially_correct, count(*) filter (verdict = 'unverifiable')::bigint unverifiable from m")
+@query(f"with {_FACT}, {_MERGED} select " + ", ".join(f"count(*) filter (verdict = '{v}')::bigint {v}" for v in R.VERDICTS) + " from m")
 def verdict_counts(spark: SparkSession, d: str) -> DataFrame:
     """A3: zeros for verdicts that no candidate has."""
-    return R.verdict_counts(R.merged(*_facts(spark, d)))
+    return R.verdict_counts(_merged(spark, d))
+
 
+@query(f"with {_FACT} select id candidate_id, checkability from cand where checkability in ('deterministic', 'public_web') and searched")
+def public_projection(spark: SparkSession, d: str) -> DataFrame:
+    """What a search may see."""
+    c, _, _ = _facts(spark, d)
+    return R.searchable(c.withColumnRenamed("searched", "web_search_allowed")).select("candidate_id", "checkability")
 
-@query(f"with {_FACT} select id, greatest(s - 3, 0.0)::double \"start\", (s + 8)::double \"end\" from cand where stt_risk and id in (select id from ev where verdict <> 'unverifiable')")
+
+@query(f"with {_FACT} select id, greatest(s - 3, 0.0)::double \"start\", (s + 8)::double \"end\" from cand where stt_risk and id in (select id from ev where verdict in ('verified', 'contradicted', 'partially_verified'))")
 def listening_windows(spark: SparkSession, d: str) -> DataFrame:
     """J14."""
     c, e, _ = _facts(spark, d)
     return R.listening_windows(c, e, 3.0)
 
 
-@query("""with h as (select conv_id, list(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1))) filter (lower(url) like 'https://%') hosts from (select page_id % 50 conv_id, url from pages) group by 1) select conv_id, coalesce(len(list_distinct(hosts)), 0)::int hosts from h""")
+@query("""with t as (select conv_id id, turn, trim(regexp_replace(lower(regexp_replace(text, '[^ -~]', '?', 'g')), '\\s+', ' ', 'g')) x from conversations), r as (select a.id, a.x hyp, string_split(b.x, ' ') w from t a join t b on a.id = b.id and a.turn = b.turn + 1 where b.x <> ''),
+  p as (select id, hyp, unnest([list_extract(w, 1), list_extract(w, -1)]) phrase from r) select id, count(*)::bigint phrases, count(*) filter (contains(' ' || hyp || ' ', ' ' || phrase || ' '))::bigint present, count(*) filter (not contains(' ' || hyp || ' ', ' ' || phrase || ' '))::bigint missing from p group by 1""")
+def critical_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A10: whether the first and last word of a turn stand in the next one."""
+    t = table(spark, d, "conversations").select("conv_id", "turn", T.collapsed(F.lower(F.regexp_replace("text", "[^ -~]", "?"))).alias("x"))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    pairs = t.withColumn("reference", F.when(F.lag("turn").over(w) == F.col("turn") - 1, F.lag("x").over(w))).filter("reference <> ''").withColumnRenamed("x", "hypothesis")
+    words = F.split("reference", " ")
+    cases = pairs.select(F.struct("conv_id", "turn").alias("id"), "reference", "hypothesis", F.create_map(F.lit("owner"), F.array(words[0], F.element_at(words, -1))).alias("critical"))
+    counts = R.critical_counts(cases)
+    return counts.groupBy(F.col("id.conv_id").alias("id")).agg(*(F.sum(c).alias(c) for c in ("phrases", "present", "missing")))
+
+
+@query("""select conv_id id, count(*)::bigint pairs, count(*) filter (a = b)::bigint matching, count(*) filter (a <> b)::bigint mismatched from (select conv_id, role a, case when turn % 3 = 0 then 'other' else role end b from conversations) group by 1""")
+def speaker_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of turns, each third one changed, others with white space."""
+    c = table(spark, d, "conversations")
+    pair = F.struct(F.col("role").alias("reference"), F.when(F.col("turn") % 3 == 0, "other").otherwise(F.concat(F.lit(" "), "role", F.lit("\t"))).alias("hypothesis"))
+    return R.speaker_counts(c.groupBy(F.col("conv_id").alias("id")).agg(F.collect_list(pair).alias("speaker_labels")))
+
+
+@query("""with c as (select conv_id, turn, text, role from conversations), g as (select c.*, p.text ref from c left join c p on p.conv_id = c.conv_id and p.turn = c.turn - 1 and p.text <> '')
+  select sha256(conv_id || '-' || turn) id_sha256, case when ref is null then 'not_evaluated' when turn % 4 = 0 or conv_id % 5 = 0 then 'not_reviewed' when turn % 3 = 0 or ref <> text then 'gated_fail' else 'gated_pass' end verdict from g""")
+def quality_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """Turns against the ones before as references; any error fails, as do speakers that differ."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    before = c.filter("text <> ''").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
+    x = c.join(before, ["conv_id", "turn"], "left")
+    label = F.struct(F.lit("A").alias("reference"), F.when(F.col("turn") % 3 == 0, "B").otherwise("A").alias("hypothesis"))
+    cases = x.select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"), "reference", F.col("text").alias("hypothesis"), (F.col("turn") % 4 != 0).alias("reviewed"), F.when(F.col("conv_id") % 5 == 0, " ").otherwise("r").alias("reviewer"), F.lit("e").alias("evidence"),
+        F.create_map(F.lit("numbers"), F.array().cast("array<string>")).alias("critical"), F.array(label).alias("speaker_labels"),
+    )
+    return R.evaluated(cases, {"cer": 0.0, "wer": 0.0}).select("id_sha256", "verdict")
+
+
+@query("""with h as (select conv_id, list(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1))) filter (url <> '') hosts from (select page_id % 50 conv_id, url from pages) group by 1) select conv_id, coalesce(len(list_distinct(hosts)), 0)::int hosts from h""")
 def independent_hosts(spark: SparkSession, d: str) -> DataFrame:
     """A19."""
     p = table(spark, d, "pages").groupBy((F.col("page_id") % 50).alias("conv_id")).agg(F.collect_list("url").alias("urls"))
     return p.select("conv_id", R.independent_hosts(F.col("urls")).alias("hosts"))
 
 
-_STATE = "n as (select doc_id k, n_chars >= 200 valid from documents where doc_id % 5 <> 0), p as (select distinct doc_id k from labels where doc_id % 3 = 0), j as (select doc_id k from documents where doc_id % 7 = 0), x as (select k, valid, valid is not null has_note, p.k is not null queued, j.k is not null has_job from (select coalesce(coalesce(n.k, p.k), j.k) k, valid from n full join p on n.k = p.k full join j on coalesce(n.k, p.k) = j.k) b left join p using (k) left join j using (k)), a as (select k, queued, list_filter([case when queued and not has_note then 'pending_without_note' end, case when has_note and not valid then 'invalid_note' end, case when has_job and not has_note then 'job_without_note' end, case when has_job and queued then 'queued_with_open_job' end, case when has_note and not queued and not has_job then 'unqueued_note' end], lambda i: i is not null) issues from x)"
+_FLAGS = {"readable": 23, "valid": 3, "transcript": 7, "preview": 11, "preview_faithful": 4, "review": 13, "review_valid": 6, "receipt": 5, "receipt_valid": 17, "receipt_current": 9}
+_KEY = "case when doc_id % 29 = 0 then 'notes/../' || doc_id || '.md' else 'notes/' || source || '/' || doc_id || '.md' end"
+_STATE = f"""n as (select {_KEY} k, doc_id % 8 <> 1 ex, {', '.join(f"doc_id % {m} <> 0 {f}" for f, m in _FLAGS.items())} from documents), p as (select distinct {_KEY} k from documents join labels using (doc_id) where doc_id % 3 <> 1),
+  j as (select {_KEY} k, case when doc_id % 2 = 0 then 'note' else 'review' end stage from documents where doc_id % 7 = 0), u as (select {_KEY} k from documents where doc_id % 10 = 0),
+  x as (select n.*, p.k is not null queued, j.stage, u.k is not null published, not contains(n.k, '/../') sound from n left join p using (k) left join j using (k) left join u using (k) where ex or p.k is not null or j.k is not null),
+  y as (select *, ex and sound there, ex and sound and readable op from x),
+  a as (select k, queued, stage, transcript, list_sort(list_filter([case when not sound then 'NOTE_REFERENCE_INVALID' end, case when sound and not ex then 'NOTE_MISSING' end, case when there and not readable then 'NOTE_UNREADABLE' end, case when op and not valid then 'NOTE_INVALID' end, case when op and not transcript then 'TRANSCRIPT_MISSING' end,
+    case when op and not preview then 'PREVIEW_MISSING' when op and not preview_faithful then 'PREVIEW_STALE' end, case when op and not review then 'REVIEW_MISSING' when op and not review_valid then 'REVIEW_INVALID' end, case when op and not receipt then 'READINESS_MISSING' when op and not receipt_valid then 'READINESS_INVALID' when op and not (review and transcript and receipt_current) then 'READINESS_STALE' end,
+    case when queued and not there then 'QUEUE_ORPHAN_REF' end, case when stage = 'note' then 'JOB_STAGED_NOTE' when stage = 'review' then 'JOB_STAGED_REVIEW' end, case when stage is not null and not there then 'JOB_ORPHAN_REF' end, case when there and not queued and stage is null and not receipt and not published then 'LEGACY_NOTE_UNTRACKED' end], lambda i: i is not null)) issues from y),
+  r as (select *, case when len(issues) = 0 then null when list_contains(issues, 'TRANSCRIPT_MISSING') or (list_contains(issues, 'NOTE_MISSING') and not transcript) then 'restore_source_required' when list_contains(issues, 'NOTE_MISSING') then 'generate_missing_note' when list_contains(issues, 'NOTE_INVALID') then 'regenerate_invalid_note'
+    when list_has_any(issues, ['READINESS_INVALID', 'NOTE_REFERENCE_INVALID']) then 'manual_triage_required' when list_has_any(issues, ['PREVIEW_MISSING', 'PREVIEW_STALE', 'REVIEW_MISSING', 'REVIEW_INVALID', 'READINESS_MISSING', 'READINESS_STALE', 'JOB_STAGED_REVIEW']) then 'repair_preview_or_review' else 'manual_triage_required' end act from a)"""
 
 
 def _audit(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    notes = docs.filter("doc_id % 5 <> 0").select(F.col("doc_id").alias("key"), (F.col("n_chars") >= 200).alias("valid"))
-    pending = table(spark, d, "labels").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("key"))
-    jobs = docs.filter("doc_id % 7 = 0").select(F.col("doc_id").alias("key"), F.lit("note").alias("stage"))
-    return S.audit(notes, pending, jobs)
+    id_ = F.col("doc_id").cast("string")
+    keyed = docs.select("doc_id", F.when(F.col("doc_id") % 29 == 0, F.concat(F.lit("notes/../"), id_, F.lit(".md"))).otherwise(F.concat(F.lit("notes/"), "source", F.lit("/"), id_, F.lit(".md"))).alias("key"))
+    notes = keyed.select("key", (F.col("doc_id") % 8 != 1).alias("exists"), *((F.col("doc_id") % m != 0).alias(f) for f, m in _FLAGS.items()))
+    pending = keyed.join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id").filter("doc_id % 3 <> 1").select("key")
+    jobs = keyed.filter("doc_id % 7 = 0").select("key", F.when(F.col("doc_id") % 2 == 0, "note").otherwise("review").alias("stage"))
+    return S.audit(notes, pending, jobs, keyed.filter("doc_id % 10 = 0").select("key"))
 
 
-@query(f"with {_STATE} select k \"key\", array_to_string(issues, ',') issues from a")
+@query(f"with {_STATE} select k \"key\", array_to_string(issues, ',') issues from r")
 def state_audit_issues(spark: SparkSession, d: str) -> DataFrame:
     """J20 and E17."""
     return _audit(spark, d).select("key", F.array_join("issues", ",").alias("issues"))
 
 
-@query(f"with {_STATE} select issue, count(*)::bigint n, count(*) filter (queued)::bigint n_queued from (select queued, unnest(issues) issue from a) group by 1")
+@query(f"with {_STATE} select issue, count(*)::bigint n, count(*) filter (queued)::bigint n_queued from (select queued, unnest(issues) issue from r) group by 1")
 def issue_counts(spark: SparkSession, d: str) -> DataFrame:
     """A4."""
     return S.issue_counts(_audit(spark, d))
 
 
-@query(f"""with {_STATE} select k "key", case when list_contains(issues, 'pending_without_note') then 'drop_from_queue' when list_contains(issues, 'job_without_note') then 'rerun_note' when list_contains(issues, 'invalid_note') then 'repair_note' when list_contains(issues, 'queued_with_open_job') then 'finish_job' when list_contains(issues, 'unqueued_note') then 'enqueue' else 'none' end "action",
-  case when len(issues) = 0 then 0 when list_contains(issues, 'pending_without_note') or list_contains(issues, 'invalid_note') then 2 else 1 end status from a""")
+@query(f"""with {_STATE} select k "key", act "action" from r""")
 def recovery_action(spark: SparkSession, d: str) -> DataFrame:
-    """E17's actions and status."""
-    return _audit(spark, d).select("key", "action", "status")
+    """E17's actions."""
+    return _audit(spark, d).select("key", "action")
+
+
+@query(f"""with {_STATE} select count(*)::bigint notes, count(*) filter (queued)::bigint pending, count(stage)::bigint jobs, count(*) filter (len(issues) > 0)::bigint actionable, count(*) filter (len(issues) > 0 and queued)::bigint pending_actionable, sum(len(issues))::bigint issues,
+  case when bool_or(list_has_any(issues, ['READINESS_INVALID', 'NOTE_REFERENCE_INVALID'])) then 2 when bool_or(len(issues) > 0) then 1 else 0 end status from r""")
+def audit_summary(spark: SparkSession, d: str) -> DataFrame:
+    """E17's counts and status."""
+    return S.audit_summary(_audit(spark, d))
 
 
 _B = "b as (select o_orderkey k, o_orderstatus st, o_totalprice pr from orders where o_orderkey % 10 <> 3), a as (select o_orderkey k, case when o_orderkey % 17 = 0 then 'X' else o_orderstatus end st, o_totalprice pr from orders)"
@@ -227,15 +279,8 @@ def queue_topk(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").filter("o_orderstatus = 'O'").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(100).select(F.col("o_orderkey").alias("key"), "o_orderdate")
 
 
-@query("""with p as (select conv_id, turn, row_number() over (partition by role order by conv_id desc, turn desc) r from conversations where conv_id < 80) select conv_id, turn from p where r <= 3""")
+@query("""with k as (select distinct role, conv_id asked from conversations) select k.role, k.asked "at", p.conv_id, p.turn from k, lateral (select c.conv_id, c.turn from conversations c where c.role = k.role and c.conv_id < k.asked order by c.conv_id desc, c.turn desc limit 3) p""")
 def previous_notes(spark: SparkSession, d: str) -> DataFrame:
-    """The three most recent before one key, for each role; previous_notes_whole has every key."""
-    w = Window.partitionBy("role").orderBy(F.desc("conv_id"), F.desc("turn"))
-    return table(spark, d, "conversations").filter("conv_id < 80").withColumn("r", F.row_number().over(w)).filter("r <= 3").select("conv_id", "turn")
-
-
-@query()
-def previous_notes_whole(spark: SparkSession, d: str) -> DataFrame:
-    """For each turn of a conversation as the key, the three most recent of its role in the conversations before."""
+    """For each conversation and role, the three most recent turns of that role in the conversations before."""
     held = table(spark, d, "conversations").select("conv_id", "turn", "role")
     return N.previous(held, "role", "conv_id", "turn", 3)

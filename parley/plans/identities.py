@@ -17,27 +17,15 @@ def identity_hash(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", key(F.concat("c_name", F.lit("@corp.example")), F.lit("")).alias("own"), key(F.concat("c_name", F.lit("@Other.example")), F.lit("")).alias("other"), key(F.lit(None).cast("string"), F.col("c_mktsegment")).alias("fallback"))
 
 
-_TOK = "t as (select distinct replace(p_name, ' ', '') token from part), r as (select distinct replace(p_name, ' ', '') || 'x' name from part where p_partkey % 7 = 0)"
+_TOK = "t as (select distinct replace(p_name, ' ', '') token from part), r as (select distinct replace(p_name, ' ', '') || 'x' name from part)"
 
 
 @query(f"""with {_TOK}, j as (select token, name, 1.0::double - levenshtein(token, name)::double / greatest(length(token), length(name)) sim from t, r where token <> name),
   k as (select *, row_number() over (partition by token order by sim desc, name) rank from j where sim >= 0.72) select token, name, round(sim, 9) sim, rank::int rank from k where rank <= 2""")
 def fuzzy_name_join(spark: SparkSession, d: str) -> DataFrame:
-    """J6 over part names, with the roster that its SQL takes; fuzzy_name_join_whole has all names."""
-    return _fuzzy(spark, d, "p_partkey % 7 = 0")
-
-
-@query()
-def fuzzy_name_join_whole(spark: SparkSession, d: str) -> DataFrame:
     """J6 over part names, with all of them as the roster."""
-    return _fuzzy(spark, d, "true")
-
-
-def _fuzzy(spark: SparkSession, d: str, held: str) -> DataFrame:
     p = table(spark, d, "part").withColumn("name", F.replace("p_name", F.lit(" "), F.lit("")))
-    tokens = p.select(F.col("name").alias("token"))
-    roster = p.filter(held).select(F.concat("name", F.lit("x")).alias("name"))
-    return N.fuzzy_names(tokens, roster, 0.72, 2).withColumn("sim", F.round("sim", 9))
+    return N.fuzzy_names(p.select(F.col("name").alias("token")), p.select(F.concat("name", F.lit("x")).alias("name")), 0.72, 2).withColumn("sim", F.round("sim", 9))
 
 
 @query()

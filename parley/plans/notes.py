@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import notes as N
+from ..operators import readable as V
 from ..sources import parsers as P
 from .base import query, table
 
@@ -91,20 +92,57 @@ NOTE = """# 주간 회의
 """
 
 
+FACT_NOTE = NOTE + """
+## 6. 객관 명제 팩트체크
+
+- 웹검색: 실제 실행 확인
+
+### F1. 객관 사실과 충돌
+- 바로잡기: 셋이다
+- 틀린 이유: 둘이 아니다
+- 근거: [t](https://a.example) — p; q
+"""
+_ITEM = "- [ ] **A1 · 일정표 공유**\n  홍길동 · 2024-05-01 · §4.1\n"
+_OPEN = "- **M1 · 예산 범위**\n  미정 · 다음 회의 · §4.1\n"
+_SAID = "- 일정을 논의했다.\n"
+
+
+def _swap(old: str, new: str, note: str = NOTE) -> str:
+    if old not in note:
+        raise ValueError(old)
+    return note.replace(old, new, 1)
+
+
+#: Notes that each break a rule of the contract, and the rules that they break by it.
+BROKEN = {
+    "ok": (NOTE, ""), "facts": (FACT_NOTE, ""), "nothing to do": (_swap(_ITEM, "- 해당 없음\n", _swap(_OPEN, "- 해당 없음\n")), ""),
+    "title": (_swap("# 주간 회의", "주간 회의"), "title"), "order": (NOTE.replace("## 2. Action", "## X").replace("## 3.", "## 2. Action Items\n\n## 3."), "unexpected section,section order"),
+    "no section": (_swap("## 3. 미결 쟁점 및 다음 결정\n\n" + _OPEN + "\n", ""), "missing section: ## 3. 미결 쟁점 및 다음 결정"), "no subsection": (_swap("### 5.3 검증 필요", "### 검증"), "missing subsection: ### 5.3 검증 필요"),
+    "subsections": (NOTE.replace("### 5.2", "### 5.9").replace("### 5.3 검증 필요", "### 5.2 검증 완료").replace("### 5.9 검증 완료", "### 5.3 검증 필요"), "subsection order"),
+    "handoff": (NOTE + "\n## 7. Task Handoff\n", "unexpected section,section order,task handoff"), "long summary": (_swap("- 출시일을 확정했다.", "- " + "가" * 1400), "summary length"),
+    "no points": (_swap("- 출시일을 확정했다.", "출시일을 확정했다."), "summary items"), "points": (_swap("- 출시일을 확정했다.", "\n".join(f"{i}. 점" for i in range(8))), "summary items"),
+    "ids repeat": (_swap(_ITEM, _ITEM + _ITEM.replace("일정표", "예산표")), "action ids repeat,action ids not contiguous"), "texts repeat": (_swap(_ITEM, _ITEM + _ITEM.replace("A1", "A2")), "action text repeats,action text elsewhere"),
+    "elsewhere": (_swap("- 일정을 논의했다.", "- 일정표 공유를 논의했다."), "action text elsewhere"), "no owner": (_swap("  홍길동 · 2024-05-01 · §4.1\n", "\n"), "action without metadata"), "anonymous": (_swap("홍길동 · 2024", "화자 A · 2024"), "anonymous owner"),
+    "no action": (_swap("- [ ] **A1 · 일정표 공유**\n", ""), "no action"), "gap": (_swap("**A1", "**A2"), "action ids not contiguous"), "bar": (_swap("  홍길동", "a | b\n  홍길동"), "action without metadata,action table"), "labels": (_swap(_ITEM, _ITEM + "담당: 홍길동\n"), "action field labels"),
+    "open ids": (_swap(_OPEN, _OPEN + _OPEN.replace("예산", "인력")), "open ids repeat,open ids not contiguous"), "open elsewhere": (_swap("- 일정을 논의했다.", "- 예산 범위를 논의했다."), "open text elsewhere"), "open bare": (_swap("  미정 · 다음 회의 · §4.1\n", ""), "open item without metadata"),
+    "open anonymous": (_swap("미정 · 다음", "화자 ? · 다음"), "anonymous open owner"), "no open": (_swap("- **M1 · 예산 범위**", "- 예산 범위"), "no open item"), "open gap": (_swap("**M1", "**M3"), "open ids not contiguous"),
+    "table": (_swap("- 출시일", "| a | b |\n- 출시일"), "table: ## 1. 핵심 결론 및 결정사항"), "html": (_swap("- 일정을", "<table>\n- 일정을"), "table: ## 4. 상세 논의와 근거"), "code": (_swap("- 일정을 논의했다.", "- `일정`을 논의했다."), "inline code: ## 4. 상세 논의와 근거"),
+    "unsure": (_swap("가옹` → 가온", "가옹` → 가온 (추정)"), "uncertain verification"), "number": (_swap("`가옹` → 가온", "`3억` → 4억"), "verified number"), "overlap": (_swap("`비티에`", "`가옹`"), "verified and pending"), "particle": (_swap("`비티에`", "`가옹은`"), "verified and pending"),
+    "search state": (_swap("- 웹검색: 실제 실행 확인\n", "", FACT_NOTE), "search state missing"), "fact ids": (_swap("### F1.", "### F2.", FACT_NOTE), "fact ids not contiguous"), "no correction": (_swap("- 바로잡기: 셋이다\n", "", FACT_NOTE), "contradicted without correction"),
+    "no evidence": (_swap("- 근거: ", "- 참고: ", FACT_NOTE), "contradicted without evidence"), "indirect": (_swap("https://a", "http://a", FACT_NOTE), "indirect link"), "names": (_swap("- 일정을 논의했다.", "- 가온(Gaon)과 가온(Gaon), 가온(Gaon)"), "repeated product name: 가온(Gaon)"),
+    "runs": (_swap(_SAID, _SAID * 4), "repeated ending"), "formulaic": (_swap(_SAID, (_SAID + "- 값을 설명했다.\n- 표\n") * 5), "formulaic endings"), "overused": (_swap(_SAID, (_SAID + "- 표\n- 안\n") * 10), "overused ending"), "boilerplate": (_swap("- 홍길동\n", "- 홍길동: 직원 디렉토리에서 active로 확인\n- 이서연: 직원 디렉토리에서 active로 확인\n"), "roster boilerplate"),
+}
+
+
 def literal_notes(spark: SparkSession) -> DataFrame:
-    """A note that keeps the contract and copies that each break a rule."""
-    broken = {
-        "ok": NOTE, "title": NOTE.replace("# 주간 회의", "주간 회의", 1), "no_actions": NOTE.replace("- [ ] **A1 · 일정표 공유**\n", ""), "gap": NOTE.replace("**A1", "**A2"),
-        "handoff": NOTE + "\n## 7. Task Handoff\n", "table": NOTE.replace("- 출시일", "| a | b |\n- 출시일"), "overlap": NOTE.replace("`비티에`", "`가옹`"),
-        "runs": NOTE.replace("- 일정을 논의했다.", "- 일정을 논의했다.\n" * 4), "order": NOTE.replace("## 2. Action", "## X").replace("## 3.", "## 2. Action Items\n\n## 3."), "anonymous": NOTE.replace("홍길동 · 2024", "화자 A · 2024"),
-    }
-    return spark.createDataFrame(sorted(broken.items()), "note_key string, text string")
+    """The notes of BROKEN."""
+    return spark.createDataFrame(sorted((k, t) for k, (t, _) in BROKEN.items()), "note_key string, text string")
 
 
-@query("""select * from (values ('anonymous', 'anonymous owner'), ('gap', 'action ids not contiguous'), ('handoff', 'unexpected section,section order,task handoff'), ('no_actions', 'no action'), ('ok', ''), ('order', 'unexpected section,section order,no action'), ('overlap', 'verified and pending'), ('runs', 'repeated ending'), ('table', 'table in sections 1 to 4'), ('title', 'title')) t(note_key, errors)""")
+@query("select * from (values " + ", ".join(f"('{k}', '{e}')" for k, (_, e) in sorted(BROKEN.items())) + ") t(note_key, errors)")
 def note_contract_errors(spark: SparkSession, d: str) -> DataFrame:
-    """E13 on literal notes."""
-    return N.contract(literal_notes(spark)).select("note_key", F.array_join("errors", ",").alias("errors"))
+    """A note for each rule."""
+    return N.contract(literal_notes(spark), bilingual=("가온(Gaon)",)).select("note_key", F.array_join("errors", ",").alias("errors"))
 
 
 @query("""select doc_id::varchar note_key, not (regexp_matches(split_part(ltrim(text, chr(10) || ' '), chr(10), 1), '^# ')) no_title, contains(text, '#') has_mark from documents""")
@@ -128,18 +166,46 @@ def heading_split(spark: SparkSession, d: str) -> DataFrame:
     return N.sections(spark.createDataFrame([("k", text)], "note_key string, text string"), "note_key", "text").select(F.col("seq").cast("int").alias("seq"), "heading", "body")
 
 
-@query("select note_key, true faithful from (values ('anonymous'), ('gap'), ('handoff'), ('no_actions'), ('ok'), ('order'), ('overlap'), ('runs'), ('table'), ('title')) t(note_key)")
+_MADE = "m as (select o_orderkey k, o_orderkey % 5 + 1 n, o_orderkey % 3 done, o_custkey c from orders)"
+
+
+def _made_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Notes made of orders: one to five actions, dates and references by their keys."""
+    s = lambda c: c.cast("string")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+
+    def action(i: Column) -> Column:
+        return F.concat(F.lit("- ["), F.when(k % 3 == 0, "x").otherwise(" "), F.lit("] **A"), s(i), F.lit(" · 일 "), s(i), F.lit("**\n\n  담당자 · 5월 "), s(i % 2 + 1), F.lit("일 · 오후 · §4.1, §4."), s(c % 3 + 1), F.lit("\n"))
+
+    acts = F.array_join(F.transform(F.sequence(F.lit(1), (k % 5 + 1).cast("int")), action), "")
+    text = F.concat(F.lit("# 회의 "), s(k), F.lit("\n일시: 2024\n\n## 1. 핵심\n\n- 결정 §4.1\n\n\n## 2. Action Items\n\n"), acts, F.lit("\n## 4. 상세\n\n### 4.1 첫 (근거)\n```\n## no\n```\n### 4.2 둘\n\n"))
+    return table(spark, d, "orders").select(s(k).alias("note_key"), text.alias("text"))
+
+
+_A1, _A2 = "[4.1 첫 (근거)](#41-첫-근거)", "[4.2 둘](#42-둘)"
+
+
+@query(f"""with {_MADE}, t as (select k, n, done, case c % 3 when 0 then '' when 1 then ', {_A2}' else ', [4.3 근거](#43-근거)' end more from m),
+  a as (select k, string_agg('- [' || case done when 0 then 'x' else ' ' end || '] **A' || i || ' · 일 ' || i || '** — **담당** · 담당자 · **일정** · 5월 ' || (i % 2 + 1) || '일 · 오후 · **근거** · {_A1}' || more, chr(10) order by i) acts from (select *, unnest(range(1, n + 1)) i from t) group by k)
+  select k::varchar note_key, '# 회의 ' || k || chr(10) || chr(10) || '> 일시: 2024' || chr(10) || chr(10) || '## 1. 핵심' || chr(10) || chr(10) || '- 결정 {_A1}' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '## 2. Action Items' || chr(10) || chr(10) || acts || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '## 4. 상세' || chr(10) || chr(10) || '### 4.1 첫 (근거)' || chr(10) || '```' || chr(10) || '## no' || chr(10) || '```' || chr(10) || '### 4.2 둘' || chr(10) readable from a""")
 def readable_projection(spark: SparkSession, d: str) -> DataFrame:
-    """The readable form gives the note back exactly."""
-    return N.projected(literal_notes(spark)).select("note_key", "faithful")
+    """The readable form of each note, whole."""
+    return V.projected(_made_notes(spark, d)).select("note_key", "readable")
+
 
+@query("select o_orderkey::varchar note_key, o_orderkey % 4 <> 0 faithful from orders")
+def readable_faithful(spark: SparkSession, d: str) -> DataFrame:
+    """A quarter of the readable forms have been changed."""
+    made = V.projected(_made_notes(spark, d))
+    changed = F.when(F.col("note_key").cast("long") % 4 == 0, F.concat("readable", F.lit(" "))).otherwise(F.col("readable"))
+    return V.faithful(made.select("note_key", "text", changed.alias("candidate")))
 
-@query("""with c as (select doc_id, len(regexp_extract_all(text, '(?i)단계|phase|stage')) st, len(regexp_extract_all(text, '(?i)rollout|배포|출시')) ro, len(regexp_extract_all(text, '(?i)system|시스템|server|api|db')) nd, len(regexp_extract_all(text, '->|→|연동|연결')) li, len(regexp_extract_all(text, '(?i)milestone|마일스톤|일정')) ma, len(regexp_extract_all(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) da, len(regexp_extract_all(text, '(?i)결정|decision|option|대안')) ch from documents),
-  k as (select doc_id, unnest([{'s': st + ro, 'r': -1, 'k': 'rollout', 'ok': st >= 4 and ro >= 2}, {'s': nd + li, 'r': -2, 'k': 'system', 'ok': nd >= 6 and li >= 2}, {'s': ma + da, 'r': -3, 'k': 'milestone', 'ok': ma >= 3 and da >= 2}, {'s': ch, 'r': -4, 'k': 'decision', 'ok': ch >= 5}]) x from c),
-  b as (select doc_id, x.k kind from k where x.ok qualify row_number() over (partition by doc_id order by x.s desc, x.r desc) = 1) select doc_id, kind from documents left join b using (doc_id)""")
+
+@query(f"with {_MADE} select k::varchar note_key, case when n >= 3 then 'milestone-timeline' end kind, case when n >= 3 then 3 * n + 4 end::int score, case when n >= 3 then n end::int nodes from m")
 def visual_selection(spark: SparkSession, d: str) -> DataFrame:
-    """E20 and T9."""
-    return table(spark, d, "documents").select("doc_id", N.visual_kind(F.col("text")).alias("kind"))
+    """Three dated actions or more make a timeline."""
+    made = _made_notes(spark, d).withColumn("p", V.picture_of("text"))
+    return made.select("note_key", F.col("p.kind").alias("kind"), F.col("p.score").alias("score"), F.when(F.col("p.kind").isNotNull(), F.size("p.nodes")).alias("nodes"))
 
 
 @query("""select o_orderkey, missing::bigint missing, stale::bigint stale, missing = 0 and stale = 0 ready from (select o_orderkey, count(*) filter (k % 9 = 0) missing, count(*) filter (k % 9 <> 0 and k % 13 = 0) stale from (select o_orderkey, o_orderkey * 3 + i k from orders, range(3) t(i)) group by 1)""")
@@ -180,14 +246,31 @@ def note_metadata(spark: SparkSession, d: str) -> DataFrame:
     return U.metadata(literal_notes(spark).filter("note_key = 'ok'")).select("title", "time", "summary")
 
 
-@query("""select * from (values (0, '김민준,이서연'), (1, '박지호'), (2, '')) t(i, names)""")
+_NAMES = ("참석자: 김민준, 이서연 박지호", "김민준+최유진&이서연_미팅", "20240501 회의 김민준 비공개", "김민준/김민준, 화자A Meeting", "미팅 20240501_101500", "참석자 : 남궁민수 선우재덕짱")
+
+
+@query(f"""with l as (select c_custkey, [{', '.join(f"'{x}'" for x in _NAMES)}][c_custkey % 6 + 1] line, c_custkey % 2 = 0 r from customer),
+  a as (select c_custkey, r, regexp_replace(regexp_replace(line, '(^|[^0-9A-Za-z가-힣])비공개([^0-9A-Za-z가-힣]|$)', '\\1 \\2', 'g'), '^\\s*참석자\\s*:\\s*', '') x from l),
+  b as (select c_custkey, r, string_split_regex(regexp_replace(regexp_replace(regexp_replace(x, '(?:^|[_\\s-])20[0-9]{{6}}(?:[_\\s-]?[0-9]{{6}})?(?:$|[_\\s-])', ' ', 'g'), '(?i)\\bmeeting\\b', ' ', 'g'), '(?:^|[\\s_-])미팅(?:$|[\\s_-])', ' ', 'g'), '[,，+&/\\s_-]+') p from a),
+  c as (select c_custkey, list_filter(p, lambda t: t <> '' and lower(t) not in ('미팅', '회의', '녹음', '음성', '새로운', '참석자', '비공개', 'meeting') and case when r then t in ('김민준', '이서연', '화자A') else regexp_full_match(t, '[가-힣]{{2,4}}') end) n from b)
+  select c_custkey, coalesce((select string_agg(x, ',' order by i) from (select x, min(i) i from (select unnest(n) x, generate_subscripts(n, 1) i) group by 1)), '') names from c""")
 def attendee_names(spark: SparkSession, d: str) -> DataFrame:
-    """The first source with names."""
+    """Attendee lines, with a roster for every other customer."""
+    from ..operators import publication as U
+
+    line = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("c_custkey") % 6 + 1).cast("int"))
+    roster = F.when(F.col("c_custkey") % 2 == 0, F.array(*map(F.lit, ("김민준", "이서연", "화자A")))).otherwise(F.array().cast("array<string>"))
+    return table(spark, d, "customer").select("c_custkey", F.array_join(U.attendees(line, roster), ",").alias("names"))
+
+
+@query("select c_custkey, case when c_custkey % 2 = 0 then 'a' when c_custkey % 3 = 0 then 'b,c' else '' end names from customer")
+def attendee_sources(spark: SparkSession, d: str) -> DataFrame:
+    """The first source that has names."""
     from ..operators import publication as U
 
-    rows = spark.createDataFrame([(0, "참석자: 김민준, 이서연 (PM), 화자, 2024-05-01", None), (1, "attendees: 미정", "박지호"), (2, "", None)], "i int, line string, label string")
-    names = U.first_attendees(U.attendees(F.col("line"), F.array(F.lit("이서연"))), U.attendees(F.coalesce("label", F.lit("")), F.array().cast("array<string>")))
-    return rows.select("i", F.array_join(names, ",").alias("names"))
+    none = F.array().cast("array<string>")
+    some = lambda m, *names: F.when(F.col("c_custkey") % m == 0, F.array(*map(F.lit, names))).otherwise(none)
+    return table(spark, d, "customer").select("c_custkey", F.array_join(U.first_attendees(some(2, "a"), some(3, "b", "c")), ",").alias("names"))
 
 
 @query("""select doc_id, array_to_string(list_distinct(regexp_extract_all(t, '\\b[A-Z][A-Z0-9]{1,7}\\b')), '') is not null has, len(list_distinct(regexp_extract_all(t, '\\b[A-Z][A-Z0-9]{1,7}\\b')))::int n, regexp_replace(trim(substr(t, 1, 30)), '[^0-9A-Za-z가-힣._-]+', '_', 'g') stem from (select doc_id, regexp_replace(text, '[^ -~]', '?', 'g') t from documents)""")

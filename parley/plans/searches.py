@@ -12,19 +12,21 @@ GENERIC = ("the", "and", "for")
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
-    """T4: the first ten tokens of five letters or more of each benchmark passage."""
-    t = table(spark, d, "benchmark").select("item_id", F.slice(F.filter(F.array_distinct(S.tokens(F.col("text"))), lambda w: F.length(w) >= 5), 1, 10).alias("w"))
-    return t.select(F.explode("w").alias("term")).distinct()
+    """All tokens of five letters or more of the benchmark passages."""
+    t = table(spark, d, "benchmark").select(F.explode(S.tokens(F.col("text"))).alias("term"))
+    return t.filter(F.length("term") >= 5).distinct()
 
 
-_DO = "bm as (select item_id, text from benchmark), tk as (select item_id, unnest(r) token, unnest(range(len(r))) pos from (select item_id, regexp_extract_all(lower(text), '[a-z]{3,}') r from bm)), ft as (select item_id, token, min(pos) pos from tk where length(token) >= 5 group by 1, 2), terms as (select distinct token term from (select *, row_number() over (partition by item_id order by pos) n from ft) where n <= 10)"
+_DO = "terms as (select distinct token term from (select unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) token from benchmark) where length(token) >= 5)"
+_FIRST = "tk as (select item_id, unnest(r) token, unnest(range(len(r))) pos from (select item_id, regexp_extract_all(lower(text), '[a-z]{3,}') r from benchmark)), ft as (select item_id, token, min(pos) pos from tk where length(token) >= 5 group by 1, 2)"
 _IDX = "idx as (select doc_id, token, count(*)::bigint tf from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) token from documents) group by 1, 2)"
 
 
-@query(f"with {_DO} select term from terms")
+@query(f"with {_FIRST} select item_id, token term, n::int rank from (select *, row_number() over (partition by item_id order by pos) n from ft) where n <= 10")
 def search_terms(spark: SparkSession, d: str) -> DataFrame:
-    """T4 and F21."""
-    return _terms(spark, d)
+    """What is searched for a passage: the first ten of its terms, in order."""
+    w = F.slice(F.filter(F.array_distinct(S.tokens(F.col("text"))), lambda w: F.length(w) >= 5), 1, 10)
+    return table(spark, d, "benchmark").select("item_id", F.posexplode(w).alias("rank", "term")).withColumn("rank", F.col("rank") + 1)
 
 
 @query(f"with {_IDX} select token, sum(tf)::bigint hits, count(*)::bigint docs from idx group by 1")
@@ -36,33 +38,22 @@ def inverted_index(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_DO}, {_IDX} select term, doc_id, tf, rank::int rank from (select term, doc_id, tf, row_number() over (partition by term order by tf desc, doc_id) rank from idx join terms on token = term) where rank <= 5")
 def evidence_search(spark: SparkSession, d: str) -> DataFrame:
     """The five documents of most hits for each term."""
-    index = S.postings(table(spark, d, "documents"), "doc_id", "text")
-    return S.found(S.distinctive(_terms(spark, d), GENERIC), index, "doc_id", 5)
+    return S.found(S.distinctive(_terms(spark, d), GENERIC), table(spark, d, "documents"), "doc_id", "text", 5)
 
 
-@query(f"with {_DO} select term, doc_id from terms, documents where length(term) >= 5 and contains(regexp_replace(lower(text), '[^ -~]', '?', 'g'), term) and term like 'th%'")
+@query(f"with {_DO} select term, doc_id from terms, documents where contains(regexp_replace(lower(text), '[^ -~]', '?', 'g'), term)")
 def substring_search(spark: SparkSession, d: str) -> DataFrame:
-    """Terms anywhere in a text, those that its SQL takes; substring_search_whole has all terms."""
-    return _held(spark, d, _terms(spark, d).filter("term like 'th%'"))
-
-
-@query()
-def substring_search_whole(spark: SparkSession, d: str) -> DataFrame:
-    """All terms anywhere in a text."""
-    return _held(spark, d, _terms(spark, d))
-
-
-def _held(spark: SparkSession, d: str, terms: DataFrame) -> DataFrame:
+    """Terms anywhere in a text."""
     docs = table(spark, d, "documents").select("doc_id", F.regexp_replace(F.lower("text"), "[^ -~]", "?").alias("text"))
-    return S.substring_hits(terms, docs, "doc_id", "text", 5)
+    return S.substring_hits(_terms(spark, d), docs, "doc_id", "text", 5)
 
 
-@query(f"""with {_DO}, n as (select doc_id::varchar "key", n_chars::varchar "day", source title, text from documents), h as (select "key", "day", token, max(points) points from (select "key", "day", unnest(list_distinct(regexp_extract_all(lower(title), '[a-z]{{3,}}'))) token, 3 points from n union all select "key", "day", unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{{3,}}'))), 1 from n) join terms on token = term group by 1, 2, 3)
-  select "key", "day", sum(points)::bigint score from h group by 1, 2 having sum(points) >= 2 order by 3 desc, 2 desc, 1 limit 50""")
+@query(f"""with {_DO}, n as (select doc_id::varchar "key", n_chars::varchar "day", source title, text from documents where n_chars::varchar >= '3'), h as (select "key", "day", token, bool_or(t) in_title from (select "key", "day", unnest(regexp_extract_all(lower(title), '[a-z]{{3,}}')) token, true t from n union all select "key", "day", unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')), false from n) join terms on token = term where token not in ('the', 'and', 'for') group by 1, 2, 3),
+  r as (select *, row_number() over (partition by token order by "day" desc, "key" desc) rank from h) select "key", "day", sum(case when in_title then 3 else 1 end)::bigint score from r where rank <= 25 group by 1, 2 having sum(case when in_title then 3 else 1 end) >= 2 order by 3 desc, 2 desc, 1 desc limit 50""")
 def related_doc_score(spark: SparkSession, d: str) -> DataFrame:
-    """Documents by the terms that they share with the benchmark."""
+    """P11, J12 with its date cut and newest 25 of each term, A9 and T3, over documents and the terms of the benchmark."""
     n = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.col("n_chars").cast("string").alias("day"), F.col("source").alias("title"), "text")
-    return S.related(_terms(spark, d), n, 50)
+    return S.related(_terms(spark, d), n, 50, since=F.lit("3"), generic=GENERIC)
 
 
 @query("""select doc_id, source = 'src0' own, case when source = 'src0' then len(list_filter(string_split(text, chr(10)), lambda x: x <> '')[1:6])::int else 0 end items, len(list_distinct(regexp_extract_all(text, '[A-Z][a-z]+'))[1:8])::int keywords from documents""")
@@ -73,15 +64,17 @@ def masking_projection(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", (F.col("source") == "src0").alias("own"), F.size(items).alias("items"), F.size(words).alias("keywords"))
 
 
-@query("""with w as (select item_id, list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> '')[1:8] phrase from benchmark), t as (select doc_id, ' ' || array_to_string(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> ''), ' ') || ' ' flat from documents)
-  select doc_id, item_id from t, w where contains(flat, ' ' || array_to_string(phrase, ' ') || ' ')""")
+@query("""with w as (select item_id, array_to_string(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> ''), ' ') phrase from benchmark), t as (select doc_id, ' ' || array_to_string(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> ''), ' ') || ' ' flat from documents)
+  select doc_id, item_id from t, w where contains(flat, ' ' || phrase || ' ')""")
 def token_phrase_presence(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold the first eight tokens of a benchmark passage. They meet by the phrase's
-    first two tokens, then the whole phrase is compared."""
+    """Documents that hold a benchmark passage as neighbouring whole tokens. Keys meet by the phrase's
+    first two tokens; only the tokens of documents that meet one are fetched and compared."""
     from ..functions import text as T
 
-    p = table(spark, d, "benchmark").select("item_id", F.slice(T.words(F.col("text")), 1, 8).alias("phrase")).withColumn("head", F.concat_ws(" ", F.slice("phrase", 1, 2)))
-    t = table(spark, d, "documents").select("doc_id", T.words(F.col("text")).alias("tokens")).filter(F.size("tokens") >= 2)
-    pairs = F.array_distinct(F.zip_with(F.slice(F.col("tokens"), F.lit(1), F.size("tokens") - 1), F.slice(F.col("tokens"), F.lit(2), F.size("tokens") - 1), lambda a, b: F.concat_ws(" ", a, b)))
-    met = t.withColumn("head", F.explode(pairs)).join(p, "head")
-    return met.filter(T.has_phrase(F.col("tokens"), F.col("phrase"))).select("doc_id", "item_id")
+    p = table(spark, d, "benchmark").select("item_id", T.words(F.col("text")).alias("phrase")).withColumn("head", F.concat_ws(" ", F.slice("phrase", 1, 2)))
+    t = table(spark, d, "documents").select("doc_id", T.words(F.col("text")).alias("tokens"))
+    pairs = F.zip_with("tokens", F.slice(F.col("tokens"), F.lit(2), F.greatest(F.size("tokens"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+    heads = t.select("doc_id", F.explode(F.array_distinct(pairs)).alias("head"))
+    met = heads.join(S.small(p.select("item_id", "head")), "head").select("doc_id", "item_id").distinct()
+    both = t.join(met.groupBy("doc_id").agg(F.collect_list("item_id").alias("items")), "doc_id").select("doc_id", "tokens", F.explode("items").alias("item_id"))
+    return both.join(S.small(p), "item_id").filter(T.has_phrase(F.col("tokens"), F.col("phrase"))).select("doc_id", "item_id")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,14 @@ from pyspark.sql import functions as F
 from ..sources import sinks
 from ..streaming import watch
 from .base import query, table
+from .files import scratch_folder
 
 
 def _run(stream: DataFrame, mode: str) -> DataFrame:
     """The rows that a stream gives from the files there are."""
     spark = stream.sparkSession
     name = f"parley_{uuid.uuid4().hex}"
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="parley-stream-")
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start()
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", scratch_folder(spark, name)).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
 
@@ -52,6 +51,23 @@ def stream_restart_groups(spark: SparkSession, d: str) -> DataFrame:
     return _run(watch.merged_items(items, 10_800_000_000), "append")
 
 
+@query("""select event_id, coalesce((select project from (values (0, 'pur', 'sales'), (1, 'P', 'other'), (2, 'click', 'web'), (3, 'cl', 'never')) r(idx, prefix, project) where lower(event_type) like lower(prefix) || '%' order by idx limit 1), 'unsorted') project from events""")
+def stream_classified(spark: SparkSession, d: str) -> DataFrame:
+    """A stream against rules that lie in a table."""
+    rules = spark.createDataFrame([(0, "pur", "sales"), (1, "P", "other"), (2, "click", "web"), (3, "cl", "never")], "idx int, prefix string, project string")
+    return _run(watch.classified(_events(spark, d), rules, "event_type").select("event_id", "project"), "append")
+
+
+@query("""with recursive e as (select user_id "key", row_number() over (partition by user_id order by event_id) n, case event_id % 4 when 0 then 'recorded' when 1 then 'noted' when 2 then 'reviewed' else 'failed' end kind from events), j as (select "key", 0::bigint n, case when "key" % 3 = 0 then 'note' when "key" % 3 = 1 then 'review' end stage from (select distinct "key" from e)
+    union all select j."key", e.n, case when kind = 'recorded' then coalesce(stage, 'note') when kind = 'noted' and stage = 'note' then 'review' when kind = 'reviewed' and stage = 'review' then null else stage end from j join e on e."key" = j."key" and e.n = j.n + 1)
+  select "key", stage from j qualify n = max(n) over (partition by "key") and stage is not null""")
+def job_stages(spark: SparkSession, d: str) -> DataFrame:
+    """The stage machine of durable jobs: each user's events in order, from the stage that its job has."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.element_at(F.array(*map(F.lit, ("recorded", "noted", "reviewed", "failed"))), (F.col("event_id") % 4 + 1).cast("int")).alias("kind"))
+    jobs = e.select("key").distinct().withColumn("stage", F.when(F.col("key") % 3 == 0, "note").when(F.col("key") % 3 == 1, "review")).filter("stage is not null")
+    return watch.advanced(jobs, e)
+
+
 @query("select '| ' || r_regionkey || ' | ' || r_name || ' |' line from region")
 def markdown_rows(spark: SparkSession, d: str) -> DataFrame:
     """K6."""

@@ -23,7 +23,7 @@ def text_units(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", F.size(T.words(F.col("text"))).cast("long").alias("words"), F.length(T.cer_units(F.col("text"))).cast("long").alias("chars"))
 
 
-@query("select doc_id, case when length(c) > 160 then rtrim(substr(c, 1, 159)) || '…' else c end short from (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) c from documents)")
+@query("select doc_id, case when length(c) > 160 then rtrim(substr(c, 1, 160)) || '…' else c end short from (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) c from documents)")
 def capped_text(spark: SparkSession, d: str) -> DataFrame:
     """F10."""
     return _docs(spark, d).select("doc_id", T.capped(F.col("text"), 160).alias("short"))
@@ -41,16 +41,19 @@ def slugs(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", T.slug(F.split("text", "\n")[0]).alias("slug"))
 
 
-@query("select page_id, regexp_replace(lower(trim(regexp_replace(url, '[^0-9A-Za-z가-힣 _-]', '', 'g'))), ' +', '-', 'g') anchor from pages")
+@query("select page_id, '#' || regexp_replace(lower(trim(regexp_replace('4.' || page_id || ' ' || url, '[^0-9A-Za-z가-힣 -]+', '', 'g'))), '[ -]+', '-', 'g') anchor from pages")
 def heading_anchors(spark: SparkSession, d: str) -> DataFrame:
     """F14."""
-    return table(spark, d, "pages").select("page_id", T.anchor(F.col("url")).alias("anchor"))
+    return table(spark, d, "pages").select("page_id", T.anchor(F.concat(F.lit("4."), F.col("page_id").cast("string"), F.lit(" "), "url")).alias("anchor"))
 
 
-@query("select page_id, lower(split_part(url, '://', 1)) = 'https' and regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) <> '' and not regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)), '^(?:www\\.)?(?:google|bing|duckduckgo|naver|daum|yahoo)\\.') direct from pages")
+@query("select page_id, lower(split_part(url, '://', 1)) = 'https' and regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) <> '' and lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) not in ('google.com', 'www.google.com', 'bing.com', 'www.bing.com', 'search.naver.com', 'duckduckgo.com') direct from (select page_id, url from pages union all select -page_id, 'https://' || case page_id % 6 when 0 then 'Google.com' when 1 then 'naver.com' when 2 then 'search.naver.com' when 3 then 'maps.google.com' when 4 then 'duckduckgo.com' else 'www.bing.com' end || '/q?' || page_id from pages)")
 def direct_url_check(spark: SparkSession, d: str) -> DataFrame:
-    """P14."""
-    return table(spark, d, "pages").select("page_id", T.direct_https(F.col("url")).alias("direct"))
+    """The addresses of pages, and as many at hosts that are search pages, or only look like them."""
+    p = table(spark, d, "pages").select("page_id", "url")
+    host = F.element_at(F.array(*map(F.lit, ("Google.com", "naver.com", "search.naver.com", "maps.google.com", "duckduckgo.com", "www.bing.com"))), (F.col("page_id") % 6 + 1).cast("int"))
+    more = p.select((-F.col("page_id")).alias("page_id"), F.concat(F.lit("https://"), host, F.lit("/q?"), F.col("page_id").cast("string")).alias("url"))
+    return p.union(more).select("page_id", T.direct_https(F.col("url")).alias("direct"))
 
 
 @query("select page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body[^>]*>(.*?)</body>', 1), '(?s)<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) body from pages")
@@ -99,21 +102,11 @@ def transcript_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line", F.regexp_extract("line", "^([A-Za-z0-9]+):", 1).alias("speaker"))
 
 
-@query("""select doc_id, levenshtein(a, b)::bigint distance, greatest(length(a), length(b))::bigint longer, levenshtein(a, b)::double / length(a) rate from (select doc_id, substr(regexp_replace(text, '[^ -~]', '?', 'g'), 1, 200) a, substr(regexp_replace(lower(text), '[^ -~]', '?', 'g'), 3, 200) b from documents where length(text) > 0)""")
-def edit_distance(spark: SparkSession, d: str) -> DataFrame:
-    """F2 and the rate of F9's errors, on the ASCII-mapped passages that its SQL takes; edit_distance_whole has whole texts."""
-    return _edits(spark, d, 200)
-
-
 @query()
-def edit_distance_whole(spark: SparkSession, d: str) -> DataFrame:
+def edit_distance(spark: SparkSession, d: str) -> DataFrame:
     """F2 and the rate of F9's errors, on whole ASCII-mapped texts."""
-    return _edits(spark, d)
-
-
-def _edits(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
-    a, b = (F.substring(F.regexp_replace(c, ASCII, "?"), F.lit(i), F.lit(most) if most else F.length(c)) for c, i in ((F.col("text"), 1), (F.lower("text"), 3)))
-    x = _docs(spark, d).filter(F.length("text") > 0).select("doc_id", a.alias("a"), b.alias("b")).withColumn("distance", T.edit_distance("a", "b").cast("long"))
+    a, b = (F.substring(F.regexp_replace(c, ASCII, "?"), F.lit(i), F.length(c)) for c, i in ((F.col("text"), 1), (F.lower("text"), 3)))
+    x = _docs(spark, d).filter(F.length("text") > 0).select("doc_id", a.alias("a"), b.alias("b")).repartition("doc_id").withColumn("distance", T.edit_distance("a", "b").cast("long"))
     return x.select("doc_id", "distance", F.greatest(F.length("a"), F.length("b")).cast("long").alias("longer"), (F.col("distance").cast("double") / F.length("a")).alias("rate"))
 
 
@@ -144,3 +137,32 @@ def jamo_given_names(spark: SparkSession, d: str) -> DataFrame:
 def bold_stripped(spark: SparkSession, d: str) -> DataFrame:
     """F15, its bold part: lengths without the marks."""
     return _docs(spark, d).select("doc_id", F.length(F.regexp_replace("text", r"\*\*([^*]+)\*\*", "$1")).cast("long").alias("n"))
+
+
+_F = "'## 6. 객관 명제 팩트체크'"
+
+
+@query(f"""select doc_id, sha256(rtrim(x, chr(10) || ' ') || chr(10)) hash, rtrim(x, chr(10) || ' ') || chr(10) = case when doc_id % 3 = 0 then rtrim(t, chr(10) || ' ') || chr(10) else rtrim(x, chr(10) || ' ') || chr(10) end same from (select doc_id, t, t x from (select doc_id, regexp_replace(text, '[^ -~\\n]', '?', 'g') t from documents))""")
+def fact_section(spark: SparkSession, d: str) -> DataFrame:
+    """a third of the texts end in a fact-check section; the hash is that of the text without it, once or twice stripped."""
+    t = _docs(spark, d).select("doc_id", F.regexp_replace("text", r"[^ -~\n]", "?").alias("t"))
+    noted = F.when(F.col("doc_id") % 3 == 0, T.with_facts(F.col("t"), F.concat(F.lit(T.FACTS), F.lit("\n\n- x\n## y\n")))).otherwise(F.col("t"))
+    x = t.withColumn("text", noted)
+    return x.select("doc_id", T.note_hash(F.col("text")).alias("hash"), (T.without_facts(T.without_facts(F.col("text"))) == T.without_facts(F.col("t"))).alias("same"))
+
+
+@query("""select page_id, replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”') line, translate(replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”'), '[]', '()') link, replace(replace(replace(url, '\\', '\\\\'), '%', '\\%'), '_', '\\_') likes from (select page_id, url, regexp_replace(substr(html, 1, 300), '[^ -~]', ' ', 'g') || '["x_%"]' t from pages)""")
+def inline_forms(spark: SparkSession, d: str) -> DataFrame:
+    """F11 and F27."""
+    t = F.concat(F.regexp_replace(F.substring("html", 1, 300), "[^ -~]", " "), F.lit('["x_%"]'))
+    p = table(spark, d, "pages").select("page_id", "url", t.alias("t"))
+    return p.select("page_id", T.one_line(F.col("t")).alias("line"), T.link_text(F.col("t")).alias("link"), T.like_escaped(F.col("url")).alias("likes"))
+
+
+@query("""select conv_id, turn, case when length(w) = 0 then '' when list_bool_or(list_transform(p, lambda x: contains(trim(x), ' '))) then trim(array_to_string(p, '')) else trim(case when turn % 2 = 0 then array_to_string(p, '') else array_to_string(p, ' ') end) end joined from (select conv_id, turn, w, case when turn % 2 = 0 then list_transform(string_split(w, ' '), lambda x: ' ' || x) else string_split(w, ' ') end p from (select conv_id, turn, trim(regexp_replace(regexp_replace(text, '[^ -~]', ' ', 'g'), '\\s+', ' ', 'g')) w from conversations))""")
+def joined_words(spark: SparkSession, d: str) -> DataFrame:
+    """words that bring their spaces along, and words that don't."""
+    w = T.collapsed(F.regexp_replace("text", "[^ -~]", " "))
+    pieces = F.split("w", " ")
+    c = table(spark, d, "conversations").select("conv_id", "turn", w.alias("w"))
+    return c.select("conv_id", "turn", T.joined_words(F.when(F.col("turn") % 2 == 0, F.transform(pieces, lambda x: F.concat(F.lit(" "), x))).otherwise(pieces)).alias("joined"))

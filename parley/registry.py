@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import audits, identities, notes, relational, searches, streams, texts, transcripts  # noqa: F401  (they fill the registry)
+from .plans import audits, files, identities, ledgers, notes, pages, relational, searches, streams, texts, transcripts  # noqa: F401  (they fill the registry)
 from .plans.base import QUERIES, SQL, Query
 
 FLAGSHIP = "transcript_turn_summary"

@@ -30,7 +30,7 @@ def roster_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def roster_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, whose first name may begin with a byte order mark."""
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return raw.toDF(*(c.lstrip("﻿").strip().lower() for c in raw.columns))
 
 

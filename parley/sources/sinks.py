@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def promoted(spark: SparkSession, staged: str, path: str, backup: str | None = None) -> None:
+    """Put a finished folder in the place of another by renaming; what was there goes to ``backup``, or is removed once the new one is in place.
+    Readers see the old folder, for a moment none, then the new one, never a half-written one."""
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at(f"{staged}/_SUCCESS")):
+        raise FileNotFoundError(f"{staged} isn't finished")
+    kept = backup or f"{path.rstrip('/')}.before-{uuid.uuid4().hex}"
+    old = fs.exists(at(path))
+    if old and (fs.exists(at(kept)) or not fs.rename(at(path), at(kept))):
+        raise OSError(f"can't keep {path} as {kept}")
+    if not fs.rename(at(staged), at(path)):
+        if old:
+            fs.rename(at(kept), at(path))
+        raise OSError(f"can't put {staged} in the place of {path}")
+    if old and not backup:
+        fs.delete(at(kept), True)
+
+
+def _replaced(rows: DataFrame, path: str, write) -> None:
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    write(rows.write, staged)
+    promoted(rows.sparkSession, staged, path)
+
+
 def transcripts(lines: DataFrame, path: str) -> None:
-    """K1: one text per meeting (meeting, transcript), a folder for each; Spark's commit replaces nothing half-written (K2)."""
-    lines.select("meeting", F.col("transcript").alias("value")).write.mode("overwrite").partitionBy("meeting").text(path)
+    """K1: one text per meeting (meeting, transcript), a folder for each; all of them replace the ones before at once (K2)."""
+    _replaced(lines.select("meeting", F.col("transcript").alias("value")), path, lambda w, p: w.partitionBy("meeting").text(p))
 
 
 def roster(rows: DataFrame, path: str) -> None:
     """K4: the roster as tab-separated values in order."""
-    rows.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
+    _replaced(rows, path, lambda w, p: w.option("sep", "\t").option("header", True).csv(p))
 
 
 def manifest(rows: DataFrame, path: str) -> None:
@@ -34,7 +61,7 @@ def if_changed(new: DataFrame, path: str, key: str) -> bool:
         old = None
     if old is not None and tuple(old) == tuple(new.agg(digest, F.count("*")).first()):
         return False
-    new.write.mode("overwrite").parquet(path)
+    _replaced(new, path, lambda w, p: w.parquet(p))
     return True
 
 

@@ -167,7 +167,7 @@ def test_distances_of_whole_texts(spark, tmp_path):
         rate[lang] = [n[0] + pair[0][0], n[1] + len(w), n[2] + pair[0][1], n[3] + len("".join(w))]
     got = {x.lang: (round(x.wer, 9), round(x.cer, 9)) for x in audits.cer_wer_micro(spark, str(tmp_path)).collect()}
     assert got == {k: (round(n[0] / n[1], 9), round(n[2] / n[3], 9)) for k, n in rate.items()}
-    whole = {x.doc_id: (x.distance, x.longer) for x in texts.edit_distance_whole(spark, str(tmp_path)).collect()}
+    whole = {x.doc_id: (x.distance, x.longer) for x in texts.edit_distance(spark, str(tmp_path)).collect()}
     assert whole[1] == (levenshtein_restated(docs[0][2], docs[0][2].lower()[2:]), len(docs[0][2]))
     assert whole[3] == (levenshtein_restated(docs[2][2], docs[2][2].lower()[2:]), 306)
 
@@ -183,7 +183,8 @@ def test_text_functions(spark):
     assert one(T.jamo_similarity(F.lit(""), F.lit("가"))) == 0.0
     assert one(T.without_particle(F.lit("가온는"))) == "가온"
     assert one(T.is_noise(F.lit(" 음 "))) is True
-    assert one(T.capped(F.lit("a" * 20), 5)) == "aaaa…"
+    assert one(T.capped(F.lit("a" * 20), 5)) == "aaaaa…"
+    assert one(T.capped(F.lit("a b  c"), 4)) == "a b…" and one(T.capped(F.lit(" a  b "), 3)) == "a b"
     assert one(times.stem_time(F.lit("meet 20240501 093000")).cast("string")) == "2024-05-01 09:30:00"
 
 
@@ -213,4 +214,3 @@ def test_empty_inputs(spark):
     assert intervals.assign_overlap(w, t, 10).count() == 0
     assert search.postings(spark.createDataFrame([], "k int, text string"), "k", "text").count() == 0
     assert notes.contract(spark.createDataFrame([], "note_key string, text string")).count() == 0
-    assert states.issue_counts(states.audit(*(spark.createDataFrame([], s) for s in ("key int, valid boolean", "key int", "key int, stage string")))).count() == 0

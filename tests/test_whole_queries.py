@@ -1,4 +1,4 @@
-"""Queries of the whole job, which have no SQL, against brute force on small fixtures."""
+"""Queries over whole tables against brute force on small fixtures."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def test_patch_budget_fold_takes_all_orders(spark, tmp_path):
                 used, kept = used + z - a, [*kept, (line, a, z)]
         if kept:
             want[o] = (used, len(kept))
-    assert {x.doc: (x.used, x.kept) for x in audits.patch_budget_fold_whole(spark, where).collect()} == want and max(want) >= 4000
+    assert {x.doc: (x.used, x.kept) for x in audits.patch_budget_fold(spark, where).collect()} == want and max(want) >= 4000
 
 
 def test_previous_notes_of_every_key(spark, tmp_path):
@@ -36,7 +36,7 @@ def test_previous_notes_of_every_key(spark, tmp_path):
     want = set()
     for c, role in {(c, role) for c, _, role in rows}:
         want |= {(role, c, x, t) for x, t in sorted(((x, t) for x, t, k in rows if k == role and x < c), reverse=True)[:3]}
-    got = [tuple(x) for x in audits.previous_notes_whole(spark, where).select("role", "at", "conv_id", "turn").collect()]
+    got = [tuple(x) for x in audits.previous_notes(spark, where).select("role", "at", "conv_id", "turn").collect()]
     assert set(got) == want and len(got) == len(want)
 
 
@@ -49,7 +49,7 @@ def test_fuzzy_names_of_all_parts(spark, tmp_path):
     for t in tokens:
         scored = sorted((-(1 - edits(t, n) / max(len(t), len(n))), n) for n in {x + "x" for x in tokens} if n != t and 1 - edits(t, n) / max(len(t), len(n)) >= 0.72)
         want |= {(t, n, i) for i, (_, n) in enumerate(scored[:2], 1)}
-    assert {(x.token, x.name, x.rank) for x in identities.fuzzy_name_join_whole(spark, where).collect()} == want
+    assert {(x.token, x.name, x.rank) for x in identities.fuzzy_name_join(spark, where).collect()} == want
 
 
 def test_substrings_of_all_terms(spark, tmp_path):
@@ -59,4 +59,4 @@ def test_substrings_of_all_terms(spark, tmp_path):
     where = written(spark, tmp_path, "documents", docs, "doc_id long, text string")
     terms = {"their", "harbour", "lantern", "thistle", "quarry", "walnut"}
     want = {(t, d) for t in terms for d, x in docs if x and t in x.lower()}
-    assert {(x.term, x.doc_id) for x in searches.substring_search_whole(spark, where).collect()} == want
+    assert {(x.term, x.doc_id) for x in searches.substring_search(spark, where).collect()} == want
