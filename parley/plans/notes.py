@@ -159,11 +159,15 @@ def note_items(spark: SparkSession, d: str) -> DataFrame:
     return N.items(lines, "note_key").select("item_id", "title", "owner", "due", F.array_join("evidence_refs", ",").alias("refs"))
 
 
-@query("select * from (values (1, '## a', 'x'), (2, '## c', chr(10) || 'y' || chr(10) || '~~~' || chr(10) || '## not' || chr(10) || '```' || chr(10) || '~~~')) t(seq, heading, body)")
+@query("""with f as (select doc_id k, case doc_id % 3 when 0 then '' when 1 then chr(10) || '```' || chr(10) || '## no' || chr(10) || '~~~' || chr(10) || '```' else chr(10) || '~~~ x' || chr(10) || '## no' || chr(10) || '~~~' end fence from documents)
+  select k::varchar note_key, 1 seq, '## a' heading, 'x' || k || fence body from f union all select k::varchar, 2, '##  c d', chr(10) || 'y' from f""")
 def heading_split(spark: SparkSession, d: str) -> DataFrame:
-    """Headings within fences don't split."""
-    text = "top\n## a\nx\n## c\n\ny\n~~~\n## not\n```\n~~~"
-    return N.sections(spark.createDataFrame([("k", text)], "note_key string, text string"), "note_key", "text").select(F.col("seq").cast("int").alias("seq"), "heading", "body")
+    """Headings within fences of either kind don't split."""
+    k = F.col("doc_id")
+    fence = F.when(k % 3 == 1, "\n```\n## no\n~~~\n```").when(k % 3 == 2, "\n~~~ x\n## no\n~~~").otherwise("")
+    text = F.concat(F.lit("top\n## a\nx"), k.cast("string"), fence, F.lit("\n##  c d \n\ny"))
+    notes = table(spark, d, "documents").select(k.cast("string").alias("note_key"), text.alias("text"))
+    return N.sections(notes, "note_key", "text").select("note_key", F.col("seq").cast("int").alias("seq"), "heading", "body")
 
 
 _MADE = "m as (select o_orderkey k, o_orderkey % 5 + 1 n, o_orderkey % 3 done, o_custkey c from orders)"
@@ -219,13 +223,16 @@ def queue_admission(spark: SparkSession, d: str) -> DataFrame:
     return U.admitted(r, a).withColumnRenamed("key", "o_orderkey")
 
 
-@query("""select * from (values ('a', 'ok'), ('b', 'no approval'), ('c', 'source changed'), ('d', 'visibility differs'), ('e', 'expired'), ('f', 'expired')) t("key", verdict)""")
+@query("""select o_orderkey "key", case when o_orderkey % 7 = 0 then 'no approval' when o_orderkey % 5 = 0 then 'source changed' when o_orderkey % 3 = 0 then 'visibility differs' when o_orderkey % 4 = 0 or o_orderkey % 11 = 0 then 'expired' else 'ok' end verdict from orders""")
 def approval_check(spark: SparkSession, d: str) -> DataFrame:
-    """E23 on literal approvals."""
+    """Requests by order, whose approvals are missing, for another source, another or no visibility, past, or without a time zone."""
     from ..operators import publication as U
 
-    req = spark.createDataFrame([(k, "s", "public") for k in "abcdef"], "key string, source_sha256 string, visibility string")
-    app = spark.createDataFrame([("a", "s", "public", "2030-01-01T00:00:00Z"), ("c", "t", "public", "2030-01-01T00:00:00Z"), ("d", "s", None, "2030-01-01T00:00:00Z"), ("e", "s", "public", "2020-01-01T00:00:00+09:00"), ("f", "s", "public", "2030-01-01T00:00:00")], "key string, source_sha256 string, visibility string, expires string")
+    k = F.col("o_orderkey")
+    req = table(spark, d, "orders").select(k.alias("key"), F.concat(F.lit("s"), k.cast("string")).alias("source_sha256"), F.lit("public").alias("visibility"))
+    k = F.col("key")
+    until = F.when(k % 4 == 0, "2020-01-01T00:00:00+09:00").when(k % 11 == 0, "2030-01-01T00:00:00").otherwise("2030-01-01T00:00:00Z")
+    app = req.filter(k % 7 != 0).select("key", F.when(k % 5 == 0, "t").otherwise(F.col("source_sha256")).alias("source_sha256"), F.when(k % 6 == 0, None).when(k % 3 == 0, "private").otherwise("public").alias("visibility"), until.alias("expires"))
     return U.approved(req, app, F.lit("2024-06-01 00:00:00").cast("timestamp"))
 
 

@@ -74,9 +74,14 @@ def markdown_rows(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "region").select(sinks.markdown_table(["r_regionkey", "r_name"]).alias("line"))
 
 
-@query("""select n_regionkey, 60 * count(*)::bigint + 20 height, count(*)::bigint boxes from nation group by 1""")
+@query("""with n as (select n_regionkey r, n_name, row_number() over (partition by n_regionkey order by n_name) - 1 i from nation), l as (select * from (values (0, 'rollout-map', 4, 232, 120, 200, 96, true), (1, 'system-map', 3, 304, 96, 280, 72, false), (2, 'milestone-timeline', 1, 0, 84, 800, 68, true), (3, 'decision-map', 2, 456, 132, 424, 108, false)) t(k, kind, c, a, d, w, h, j)),
+  p as (select r, kind, i, n_name, c, a, d, w, h, j, 32 + i % c * a x, 88 + i // c * d y, 32 + (i + 1) % c * a x2, 88 + (i + 1) // c * d y2, count(*) over (partition by r) m, (88 + ceil(count(*) over (partition by r) / c::double)::int * d + 16)::varchar total from n join l on k = r % 4),
+  s as (select r, min(kind) kind, min(total) total, coalesce(string_agg(case when j and i < m - 1 then '<line class="line" x1="' || (x + w // 2) || '" y1="' || (y + h // 2) || '" x2="' || (x2 + w // 2) || '" y2="' || (y2 + h // 2) || '"/>' end, '' order by i), '') lines,
+   string_agg('<g transform="translate(' || x || ',' || y || ')"><rect class="node" width="' || w || '" height="' || h || '" rx="8"/><text class="id" x="12" y="22">N' || i || '</text><text class="label" x="48" y="22"><tspan x="48" dy="0">' || n_name || '&lt;&amp;</tspan></text><text class="detail" x="12" y="' || (h - 26) || '">d</text><text class="detail" x="12" y="' || (h - 10) || '"></text></g>', '' order by i) boxes from p group by r)
+  select r n_regionkey, '<svg xmlns="http://www.w3.org/2000/svg" width="960" height="' || total || '" viewBox="0 0 960 ' || total || '" role="img"><title>' || kind || '</title><text class="heading" x="32" y="42">' || kind || '</text>' || lines || boxes || '</svg>' svg from s""")
 def svg_render(spark: SparkSession, d: str) -> DataFrame:
-    """K7: boxes for the nations of each region."""
+    """K7: the nations of each region, as pictures of the four kinds."""
     n = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("labels"))
-    svg = n.select("n_regionkey", sinks.svg_boxes(F.col("labels")).alias("svg"))
-    return svg.select("n_regionkey", F.regexp_extract("svg", 'height="([0-9]+)">', 1).cast("long").alias("height"), F.regexp_count("svg", F.lit("<rect")).cast("long").alias("boxes"))
+    node = lambda label, i: F.struct(F.concat(F.lit("N"), i.cast("string")).alias("id"), F.concat(label, F.lit("<&")).alias("label"), F.lit("d").alias("detail"), F.lit(None).cast("string").alias("ref"))
+    kind = F.element_at(F.array(*map(F.lit, sinks.LAYOUTS)), (F.col("n_regionkey") % 4 + 1).cast("int"))
+    return n.select("n_regionkey", sinks.svg_picture(kind, kind, F.transform("labels", node)).alias("svg"))

@@ -126,11 +126,15 @@ def normalized_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", T.normalized(F.concat(F.lit("[00:01 - 00:02] 화자 A: "), F.col("text"))).alias("text"))
 
 
-@query("""select * from (values ('김민준', 'ㄱㅣㅁㅁㅣㄴㅈㅜㄴ', '민준'), ('남궁민수', 'ㄴㅏㅁㄱㅜㅇㅁㅣㄴㅅㅜ', '민수'), ('Gaon', 'Gaon', 'aon'), ('이수', 'ㅇㅣㅅㅜ', '이수')) t(name, jamo, given)""")
+@query("""with n as (select s_suppkey, case when s_suppkey % 4 = 0 then '남궁' else chr((44032 + (s_suppkey * 7919 + 11) % 11172)::int) end || chr((44032 + (s_suppkey * 104729 + 5) % 11172)::int) || case s_suppkey % 3 when 0 then '' when 1 then 'b' else chr((44032 + s_suppkey * 31 % 11172)::int) end "name" from supplier)
+  select s_suppkey, array_to_string(list_transform(string_split("name", ''), lambda c: case when unicode(c) between 44032 and 55203 then substr('ㄱㄲㄴㄷㄸㄹㅁㅂㅃㅅㅆㅇㅈㅉㅊㅋㅌㅍㅎ', (unicode(c) - 44032) // 588 + 1, 1) || substr('ㅏㅐㅑㅒㅓㅔㅕㅖㅗㅘㅙㅚㅛㅜㅝㅞㅟㅠㅡㅢㅣ', (unicode(c) - 44032) % 588 // 28 + 1, 1) || trim(substr(' ㄱㄲㄳㄴㄵㄶㄷㄹㄺㄻㄼㄽㄾㄿㅀㅁㅂㅄㅅㅆㅇㅈㅊㅋㅌㅍㅎ', (unicode(c) - 44032) % 28 + 1, 1)) else c end), '') jamo,
+  case when length("name") >= 4 and s_suppkey % 4 = 0 then substr("name", 3) when length("name") >= 3 then substr("name", 2) else "name" end given from n""")
 def jamo_given_names(spark: SparkSession, d: str) -> DataFrame:
-    """F1 and F4 on literal names."""
-    names = spark.createDataFrame([("김민준",), ("남궁민수",), ("Gaon",), ("이수",)], "name string")
-    return names.select("name", T.jamo(F.col("name")).alias("jamo"), T.given_name(F.col("name")).alias("given"))
+    """F1 and F4 on Hangul names made of the keys of suppliers."""
+    k = F.col("s_suppkey")
+    hangul = lambda n: F.decode(F.unhex(F.hex((n % 11172 + 0xAC00).cast("long"))), "UTF-16BE")
+    name = F.concat(F.when(k % 4 == 0, "남궁").otherwise(hangul(k * 7919 + 11)), hangul(k * 104729 + 5), F.when(k % 3 == 0, "").when(k % 3 == 1, "b").otherwise(hangul(k * 31)))
+    return table(spark, d, "supplier").select("s_suppkey", T.jamo(name).alias("jamo"), T.given_name(name).alias("given"))
 
 
 @query("""select doc_id, greatest(length(regexp_replace(text, '\\*\\*([^*]+)\\*\\*', '\\1', 'g')), 0)::bigint n from documents""")

@@ -285,3 +285,41 @@ def test_simultaneous_equals_all_pairs(spark):
 def test_every_rule_of_the_contract_has_a_breaking_note():
     named = {e.split(":")[0] for _, errors in BROKEN.values() for e in errors.split(",") if e}
     assert len(named) >= 40 - 6
+
+
+def test_pages_by_cursor(spark):
+    """A service that is busy first, then gives three pages, each with the cursor of the next."""
+    import http.server
+    import threading
+    from urllib.parse import parse_qs, urlparse
+
+    from parley.sources.readers import Pages
+
+    asked = []
+
+    class Service(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            cursor = parse_qs(urlparse(self.path).query).get("cursor", [""])[0]
+            asked.append(cursor)
+            if len(asked) == 1:
+                self.send_response(429)
+                self.send_header("Retry-After", "0.1")
+                self.end_headers()
+                return
+            n = int(cursor or 0)
+            body = json.dumps({"results": [{"id": f"p{2 * n + i}", "t": "가"} for i in range(2)], "next_cursor": str(n + 1) if n < 2 else None}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(Pages)
+        rows = spark.read.format("pages").option("url", f"http://127.0.0.1:{server.server_port}/list").load().collect()
+    finally:
+        server.shutdown()
+    assert [r.id for r in rows] == [f"p{i}" for i in range(6)] and json.loads(rows[0].body)["t"] == "가" and asked == ["", "", "1", "2"]
