@@ -52,9 +52,42 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(read(spark, sf_dir))
 
 
+_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: Exact links over whole shingle sets, and what they reach.
+OP3 = f"""with recursive d as (select doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} w from documents),
+  s as (select doc_id, unnest(list_distinct(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) when len(w) > 0 then ['1: ' || array_to_string(w, ' ')] else [] end)) g from d),
+  n as (select doc_id, count(*) n from s group by 1), m as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+  l as (select a, b from m join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)), e as (select a, b from l union all select b, a from l),
+  r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
+  select doc_id, coalesce(n, 0)::bigint n_shingles, least(doc_id, coalesce((select min(b) from r where a = doc_id), doc_id)) component_id from documents left join n using (doc_id)"""
+
+
+def _repeats(k: int) -> str:
+    """Per document and word position whether it stands in a window of k words that the document has twice."""
+    window = " || ' ' || ".join(f"w[i + {j}]" if j else "w[i]" for j in range(k))
+    found = f"g{k} as (select doc_id, g, list(i) ps from (select doc_id, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: struct_pack(g := {window}, i := i)), recursive := true) from d where len(w) >= {k}) group by 1, 2 having count(*) > 1)"
+    return f"{found}, c{k} as (select doc_id, count(*) n, sum(length(w[p])) chars from (select distinct doc_id, i + j p from (select doc_id, unnest(ps) i from g{k}), range({k}) t(j)) join d using (doc_id) group by 1)"
+
+
+_SIZES = (3, *repetition.COVERAGE)
+_MOST = " or ".join([
+    f"dup_line_chars / greatest(word_chars, 1) > {repetition.LINE_CHARS}", f"n_dup_lines > {repetition.LINES} * n_lines", f"n_symbols > {repetition.SYMBOLS} * n_words",
+    *(f"covered_{k} / greatest(word_chars, 1) > {most}" for k, most in repetition.COVERAGE.items()),
+])
+#: Windows and lines as strings in place of hashes.
+OP6 = f"""with d as (select doc_id, coalesce(text, '') t, {_WORDS.format("coalesce(text, '')")} w from documents), {", ".join(map(_repeats, _SIZES))},
+  x as (select doc_id, i, x, sum(len({_WORDS.format("x")}))::bigint k, sum(length(x))::bigint chars from (select doc_id, unnest(string_split(t, chr(10))) x, generate_subscripts(string_split(t, chr(10)), 1) i from d) group by 1, 2, 3),
+  y as (select *, row_number() over (partition by doc_id, x order by i) r from x where k > 0), z as (select doc_id, count(*) n_lines, count(*) filter (r > 1) n_dup_lines, coalesce(sum(chars) filter (r > 1), 0) dup_line_chars from y group by 1),
+  o as (select doc_id, len(w)::bigint n_words, coalesce(list_sum(list_transform(w, lambda v: length(v))), 0)::bigint word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint n_symbols, coalesce(n_dup_lines, 0)::bigint n_dup_lines, coalesce(c3.n, 0)::bigint n_repeat_words, coalesce(n_lines, 0)::bigint n_lines, coalesce(dup_line_chars, 0)::bigint dup_line_chars,
+    {", ".join(f"coalesce(c{k}.chars, 0)::bigint covered_{k}" for k in repetition.COVERAGE)} from d left join z using (doc_id) {" ".join(f"left join c{k} using (doc_id)" for k in _SIZES)}),
+  b as (select *, n_words < {repetition.MIN_WORDS} or 100 * n_repeat_words > {repetition.REPEAT_PERCENT} * n_words base_failed from o) select *, not (base_failed or {_MOST}) kept from b"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_rule_ensemble, op2_kd_shards, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op7_licence_windows, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the queries that SQL expresses: exact links and repeated windows."""
+    return {"op3_order_join": OP3, "op6_repetition_rules": OP6}
