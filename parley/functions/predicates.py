@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapsed, strip_honorific
+from .text import strip_honorific, stripped
 
 
 def is_target(key: Column, wanted: Column) -> Column:
@@ -20,9 +20,9 @@ def is_canonical(key: Column) -> Column:
 
 
 def confirmed_target(target: Column) -> Column:
-    """A ledger target, or null if it is hedged, quoted or over 45 characters long."""
-    t = collapsed(target)
-    bad = t.rlike("추정|후보|가능성|불명확|확인 필요|\\?") | t.rlike("[\"'“”]") | (F.length(t) > 45) | (t == "")
+    """A ledger target, or null if it ends in a hedge, begins with a quote, or is over 45 characters long."""
+    t = stripped(target)
+    bad = t.rlike(r"(?:추정|확인 필요|검증 필요|후보|가능성|잠정)\s*$") | t.rlike("^[\"'“‘]") | (F.length(t) > 45) | (t == "")
     return F.when(~bad, t)
 
 

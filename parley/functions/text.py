@@ -80,9 +80,10 @@ def honorific(name: Column) -> Column:
 
 
 def variants(text: Column) -> Column:
-    """the variants in a ledger entry, split at / , and middle dots, without backticks and honorifics."""
-    parts = F.transform(F.split(text, "[/,·]"), lambda p: strip_honorific(F.trim(F.regexp_replace(p, "`", ""))))
-    return F.filter(parts, lambda p: p != "")
+    """the variants in a ledger entry, split at / , and middle dots, without notes on the speaker, backticks around them, and honorifics; of at most 40 characters."""
+    said = F.regexp_replace(text, r"\s*\([^)]*화자[^)]*\)\s*", " ")
+    parts = F.transform(F.split(said, "[/,·]"), lambda p: strip_honorific(F.trim(F.regexp_replace(F.trim(p), "^`+|`+$", ""))))
+    return F.filter(parts, lambda p: (p != "") & (F.length(p) <= 40))
 
 
 def target_base(target: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.predicates import name_tokens
+from ..functions.predicates import confirmed_target, name_tokens
 
 
 def identity_key(email: Column, employee_id: Column, fallback: Column, company: str) -> Column:
@@ -146,6 +146,58 @@ def grounded(confirmed: DataFrame, transcripts: DataFrame) -> DataFrame:
     return held.select("note", F.explode(stays).alias("x")).select("note", "x.*").select(*confirmed.columns)
 
 
+# Sections that confirm corrections or name terms, what a ledger line looks like, and words that no term holds.
+CONFIRMED = r"^#{2,3}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?검증\s*완료"
+CORRECTION = r"^\s*[-*]\s*(.+?)\s*(?:->|→)\s*\*\*([^*]+)\*\*"
+NOISE = ("추정", "근거", "원문", "예시", "불명", "또는", "추가", "참고", "이하", "명부", "매칭", "오기", "의심", "있음", "없음", "가능성")
+PREFACE = ("누적 확정 표기 사전 (과거 회의록 `검증 완료`에서 축적).", "형식: `STT 변형 후보` → 정정 (확정 횟수). 전사 문맥이 맞을 때만 적용하고, 애매하면 검증 필요에 남긴다.", "")
+
+
+def corrections(notes: DataFrame) -> DataFrame:
+    """The confirmed corrections (note, target, variant) of notes (note, text): of bullets in a section of completed checks."""
+    lines = notes.select("note", F.posexplode(F.split("text", r"\r\n|\n")).alias("line_no", "line"))
+    head = F.when(F.col("line").rlike(r"^#{2,3}\s"), F.col("line").rlike(CONFIRMED))
+    inside = F.last(head, ignorenulls=True).over(Window.partitionBy("note").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
+    hit = lines.withColumn("inside", inside).filter(F.col("inside") & head.isNull() & F.col("line").rlike(CORRECTION))
+    named = hit.select("note", confirmed_target(F.regexp_extract("line", CORRECTION, 2)).alias("target"), F.explode(T.variants(F.regexp_extract("line", CORRECTION, 1))).alias("variant"))
+    return named.filter("target is not null and variant <> target").distinct()
+
+
+def ledger(notes: DataFrame, transcripts: DataFrame, before: Column | None = None, least: int = 1) -> DataFrame:
+    """In how many notes, before one if asked, each correction was confirmed, by a variant that the note's own transcript holds."""
+    counts = ledger_counts(grounded(corrections(notes), transcripts), before)
+    return counts.filter(F.col("count") >= least)
+
+
+def ledger_lines(counts: DataFrame, most: int = 200) -> DataFrame:
+    """The ledger as lines (line_no, line): its preface, then the ``most`` corrections of most notes by (-count, target, variant). No corrections: no lines."""
+    spark = counts.sparkSession
+    top = counts.orderBy(F.desc("count"), "target", "variant").limit(most)
+    rank = F.row_number().over(Window.orderBy(F.desc("count"), "target", "variant"))
+    body = top.select((rank + len(PREFACE) - 1).alias("line_no"), F.concat(F.lit("- "), "variant", F.lit(" → **"), "target", F.lit("** ("), F.col("count").cast("string"), F.lit("회)")).alias("line"))
+    head = spark.createDataFrame(list(enumerate(PREFACE)), "line_no int, line string")
+    return head.join(F.broadcast(body.limit(1).select(F.lit(1).alias("_any"))), how="cross").drop("_any").union(body)
+
+
+def _section(text: Column, name: str) -> Column:
+    return F.regexp_extract(text, rf"(?sm)^#{{2,3}}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?{name}\s*$\n(.*?)(?=^#{{2,3}}\s|\z)", 1)
+
+
+def glossary(notes: DataFrame, most: int = 80) -> DataFrame:
+    """Terms of notes (note, text) in order of first appearance, the first ``most``: values of marked categories, bold text and code of the section of
+    other remarks, then the targets of arrows in the sections of completed and open checks; cleaned, noise left out (P8)."""
+    all_ = lambda c, p: F.regexp_extract_all(c, F.lit(p), F.lit(1))
+    category = r"^\s*-\s*\*\*([^*]+?)\*\*\s*[:：]\s*(.+)"
+    remarks = F.flatten(F.transform(F.split(_section(F.col("text"), "기타 메모"), r"\r\n|\n"), lambda line: F.when(line.rlike(category), F.split(F.regexp_replace(F.regexp_extract(line, category, 2), r"\s*\([^)]*\)\s*", " "), "[,、]")).otherwise(F.concat(all_(line, r"\*\*([^*\n]+?)\*\*"), all_(line, "`([^`\n]+?)`")))))
+    arrows = [x for name in ("검증 완료", "검증 필요") for x in (all_(_section(F.col("text"), name), r"→\s*\*\*([^*\n]+?)\*\*"), all_(_section(F.col("text"), name), r"→\s*([A-Za-z가-힣0-9+&.\-]+(?:\s[A-Za-z가-힣0-9+&.\-]+){0,3})"))]
+    each = notes.select("note", F.posexplode(F.concat(remarks, *arrows)).alias("pos", "term"))
+    bare = T.stripped(F.regexp_replace(T.stripped(F.col("term")), r"^[.,;·「」『』\"'`]+|[.,;·「」『』\"'`]+$", ""))
+    balanced = F.when(F.regexp_count(bare, F.lit(r"\(")) != F.regexp_count(bare, F.lit(r"\)")), T.stripped(F.regexp_replace(bare, "[()]", ""))).otherwise(bare)
+    kept = each.withColumn("term", balanced).filter(F.length("term").between(2, 40) & ~F.col("term").rlike("|".join(NOISE)) & ~F.col("term").contains("/") & ~F.col("term").contains(" 등"))
+    first = kept.groupBy("term").agg(F.min(F.struct("note", "pos")).alias("first"))
+    return first.orderBy("first").limit(most).select("term", F.col("first.note").alias("note"))
+
+
 def ledger_lookup(words: DataFrame, ledger: DataFrame, suffixes: list[str]) -> DataFrame:
     """For each word the longest variant that it is, or is with one of the suffixes: an equality
     join on every way to cut the word."""

@@ -55,9 +55,32 @@ def first_attendees(*sources: Column) -> Column:
     return F.coalesce(*(F.when(F.size(s) > 0, s) for s in sources), F.array().cast("array<string>"))
 
 
+# The headings that a summary stands under.
+SUMMARIES = (r"## 1\. 핵심 결론 및 결정사항", r"## 1\. 핵심 요약")
+
+
+def plain_inline(text: Column) -> Column:
+    """Links, code, bold and struck text reduced to what they say."""
+    for mark, kept in ((r"\[([^\]]+)\]\([^)]+\)", "$1"), ("`([^`]*)`", "$1"), (r"(\*\*|__)(.+?)\1", "$2"), ("~~(.+?)~~", "$1")):
+        text = F.regexp_replace(text, mark, kept)
+    return stripped(text)
+
+
+def admission(notes: DataFrame) -> DataFrame:
+    """Per note of the queue, with the flags that ``state.audit`` takes, the first reason why it can't be published; ok if there is none."""
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    why = F.lit("ok")
+    order = (("exists", "no note"), ("transcript", "no transcript"), ("valid", "contract broken"), ("preview", "no readable form"), ("preview_faithful", "readable form differs"), ("review", "review incomplete"), ("review_valid", "review invalid"), ("receipt", "no receipt"), ("receipt_valid", "receipt invalid"), ("receipt_current", "receipt outdated"))
+    for flag, name in reversed(order):
+        why = F.when(~yes(flag), name).otherwise(why)
+    return notes.select("key", why.alias("admission"))
+
+
 def metadata(notes: DataFrame, most: int = 2000) -> DataFrame:
     """Title, time and summary of each note (note_key, text)."""
     t = F.col("text")
     title = F.coalesce(F.nullif(F.trim(F.regexp_extract(t, r"(?m)^# (.+)$", 1)), F.lit("")), F.regexp_replace("note_key", r"^.*/|\.md$", ""))
-    summary = F.substring(stripped(F.regexp_extract(t, r"(?sm)^## 1\.[^\n]*\n(.*?)(?=^## |\z)", 1)), 1, most)
+    body = F.regexp_extract(t, rf"(?sm)^\s*(?:{'|'.join(SUMMARIES)})\s*$(.*?)(?=^\s*##\s+\S|\z)", 1)
+    lines = F.transform(F.split(body, "\n"), lambda x: plain_inline(F.regexp_replace(stripped(x), r"^(?:[-+*]|[0-9]+[.)])\s+", "")))
+    summary = F.substring(F.array_join(F.filter(lines, lambda x: x != ""), "\n"), 1, most)
     return notes.select("note_key", title.alias("title"), P.note_time(t).alias("time"), summary.alias("summary"))

@@ -166,3 +166,30 @@ def candidate_errors(spark: SparkSession, d: str) -> DataFrame:
         F.lit("c").alias("claim_text"), F.when(n % 7 == 0, " ").otherwise("p").alias("public_claim"), F.lit("e").alias("required_evidence"), kind.alias("checkability"), F.lit("high").alias("importance"), F.lit(False).alias("stt_risk"), (n % 3 == 0).alias("web_search_allowed"), F.array().cast("array<struct<speaker: string>>").alias("counterpart_claims"),
     )
     return R.candidate_errors(c).select(F.col("meeting").alias("doc_id"), "errors")
+
+
+def _noted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Notes made of customers: two corrections each, one in a section of open checks; and their transcripts."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    target = F.concat(F.lit("표준"), n, F.when(k % 6 == 0, " 추정").otherwise(""))
+    text = F.concat(F.lit("# t\n- `밖` → **안**\n### 5.2 검증 완료\n- `가"), n, F.lit("님`, 나"), n, F.lit(" (화자 A) → **"), target, F.lit("**, ok\n- 글 없음\n### 기타 메모\n- **제품**: 알파"), n, F.lit(" (옛), 근거 말\n- `코드"), n, F.lit("` 씀\n### 5.3 검증 필요\n- `다` → **라"), n, F.lit("**\n"))
+    c = table(spark, d, "customer")
+    said = c.filter("c_custkey % 5 <> 0").select(k.alias("note"), F.concat(F.lit("가"), n, F.when(k % 4 != 0, F.concat(F.lit(" 나"), n)).otherwise("")).alias("text"))
+    return c.select(k.alias("note"), text.alias("text")), said
+
+
+_CORRECTED = "c as (select c_custkey k, c_nationkey n from customer where c_custkey % 6 <> 0), g as (select k, '표준' || n target, '가' || n variant from c union all select k, '표준' || n, '나' || n from c where k % 5 = 0 or k % 4 <> 0)"
+
+
+@query(f"""with {_CORRECTED}, l as (select target, variant, count(*) m from g where k < 120 group by 1, 2 having count(*) >= 2), r as (select *, row_number() over (order by m desc, target, variant) i from l qualify i <= 20)
+  select i::int + 2 line_no, '- ' || variant || ' → **' || target || '** (' || m || '회)' line from r union all select * from (values {", ".join(f"({i}, '{x}')" for i, x in enumerate(N.PREFACE))}) t""")
+def ledger_markdown(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger of notes before one, of corrections that two notes or more confirm, as its lines."""
+    notes, said = _noted(spark, d)
+    return N.ledger_lines(N.ledger(notes, said, F.lit(120), 2), 20)
+
+
+@query("""with t as (select c_custkey k, unnest(['알파' || c_nationkey, '코드' || c_nationkey, '표준' || c_nationkey, '라' || c_nationkey]) term, unnest([0, 1, 2, 3]) p, c_custkey % 6 = 0 hedged from customer), f as (select term, min((k, p)) f from t where not (hedged and p = 2) group by 1) select term, f[1] note from f order by f limit 80""")
+def glossary_terms(spark: SparkSession, d: str) -> DataFrame:
+    """The terms of notes by first appearance."""
+    return N.glossary(_noted(spark, d)[0])

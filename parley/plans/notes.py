@@ -245,7 +245,7 @@ def superseded_pages(spark: SparkSession, d: str) -> DataFrame:
     return U.history(o.filter("page_id % 2 = 0"), o.filter("page_id % 2 = 1"))[1]
 
 
-@query("""select * from (values ('주간 회의', '2024-05-01', '- 출시일을 확정했다.')) t(title, "time", summary)""")
+@query("""select * from (values ('주간 회의', '2024-05-01', '출시일을 확정했다.')) t(title, "time", summary)""")
 def note_metadata(spark: SparkSession, d: str) -> DataFrame:
     """E27."""
     from ..operators import publication as U
@@ -256,6 +256,26 @@ def note_metadata(spark: SparkSession, d: str) -> DataFrame:
 _NAMES = ("참석자: 김민준, 이서연 박지호", "김민준+최유진&이서연_미팅", "20240501 회의 김민준 비공개", "김민준/김민준, 화자A Meeting", "미팅 20240501_101500", "참석자 : 남궁민수 선우재덕짱")
 
 
+@query("""select o_orderkey "key", '결정 ' || o_orderkey || chr(10) || '코드 굵게 링크' || case when o_orderkey % 2 = 0 then chr(10) || '셋 지움' else '' end summary from orders""")
+def note_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Summaries line by line, without list marks and inline marks."""
+    from ..operators import publication as U
+
+    k = F.col("o_orderkey")
+    text = F.concat(F.lit("# t\n\n## 1. 핵심 요약\n\n- 결정 "), k.cast("string"), F.lit("\n\n  2) `코드` **굵게** [링크](https://x)\n"), F.when(k % 2 == 0, "* 셋 ~~지움~~\n").otherwise(""), F.lit("\n## 2. Action Items\n- no\n"))
+    return U.metadata(table(spark, d, "orders").select(k.cast("string").alias("note_key"), text.alias("text"))).select(F.col("note_key").cast("long").alias("key"), "summary")
+
+
+@query("""select doc_id "key", case when doc_id % 11 = 0 then 'no note' when doc_id % 7 = 0 then 'no transcript' when doc_id % 5 = 0 then 'contract broken' when doc_id % 13 = 0 then 'readable form differs' when doc_id % 4 = 0 then 'review invalid' when doc_id % 9 = 0 then 'receipt outdated' else 'ok' end admission from documents""")
+def note_admission(spark: SparkSession, d: str) -> DataFrame:
+    """The first reason against a note."""
+    from ..operators import publication as U
+
+    m = {"exists": 11, "transcript": 7, "valid": 5, "preview_faithful": 13, "review_valid": 4, "receipt_current": 9}
+    flags = [(F.col("doc_id") % m[f] != 0 if f in m else F.lit(True)).alias(f) for f in ("exists", "transcript", "valid", "preview", "preview_faithful", "review", "review_valid", "receipt", "receipt_valid", "receipt_current")]
+    return U.admission(table(spark, d, "documents").select(F.col("doc_id").alias("key"), *flags))
+
+
 @query(f"""with l as (select c_custkey, [{', '.join(f"'{x}'" for x in _NAMES)}][c_custkey % 6 + 1] line, c_custkey % 2 = 0 r from customer),
   a as (select c_custkey, r, regexp_replace(regexp_replace(line, '(^|[^0-9A-Za-z가-힣])비공개([^0-9A-Za-z가-힣]|$)', '\\1 \\2', 'g'), '^\\s*참석자\\s*:\\s*', '') x from l),
   b as (select c_custkey, r, string_split_regex(regexp_replace(regexp_replace(regexp_replace(x, '(?:^|[_\\s-])20[0-9]{{6}}(?:[_\\s-]?[0-9]{{6}})?(?:$|[_\\s-])', ' ', 'g'), '(?i)\\bmeeting\\b', ' ', 'g'), '(?:^|[\\s_-])미팅(?:$|[\\s_-])', ' ', 'g'), '[,，+&/\\s_-]+') p from a),

@@ -323,3 +323,29 @@ def test_pages_by_cursor(spark):
     finally:
         server.shutdown()
     assert [r.id for r in rows] == [f"p{i}" for i in range(6)] and json.loads(rows[0].body)["t"] == "가" and asked == ["", "", "1", "2"]
+
+
+def test_glossary_and_ledger_of_a_note(spark):
+    text = """# t
+### 기타 메모
+- **제품**: 알파 (옛 이름), 베타·, 근거 없음
+- **굵게** 말하고 `코드` 씀
+### 5.2 검증 완료
+- `가옹님`, 가옴 / 가온 (화자 B) → **가온**
+- 비티 -> **BT 추정**
+- 큰 → **"인용"**
+- 둘 → Delta One 2 가 나 다
+### 5.3 검증 필요
+- x → **감마(a**
+"""
+    notes = spark.createDataFrame([("n2", text), ("n1", text.replace("알파", "오메가")), ("n3", "none")], "note string, text string")
+    got = [(r.term, r.note) for r in identity.glossary(notes).collect()]
+    assert got == [("오메가", "n1"), ("베타", "n1"), ("굵게", "n1"), ("코드", "n1"), ("가온", "n1"), ("BT 추정", "n1")][:5] + [('인용', "n1"), ("Delta One 2 가", "n1"), ("감마a", "n1"), ("알파", "n2")]
+    assert [r.term for r in identity.glossary(notes, 2).collect()] == ["오메가", "베타"]
+    fixed = {(r.note, r.target, r.variant) for r in identity.corrections(notes).collect()}
+    assert fixed == {(n, "가온", v) for n in ("n1", "n2") for v in ("가옹", "가옴")}
+    said = spark.createDataFrame([("n1", "가옹 있다")], "note string, text string")
+    counts = identity.ledger(notes, said)
+    assert {(r.variant, r["count"]) for r in counts.collect()} == {("가옹", 2), ("가옴", 1)}
+    assert [r.line for r in identity.ledger_lines(counts, 1).orderBy("line_no").collect()] == [*identity.PREFACE, "- 가옹 → **가온** (2회)"]
+    assert identity.ledger_lines(counts.limit(0)).count() == 0
