@@ -74,6 +74,21 @@ def reviewed(cases: DataFrame) -> Column:
     return F.coalesce(F.col("reviewed"), F.lit(False)) & given("reviewer") & given("evidence")
 
 
+def manifest_errors(cases: DataFrame) -> DataFrame:
+    """per case of a manifest (manifest, idx, id, reference, hypothesis: relative paths) what is wrong with it: ids that aren't opaque slugs or repeat,
+    paths that are blank or lead out of the manifest's folder, a reference without a hypothesis, and a file that is a reference here and a hypothesis anywhere."""
+    path = lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), r"(^|/)(?:\./)+", "$1"), "/{2,}", "/")
+    bad = lambda c: F.col(c).isNotNull() & ((F.trim(c) == "") | F.col(c).startswith("/") | F.col(c).rlike(r"(?:^|/)\.\.(?:/|$)"))
+    x = cases.withColumn("_r", path("reference")).withColumn("_h", path("hypothesis"))
+    heard = x.filter("_h is not null").select("manifest", F.col("_h").alias("_r")).distinct().withColumn("_both", F.lit(True))
+    x = x.join(heard, ["manifest", "_r"], "left").join(cases.groupBy("manifest", "id").agg(F.count("*").alias("_ids")), ["manifest", "id"])
+    rules = [
+        (~F.coalesce(F.col("id").rlike("^[a-z0-9]+(?:-[a-z0-9]+)*$"), F.lit(False)), "id isn't an opaque slug"), (F.col("_ids") > 1, "id repeats"), (bad("reference"), "reference outside the folder"), (bad("hypothesis"), "hypothesis outside the folder"),
+        (F.col("reference").isNotNull() & F.col("hypothesis").isNull(), "no hypothesis"), (F.coalesce("_both", F.lit(False)), "reference is a hypothesis"),
+    ]
+    return x.select("manifest", "idx", _broken(rules).alias("errors"))
+
+
 def evaluated(cases: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """Per case (id, reference, hypothesis, reviewed, reviewer, evidence, critical, speaker_labels): distances, units and rates,
     lexical and speaker mismatches, and the verdict. Without a reference: not_evaluated. Ids come out as their sha256."""

@@ -151,6 +151,17 @@ def speaker_counts(spark: SparkSession, d: str) -> DataFrame:
     return R.speaker_counts(c.groupBy(F.col("conv_id").alias("id")).agg(F.collect_list(pair).alias("speaker_labels")))
 
 
+@query("""select conv_id, turn, list_filter([case when turn % 6 = 5 then 'id isn''t an opaque slug' end, case when turn % 5 = 3 then 'reference outside the folder' end, case when turn % 7 = 2 then 'hypothesis outside the folder' end, case when turn % 4 = 3 then 'no hypothesis' end, case when turn = 1 then 'reference is a hypothesis' end], lambda x: x is not null)::varchar[] errors from conversations""")
+def manifest_errors(spark: SparkSession, d: str) -> DataFrame:
+    """cases by turn, with ids and paths that a manifest may not have."""
+    t = F.col("turn")
+    n = t.cast("string")
+    reference = F.when(t % 5 == 3, F.concat(F.lit("a/../"), n)).when(t == 1, "./h/x").otherwise(F.concat(F.lit("r/"), n))
+    hypothesis = F.when(t % 7 == 2, F.concat(F.lit("/h/"), n)).when(t % 4 == 3, None).when(t == 0, "h//x").otherwise(F.concat(F.lit("h/"), n))
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("manifest"), t.alias("idx"), F.concat(F.when(t % 6 == 5, "Case_").otherwise("case-"), n).alias("id"), reference.alias("reference"), hypothesis.alias("hypothesis"))
+    return R.manifest_errors(c).select(F.col("manifest").alias("conv_id"), F.col("idx").alias("turn"), "errors")
+
+
 @query("""with c as (select conv_id, turn, text, role from conversations), g as (select c.*, p.text ref from c left join c p on p.conv_id = c.conv_id and p.turn = c.turn - 1 and p.text <> '')
   select sha256(conv_id || '-' || turn) id_sha256, case when ref is null then 'not_evaluated' when turn % 4 = 0 or conv_id % 5 = 0 then 'not_reviewed' when turn % 3 = 0 or ref <> text then 'gated_fail' else 'gated_pass' end verdict from g""")
 def quality_evaluation(spark: SparkSession, d: str) -> DataFrame:

@@ -71,7 +71,13 @@ def classified(stream: DataFrame, rules: DataFrame, name: str, default: str | No
     return stream.join(F.broadcast(table)).withColumn("project", F.coalesce(F.array_min(hits)["project"], F.lit(default), F.lit("unsorted"))).drop("rules")
 
 
-def fed_back(notes: DataFrame, path: str, checkpoint: str, least: int = 1) -> StreamingQuery:
+def _started(stream: DataFrame, write, checkpoint: str, every: str | None) -> StreamingQuery:
+    """The stream with ``write`` for each batch: what is there, then the end; or with ``every`` (an interval) on and on."""
+    to = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (to.trigger(processingTime=every) if every else to.trigger(availableNow=True)).start()
+
+
+def fed_back(notes: DataFrame, path: str, checkpoint: str, least: int = 1, every: str | None = None) -> StreamingQuery:
     """The feedback loop: each batch of confirmed corrections (note, target, variant) joins those kept before; its notes work with the ledger of the notes
     strictly before the first of them, written as ledger/batch=n (target, variant, count), so none learns from itself or from a later one."""
 
@@ -83,7 +89,7 @@ def fed_back(notes: DataFrame, path: str, checkpoint: str, least: int = 1) -> St
         counts = ledger_counts(every, F.lit(first)).filter(F.col("count") >= least)
         counts.write.mode("overwrite").parquet(f"{path}/ledger/batch={number}")
 
-    return notes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _started(notes, write, checkpoint, every)
 
 
 def advanced(jobs: DataFrame, events: DataFrame) -> DataFrame:
@@ -131,10 +137,10 @@ def merged_version(batch: DataFrame, number: int, path: str, key: str) -> bool:
     return True
 
 
-def upserted(stream: DataFrame, path: str, key: str, checkpoint: str) -> StreamingQuery:
+def upserted(stream: DataFrame, path: str, key: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """K9: each batch of a stream merged into a keyed table of versions."""
 
     def write(batch: DataFrame, number: int) -> None:
         merged_version(batch, number, path, key)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _started(stream, write, checkpoint, every)
