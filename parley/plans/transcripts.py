@@ -237,7 +237,7 @@ def synthetic_meeting(spark: SparkSession, seconds: int = 5400, meetings: int =
     extra = spark.range(seconds // 100).select(F.lit(0).cast("long").alias("meeting"), (F.col("id") + 1_000_000).alias("turn"), F.concat(F.lit("S"), ((F.col("id") * 25 + 2) % 4).cast("string")).alias("speaker"), (F.col("id") * 100_000 + 1000).alias("ts"), (F.col("id") * 100_000 + 3000).alias("te"))
     both = turns.union(extra)
     if meetings > 1:
-        both = both.drop("meeting").select(F.explode(F.sequence(F.lit(0), F.lit(meetings - 1))).cast("long").alias("meeting"), "turn", "speaker", "ts", "te")
+        both = both.drop("meeting").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(meetings - 1).cast("long"))).alias("meeting"), "turn", "speaker", "ts", "te")
     return words.select("meeting", "word", (F.col("word") * 500).alias("ws"), (F.col("word") * 500 + 420).alias("we")), both
 
 
