@@ -120,10 +120,18 @@ def ab_text_compare(spark: SparkSession, d: str) -> DataFrame:
     return c.withColumn("before", before).filter("before is not null").select("conv_id", "turn", T.matching_ratio(F.col("before"), F.col("text")).alias("ratio"))
 
 
-@query()
+_TIME = r"(?:[0-9]{1,2}:)?[0-9]{1,2}:[0-9]{2}(?:[.,][0-9]+)?"
+_SPEAKER = r"^\s*(?:(?:화자|[Ss][Pp][Ee][Aa][Kk][Ee][Rr])\s*(?:[A-Za-z0-9가-힣_-]{1,32}|\?)\s*[:：]|(?:[A-Z]|S[1-9][0-9]*|\?)\s*[:：])\s*"
+_PREFIXES = ("[00:01 - 00:02] 화자 A: ", "00:01 B:  ", "1:02:03.5 nobody ", "Speaker x_2 : ", "[1:02] ", "S12: ")
+
+
+@query(f"""with t as (select conv_id, turn, nfc_normalize([{', '.join(f"'{p}'" for p in _PREFIXES)}][turn % {len(_PREFIXES)} + 1] || text || chr(10) || ' ' || chr(10) || 'C: e' || chr(769)) t from conversations), l as (select conv_id, turn, unnest(string_split_regex(t, '\\r\\n|\\r|\\n')) x, generate_subscripts(string_split_regex(t, '\\r\\n|\\r|\\n'), 1) i from t),
+  b as (select *, regexp_replace(x, '^\\s*\\[\\s*{_TIME}(?:\\s*-\\s*{_TIME})?\\s*\\]\\s*', '') bare, regexp_replace(x, '^\\s*{_TIME}(\\s+)', '\\1') opened from l),
+  c as (select conv_id, turn, i, trim(regexp_replace(regexp_replace(case when bare <> x then bare when regexp_matches(opened, '{_SPEAKER}') then opened else x end, '{_SPEAKER}', ''), '\\s+', ' ', 'g')) y from b) select conv_id, turn, string_agg(y, ' ' order by i) filter (y <> '') "text" from c group by 1, 2""")
 def normalized_text(spark: SparkSession, d: str) -> DataFrame:
-    """F8: composed, prefixes stripped."""
-    return table(spark, d, "conversations").select("conv_id", "turn", T.normalized(F.concat(F.lit("[00:01 - 00:02] 화자 A: "), F.col("text"))).alias("text"))
+    """F8: composed, prefixes of times and speakers stripped from every line."""
+    prefix = F.element_at(F.array(*map(F.lit, _PREFIXES)), (F.col("turn") % len(_PREFIXES) + 1).cast("int"))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.normalized(F.concat(prefix, F.col("text"), F.lit("\n \nC: e\u0301"))).alias("text"))
 
 
 @query("""with n as (select s_suppkey, case when s_suppkey % 4 = 0 then '남궁' else chr((44032 + (s_suppkey * 7919 + 11) % 11172)::int) end || chr((44032 + (s_suppkey * 104729 + 5) % 11172)::int) || case s_suppkey % 3 when 0 then '' when 1 then 'b' else chr((44032 + s_suppkey * 31 % 11172)::int) end "name" from supplier)
