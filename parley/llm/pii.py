@@ -5,7 +5,7 @@ that fail their test are dropped. The expressions are the plain ones given for e
 possessive repeats and a look back that only skip starts at which the plain one must fail too, so
 that no text makes them slow or deep.
 
-These entities are seeds. The two words before a seed are a lexical pattern; so are those before any other
+These entities are seeds, and so are credentials of plain form (kind ``key``). The two words before a seed are a lexical pattern; so are those before any other
 identifier-like token. Patterns that stand before ``MIN_SEEDS`` distinct known words or more form a bipartite graph with
 the instances that they extract, scored in rounds: a pattern by the mean confidence of its instances,
 an instance by the noisy-or of its patterns. Tokens of confidence ``SURE`` in a pattern of that
@@ -34,6 +34,9 @@ CARD = r"[0-9](?:[\x20-]?+[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 KINDS = ("email", "ip", "card", "phone")
+# Credentials, which are seeds beside the base kinds: access keys of a known form, and what is assigned to such a name.
+KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<=(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)(?=[A-Za-z._/@+-]*+[0-9])[A-Za-z0-9._/@+-]{8,}+"
+CUE = r"AKIA|(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]"
 #: An identifier-like token: a run of these characters that holds a digit.
 TOKEN = r"(?<![A-Za-z0-9._/@+-])(?=[A-Za-z._/@+-]*+[0-9])[A-Za-z0-9._/@+-]++"
 MIN_SEEDS, SURE, ROUNDS = 5, 0.7, 3
@@ -137,6 +140,14 @@ def with_base(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.withColumn(name, F.array_sort(F.concat(*found))).drop("_digit", *held.values())
 
 
+def with_seeds(df: DataFrame, text: str, base: str, name: str) -> DataFrame:
+    """``df`` with the array ``name``: the spans of ``base``, and the credentials (kind ``key``) apart from these."""
+    keys = _located(F.col(text), KEY, F.col("_keys"), "key", len(KINDS))
+    apart = F.filter(keys, lambda x: ~F.exists(F.col(base), lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
+    df = df.withColumn("_keys", _matches(F.col(text), KEY, F.col(text).rlike(CUE)))  # few texts have one
+    return df.withColumn(name, F.when(F.size("_keys") > 0, F.array_sort(F.concat(base, apart))).otherwise(F.col(base))).drop("_keys")
+
+
 def _context(left: Column) -> Column:
     """The last two words of ``left``, in lower case, digits as 0; empty where there are none."""
     words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(left), "[0-9]", "0"), r"\s+", " "))
@@ -144,10 +155,10 @@ def _context(left: Column) -> Column:
 
 
 def occurrences(df: DataFrame, base: str) -> DataFrame:
-    """One row per base span and per other identifier-like token of ``df`` (doc_id, text, digest
-    and the array ``base``): doc_id, digest, start, end, word, seed, context."""
+    """One row per seed and per other identifier-like token of ``df`` (doc_id, text, digest
+    and the array ``base`` of seeds): doc_id, digest, start, end, word, seed, context."""
     tokens = df.withColumn("_tokens", _matches(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")))
-    spans = _located(F.col("text"), TOKEN, F.col("_tokens"), "id", len(KINDS))
+    spans = _located(F.col("text"), TOKEN, F.col("_tokens"), "id", len(KINDS) + 1)
 
     def apart(x: Column) -> Column:
         return ~F.exists(F.col(base), lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
@@ -190,23 +201,23 @@ def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE,
 
 
 def _with_spans(docs: DataFrame, min_seeds: int, sure: float) -> DataFrame:
-    """``docs`` (doc_id, text, digest, base and anything else) with ``spans``: base and discovered."""
+    """``docs`` (doc_id, text, digest, base, seeds and anything else) with ``spans``: seeds and discovered."""
     with scratch(docs.sparkSession):
         more = _found(docs, min_seeds, sure)
     n = more.count()
     if not n:
-        return docs.withColumn("spans", F.col("base"))
+        return docs.withColumn("spans", F.col("seeds"))
     more = more.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "more")
     same = docs["doc_id"].eqNullSafe(more["_id"]) & (docs["digest"] == more["_digest"])
     both = docs.join(F.broadcast(more) if n <= 100_000 else more, same, "left").drop("_id", "_digest")
-    return both.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPAN))))).drop("more")
+    return both.withColumn("spans", F.array_sort(F.concat("seeds", F.coalesce("more", F.array().cast(_SPAN))))).drop("more")
 
 
 def _found(docs: DataFrame, min_seeds: int, sure: float) -> DataFrame:
     """Per document with discovered spans: doc_id, digest and ``more``, those spans."""
-    found = store(occurrences(docs, "base"), "occurrences")
+    found = store(occurrences(docs, "seeds"), "occurrences")
     more = discovered(found, min_seeds, sure)
-    span = F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("id").alias("kind"), F.col("end").cast("int").alias("end"), F.lit("").alias("word"), F.lit("").alias("left"))
+    span = F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS) + 1).alias("rank"), F.lit("id").alias("kind"), F.col("end").cast("int").alias("end"), F.lit("").alias("word"), F.lit("").alias("left"))
     return store(more.groupBy("doc_id", "digest").agg(F.collect_set(span).alias("more")), "discovered", keep=True)
 
 
@@ -216,14 +227,14 @@ def _listed(spans: str) -> Column:
 
 def _prepared(df: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return with_base(df.withColumn("text", text).withColumn("digest", F.xxhash64("text")), "text", "base")
+    return with_seeds(with_base(df.withColumn("text", text).withColumn("digest", F.xxhash64("text")), "text", "base"), "text", "base", "seeds")
 
 
 def extract(df: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE) -> DataFrame:
-    """Per document: doc_id, counts of the base kinds, base_sha256, spans (kind:start:end, ...)."""
+    """Per document: doc_id, counts of the base kinds, base_sha256, spans (kind:start:end, ...), n_spans."""
     out = _with_spans(_prepared(documents(df)), min_seeds, sure)
     counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(df: DataFrame, min_seeds: int = MIN_SEEDS, sure: float = SURE) -> DataFrame:
