@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,6 +24,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="parley-files-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
