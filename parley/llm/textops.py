@@ -25,14 +25,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _pow(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to 4 chunks, computed anew beyond."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to 2 chunks, computed anew beyond."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
         have = np.empty(max(n, CHUNK + (1 << 16)), dtype=np.uint64)
         have[0] = 1
         have[1:] = base
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 4 * CHUNK:
+        if len(have) <= 2 * CHUNK:
             _powers[int(base)] = have
     return have[:n]
 

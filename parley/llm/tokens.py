@@ -32,9 +32,9 @@ _PUNCT = r"!-/:-@\[-`{-~"
 #: With the white space before a word kept (byte-level), and without (word ends; it is dropped).
 SPACED = re.compile(rf"[{_WHITE}]*[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 BARE = re.compile(rf"[{_LETTER}]+(?![^{_WHITE}{_PUNCT}])|[^{_WHITE}]+")
-CACHE, WORDS = 150_000, 500_000
+CACHE, WORDS = 60_000, 200_000
 #: Bytes of text whose words are looked up together, and how many new words go to the model in one string.
-TOGETHER, RUN = 1 << 22, 1000
+TOGETHER, RUN = 1 << 21, 1000
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: Runs of Latin letters of which each has one small letter of its own, after a space or nothing.
 _PLAIN = re.compile(rf" ?[{_LATIN}]+")
