@@ -144,7 +144,7 @@ def with_seeds(df: DataFrame, text: str, base: str, name: str) -> DataFrame:
     """``df`` with the array ``name``: the spans of ``base``, and the credentials (kind ``key``) apart from these."""
     keys = _located(F.col(text), KEY, F.col("_keys"), "key", len(KINDS))
     apart = F.filter(keys, lambda x: ~F.exists(F.col(base), lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
-    df = df.withColumn("_keys", _matches(F.col(text), KEY, F.col(text).rlike(CUE)))  # few texts have one
+    df = df.withColumn("_keys", _matches(F.col(text), KEY, F.col(text).rlike("[0-9]") & F.col(text).rlike(CUE)))  # most texts have no digit, and are left at once
     return df.withColumn(name, F.when(F.size("_keys") > 0, F.array_sort(F.concat(base, apart))).otherwise(F.col(base))).drop("_keys")
 
 
@@ -163,8 +163,9 @@ def occurrences(df: DataFrame, base: str) -> DataFrame:
     def apart(x: Column) -> Column:
         return ~F.exists(F.col(base), lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
 
-    every = tokens.select("doc_id", "digest", F.concat(F.col(base), F.filter(spans, apart)).alias("spans")).filter(F.size("spans") > 0)
-    each = every.select("doc_id", "digest", F.explode("spans").alias("x"))
+    every = tokens.select("doc_id", "digest", F.concat(F.col(base), F.filter(spans, apart)).alias("spans"))
+    # a condition on the size of the array, which explode() would bring along, is moved down and makes all spans once more at each step
+    each = every.select("doc_id", "digest", F.explode_outer("spans").alias("x")).filter("x is not null")
     out = each.select("doc_id", "digest", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.col("x.word").alias("word"), (F.col("x.kind") != "id").alias("seed"), _context(F.col("x.left")).alias("context"))
     return out.filter("context <> ''")
 
