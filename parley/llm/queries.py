@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licences, matroska, mixing, packing, pii, repair_tokens, repetition, rule_ensemble, sharding, shingle_join
+from . import fill_middle, language_id, licences, matroska, mixing, packing, pii, repair_tokens, repetition, resample, rule_ensemble, sharding, shingle_join
 from .common import read, scratch, store
 
 
@@ -52,6 +52,18 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(read(spark, sf_dir))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(read(spark, sf_dir))
+
+
+def op12_clock_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "clicks"), "linear", "Asia/Kolkata")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.transform(read(spark, sf_dir)))
+
+
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 #: Exact links over whole shingle sets, and what they reach.
@@ -84,10 +96,37 @@ OP6 = f"""with d as (select doc_id, coalesce(text, '') t, {_WORDS.format("coales
   b as (select *, n_words < {repetition.MIN_WORDS} or 100 * n_repeat_words > {repetition.REPEAT_PERCENT} * n_words base_failed from o) select *, not (base_failed or {_MOST}) kept from b"""
 
 
+_FLOOR = "(({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b})"
+
+
+def _twice(u: str) -> str:
+    """Twice the integral of the first u seconds of a segment."""
+    return f"2::hugeint * v * {u} + " + _FLOOR.format(a=f"(w - v)::hugeint * {u} * {u}", b="d")
+
+
+#: Points by a window, segments to the next point, which an hour's end cuts into two pieces at most.
+OP12 = f"""with p as (select client_id, epoch_us(date_trunc('second', ts)) // 1000000 t, floor(100 * value + 0.5)::bigint v from clicks where client_id is not null and ts is not null and value is not null
+    qualify row_number() over (partition by client_id, date_trunc('second', ts) order by click_id desc, value desc) = 1),
+  h as (select *, t - (t + 19800) % 3600 hr, lead(t) over (partition by client_id order by t) - t d, lead(v) over (partition by client_id order by t) w from p),
+  s as (select *, least(d, hr + 3600 - t) u from h where d <= 3600),
+  k as (select client_id, hr, 0 n, u secs, {_twice("u")} area from s union all
+    select client_id, hr + 3600, 0, d - u, {_twice("d")} - ({_twice("u")}) from s where d > u union all select client_id, hr, 1, 0, 0 from h),
+  b as (select client_id, hr, sum(n)::bigint n_points, sum(secs)::bigint covered_seconds, sum(area)::hugeint area from k group by 1, 2)
+  select client_id, hr::bigint bucket_start, n_points, covered_seconds, area::bigint area2, case when covered_seconds > 0 then {_FLOOR.format(a="area", b="2 * covered_seconds")} end::bigint avg_cents from b"""
+
+#: The cuts as positions in the text: a line ends behind each line break, and at the text's end.
+OP13 = """with t as (select doc_id, coalesce(text, '') x, sha256('7:' || doc_id) h from documents), l as (select *, string_split(x, chr(10)) y, list_transform([1, 9, 17, 25], lambda i: ('0x' || h[i : i + 7])::ubigint) r from t),
+  n as (select *, (len(y) - (y[-1] = '')::int)::bigint n from l),
+  e as (select *, list_transform([least(r[1] % (n + 1), r[2] % (n + 1)), greatest(r[1] % (n + 1), r[2] % (n + 1))], lambda k: least(length(x), coalesce(list_sum(list_transform(y[1 : k], lambda s: length(s) + 1)), 0))::bigint) c from n),
+  f as (select *, case when x = '' or x similar to '(.|\n)*<[PSM]>(.|\n)*' then 'plain' when r[4] % 100 < 50 then 'spm' else 'psm' end form, left(x, c[1]) p, substr(x, c[1] + 1, c[2] - c[1]) m, substr(x, c[2] + 1) s from e)
+  select doc_id, n, form, case when form <> 'plain' then c[1] end prefix_chars, case when form <> 'plain' then c[2] - c[1] end middle_chars,
+    sha256(case form when 'plain' then x when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256, sha256(x) restored_sha256 from f"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_rule_ensemble, op2_kd_shards, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op7_licence_windows, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii)}
+    return {f.__name__: f for f in (op1_rule_ensemble, op2_kd_shards, op3_order_join, op4_repair_files, op5_pattern_packing, op6_repetition_rules, op7_licence_windows, op8_matroska_columns, op9_source_mix, op10_bootstrapped_pii, op11_language_id, op12_clock_hours, op13_fill_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """For the queries that SQL expresses: exact links and repeated windows."""
-    return {"op3_order_join": OP3, "op6_repetition_rules": OP6}
+    """For the queries that SQL expresses: exact links, repeated windows, integrals and cuts."""
+    return {"op3_order_join": OP3, "op6_repetition_rules": OP6, "op12_clock_hours": OP12, "op13_fill_middle": OP13}
