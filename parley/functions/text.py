@@ -79,11 +79,15 @@ def honorific(name: Column) -> Column:
     return F.regexp_extract(F.trim(name), rf"^.+?({HONORIFICS})$", 1)
 
 
-def variants(text: Column) -> Column:
-    """the variants in a ledger entry, split at / , and middle dots, without notes on the speaker, backticks around them, and honorifics; of at most 40 characters."""
-    said = F.regexp_replace(text, r"\s*\([^)]*화자[^)]*\)\s*", " ")
-    parts = F.transform(F.split(said, "[/,·]"), lambda p: strip_honorific(F.trim(F.regexp_replace(F.trim(p), "^`+|`+$", ""))))
-    return F.filter(parts, lambda p: (p != "") & (F.length(p) <= 40))
+def variants(text: Column, dialect: str = "build") -> Column:
+    """the variants in a ledger entry, without backticks around them and a closing honorific, in one of three dialects. ``scan``, of ledger lines:
+    split at / , and middle dots. ``build``, of notes that a ledger is made from: the same without notes on the speaker, of at most 40 characters, as longer
+    ones are sentences. ``usage``, of ledger lines whose names are looked for in notes: split at commas alone, Hangul words of two to eight syllables."""
+    said = F.regexp_replace(text, r"\s*\([^)]*화자[^)]*\)\s*", " ") if dialect == "build" else text
+    bare = lambda p: stripped(F.regexp_replace(stripped(F.regexp_replace(stripped(p), "^`+|`+$", "")), f"(?:{HONORIFICS})$", ""))
+    parts = F.transform(F.split(said, "," if dialect == "usage" else "[/,·]"), bare)
+    kept = {"scan": lambda p: p != "", "build": lambda p: (p != "") & (F.length(p) <= 40), "usage": lambda p: p.rlike("^[가-힣]{2,8}$")}
+    return F.filter(parts, kept[dialect])
 
 
 def target_base(target: Column) -> Column:

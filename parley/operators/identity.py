@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.predicates import confirmed_target, name_tokens
+from . import terms
+from .search import small
 
 
 def identity_key(email: Column, employee_id: Column, fallback: Column, company: str) -> Column:
@@ -94,18 +96,33 @@ DONE = "검증 완료"
 
 def _begun(df: DataFrame, text: str, ledger: DataFrame, after: int) -> DataFrame:
     """``df`` with each variant of ``ledger`` that stands in ``text`` where no letter or digit comes before it, and ``rest``, the next
-    characters, ``after`` of them at least unless the text ends. Variants meet the beginnings of what stands there, by equality."""
+    ``after`` characters. One automaton of all variants runs over each text."""
+    variants = terms.collected(ledger, "variant")
+    if variants is None:
+        return _begun_by_join(df, text, ledger, after)
+    hit = terms.occurrences(df, text, variants, BOUNDARY, places=True).withColumn("_t", F.explode("_terms")).drop("_terms")
+    found = hit.withColumn("variant", F.col("_t.term")).withColumn("rest", F.substring(text, F.col("_t.start") + F.length("variant") + 1, F.lit(after))).drop("_t")
+    return found.join(small(ledger), "variant")
+
+
+def _begun_by_join(df: DataFrame, text: str, ledger: DataFrame, after: int) -> DataFrame:
+    """The same for ledgers too large to collect: variants meet the beginnings of what stands at word starts, by equality."""
     top = ledger.agg(F.max(F.length("variant")).alias("n"), F.array_sort(F.collect_set(F.length("variant"))).alias("sizes")).first()
     sizes = [n for n in top["sizes"] if n]  # distinct lengths of names: a few numbers
     piece = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?<![{BOUNDARY}])(?=(.{{1,{(top['n'] or 0) + after}}}))"), F.lit(1)))
     each = df.withColumn("_piece", F.explode(piece)).withColumn("_n", F.explode(F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>"))).filter(F.length("_piece") >= F.col("_n"))
-    cut = each.withColumn("variant", F.substring("_piece", F.lit(1), F.col("_n"))).withColumn("rest", F.substring("_piece", F.col("_n") + 1, F.length("_piece")))
+    cut = each.withColumn("variant", F.substring("_piece", F.lit(1), F.col("_n"))).withColumn("rest", F.substring("_piece", F.col("_n") + 1, F.lit(after)))
     return cut.drop("_piece", "_n").join(ledger, "variant")
 
 
 def relevant_ledger(transcripts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Per transcript (note, text) the ledger entries (variant, target, count) whose variant it holds with nothing before it that could belong to it."""
-    return _begun(transcripts.select("note", "text"), "text", ledger, 0).select("note", "variant", "target", "count").distinct()
+    rows, entries = transcripts.select("note", "text"), ledger.select("variant", "target", "count").distinct()
+    variants = terms.collected(ledger, "variant")
+    if variants is None:
+        return _begun_by_join(rows, "text", ledger, 0).select("note", "variant", "target", "count").distinct()
+    hit = terms.occurrences(rows, "text", variants, BOUNDARY).select("note", F.explode("_terms").alias("variant"))
+    return hit.join(small(entries), "variant").select("note", "variant", "target", "count")
 
 
 def usage_issues(lines: DataFrame, ledger: DataFrame, roster: DataFrame, least: int = 7) -> DataFrame:
@@ -150,6 +167,9 @@ def grounded(confirmed: DataFrame, transcripts: DataFrame) -> DataFrame:
 CONFIRMED = r"^#{2,3}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?검증\s*완료"
 CORRECTION = r"^\s*[-*]\s*(.+?)\s*(?:->|→)\s*\*\*([^*]+)\*\*"
 NOISE = ("추정", "근거", "원문", "예시", "불명", "또는", "추가", "참고", "이하", "명부", "매칭", "오기", "의심", "있음", "없음", "가능성")
+CATEGORY = r"^\s*-\s*\*\*([^*]+?)\*\*\s*[:：]\s*(.+)"
+ARROWS = (r"→\s*\*\*([^*\n]+?)\*\*", r"→\s*([A-Za-z가-힣0-9+&.\-]+(?:\s[A-Za-z가-힣0-9+&.\-]+){0,3})")
+SECTION = r"(?sm)^#{2,3}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?NAME\s*$\n(.*?)(?=^#{2,3}\s|\z)"
 PREFACE = ("누적 확정 표기 사전 (과거 회의록 `검증 완료`에서 축적).", "형식: `STT 변형 후보` → 정정 (확정 횟수). 전사 문맥이 맞을 때만 적용하고, 애매하면 검증 필요에 남긴다.", "")
 
 
@@ -180,16 +200,15 @@ def ledger_lines(counts: DataFrame, most: int = 200) -> DataFrame:
 
 
 def _section(text: Column, name: str) -> Column:
-    return F.regexp_extract(text, rf"(?sm)^#{{2,3}}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?{name}\s*$\n(.*?)(?=^#{{2,3}}\s|\z)", 1)
+    return F.regexp_extract(text, SECTION.replace("NAME", name), 1)
 
 
 def glossary(notes: DataFrame, most: int = 80) -> DataFrame:
     """Terms of notes (note, text) in order of first appearance, the first ``most``: values of marked categories, bold text and code of the section of
     other remarks, then the targets of arrows in the sections of completed and open checks; cleaned, noise left out (P8)."""
     all_ = lambda c, p: F.regexp_extract_all(c, F.lit(p), F.lit(1))
-    category = r"^\s*-\s*\*\*([^*]+?)\*\*\s*[:：]\s*(.+)"
-    remarks = F.flatten(F.transform(F.split(_section(F.col("text"), "기타 메모"), r"\r\n|\n"), lambda line: F.when(line.rlike(category), F.split(F.regexp_replace(F.regexp_extract(line, category, 2), r"\s*\([^)]*\)\s*", " "), "[,、]")).otherwise(F.concat(all_(line, r"\*\*([^*\n]+?)\*\*"), all_(line, "`([^`\n]+?)`")))))
-    arrows = [x for name in ("검증 완료", "검증 필요") for x in (all_(_section(F.col("text"), name), r"→\s*\*\*([^*\n]+?)\*\*"), all_(_section(F.col("text"), name), r"→\s*([A-Za-z가-힣0-9+&.\-]+(?:\s[A-Za-z가-힣0-9+&.\-]+){0,3})"))]
+    remarks = F.flatten(F.transform(F.split(_section(F.col("text"), "기타 메모"), r"\r\n|\n"), lambda line: F.when(line.rlike(CATEGORY), F.split(F.regexp_replace(F.regexp_extract(line, CATEGORY, 2), r"\s*\([^)]*\)\s*", " "), "[,、]")).otherwise(F.concat(all_(line, r"\*\*([^*\n]+?)\*\*"), all_(line, "`([^`\n]+?)`")))))
+    arrows = [x for name in ("검증 완료", "검증 필요") for x in (all_(_section(F.col("text"), name), arrow) for arrow in ARROWS)]
     each = notes.select("note", F.posexplode(F.concat(remarks, *arrows)).alias("pos", "term"))
     bare = T.stripped(F.regexp_replace(T.stripped(F.col("term")), r"^[.,;·「」『』\"'`]+|[.,;·「」『』\"'`]+$", ""))
     balanced = F.when(F.regexp_count(bare, F.lit(r"\(")) != F.regexp_count(bare, F.lit(r"\)")), T.stripped(F.regexp_replace(bare, "[()]", ""))).otherwise(bare)

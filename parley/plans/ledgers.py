@@ -50,6 +50,29 @@ def usage_report(spark: SparkSession, d: str) -> DataFrame:
     return N.reported(_usage(spark, d), ["note"], ["line_no", "variant"], 3).select("note", "line_no", "variant", "rank", "total", "truncated")
 
 
+#: Latin letters as syllables, some of them particles, so that words of documents are Hangul words; every twelfth line is a heading instead.
+_LATIN, _SYLLABLES = "abcdefghijklmnopqrstuvwxyz", "은나다라이바사아가차카타파하의너더러를버도로저처만터"
+_HEADS = ("## 5.2 검증 완료", "### 4. 상세")
+
+
+@query(f"""with v as (select translate(x, '{_LATIN}', '{_SYLLABLES}') variant, upper(x) target, count(*)::int "count" from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) x from benchmark) where length(x) between 3 and 8 group by 1, 2 having count(*) >= 2),
+  l as (select doc_id note, unnest(s) x, unnest(range(len(s)))::int line_no from (select doc_id, string_split(text, chr(10)) s from documents)),
+  h as (select note, line_no, case when (note + line_no) % 12 = 5 then case when note % 2 = 0 then '{_HEADS[0]}' else '{_HEADS[1]}' end else trim(translate(regexp_replace(lower(x), '[^ -~]', '?', 'g'), '{_LATIN}', '{_SYLLABLES}')) end line from l),
+  s as (select *, last_value(nullif(regexp_extract(line, '^#{{2,3}}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?(.+?)\s*$', 1), '') ignore nulls) over (partition by note order by line_no rows unbounded preceding) sec from h),
+  w as (select distinct note, line_no, line, unnest(regexp_extract_all(line, '[가-힣A-Za-z0-9]+')) word from s where coalesce(sec <> '검증 완료', true)), k as (select distinct word from w),
+  m as (select word, variant, target, "count" from k, v where starts_with(word, variant) and regexp_matches(substr(word, length(variant) + 1), '^(?:님|씨)?(?:$|은|는|이|가|을|를|과|와|에게|께|도|만|로|으로|의)'))
+  select distinct note, line_no, line, variant, target, "count" from w join m using (word)""")
+def usage_in_documents(spark: SparkSession, d: str) -> DataFrame:
+    """E14 over the lines of whole documents, with the repeated words of the benchmark as a ledger."""
+    hangul = lambda c: F.translate(c, _LATIN, _SYLLABLES)
+    word = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w")).filter(F.length("w").between(3, 8))
+    ledger = word.groupBy(hangul(F.col("w")).alias("variant"), F.upper("w").alias("target")).agg(F.count("*").cast("int").alias("count"))
+    lines = table(spark, d, "documents").select(F.col("doc_id").alias("note"), F.posexplode(F.split("text", "\n")).alias("line_no", "x"))
+    head = F.when(F.col("note") % 2 == 0, _HEADS[0]).otherwise(_HEADS[1])
+    said = F.when((F.col("note") + F.col("line_no")) % 12 == 5, head).otherwise(F.trim(hangul(F.regexp_replace(F.lower("x"), "[^ -~]", "?"))))
+    return N.usage_issues(lines.select("note", "line_no", said.alias("line")), ledger, spark.createDataFrame([], "name string"), least=2)
+
+
 @query("""with n as (select distinct unnest(regexp_extract_all(text, '[A-Z][a-z]+')) "name" from benchmark), m as (select doc_id note, unnest(r) "name", unnest(range(len(r))) pos from (select doc_id, regexp_extract_all(text, '[A-Z][a-z]+') r from documents)), f as (select note, "name", min(pos) pos from m where "name" in (select "name" from n) group by 1, 2)
   select note, string_agg("name", ',' order by pos) confirmed from f group by 1""")
 def confirmed_mentions(spark: SparkSession, d: str) -> DataFrame:

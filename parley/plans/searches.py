@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import search as S
+from ..operators import terms as M
 from .base import query, table
 
 GENERIC = ("the", "and", "for")
@@ -67,14 +68,7 @@ def masking_projection(spark: SparkSession, d: str) -> DataFrame:
 @query("""with w as (select item_id, array_to_string(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> ''), ' ') phrase from benchmark), t as (select doc_id, ' ' || array_to_string(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> ''), ' ') || ' ' flat from documents)
   select doc_id, item_id from t, w where contains(flat, ' ' || phrase || ' ')""")
 def token_phrase_presence(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold a benchmark passage as neighbouring whole tokens. Keys meet by the phrase's
-    first two tokens; only the tokens of documents that meet one are fetched and compared."""
+    """Documents that hold a benchmark passage as neighbouring whole tokens: one automaton of all passages runs over each text."""
     from ..functions import text as T
 
-    p = table(spark, d, "benchmark").select("item_id", T.words(F.col("text")).alias("phrase")).withColumn("head", F.concat_ws(" ", F.slice("phrase", 1, 2)))
-    t = table(spark, d, "documents").select("doc_id", T.words(F.col("text")).alias("tokens"))
-    pairs = F.zip_with("tokens", F.slice(F.col("tokens"), F.lit(2), F.greatest(F.size("tokens"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    heads = t.select("doc_id", F.explode(F.array_distinct(pairs)).alias("head"))
-    met = heads.join(S.small(p.select("item_id", "head")), "head").select("doc_id", "item_id").distinct()
-    both = t.join(met.groupBy("doc_id").agg(F.collect_list("item_id").alias("items")), "doc_id").select("doc_id", "tokens", F.explode("items").alias("item_id"))
-    return both.join(S.small(p), "item_id").filter(T.has_phrase(F.col("tokens"), F.col("phrase"))).select("doc_id", "item_id")
+    return M.phrases(table(spark, d, "documents"), "doc_id", T.collapsed(F.col("text")), table(spark, d, "benchmark"), "item_id", T.collapsed(F.col("text")))

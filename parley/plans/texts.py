@@ -163,10 +163,10 @@ def fact_section(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", T.note_hash(F.col("text")).alias("hash"), (T.without_facts(T.without_facts(F.col("text"))) == T.without_facts(F.col("t"))).alias("same"))
 
 
-@query("""select page_id, replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”') line, translate(replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”'), '[]', '()') link, replace(replace(replace(url, '\\', '\\\\'), '%', '\\%'), '_', '\\_') likes from (select page_id, url, regexp_replace(substr(html, 1, 300), '[^ -~]', ' ', 'g') || '["x_%"]' t from pages)""")
+@query("""select page_id, replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”') line, translate(replace(trim(regexp_replace(t, '\\s+', ' ', 'g')), '"', '”'), '[]', '()') link, replace(replace(replace(url, '\\', '\\\\'), '%', '\\%'), '_', '\\_') likes from (select page_id, url, regexp_replace(html, '[^ -~]', ' ', 'g') || '["x_%"]' t from pages)""")
 def inline_forms(spark: SparkSession, d: str) -> DataFrame:
     """F11 and F27."""
-    t = F.concat(F.regexp_replace(F.substring("html", 1, 300), "[^ -~]", " "), F.lit('["x_%"]'))
+    t = F.concat(F.regexp_replace("html", "[^ -~]", " "), F.lit('["x_%"]'))
     p = table(spark, d, "pages").select("page_id", "url", t.alias("t"))
     return p.select("page_id", T.one_line(F.col("t")).alias("line"), T.link_text(F.col("t")).alias("link"), T.like_escaped(F.col("url")).alias("likes"))
 

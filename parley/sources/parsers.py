@@ -39,13 +39,13 @@ def json_or_empty(text: Column, schema: str) -> Column:
     return F.from_json(F.when(bare != "", bare).otherwise(text), schema)
 
 
-def ledger(lines: DataFrame) -> DataFrame:
-    """Lines '- a / b → **target** (n회)' to one row per variant."""
+def ledger(lines: DataFrame, dialect: str = "scan") -> DataFrame:
+    """Lines '- a / b → **target** (n회)' to one row per variant, however long, in a dialect of F6."""
     row = r"^\s*[-*]\s*(.+?)\s*(?:->|→)\s*\*\*([^*]+)\*\*.*?\((\d+)회\)"
     from ..functions.text import variants
 
     hit = lines.filter(F.col("line").rlike(row))
-    return hit.select(F.explode(variants(F.regexp_extract("line", row, 1))).alias("variant"), F.trim(F.regexp_extract("line", row, 2)).alias("target"), F.regexp_extract("line", row, 3).cast("int").alias("count"))
+    return hit.select(F.explode(variants(F.regexp_extract("line", row, 1), dialect)).alias("variant"), F.trim(F.regexp_extract("line", row, 2)).alias("target"), F.regexp_extract("line", row, 3).cast("int").alias("count"))
 
 
 def pipe_table(lines: DataFrame, key: str) -> DataFrame:

@@ -189,9 +189,13 @@ def test_text_functions(spark):
 
 
 def test_parsers(spark):
-    lines = parsers.numbered_lines(spark.createDataFrame([("k", "## Sales\n| name | x |\n|---|---|\n| Kim | 1 |\n- 가옹 / `비티`님 → **가온**, ok (3회)")], "key string, text string"), "key", "text")
+    lines = parsers.numbered_lines(spark.createDataFrame([("k", "## Sales\n| name | x |\n|---|---|\n| Kim | 1 |\n- 가옹 / `비티`님 → **가온**, ok (3회)\n- `{'긴' * 45}`, 님·나비씨 (화자 A), b → **다람** (2회)".replace("{'긴' * 45}", "긴" * 45))], "key string, text string"), "key", "text")
     assert [(x.department, x.cells) for x in parsers.pipe_table(lines, "key").orderBy("line_no").collect()] == [("Sales", ["name", "x"]), ("Sales", ["Kim", "1"])]
-    assert sorted((x.variant, x.target, x["count"]) for x in parsers.ledger(lines).collect()) == [("가옹", "가온", 3), ("비티", "가온", 3)]
+    assert sorted((x.variant, x.target, x["count"]) for x in parsers.ledger(lines).collect()) == sorted([("가옹", "가온", 3), ("비티`", "가온", 3), ("긴" * 45, "다람", 2), ("나비씨 (화자 A)", "다람", 2), ("b", "다람", 2)])
+    assert [x.variant for x in parsers.ledger(lines, "build").orderBy("variant").collect()] == ["b", "가옹", "나비", "비티`"]
+    assert [x.variant for x in parsers.ledger(lines, "usage").collect()] == []
+    usage = parsers.numbered_lines(spark.createDataFrame([("k", "- `가옹`, 비티에씨, 나/다, abc → **가온** (9회)")], "key string, text string"), "key", "text")
+    assert sorted(x.variant for x in parsers.ledger(usage, "usage").collect()) == ["가옹", "비티에"]
     log = spark.createDataFrame([("p", 0, "silence_start: -0.1"), ("p", 1, "silence_end: 2.5 |"), ("p", 2, "silence_start: 9")], "path string, line_no int, line string")
     assert [(x.silence_start, x.silence_end) for x in parsers.silences(log).orderBy("silence_start").collect()] == [(0.0, 2.5), (9.0, None)]
     blocks = spark.createDataFrame([("p", "transcription", None, '["b","a"]', None, "x", 1, 1), ("a", "text", '{"title":[["A"],["!"]]}', None, "p", "block", 1, 1), ("b", "text", '{"title":[["B"]]}', None, "p", "block", 1, 1)], "id string, type string, properties string, content string, parent_id string, parent_table string, alive int, created_time long")
