@@ -18,14 +18,17 @@ PER_FILE = 200
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; without one set, a temporary one, with a local master only."""
+    """A new folder that driver and executors share, removed when the application ends; without one set, a temporary one, with a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="parley-files-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)  # results are read lazily, so it stays until the application ends
+    return path
 
 
 def _written(lines: DataFrame, column: str, name: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import index as I
 from ..operators import search as S
 from ..operators import terms as M
 from .base import query, table
@@ -42,6 +43,18 @@ def evidence_search(spark: SparkSession, d: str) -> DataFrame:
     return S.found(S.distinctive(_terms(spark, d), GENERIC), table(spark, d, "documents"), "doc_id", "text", 5)
 
 
+@query(f"""with {_FIRST}, q as (select item_id, token from (select *, row_number() over (partition by item_id order by pos) n from ft) where n <= 10), {_IDX}, l as (select doc_id, sum(tf) len from idx group by 1), m as (select count(*) n, avg(len) mean from l), f as (select token, count(*) df from idx group by 1),
+  s as (select item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) score from q join f using (token) join idx using (token) join l using (doc_id), m group by 1, 2)
+  select item_id, doc_id, score, rank::int rank from (select *, row_number() over (partition by item_id order by score desc, doc_id) rank from s) where rank <= 5""")
+def stored_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """E12 with J10 stored: the five best documents for the first ten terms of each passage, from blocks of postings."""
+    from .files import scratch_folder
+
+    stored = I.write(table(spark, d, "documents"), "doc_id", "text", scratch_folder(spark, "index"), buckets=16)
+    found = I.search(spark, stored, search_terms(spark, d).select(F.col("item_id").alias("query"), "term"), 5)
+    return found.select(F.col("query").alias("item_id"), F.col("key").alias("doc_id"), "score", "rank")
+
+
 @query(f"with {_DO} select term, doc_id from terms, documents where contains(regexp_replace(lower(text), '[^ -~]', '?', 'g'), term)")
 def substring_search(spark: SparkSession, d: str) -> DataFrame:
     """Terms anywhere in a text."""
