@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
-from difflib import SequenceMatcher
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, IntegerType, StringType
 
+from . import distance, matching
+
 # Tokens that carry no speech; jamo in Unicode order; two-syllable surnames.
 NOISE = ("", ".", "..", "...", "?", "!", "Q.", "q.", "Q", "q", "음", "어", "아", "응", "[음악]", "[Music]", "♪", "♫", "MBC", "BGM")
 SURNAMES_2 = ("남궁", "황보", "선우", "독고", "제갈", "사공", "서문", "동방")
@@ -286,8 +287,8 @@ def nfc(text: pd.Series) -> pd.Series:
 
 @pandas_udf(DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """twice the matched characters over all, by longest matching blocks."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)])
+    """twice the matched characters over all, by longest matching blocks; a null is an empty text."""
+    return pd.Series([matching.ratio(x or "", y or "") for x, y in zip(a, b)])
 
 
 def edits(a: Sequence, b: Sequence) -> int:
@@ -349,13 +350,23 @@ def _banded(held: dict, b: Sequence, more: int, side: int) -> int:
     return edits_
 
 
+def _distances(a: pd.Series, b: pd.Series, of: Callable) -> pd.Series:
+    """Of a batch at once where few edits suffice; null where either side is."""
+    known = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series([None] * len(a), dtype="Int32")
+    if known.any():
+        xs, ys = a[known].tolist(), b[known].tolist()
+        out[known] = of(xs, ys, lambda i: edits(xs[i], ys[i]))
+    return out
+
+
 @pandas_udf(IntegerType())
 def edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """F2 of whole texts, in code points; null if either is."""
-    return pd.Series([None if x is None or y is None else edits(x, y) for x, y in zip(a, b)], dtype="Int32")
+    return _distances(a, b, distance.of_texts)
 
 
 @pandas_udf(IntegerType())
 def token_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """F2 of whole arrays of tokens; null if either is."""
-    return pd.Series([None if x is None or y is None else edits(list(x), list(y)) for x, y in zip(a, b)], dtype="Int32")
+    return _distances(a.map(lambda x: None if x is None else list(x)), b.map(lambda x: None if x is None else list(x)), distance.of_tokens)

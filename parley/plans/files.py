@@ -135,12 +135,51 @@ def listed_names(spark: SparkSession, d: str) -> DataFrame:
 @query("""with c as (select c_custkey id, c_name title, c_custkey % 5 <> 0 alive from customer where c_custkey > 1) select 'b' || p.c_custkey parent, string_agg(k.title || '!', chr(10) order by k.id desc) "text" from customer p join c k on k.id // 2 = p.c_custkey where k.alive and (p.c_custkey % 5 <> 0) group by 1""")
 def block_texts(spark: SparkSession, d: str) -> DataFrame:
     """The titles of living children, in the order that their parent names them."""
+    return P.block_text(_blocks(spark, d))
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("n"), F.col("c_name").alias("title"))
     named = lambda k: F.concat(F.lit("b"), k.cast("string"))
     content = F.to_json(F.array(named(F.col("n") * 2 + 1), named(F.col("n") * 2), F.lit("gone")))
     title = F.concat(F.lit('{"title": [["'), "title", F.lit('"], ["!", [["b"]]]], "other": 1}'))
-    blocks = c.select(named(F.col("n")).alias("id"), title.alias("properties"), content.alias("content"), F.when(F.col("n") % 5 != 0, 1).otherwise(0).alias("alive"))
-    return P.block_text(blocks)
+    return c.select(named(F.col("n")).alias("id"), title.alias("properties"), content.alias("content"), F.when(F.col("n") % 5 != 0, 1).otherwise(0).alias("alive"))
+
+
+def _database(rows: DataFrame, key: str, table_: str, name: str) -> str:
+    """SQLite files of about 20,000 rows each in the shared folder, each written by one task; their pattern."""
+    from ..sources.database import plain, written
+
+    spark = rows.sparkSession
+    folder = plain(scratch_folder(spark, name))
+    n = max(2, -(-rows.count() // 20_000))
+    if written(rows.repartition(n, key), folder, table_) == 0:
+        raise ValueError("no rows")
+    return f"{folder}/*.db"
+
+
+def _pushing(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which filters are pushed into data sources in Python; the caller's stays as it is."""
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return own
+
+
+@query("""select c_custkey id, c_name "name", c_acctbal balance from customer where c_custkey > 40 and c_mktsegment in ('BUILDING', 'MACHINERY', 'retail') and c_name is not null and c_acctbal >= 0""")
+def database_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Customers from SQLite files, in key ranges, with the filters in the files' own queries."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    found = R.sqlite(_pushing(spark), _database(c, "id", "users", "users-db"), "users", partitions=4)
+    return found.filter((F.col("id") > 40) & F.col("segment").isin("BUILDING", "MACHINERY", "retail") & F.col("name").isNotNull() & (F.col("balance") >= 0)).select("id", "name", "balance")
+
+
+@query("""with c as (select c_custkey id, c_name title, c_custkey % 5 <> 0 alive from customer where c_custkey > 1) select 'b' || p.c_custkey parent, string_agg(k.title || '!', chr(10) order by k.id desc) "text" from customer p join c k on k.id // 2 = p.c_custkey where k.alive and (p.c_custkey % 5 <> 0) group by 1""")
+def database_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """S10 with S11: a block tree in SQLite files, to the texts of its parents."""
+    path = _database(_blocks(spark, d), "id", "block", "blocks-db")
+    return P.block_text(R.sqlite(_pushing(spark), path, "block", "id string, properties string, content string, alive long"))
 
 
 @query("""with l as (select o_orderkey n, case when o_orderkey % 7 = 0 then '# c' when o_orderkey % 11 = 0 then ' ' else ' notes/' || o_custkey || ' ' end line from orders) select trim(line) entry, min(n)::bigint line_no from l where trim(line) <> '' and trim(line) not like '#%' group by 1""")

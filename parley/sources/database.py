@@ -3,22 +3,27 @@
     spark.dataSource.register(Database)
     spark.read.format("database").option("path", file).option("table", "users").load()
 
-Columns are those that a query names, filters on columns go into the file's own query where SQLite compares as Spark does,
-and each task reads one range of row ids, so a large table is no one task's work. Options: ``partitions`` (how many ranges, 8), ``schema``
-is given by the caller or made of the declared types. The file has to be where the executors are: in a shared folder, or shipped with
-the application. Several files (``path`` with a pattern) are one table; each has its own ranges.
+Columns are those of the schema that the caller gives, or all with their declared types. In the format ``database_pushed`` filters on columns go into the
+file's own query (Spark then wants spark.sql.python.filterPushdown.enabled). Each task
+reads one range of row ids, ``partitions`` (8) for each file, so a large table is no one task's work. Files have to be
+in a folder that the executors share; several files (``path`` with a pattern) are one table.
 """
 
 from __future__ import annotations
 
 import glob
+import os
 import sqlite3
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, urlparse
 
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith
-from pyspark.sql.types import BinaryType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Rows that are fetched at a time.
 FETCH = 5000
@@ -47,21 +52,33 @@ def spark_type(declared: str):
         return LongType()
     if any(x in d for x in ("CHAR", "CLOB", "TEXT")):
         return StringType()
-    if any(x in d for x in ("REAL", "FLOA", "DOUB")):
+    if any(x in d for x in ("REAL", "FLOA", "DOUB", "NUMERIC", "DECIMAL")):
         return DoubleType()
     return BinaryType() if "BLOB" in d else StringType()
 
 
+def seen(column: str, kind) -> str:
+    """A column as ``typed`` gives it; a real number in a text column aside."""
+    c = name(column)
+    if isinstance(kind, StringType):
+        return f"CASE WHEN typeof({c}) <> 'blob' THEN CAST({c} AS TEXT) END"
+    if isinstance(kind, BooleanType):
+        return f"CASE WHEN typeof({c}) IN ('integer', 'real') THEN {c} <> 0 END"
+    kinds = {LongType: "'integer'", DoubleType: "'integer', 'real'", BinaryType: "'blob'"}[type(kind)]
+    return f"CASE WHEN typeof({c}) IN ({kinds}) THEN {c} END"
+
+
 def condition(f: Filter, types: dict[str, object]) -> tuple[str, list] | None:
-    """A filter as SQL with its values, or None if it stays with Spark. Only numbers and texts are compared in the file: SQLite would order
-    mixed types its own way, so a value has to be of its column's kind. Texts compare by UTF-8 bytes in both."""
+    """A filter as SQL with its values, or None if it stays with Spark. SQLite keeps values of any type in a column and would compare them its own
+    way, so it compares what Spark sees of them (``seen``), with values of the column's kind. Texts compare by UTF-8 bytes in both."""
     if isinstance(f, Not):
         inner = condition(f.child, types)
         return inner and (f"NOT ({inner[0]})", inner[1])
     path = f.attribute
     if len(path) != 1 or path[0] not in types:
         return None
-    kind, column = types[path[0]], name(path[0])
+    kind = types[path[0]]
+    column = seen(path[0], kind)
     fits = lambda v: isinstance(v, bool) if isinstance(kind, BooleanType) else isinstance(v, (int, float)) and not isinstance(v, bool) and v == v if isinstance(kind, (LongType, DoubleType)) else isinstance(v, str) and isinstance(kind, StringType)
     if isinstance(f, IsNull):
         return f"{column} IS NULL", []
@@ -87,6 +104,31 @@ def condition(f: Filter, types: dict[str, object]) -> tuple[str, list] | None:
     return None
 
 
+def written(rows: DataFrame, folder: str, table: str) -> int:
+    """Write ``rows`` (numbers, texts, booleans, bytes) to SQLite files under ``folder``, one for each partition; how many rows. A file gets its name
+    when it is whole, the same one whenever its task is run again."""
+    columns = [f.name for f in rows.schema]
+    declared = {BooleanType: "BOOLEAN", LongType: "INTEGER", DoubleType: "REAL", BinaryType: "BLOB"}
+    fields = ", ".join(f"{name(f.name)} {declared.get(type(f.dataType), 'INTEGER' if isinstance(f.dataType, IntegerType) else 'TEXT')}" for f in rows.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        os.makedirs(folder, exist_ok=True)
+        whole = f"{folder}/part-{task.partitionId():05d}.db"
+        part = f"{whole}-{task.taskAttemptId()}"
+        n, con = 0, sqlite3.connect(part)
+        con.execute(f"CREATE TABLE {name(table)} ({fields})")
+        for b in batches:
+            con.executemany(f"INSERT INTO {name(table)} VALUES ({', '.join('?' * len(columns))})", zip(*(c.to_pylist() for c in b.columns)))
+            n += b.num_rows
+        con.commit()
+        con.close()
+        os.replace(part, whole)
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    return rows.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 @dataclass
 class Range(InputPartition):
     """Rows of one file whose row ids are from ``low`` to ``high``, both included; all rows of a table without row ids."""
@@ -96,20 +138,11 @@ class Range(InputPartition):
     high: int | None
 
 
-class DatabaseReader(DataSourceReader):
+class RangeReader(DataSourceReader):
     def __init__(self, files: list[str], table: str, schema: StructType, parts: int) -> None:
         self.files, self.table, self.columns, self.parts = files, table, schema, parts
         self.where: list[tuple[str, list]] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        types = {f.name: f.dataType for f in self.columns}
-        for f in filters:
-            made = condition(f, types)
-            if made is None:
-                yield f  # Spark's to apply
-            else:
-                self.where.append(made)
-
     def partitions(self) -> list[InputPartition]:
         out: list[InputPartition] = []
         for path in self.files:
@@ -158,7 +191,25 @@ def typed(value, kind):
     return value if isinstance(value, str) else None if isinstance(value, bytes) else str(value)
 
 
+class DatabaseReader(RangeReader):
+    """With filters in the file's query."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        types = {f.name: f.dataType for f in self.columns}
+        for f in filters:
+            made, of = condition(f, types), f
+            while isinstance(of, Not):
+                of = of.child
+            loose = isinstance(types.get(of.attribute[0]), StringType)
+            if made is None or loose:
+                yield f  # Spark's to apply; real numbers in a text column are written as each of the two does
+            if made is not None:
+                self.where.append((f"typeof({name(of.attribute[0])}) = 'real' OR ({made[0]})", made[1]) if loose else made)
+
+
 class Database(DataSource):
+    kind = RangeReader
+
     @classmethod
     def name(cls) -> str:
         return "database"
@@ -177,4 +228,14 @@ class Database(DataSource):
         return StructType([StructField(r[1], spark_type(r[2])) for r in rows])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return DatabaseReader(self._files(), self.options["table"], schema, int(self.options.get("partitions", "8")))
+        return self.kind(self._files(), self.options["table"], schema, int(self.options.get("partitions", "8")))
+
+
+class PushedDatabase(Database):
+    """The same with filters in the files' queries; Spark wants spark.sql.python.filterPushdown.enabled for it."""
+
+    kind = DatabaseReader
+
+    @classmethod
+    def name(cls) -> str:
+        return "database_pushed"

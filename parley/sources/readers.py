@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import time
-import urllib.error
-import urllib.request
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import schemas
+from ..shipping import ship
+from .database import Database, PushedDatabase
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -42,56 +37,22 @@ def users_json(spark: SparkSession, path: str, company: str) -> DataFrame:
     return rows.filter(F.col("email").endswith("@" + company) & (F.col("name") != ""))
 
 
-def sqlite(spark: SparkSession, url: str, table: str, driver: str = "org.sqlite.JDBC") -> DataFrame:
-    """A table of a database, read only; needs the driver on the class path. Filters are pushed down."""
-    return spark.read.format("jdbc").option("url", url).option("driver", driver).option("dbtable", table).load()
+def sqlite(spark: SparkSession, path: str, table: str, schema: str | None = None, partitions: int = 8) -> DataFrame:
+    """A table of one or more SQLite files, read only, in key ranges. Filters are pushed down where the session allows it
+    for data sources in Python (spark.sql.python.filterPushdown.enabled)."""
+    ship(spark)
+    kind = PushedDatabase if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true" else Database
+    spark.dataSource.register(kind)
+    reader = spark.read.format(kind.name()).option("path", path).option("table", table).option("partitions", partitions)
+    return (reader.schema(schema) if schema else reader).load()
+
+
+def jdbc(spark: SparkSession, url: str, table: str, driver: str, key: str, low: int, high: int, partitions: int = 8) -> DataFrame:
+    """S10 for other databases: key ranges by JDBC; needs the driver on the class path."""
+    options = {"url": url, "driver": driver, "dbtable": table, "partitionColumn": key, "lowerBound": low, "upperBound": high, "numPartitions": partitions}
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def recordings(spark: SparkSession, folder: str, kinds: str = "*.m4a") -> DataFrame:
     """The files of a folder with size and time, their bytes not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", kinds).option("recursiveFileLookup", True).load(folder).select("path", "modificationTime", "length")
-
-
-class PageReader(DataSourceReader):
-    """Pages of a REST service by cursor; a busy service is asked again, ever more slowly."""
-
-    def __init__(self, options: dict[str, str]) -> None:
-        self.url, self.tries = options["url"], int(options.get("tries", "5"))
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(0)]  # a cursor can't be split
-
-    def _get(self, cursor: str | None) -> dict:
-        for n in range(self.tries):
-            try:
-                with urllib.request.urlopen(self.url + (f"?cursor={cursor}" if cursor else ""), timeout=60) as r:
-                    return json.load(r)
-            except urllib.error.HTTPError as e:
-                if e.code not in (429, 500, 502, 503) or n + 1 == self.tries:
-                    raise
-                time.sleep(float(e.headers.get("Retry-After") or 2**n))
-        raise RuntimeError("no tries")
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        cursor = None
-        while True:
-            page = self._get(cursor)
-            for row in page.get("results", []):
-                yield (str(row.get("id")), json.dumps(row, ensure_ascii=False))
-            cursor = page.get("next_cursor")
-            if not cursor:
-                return
-
-
-class Pages(DataSource):
-    """spark.dataSource.register(Pages); spark.read.format("pages").option("url", ...).load()"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "pages"
-
-    def schema(self) -> str:
-        return "id string, body string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return PageReader(self.options)

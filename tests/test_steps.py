@@ -293,7 +293,7 @@ def test_pages_by_cursor(spark):
     import threading
     from urllib.parse import parse_qs, urlparse
 
-    from parley.sources.readers import Pages
+    from parley.sources.paged import Pages
 
     asked = []
 
