@@ -132,6 +132,18 @@ def listed_names(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("i", F.array_join(P.names_in(F.col("text")), ",").alias("names"))
 
 
+@query("""with n as (select s_suppkey k, s_nationkey g, chr((44032 + (s_suppkey * 7919 + 11) % 11172)::int) || chr((44032 + (s_suppkey * 104729 + 5) % 11172)::int) x from supplier)
+  select g, string_agg(x, ',' order by k) "names" from (select g, x, min(k) k from n where k % 4 <> 3 group by 1, 2) group by 1""")
+def listed_names_of_suppliers(spark: SparkSession, d: str) -> DataFrame:
+    """Lists of Hangul names made of the keys of suppliers, split in three ways, with names that repeat and entries that are none."""
+    k = F.col("s_suppkey")
+    hangul = lambda n: F.decode(F.unhex(F.hex((n % 11172 + 0xAC00).cast("long"))), "UTF-16BE")
+    name = F.concat(hangul(k * 7919 + 11), hangul(k * 104729 + 5))
+    entry = F.when(k % 4 == 3, F.concat(F.lit("Mr. "), name)).otherwise(F.concat(name, F.when(k % 4 == 0, F.concat(F.lit(" / "), name)).otherwise(" "), F.when(k % 4 == 1, "\n").when(k % 4 == 2, ", ").otherwise("/")))
+    s = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("g")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", entry.alias("e")))), lambda x: x["e"]), ", ").alias("text"))
+    return s.select("g", F.array_join(P.names_in(F.col("text")), ",").alias("names")).filter("names <> ''")
+
+
 @query("""with c as (select c_custkey id, c_name title, c_custkey % 5 <> 0 alive from customer where c_custkey > 1) select 'b' || p.c_custkey parent, string_agg(k.title || '!', chr(10) order by k.id desc) "text" from customer p join c k on k.id // 2 = p.c_custkey where k.alive and (p.c_custkey % 5 <> 0) group by 1""")
 def block_texts(spark: SparkSession, d: str) -> DataFrame:
     """The titles of living children, in the order that their parent names them."""

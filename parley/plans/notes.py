@@ -159,6 +159,28 @@ def note_items(spark: SparkSession, d: str) -> DataFrame:
     return N.items(lines, "note_key").select("item_id", "title", "owner", "due", F.array_join("evidence_refs", ",").alias("refs"))
 
 
+@query("""select o_orderkey note, 'A' || (o_custkey % 9 + 1) item_id, 'w' || o_custkey title, case when o_orderkey % 3 <> 0 then 'p' || o_custkey end "owner", case when o_orderkey % 3 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end due, case when o_orderkey % 3 <> 0 then '§4.' || o_custkey % 7 || case when o_orderkey % 2 = 0 then ',§4.12' else '' end end refs from orders where o_orderkey % 5 <> 0""")
+def note_items_of_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Item lines with and without the line of their metadata, after blank lines; and lines that are none."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    item = F.concat(F.when(k % 5 == 0, "- [y] **A").when(k % 2 == 0, "- [ ] **A").otherwise("- [x] **A"), (F.col("o_custkey") % 9 + 1).cast("string"), F.lit(" · w"), c, F.lit("**"))
+    meta = F.concat(F.when(k % 3 == 0, " p").when(k % 4 == 0, "\tp").otherwise("  p"), c, F.lit(" · "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" · §4."), (F.col("o_custkey") % 7).cast("string"), F.when(k % 2 == 0, " , §4.12").otherwise(""))
+    notes = table(spark, d, "orders").select(k.alias("note"), F.concat(F.lit("## 2. x\n"), item, F.when(k % 7 == 0, "\n \n").otherwise("\n"), meta, F.lit("\nend")).alias("text"))
+    return N.items(P.numbered_lines(notes, "note", "text"), "note").select("note", "item_id", "title", "owner", "due", F.array_join("evidence_refs", ",").alias("refs"))
+
+
+@query("""select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || case when o_orderkey % 2 = 0 then 'T' || lpad((o_custkey % 24)::varchar, 2, '0') || ':' || lpad((o_custkey % 60)::varchar, 2, '0') else '' end "time" from orders where o_orderkey % 5 <> 0""")
+def note_times(spark: SparkSession, d: str) -> DataFrame:
+    """The first date of a text, with its time if one follows; parts without leading zeros, and texts without a date."""
+    from ..functions.predicates import note_time
+
+    k, mark = F.col("o_orderkey"), F.element_at(F.array(*map(F.lit, "-./")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    day = F.concat(F.date_format("o_orderdate", "yyyy"), mark, F.month("o_orderdate").cast("string"), mark, F.dayofmonth("o_orderdate").cast("string"))
+    clock = F.concat((F.col("o_custkey") % 24).cast("string"), F.lit(":"), F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"))
+    text = F.concat(F.lit("no 12 at "), F.when(k % 5 == 0, "no day").otherwise(F.concat(day, F.when(k % 2 == 0, F.concat(F.when(k % 4 == 0, "  ").otherwise("T"), clock)).otherwise(" noon"), F.lit(", 2001-01-01 03:04"))))
+    return table(spark, d, "orders").select("o_orderkey", note_time(text).alias("time")).filter("time is not null")
+
+
 @query("""with f as (select doc_id k, case doc_id % 3 when 0 then '' when 1 then chr(10) || '```' || chr(10) || '## no' || chr(10) || '~~~' || chr(10) || '```' else chr(10) || '~~~ x' || chr(10) || '## no' || chr(10) || '~~~' end fence from documents)
   select k::varchar note_key, 1 seq, '## a' heading, 'x' || k || fence body from f union all select k::varchar, 2, '##  c d', chr(10) || 'y' from f""")
 def heading_split(spark: SparkSession, d: str) -> DataFrame:

@@ -61,6 +61,17 @@ def status_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").agg(*(F.count_if(F.col("o_orderstatus") == s).alias(n) for s, n in (("O", "open"), ("F", "filled"), ("P", "partial"))))
 
 
+@query("""select 'rows' counter, count(*)::bigint n from orders union all select o_orderstatus, count(*)::bigint from orders where o_orderstatus in ('O', 'F', 'P') group by 1""")
+def run_counters(spark: SparkSession, d: str) -> DataFrame:
+    """A run that writes the orders counts them, by status, while they pass."""
+    from ..operators import counters as C
+    from .files import scratch_folder
+
+    rows, seen = C.observed(table(spark, d, "orders"), C.counters("o_orderstatus", ("O", "F", "P")))
+    rows.write.parquet(scratch_folder(spark, "counted"))
+    return spark.createDataFrame([(k, v) for k, v in seen.get.items() if v], "counter string, n long")
+
+
 @query("""select o_orderkey, case when o_totalprice is null then 'no duration' when o_totalprice < 10000 then 'too short' when o_totalprice > 0 and o_custkey / o_totalprice >= 0.05 then 'silent' else 'ok' end verdict from orders""")
 def audio_reject_rule(spark: SparkSession, d: str) -> DataFrame:
     """The first reason that holds."""

@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import sinks
-from ..streaming import watch
-from .base import query, table
+from ..streaming import stateful, watch
+from .base import SQL, query, table
 from .files import scratch_folder
 
 
+def _stateful(stream: DataFrame, mode: str) -> DataFrame:
+    """_run for processors with keyed state."""
+    with stateful.keyed_state(stream.sparkSession):
+        return _run(stream, mode)
+
+
 def _run(stream: DataFrame, mode: str) -> DataFrame:
     """The rows that a stream gives from the files there are."""
     spark = stream.sparkSession
@@ -68,6 +74,25 @@ def job_stages(spark: SparkSession, d: str) -> DataFrame:
     return watch.advanced(jobs, e)
 
 
+@query("""with recursive e as (select user_id "key", row_number() over (partition by user_id order by event_id) n, event_id, case event_id % 4 when 0 then 'recorded' when 1 then 'noted' when 2 then 'reviewed' else 'failed' end kind from events), j as (select distinct "key", 0::bigint n, null::varchar stage from e
+    union all select j."key", e.n, case when kind = 'recorded' and (stage is null or stage = 'done') then 'note' when kind = 'noted' and stage = 'note' then 'review' when kind = 'reviewed' and stage = 'review' then 'done' else stage end from j join e on e."key" = j."key" and e.n = j.n + 1)
+  select "key"::varchar "key", stage from j qualify n = max(n) over (partition by "key") and stage is not null""")
+def stream_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """The stages of durable jobs as keyed state of a stream of events: each user's last."""
+    kind = F.element_at(F.array(*map(F.lit, ("recorded", "noted", "reviewed", "failed"))), (F.col("event_id") % 4 + 1).cast("int"))
+    e = _events(spark, d).select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), kind.alias("kind"), "ts")
+    return _stateful(stateful.job_stages(e), "update").groupBy("key").agg(F.max_by("stage", "seq").alias("stage"))
+
+
+@query(SQL["stream_restart_groups"])
+def stream_restart_state(spark: SparkSession, d: str) -> DataFrame:
+    """W2 by a stateful processor; each user's last group is still open."""
+    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    length = F.greatest(F.floor("value"), F.lit(0)).cast("long") * 60_000_000
+    items = _events(spark, d).select(F.col("user_id").cast("string").alias("key"), start.alias("start"), (start + length).alias("end"))
+    return _stateful(stateful.restart_groups(items, 10_800_000_000), "append")
+
+
 @query("select '| ' || r_regionkey || ' | ' || r_name || ' |' line from region")
 def markdown_rows(spark: SparkSession, d: str) -> DataFrame:
     """K6."""
