@@ -265,3 +265,22 @@ def test_prediction_edges(spark):
     none = language_id.predict(spark.createDataFrame([(*r[:2], None, 1, 2) for r in rows], schema)).collect()
     assert len(none) == len(rows) and {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
     assert language_id.predict(spark.createDataFrame([], schema)).count() == 0
+
+
+# ---- the queries ----
+
+
+@pytest.mark.parametrize("name", ["op12_clock_hours", "op13_fill_middle"])
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    from parley.llm import queries
+
+    duck = duckdb.connect()
+    for t in ("clicks", "documents"):
+        duck.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    df = queries.queries()[name](spark, SF)
+    result = duck.execute(queries.oracle_sql()[name])
+    names = [x[0] for x in result.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(names).collect()), key=repr) == sorted(result.fetchall(), key=repr)
