@@ -58,7 +58,7 @@ _HEADS = ("## 5.2 검증 완료", "### 4. 상세")
 @query(f"""with v as (select translate(x, '{_LATIN}', '{_SYLLABLES}') variant, upper(x) target, count(*)::int "count" from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) x from benchmark) where length(x) between 3 and 8 group by 1, 2 having count(*) >= 2),
   l as (select doc_id note, unnest(s) x, unnest(range(len(s)))::int line_no from (select doc_id, string_split(text, chr(10)) s from documents)),
   h as (select note, line_no, case when (note + line_no) % 12 = 5 then case when note % 2 = 0 then '{_HEADS[0]}' else '{_HEADS[1]}' end else trim(translate(regexp_replace(lower(x), '[^ -~]', '?', 'g'), '{_LATIN}', '{_SYLLABLES}')) end line from l),
-  s as (select *, last_value(nullif(regexp_extract(line, '^#{{2,3}}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?(.+?)\s*$', 1), '') ignore nulls) over (partition by note order by line_no rows unbounded preceding) sec from h),
+  s as (select *, last_value(nullif(regexp_extract(line, '^#{{2,3}}\\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\\s*)?(.+?)\\s*$', 1), '') ignore nulls) over (partition by note order by line_no rows unbounded preceding) sec from h),
   w as (select distinct note, line_no, line, unnest(regexp_extract_all(line, '[가-힣A-Za-z0-9]+')) word from s where coalesce(sec <> '검증 완료', true)), k as (select distinct word from w),
   m as (select word, variant, target, "count" from k, v where starts_with(word, variant) and regexp_matches(substr(word, length(variant) + 1), '^(?:님|씨)?(?:$|은|는|이|가|을|를|과|와|에게|께|도|만|로|으로|의)'))
   select distinct note, line_no, line, variant, target, "count" from w join m using (word)""")
