@@ -131,9 +131,7 @@ def upload_decision(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 def ancestors(blocks: DataFrame, most: int = 6) -> DataFrame:
     """The first title that isn't empty up the chain of parents (id, parent_id, title), within ``most`` levels."""
-    spark = blocks.sparkSession
-    blocks.createOrReplaceTempView("parley_blocks")
-    return spark.sql(f"""with recursive up(id, at, title, depth) as (
-        select b.id, p.id, p.title, 1 from parley_blocks b join parley_blocks p on b.parent_id = p.id
-        union all select u.id, p.id, p.title, u.depth + 1 from up u join parley_blocks c on u.at = c.id join parley_blocks p on c.parent_id = p.id where u.depth < {most})
-      select id, min_by(title, depth) title, min(depth) depth from up where title <> '' group by id""")
+    return blocks.sparkSession.sql("""with recursive up(id, at, title, depth) as (
+        select b.id, p.id, p.title, 1 from {blocks} b join {blocks} p on b.parent_id = p.id
+        union all select u.id, p.id, p.title, u.depth + 1 from up u join {blocks} c on u.at = c.id join {blocks} p on c.parent_id = p.id where u.depth < {most})
+      select id, min_by(title, depth) title, min(depth) depth from up where title <> '' group by id""", blocks=blocks, most=most)

@@ -177,11 +177,12 @@ def quality_evaluation(spark: SparkSession, d: str) -> DataFrame:
     return R.evaluated(cases, {"cer": 0.0, "wer": 0.0}).select("id_sha256", "verdict")
 
 
-@query("""with h as (select conv_id, list(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1))) filter (url <> '') hosts from (select page_id % 50 conv_id, url from pages) group by 1) select conv_id, coalesce(len(list_distinct(hosts)), 0)::int hosts from h""")
+@query("""with u as (select p.page_id, [p.url, upper(p.url), q.url, ''] urls from pages p left join pages q on q.page_id = p.page_id + 1) select page_id, len(list_distinct(list_transform(list_filter(urls, lambda x: x is not null and x <> ''), lambda x: lower(regexp_extract(x, '^[a-zA-Z]+://([^/?#]+)', 1)))))::int hosts from u""")
 def independent_hosts(spark: SparkSession, d: str) -> DataFrame:
-    """A19."""
-    p = table(spark, d, "pages").groupBy((F.col("page_id") % 50).alias("conv_id")).agg(F.collect_list("url").alias("urls"))
-    return p.select("conv_id", R.independent_hosts(F.col("urls")).alias("hosts"))
+    """The hosts of a page's address, of the same in capitals, and of the next page's."""
+    p = table(spark, d, "pages").select("page_id", "url")
+    after = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"))
+    return p.join(after, "page_id", "left").select("page_id", R.independent_hosts(F.array("url", F.upper("url"), "next", F.lit(""))).alias("hosts"))
 
 
 _FLAGS = {"readable": 23, "valid": 3, "transcript": 7, "preview": 11, "preview_faithful": 4, "review": 13, "review_valid": 6, "receipt": 5, "receipt_valid": 17, "receipt_current": 9}
