@@ -27,17 +27,27 @@ def carried(lines: DataFrame, key: str, heading: Column, name: str = "section")
     return lines.withColumn(name, F.last(heading, ignorenulls=True).over(w))
 
 
-def fenced(lines: Column) -> Column:
-    """For each line of an array whether it stands in a code fence; a fence ends with the mark
-    that began it. A fold, since each line's state depends on the one before."""
+def fences(lines: Column) -> Column:
+    """The code fences of an array of lines (first, last: indexes, marks included), in order; a fence ends with the mark that began it, or never.
+    A fold over the lines with a mark, since each one's meaning depends on those before."""
+    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.when(x.contains("```") | x.contains("~~~"), F.regexp_extract(x, r"^\s*(```|~~~)", 1)).otherwise("").alias("mark"))), lambda m: m["mark"] != "")
+    span = lambda a, b: F.array(F.struct(a.alias("first"), b.alias("last")))
+
+    def step(acc: Column, m: Column) -> Column:
+        opens, closes = acc["mark"] == "", m["mark"] == acc["mark"]
+        return F.struct(
+            F.when(opens, m["mark"]).when(closes, F.lit("")).otherwise(acc["mark"]).alias("mark"), F.when(opens, m["at"]).otherwise(acc["at"]).alias("at"),
+            F.when(~opens & closes, F.concat(acc["out"], span(acc["at"], m["at"]))).otherwise(acc["out"]).alias("out"),
+        )
 
-    def step(acc: Column, line: Column) -> Column:
-        mark = F.regexp_extract(line, r"^\s*(```|~~~)", 1)
-        opens, closes = (acc["mark"] == "") & (mark != ""), (acc["mark"] != "") & (mark == acc["mark"])
-        after = F.when(opens, mark).when(closes, F.lit("")).otherwise(acc["mark"])
-        return F.struct(after.alias("mark"), F.concat(acc["out"], F.array((acc["mark"] != "") | opens)).alias("out"))
+    start = F.struct(F.lit("").alias("mark"), F.lit(-1).alias("at"), F.array().cast("array<struct<first: int, last: int>>").alias("out"))
+    return F.aggregate(marks, start, step, lambda acc: F.when(acc["mark"] != "", F.concat(acc["out"], span(acc["at"], F.lit(2**31 - 1)))).otherwise(acc["out"]))
 
-    return F.aggregate(lines, F.struct(F.lit("").alias("mark"), F.array().cast("array<boolean>").alias("out")), step, lambda acc: acc["out"])
+
+def fenced(lines: Column) -> Column:
+    """For each line of an array whether it stands in a code fence."""
+    inside = lambda closed: F.transform(lines, lambda x, i: F.exists(closed, lambda s: (s["first"] <= i) & (i <= s["last"])))
+    return F.get(F.transform(F.array(fences(lines)), inside), F.lit(0))
 
 
 def sections(notes: DataFrame, key: str, text: str) -> DataFrame:

@@ -1,24 +1,24 @@
-"""Readable forms of meeting notes, and the picture that suits one. Notes are restructured line by line, which no
-built-in function expresses: plain functions of one text, run on Arrow batches."""
+"""Readable forms of meeting notes, and the picture that suits one, as columns.
+
+A note is taken apart within its own row: lines, the fences among them (W10), sections, items with the line that tells of them (W11), titles of the
+evidence. Forms and pictures are built of these parts, so nothing is shuffled and no Python runs. White space and letters are Unicode's.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+
+from .notes import fences
 
 # What the sections and items of a note look like, and the words of its readable form.
-H1, H2, EVIDENCE = re.compile(r"#\s+(.+?)\s*"), re.compile(r"##\s+(.+?)\s*"), re.compile(r"###\s+(4\.\d+)\s+(.+?)\s*")
-FENCE = re.compile(r"\s*(`{3,}|~{3,})")
+H1, H2, EVIDENCE = r"#\s+(.+?)", r"##\s+(.+?)", r"###\s+(4\.\d+)\s+(.+?)"
 ACTIONS, OPENS = "Action Items", "미결 쟁점"
-ACTION_LINE = re.compile(r"\s*-\s*\[([ xX])\]\s*\*\*(A\d+)\s*[·.]\s*(.+?)\*\*\s*")
-OPEN_LINE = re.compile(r"\s*-\s*\*\*(M\d+)\s*[·.]\s*(.+?)\*\*\s*")
+ACTION_LINE = r"-\s*\[([ xX])\]\s*\*\*(A\d+)\s*[·.]\s*(.+?)\*\*"
+OPEN_LINE = r"-\s*(\*)\*(M\d+)\s*[·.]\s*(.+?)\*\*"
+REF = r"§(4\.\d+)"
 NO_TITLE, NO_REFS = "근거", "확인 필요"
 LABELS = {ACTIONS: ("담당", "일정", "근거"), OPENS: ("담당", "결정 시점", "근거")}
 # The four kinds of pictures and what speaks for each.
@@ -29,182 +29,228 @@ PARTS = (
     ("skill", r"\bSkill\b"), ("marketplace", r"marketplace|마켓플레이스"), ("control-plane", r"Control Plane|컨트롤 플레인"),
 )
 CONNECTED = r"연결|구조|아키텍처|레이어|Layer"
-DATES = re.compile(r"(?:20\d{2}[-./]\d{1,2}[-./]\d{1,2}|\d{1,2}월\s*\d{1,2}일|\d{1,2}/\d{1,2})")
-CHOICES = re.compile(r"할지|인지|여부|둘지|나눌지|어느|어디|누가|어떻게|몇\s*점|먼저")
-
-
-class Item(NamedTuple):
-    """An action or an open question."""
-
-    id: str
-    done: bool
-    title: str
-    owner: str
-    when: str
-    refs: list[str]
-
-
-class Node(NamedTuple):
-    id: str
-    label: str
-    detail: str
-    ref: str
-
-
-class Note:
-    """A note taken apart: the lines before the first section, and the sections."""
-
-    def __init__(self, text: str) -> None:
-        self.lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-        self.head: list[str] = []
-        self.sections: list[tuple[str, list[str]]] = []
-        into = self.head
-        for line, heading in self._headings():
-            if heading:
-                into = []
-                self.sections.append((heading, into))
-            else:
-                into.append(line)
-        self.title = next((m[1].strip() for x in self.lines if (m := H1.fullmatch(x.strip()))), "")
-        self.evidence = {m[1]: m[2].strip() for x in self.under("4.") if (m := EVIDENCE.fullmatch(x.strip()))}
-
-    def _headings(self) -> Iterator[tuple[str, str | None]]:
-        """Each line, with its heading if it is one outside all fences; a fence ends with the mark that began it."""
-        fence = ""
-        for line in self.lines:
-            mark = m[1][0] if (m := FENCE.match(line)) else ""
-            if mark:
-                fence = mark if not fence else "" if mark == fence else fence
-            section = None if fence or mark else H2.fullmatch(line.strip())
-            yield line, section[1].strip() if section else None
-
-    def under(self, start: str) -> list[str]:
-        return [x for heading, body in self.sections if heading.startswith(start) for x in body]
-
-    def items(self, kind: str) -> list[Item]:
-        """The items of the first section of a kind; each has its owner, time and evidence on the next line that isn't blank."""
-        body = next((b for heading, b in self.sections if kind in heading), [])
-        filled = [(i, x.strip()) for i, x in enumerate(body) if x.strip()]
-        out, used = [], -1
-        for n, (i, _) in enumerate(filled):
-            if i <= used:
-                continue
-            if m := (ACTION_LINE if kind == ACTIONS else OPEN_LINE).fullmatch(body[i]):
-                follows = filled[n + 1] if n + 1 < len(filled) else (i, "")
-                about = "" if kind == ACTIONS and re.match(r"-\s*\[", follows[1]) else follows[1]
-                owner, *when, last = parts if len(parts := [p.strip() for p in about.split(" · ")]) > 2 else ("", "", "")
-                if len(parts) < 3:
-                    raise ValueError(f"item {m[m.lastindex - 1]} lacks its owner, time and evidence")
-                out.append(Item(m[m.lastindex - 1], m[1] in "xX", m[m.lastindex].strip(), owner, " · ".join(when), list(dict.fromkeys(re.findall(r"§(4\.\d+)", last)))))
-                used = follows[0]
-        return out
-
-    def link(self, ref: str) -> str:
-        title = self.evidence.get(ref, NO_TITLE)
-        bare = re.sub("[^0-9A-Za-z가-힣 -]+", "", f"{ref} {title}").strip().lower()
-        return f"[{ref} {title}](#{re.sub('[ -]+', '-', bare)})"
-
-    def first_with(self, pattern: str) -> str:
-        """The evidence heading that the first line with the pattern stands under."""
-        under = " "
-        for line in self.under("4."):
-            if m := EVIDENCE.fullmatch(line.strip()):
-                under = f"{m[1]} {m[2].strip()}"
-            if re.search(pattern, line, re.IGNORECASE):
-                return under.strip()
-        return ""
+DATES = r"20\d{2}[-./]\d{1,2}[-./]\d{1,2}|\d{1,2}월\s*\d{1,2}일|\d{1,2}/\d{1,2}"
+CHOICES = r"할지|인지|여부|둘지|나눌지|어느|어디|누가|어떻게|몇\s*점|먼저"
+
+#: White space of Unicode.
+SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+NODES = "array<struct<id: string, label: string, detail: string, ref: string>>"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _strip(line: Column) -> Column:
+    return F.trim(line, F.lit(SPACE))
+
+
+def _rstrip(text: Column) -> Column:
+    return F.rtrim(text, F.lit(SPACE))
+
+
+def _whole(line: Column, form: str, group: int) -> Column:
+    """A group of a form that a line, stripped, is as a whole; empty if it isn't. Forms begin with their mark, which most lines lack: they are not matched."""
+    return F.when(line.startswith(form[0]), F.regexp_extract(line, rf"(?sU)\A{form}\s*\z", group)).otherwise("")
+
+
+def _met(text: Column, pattern: str) -> Column:
+    return text.rlike(f"(?iuU){pattern}")
+
+
+def _first(values: Column, of: Callable[[Column], Column]) -> Column:
+    return F.get(F.filter(values, of), F.lit(0))
+
+
+def taken_apart(text: Column) -> Column:
+    """A note's parts: title (of the first H1, else empty), head (the lines before the first section), sections (heading, body: lines),
+    evidence (the lines of all sections numbered 4.) and titles (no: line of the evidence, ref, title), the last first."""
+    lines = F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")
+    return let(lines, lambda ls: let(fences(ls), lambda closed: _parts(ls, closed)))
+
+
+def _parts(lines: Column, closed: Column) -> Column:
+    open_at = lambda i: ~F.exists(closed, lambda s: (s["first"] <= i) & (i <= s["last"]))
+    found = F.transform(lines, lambda x, i: F.when(F.contains(x, F.lit("##")) & open_at(i), F.struct(i.alias("no"), _whole(_strip(x), H2, 1).alias("heading"))))
+    heads = F.filter(found, lambda h: h["heading"] != "")
+
+    def with_sections(heads: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(heads, k)["no"], F.size(lines))
+        sections = F.transform(heads, lambda h, k: F.struct(_strip(h["heading"]).alias("heading"), F.slice(lines, h["no"] + 2, end(k + 1) - h["no"] - 1).alias("body")))
+        title = F.coalesce(_first(F.transform(lines, lambda x: _whole(_strip(x), H1, 1)), lambda x: x != ""), F.lit(""))
+        return let(sections, lambda ss: let(under(ss, "4."), lambda ev: F.struct(title.alias("title"), F.slice(lines, F.lit(1), end(F.lit(0))).alias("head"), ss.alias("sections"), ev.alias("evidence"), _titles(ev).alias("titles"))))
+
+    return let(heads, with_sections)
+
+
+def under(sections: Column, start: str) -> Column:
+    """The lines of all sections whose heading begins so."""
+    return F.flatten(F.transform(F.filter(sections, lambda s: s["heading"].startswith(start)), lambda s: s["body"]))
+
+
+def _titles(evidence: Column) -> Column:
+    each = F.transform(evidence, lambda x, i: let(_strip(x), lambda s: F.struct(i.alias("no"), _whole(s, EVIDENCE, 1).alias("ref"), _whole(s, EVIDENCE, 2).alias("title"))))
+    return F.reverse(F.filter(each, lambda t: t["ref"] != ""))
+
+
+def items(sections: Column, kind: str) -> Column:
+    """The items (id, done, title, owner, when, refs, broken) of the first section of a kind, ACTIONS or OPENS. The next line that isn't blank tells
+    of owner, time and evidence; an item without is broken. A line that was taken so begins no item."""
+    form = ACTION_LINE if kind == ACTIONS else OPEN_LINE
+    body = F.coalesce(_first(sections, lambda s: F.contains(s["heading"], F.lit(kind)))["body"], F.array().cast("array<string>"))
+    filled = F.filter(F.transform(body, _strip), lambda x: x != "")
+    pair = lambda line, about: F.struct(line.alias("line"), about.alias("about"))
+
+    def step(acc: Column, x: Column) -> Column:
+        waits = acc["line"].isNotNull()
+        begins = ~waits & (_whole(x, form, 2) != "")
+        return F.struct(F.when(begins, x).alias("line"), F.when(waits, F.concat(acc["out"], F.array(pair(acc["line"], x)))).otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(F.lit(None).cast("string").alias("line"), F.array().cast("array<struct<line: string, about: string>>").alias("out"))
+    pairs = F.aggregate(filled, start, step, lambda acc: F.when(acc["line"].isNotNull(), F.concat(acc["out"], F.array(pair(acc["line"], F.lit(""))))).otherwise(acc["out"]))
+
+    def item(p: Column) -> Column:
+        about = F.when(p["about"].rlike(r"(?U)^-\s*\["), F.lit("")).otherwise(p["about"]) if kind == ACTIONS else p["about"]
+        told = lambda parts: F.struct(
+            _whole(p["line"], form, 2).alias("id"), F.lower(_whole(p["line"], form, 1)).eqNullSafe("x").alias("done"), _strip(_whole(p["line"], form, 3)).alias("title"), F.get(parts, F.lit(0)).alias("owner"),
+            F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), " · ").alias("when"),
+            F.array_distinct(F.regexp_extract_all(F.get(parts, F.size(parts) - 1), F.lit(f"(?U){REF}"), F.lit(1))).alias("refs"), (F.size(parts) < 3).alias("broken"),
+        )
+        return let(F.transform(F.split(about, " · "), _strip), told)
+
+    return F.transform(pairs, item)
 
 
-def _trimmed(lines: list[str]) -> list[str]:
-    filled = [i for i, x in enumerate(lines) if x.strip()]
-    return lines[filled[0] : filled[-1] + 1] if filled else []
+def link(titles: Column, ref: Column) -> Column:
+    """a link to the heading of a piece of evidence."""
+    name = F.concat(ref, F.lit(" "), F.coalesce(_first(titles, lambda t: t["ref"] == ref)["title"], F.lit(NO_TITLE)))
+    bare = F.lower(F.trim(F.regexp_replace(name, "[^0-9A-Za-z가-힣 -]+", "")))
+    return F.concat(F.lit("["), name, F.lit("](#"), F.regexp_replace(bare, "[ -]+", "-"), F.lit(")"))
 
 
-def readable(text: str, marker: str | None = None) -> str:
+def expanded(line: Column, titles: Column) -> Column:
+    """F16: a text in which each § number of evidence is a link."""
+    refs = F.regexp_extract_all(line, F.lit(f"(?U){REF}"), F.lit(1))
+    rest = F.split(line, f"(?U){REF}")
+    return let(refs, lambda rs: F.array_join(F.transform(rest, lambda x, i: F.concat(x, F.coalesce(link(titles, F.get(rs, i)), F.lit("")))), ""))
+
+
+def _broken(items: Column) -> Column:
+    return F.exists(items, lambda x: x["broken"])
+
+
+def _of_parts(text: Column, of: Callable[[Column, Column, Column], Column]) -> Column:
+    """A column of a note's parts, its actions and its open questions; null for null."""
+    made = lambda n: let(items(n["sections"], ACTIONS), lambda acts: let(items(n["sections"], OPENS), lambda opens: of(n, acts, opens)))
+    return let(text, lambda t: F.when(t.isNotNull(), let(taken_apart(t), made)))
+
+
+def readable_text(text: Column, marker: Column) -> Column:
     """A note as people read it: metadata quoted, items on one line each with links to their evidence, sections parted
-    by rules. ``marker`` is a picture's place before the actions. A note without title or sections has no such form."""
-    note = Note(text)
-    top = next((i for i, x in enumerate(note.head) if H1.fullmatch(x.strip())), None)
-    if top is None or not note.sections:
-        raise ValueError("a note needs a title and sections")
-    blocks = []
-    for heading, body in note.sections:
-        kind = next((k for k in (ACTIONS, OPENS) if k in heading and note.items(k)), None)
-        if kind:
-            owner, when, why = LABELS[kind]
-            lines = [marker, ""] if marker and kind == ACTIONS else []
-            for x in note.items(kind):
-                box = f"[{'x' if x.done else ' '}] " if kind == ACTIONS else ""
-                refs = ", ".join(map(note.link, x.refs)) or NO_REFS
-                lines.append(f"- {box}**{x.id} · {x.title}** — **{owner}** · {x.owner} · **{when}** · {x.when} · **{why}** · {refs}")
-        else:
-            lines = _trimmed(body)
-            if heading.startswith("1."):
-                lines = [re.sub(r"§(4\.\d+)", lambda m: note.link(m[1]), x) for x in lines]
-        blocks.append("\n".join([f"## {heading}", "", *lines]).rstrip())
-    quoted = [f"> {x.strip()}" for x in note.head[top + 1 :] if x.strip()]
-    begin = [note.head[top].strip(), "", *quoted, ""]
-    return "\n".join(begin) + "\n" + "\n\n---\n\n".join(blocks).rstrip() + "\n"
-
-
-def picture(text: str, parts: tuple[tuple[str, str], ...] = PARTS) -> tuple[str, int, list[Node]] | None:
-    """Of the four kinds of pictures the one that most speaks for: kind, score and nodes; none if nothing does. ``parts``: what a system
-    consists of, by name and pattern; a house adds its own."""
-    note = Note(text)
-    told = "\n".join([note.title, *(x for h, b in note.sections for x in (_trimmed(b) if h.startswith("1.") else [y for y in b if y.strip().startswith("### ")] if h.startswith("4.") else []))])
-    found: list[tuple[str, int, list[Node]]] = []
-
-    met = sorted((m.start(), k, label, m[0], p) for k, (label, p) in enumerate(STAGES) if (m := re.search(p, told, re.IGNORECASE)))
-    strong = sum(label in STRONG for _, _, label, _, _ in met)
-    if len(met) >= 4 and strong >= 2:
-        titled = len(re.findall("|".join(STRONG), note.title, re.IGNORECASE))
-        found.append(("rollout-map", 3 * len(met) + 2 * strong + 4 * titled, [Node(f"S{i}", label, hit, note.first_with(p)) for i, (_, _, label, hit, p) in enumerate(met, 1)]))
-
-    seen = [Node(name, name, "", note.first_with(p)) for name, p in parts if re.search(p, told, re.IGNORECASE)]
-    layers, links = sum(x.id.startswith("layer") for x in seen), len(re.findall(CONNECTED, told, re.IGNORECASE))
-    if len(seen) >= 6 and layers >= 2 and links >= 2:
-        found.append(("system-map", 2 * len(seen) + 4 * layers + min(links, 6), seen))
-
-    dated = [(x, DATES.findall(x.when)) for x in note.items(ACTIONS)]
-    dated = [(x, days) for x, days in dated if days]
-    days = {d for _, each in dated for d in each}
-    if len(dated) >= 3 and len(days) >= 2:
-        found.append(("milestone-timeline", 3 * len(dated) + 2 * len(days), [Node(x.id, x.title, x.when, (x.refs or [""])[0]) for x, _ in dated]))
-
-    items = note.items(OPENS)
-    chosen = sum(bool(CHOICES.search(x.title)) for x in items)
-    if chosen >= 5:
-        found.append(("decision-map", 3 * chosen, [Node(x.id, x.title, x.when, (x.refs or [""])[0]) for x in items]))
-    return max(found, key=lambda x: x[1], default=None)
-
-
-NODE = StructType().add("id", StringType()).add("label", StringType()).add("detail", StringType()).add("ref", StringType())
-PICTURE = StructType().add("kind", StringType()).add("score", IntegerType()).add("nodes", ArrayType(NODE))
-
-
-def _or_null(f, *args):
-    try:
-        return f(*args)
-    except ValueError:
-        return None
-
-
-@pandas_udf(StringType())
-def readable_text(text: pd.Series, marker: pd.Series) -> pd.Series:
-    """E19; null for a note that has no readable form."""
-    return pd.Series([None if t is None else _or_null(readable, t, m or None) for t, m in zip(text, marker)], dtype=object)
-
-
-@pandas_udf(PICTURE)
-def picture_of(text: pd.Series) -> pd.DataFrame:
-    """E20; nulls where no kind of picture suits, or an item is broken."""
-    made = [(t is not None and _or_null(picture, t)) or (None, None, None) for t in text]
-    return pd.DataFrame({"kind": [m[0] for m in made], "score": pd.array([m[1] for m in made], "Int32"), "nodes": [m[2] and [n._asdict() for n in m[2]] for m in made]})
+    by rules. ``marker`` is a picture's place before the actions, null or empty for none. Null for a note that is null, has no title before its
+    sections, no sections, or a broken item."""
+
+    def line(n: Column, kind: str) -> Callable[[Column], Column]:
+        owner, when, why = LABELS[kind]
+
+        def one(x: Column) -> Column:
+            box = F.when(x["done"], "[x] ").otherwise("[ ] ") if kind == ACTIONS else F.lit("")
+            refs = F.when(F.size(x["refs"]) == 0, F.lit(NO_REFS)).otherwise(F.array_join(F.transform(x["refs"], lambda r: link(n["titles"], r)), ", "))
+            return F.concat(F.lit("- "), box, F.lit("**"), x["id"], F.lit(" · "), x["title"], F.lit(f"** — **{owner}** · "), x["owner"], F.lit(f" · **{when}** · "), x["when"], F.lit(f" · **{why}** · "), refs)
+
+        return one
+
+    def form(n: Column, acts: Column, opens: Column) -> Column:
+        of_acts = lambda s: F.contains(s["heading"], F.lit(ACTIONS)) & (F.size(acts) > 0)
+        of_opens = lambda s: ~of_acts(s) & F.contains(s["heading"], F.lit(OPENS))
+        place = F.when(F.coalesce(marker, F.lit("")) != "", F.concat(marker, F.lit("\n\n"))).otherwise("")
+
+        def block(s: Column) -> Column:
+            body = F.regexp_replace(F.array_join(s["body"], "\n"), r"(?U)\A\s*\n", "")
+            told = (
+                F.when(of_acts(s), F.concat(place, F.array_join(F.transform(acts, line(n, ACTIONS)), "\n"))).when(of_opens(s) & (F.size(opens) > 0), F.array_join(F.transform(opens, line(n, OPENS)), "\n"))
+                .when(s["heading"].startswith("1."), expanded(body, n["titles"])).otherwise(body)
+            )
+            return _rstrip(F.concat(F.lit("## "), s["heading"], F.lit("\n\n"), told))
+
+        def whole(top: Column) -> Column:
+            about = F.filter(F.transform(F.slice(n["head"], top + 2, F.size(n["head"])), _strip), lambda x: x != "")
+            quoted = F.array_join(F.transform(about, lambda x: F.concat(F.lit("> "), x, F.lit("\n"))), "")
+            blocks = F.array_join(F.transform(n["sections"], block), "\n\n---\n\n")
+            return F.concat(_strip(F.get(n["head"], top)), F.lit("\n\n"), quoted, F.lit("\n"), _rstrip(blocks), F.lit("\n"))
+
+        top = F.array_min(F.transform(n["head"], lambda x, i: F.when(_whole(_strip(x), H1, 1) != "", i)))
+        bad = (F.exists(n["sections"], lambda s: F.contains(s["heading"], F.lit(ACTIONS))) & _broken(acts)) | (F.exists(n["sections"], of_opens) & _broken(opens))
+        return F.when((F.size(n["sections"]) > 0) & ~bad, let(top, lambda t: F.when(t.isNotNull(), whole(t))))
+
+    return _of_parts(text, form)
+
+
+def picture_of(text: Column, parts: tuple[tuple[str, str], ...] = PARTS) -> Column:
+    """Of the four kinds of pictures the one that most speaks for, the first if equal: kind, score and nodes (id, label, detail, ref); nulls if
+    nothing does, or an item is broken. ``parts``: what a system consists of, by name and pattern; a house adds its own."""
+    node = lambda i, label, detail, ref: F.struct(i.alias("id"), label.alias("label"), detail.alias("detail"), ref.alias("ref"))
+    there = lambda values: F.filter(F.array(*values), lambda x: x.isNotNull())
+
+    def heading(n: Column, pattern: str) -> Column:
+        """The evidence heading that the first line with the pattern stands under."""
+        at = F.array_min(F.transform(n["evidence"], lambda x, i: F.when(_met(x, pattern), i)))
+        return let(at, lambda a: F.coalesce(let(_first(n["titles"], lambda t: t["no"] <= a), lambda t: F.concat(t["ref"], F.lit(" "), t["title"])), F.lit("")))
+
+    def rollout(n: Column, told: Column) -> Column:
+        place = lambda p: F.regexp_instr(told, F.lit(f"(?iuU){p}"))
+        stages = F.array_sort(there(F.when(_met(told, p), F.struct(place(p).alias("at"), F.lit(k).alias("k"), F.lit(label).alias("label"))) for k, (label, p) in enumerate(STAGES)))
+
+        def one(s: Column, i: Column) -> Column:
+            detail = F.coalesce(*(F.when(s["k"] == k, F.regexp_extract(told, f"(?iuU){p}", 0)) for k, (_, p) in enumerate(STAGES)))
+            ref = F.coalesce(*(F.when(s["k"] == k, heading(n, p)) for k, (_, p) in enumerate(STAGES)))
+            return node(F.concat(F.lit("S"), (i + 1).cast("string")), s["label"], detail, ref)
+
+        def scored(met: Column) -> Column:
+            strong = F.size(F.filter(met, lambda s: s["label"].isin(*STRONG)))
+            titled = F.regexp_count(n["title"], F.lit(f"(?iuU){'|'.join(STRONG)}"))
+            return F.when((F.size(met) >= 4) & (strong >= 2), kind("rollout-map", 0, 3 * F.size(met) + 2 * strong + 4 * titled, F.transform(met, one)))
+
+        return let(stages, scored)
+
+    def system(n: Column, told: Column) -> Column:
+        seen = there(F.when(_met(told, p), F.struct(F.lit(k).alias("k"), F.lit(name).alias("name"))) for k, (name, p) in enumerate(parts))
+        links = F.regexp_count(told, F.lit(f"(?iuU){CONNECTED}"))
+        one = lambda s: node(s["name"], s["name"], F.lit(""), F.coalesce(*(F.when(s["k"] == k, heading(n, p)) for k, (_, p) in enumerate(parts))))
+
+        def scored(seen: Column) -> Column:
+            layers = F.size(F.filter(seen, lambda s: s["name"].startswith("layer")))
+            return F.when((F.size(seen) >= 6) & (layers >= 2) & (links >= 2), kind("system-map", 1, 2 * F.size(seen) + 4 * layers + F.least(links, F.lit(6)), F.transform(seen, one)))
+
+        return let(seen, scored)
+
+    of_item = lambda x: node(x["id"], x["title"], x["when"], F.coalesce(F.get(x["refs"], F.lit(0)), F.lit("")))
+
+    def milestones(acts: Column) -> Column:
+        days = lambda x: F.regexp_extract_all(x["when"], F.lit(f"(?U){DATES}"), F.lit(0))
+        told = lambda dated: let(F.size(F.array_distinct(F.flatten(F.transform(dated, days)))), lambda n: F.when((F.size(dated) >= 3) & (n >= 2), kind("milestone-timeline", 2, 3 * F.size(dated) + 2 * n, F.transform(dated, of_item))))
+        return let(F.filter(acts, lambda x: F.size(days(x)) > 0), told)
+
+    def decisions(opens: Column) -> Column:
+        chosen = F.size(F.filter(opens, lambda x: x["title"].rlike(f"(?U){CHOICES}")))
+        return let(chosen, lambda n: F.when(n >= 5, kind("decision-map", 3, 3 * n, F.transform(opens, of_item))))
+
+    def kind(name: str, order: int, score: Column, nodes: Column) -> Column:
+        return F.struct(score.cast("int").alias("score"), F.lit(-order).alias("order"), F.lit(name).alias("kind"), nodes.cast(NODES).alias("nodes"))
+
+    def best(n: Column, acts: Column, opens: Column) -> Column:
+        of_section = lambda s: F.when(s["heading"].startswith("1."), s["body"]).when(s["heading"].startswith("4."), F.filter(s["body"], lambda x: _strip(x).startswith("### "))).otherwise(F.array().cast("array<string>"))
+        told = F.array_join(F.concat(F.array(n["title"]), F.flatten(F.transform(n["sections"], of_section))), "\n")
+        made = let(told, lambda t: F.array_max(there((rollout(n, t), system(n, t), milestones(acts), decisions(opens)))))
+        return F.when(~_broken(acts) & ~_broken(opens), made)
+
+    return let(_of_parts(text, best), lambda p: F.struct(p["kind"].alias("kind"), p["score"].alias("score"), p["nodes"].alias("nodes")))
 
 
 def projected(notes: DataFrame, marker: Column | None = None) -> DataFrame:
     """Notes (note_key, text) with their readable form."""
-    return notes.withColumn("readable", readable_text("text", F.lit("") if marker is None else marker))
+    return notes.withColumn("readable", readable_text(F.col("text"), F.lit("") if marker is None else marker))
 
 
 def faithful(notes: DataFrame, marker: Column | None = None) -> DataFrame:

@@ -112,42 +112,62 @@ def note(actions=(), opens=(), first="", evidence=("일정", "예산 (안)")):
     return f"# 회의\n날짜 · 장소\n\n## 1. 핵심\n{first}\n## 2. Action Items\n\n{acts}\n## 3. 미결 쟁점\n\n{open_}\n## 4. 상세\n\n{heads}"
 
 
-def test_readable_form():
+def form(spark, text, marker=None):
+    return one(spark, readable.readable_text(F.lit(text), F.lit(marker)))
+
+
+def picture(spark, text, *parts):
+    p = one(spark, readable.picture_of(F.lit(text), *parts))
+    return None if p.kind is None else (p.kind, p.score, p.nodes)
+
+
+def test_readable_form(spark):
     text = note([(True, "표", "홍 · 5월 1일 · 낮 · §4.1, §4.9"), (False, "글", "김 · 없음 · 근거 없음")], [("예산", "미정 · 다음 · §4.2")], "- 확정 §4.2")
-    assert readable.readable(text, "![p](x)") == (
+    assert form(spark, text, "![p](x)") == (
         "# 회의\n\n> 날짜 · 장소\n\n## 1. 핵심\n\n- 확정 [4.2 예산 (안)](#42-예산-안)\n\n---\n\n## 2. Action Items\n\n![p](x)\n\n"
         "- [x] **A1 · 표** — **담당** · 홍 · **일정** · 5월 1일 · 낮 · **근거** · [4.1 일정](#41-일정), [4.9 근거](#49-근거)\n- [ ] **A2 · 글** — **담당** · 김 · **일정** · 없음 · **근거** · 확인 필요\n\n---\n\n"
         "## 3. 미결 쟁점\n\n- **M1 · 예산** — **담당** · 미정 · **결정 시점** · 다음 · **근거** · [4.2 예산 (안)](#42-예산-안)\n\n---\n\n## 4. 상세\n\n### 4.1 일정\n\n- 말\n### 4.2 예산 (안)\n\n- 말\n"
     )
     for bad in ("## 1. x\n", "# t\nno sections", note([(True, "표", "홍 · 5월")])):
-        with pytest.raises(ValueError):
-            readable.readable(bad)
-    fenced = "# t\n## 1. a\n```\n## not\n~~~\n```\n## b\n"
-    assert [h for h, _ in readable.Note(fenced).sections] == ["1. a", "b"]
+        assert form(spark, bad) is None
+    fenced = "# t\n## 1. a\n```\n## not\n~~~\n```\n## b\n~~~\n## never closed\n"
+    assert [x.heading for x in one(spark, readable.taken_apart(F.lit(fenced))).sections] == ["1. a", "b"]
+    assert form(spark, fenced.replace("\n", "\r\n")) == "# t\n\n\n## 1. a\n\n```\n## not\n~~~\n```\n\n---\n\n## b\n\n~~~\n## never closed\n"
+
+
+def test_items_of_notes(spark):
+    opens = "# t\n## 3. 미결 쟁점\n- **M1 · 가 · 나**\n- **M2 · 다 · 라**\n- **M3 · 마**\n\n  홍 · 낮 · §4.1§4.12 §4.1\n## 4. 미결 쟁점\n## 4. b\n### 4.1 옛\n### 4.1 새\n"
+    found = one(spark, readable.let(readable.taken_apart(F.lit(opens)), lambda n: readable.items(n["sections"], readable.OPENS)))
+    # the line of M2 tells of M1, so it begins no item
+    assert [(x.id, x.title, x.owner, x.when, x.refs, x.broken) for x in found] == [("M1", "가 · 나", "- **M2", "다", [], False), ("M3", "마", "홍", "낮", ["4.1", "4.12"], False)]
+    line = "- **M3 · 마** — **담당** · 홍 · **결정 시점** · 낮 · **근거** · [4.1 새](#41-새), [4.12 근거](#412-근거)"
+    assert form(spark, opens).count(line) == 2  # of two sections of a kind both show the first one's items, and the last title of a number counts
+    assert form(spark, "# t\n## 2. Action Items\n- [ ] **A1 · 가**\n- [ ] **A2 · 나**\n  a · b · c\n") is None
+    assert form(spark, "# t\n## 1. a\n\n  §4.2, §4.20.\n\n## 4. b\n### 4.2 c d!\n") == "# t\n\n\n## 1. a\n\n  [4.2 c d!](#42-c-d), [4.20 근거](#420-근거).\n\n---\n\n## 4. b\n\n### 4.2 c d!\n"
 
 
-def test_pictures():
-    assert readable.picture(note()) is None
+def test_pictures(spark):
+    assert picture(spark, note()) is None and picture(spark, None) is None and picture(spark, "") is None
     dated = [(False, f"일{i}", f"홍 · 5월 {i % 2 + 1}일 · §4.1") for i in range(3)]
-    kind, score, nodes = readable.picture(note(dated))
+    kind, score, nodes = picture(spark, note(dated))
     assert (kind, score, [n.id for n in nodes], nodes[0].ref) == ("milestone-timeline", 3 * 3 + 2 * 2, ["A1", "A2", "A3"], "4.1")
     asked = [(f"무엇을 할지 {i}", "미정 · 다음 · §4.2") for i in range(5)]
-    assert readable.picture(note(opens=asked))[:2] == ("decision-map", 15)
-    assert readable.picture(note(dated, asked))[0] == "decision-map"
-    assert readable.picture(note(opens=asked[:4])) is None
+    assert picture(spark, note(opens=asked))[:2] == ("decision-map", 15)
+    assert picture(spark, note(dated, asked))[0] == "decision-map"
+    assert picture(spark, note(opens=asked[:4])) is None
     rollout = note(first="- 파일럿 뒤 공개하고 온보딩, 검증 후 확산", evidence=("파일럿", "확산"))
-    kind, score, nodes = readable.picture(rollout)
+    kind, score, nodes = picture(spark, rollout)
     assert (kind, score) == ("rollout-map", 5 * 3 + 4 * 2) and [n.label for n in nodes] == ["파일럿", "공개", "온보딩", "품질 검증", "확산"] and nodes[0].ref == "4.1 파일럿" and [n.id for n in nodes] == [f"S{i}" for i in range(1, 6)]
-    kind, score, nodes = readable.picture(note(first="- Layer 1, Layer 2, MCP, Skill, Control Plane, marketplace 연결 구조"))
+    kind, score, nodes = picture(spark, note(first="- Layer 1, Layer 2, MCP, Skill, Control Plane, marketplace 연결 구조"))
     assert (kind, score) == ("system-map", 6 * 2 + 2 * 4 + 4) and {n.id for n in nodes} == {"layer1", "layer2", "control-plane", "mcp", "skill", "marketplace"}
-    assert readable.picture(note(first="- Layer 1, Layer 2, MCP, Skill, Gaon, marketplace 연결 구조"), (*readable.PARTS, ("gaon", "Gaon")))[0] == "system-map"
+    assert picture(spark, note(first="- Layer 1, Layer 2, MCP, Skill, Gaon, marketplace 연결 구조"), (*readable.PARTS, ("gaon", "Gaon")))[0] == "system-map"
 
 
 def test_readable_columns(spark):
     texts = [("a", note([(True, "표", "홍 · 낮 · §4.1")])), ("b", "no note"), ("c", None)]
     made = readable.projected(spark.createDataFrame(texts, "note_key string, text string"), F.lit("![p](x)"))
     got = {r.note_key: r.readable for r in made.collect()}
-    assert got == {"a": readable.readable(texts[0][1], "![p](x)"), "b": None, "c": None}
+    assert got == {"a": form(spark, texts[0][1], "![p](x)"), "b": None, "c": None}
     same = made.withColumn("candidate", F.when(F.col("note_key") == "a", F.col("readable")).otherwise("x"))
     assert {r.note_key: r.faithful for r in readable.faithful(same.drop("readable"), F.lit("![p](x)")).collect()} == {"a": True, "b": False, "c": False}
 
@@ -222,7 +242,7 @@ def test_rates_without_a_distance_add_no_units(spark):
 
 
 def test_batch_audit(spark):
-    good = readable.readable(NOTE)
+    good = form(spark, NOTE)
     rows = [
         ("ok", NOTE, True, ["홍길동"], good, True, True, True), ("source", NOTE, False, ["홍길동", "이서연"], good, True, True, False), ("refs", NOTE.replace("§4.1", "§4.7"), True, [], None, None, True, True),
         ("stale", NOTE, True, None, good + "[x](#none)\n" + "줄\n" * 3, False, False, True), ("dense", NOTE.replace("일정표 공유", "가" * 91), True, [], "줄\n" * 70 + "## 4. 상세 논의와 근거\n", True, True, True),
