@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import joined_words, stripped
+
 
 def _buckets(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width).cast("long"), F.floor(end / width).cast("long"))
@@ -131,6 +133,31 @@ def majority(assigned: DataFrame, keys: list[str]) -> DataFrame:
     return n.groupBy(*keys).agg(F.max_by("speaker", F.struct("n", -F.col("first"))).alias("speaker"), F.max("n").alias("n"))
 
 
+def assign_segments(segments: DataFrame, words: DataFrame, turns: DataFrame, width: int, split: bool = True) -> DataFrame:
+    """Speakers of a recogniser's segments (meeting, segment, ss, se, text) by their words (meeting, segment, word: its number in the meeting, ws, we, text):
+    meeting, segment, run, start, end, speaker, text. Words get speakers by J1; a segment falls into runs of one speaker (W4), whose text is that of their words,
+    or the segment's if they have none; without ``split`` it stays whole, with the speaker of most words (A7). A segment without a word that has both times
+    goes by J1 itself. Words of no segment that is there are left out; segments come with run 1 at least, once each."""
+    timed = words.filter("ws is not null and we is not null").withColumnRenamed("text", "said")
+    bare = segments.join(timed.select("meeting", "segment").distinct(), ["meeting", "segment"], "left_anti")
+    alone = assign_midpoint(bare.select("meeting", F.col("segment").alias("word"), F.col("ss").alias("ws"), F.col("se").alias("we"), "text"), turns, width)
+    alone = alone.select("meeting", F.col("word").alias("segment"), F.lit(1).cast("long").alias("run"), F.col("ws").alias("start"), F.col("we").alias("end"), "speaker", "text")
+    told = assign_midpoint(timed, turns, width)
+    if not split:
+        most = majority(told.withColumn("seq", F.col("word")), ["meeting", "segment"]).drop("n")
+        whole = segments.join(timed.select("meeting", "segment").distinct(), ["meeting", "segment"], "left_semi").join(most, ["meeting", "segment"], "left")
+        return whole.select("meeting", "segment", F.lit(1).cast("long").alias("run"), F.col("ss").alias("start"), F.col("se").alias("end"), "speaker", "text").unionByName(alone)
+    order = Window.partitionBy("meeting", "segment").orderBy("word")
+    new = (F.row_number().over(order) == 1) | ~F.lag("speaker").over(order).eqNullSafe(F.col("speaker"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("said", F.lit("")).alias("said")))), lambda w: w["said"])
+    runs = islands(told.withColumn("_new", new), ["meeting", "segment"], ["word"], F.col("_new"), "run").groupBy("meeting", "segment", "run").agg(
+        F.min_by("ws", "word").alias("start"), F.max_by("we", "word").alias("end"), F.min_by("speaker", "word").alias("speaker"), ordered.alias("saids"),
+    )
+    text = joined_words(F.filter("saids", lambda w: w != ""))
+    runs = runs.join(segments.select("meeting", "segment", F.col("text").alias("whole")), ["meeting", "segment"])
+    return runs.select("meeting", "segment", "run", "start", "end", "speaker", F.when(text != "", text).otherwise(stripped(F.coalesce("whole", F.lit("")))).alias("text")).unionByName(alone)
+
+
 def speaker_stats(turns: DataFrame, keys: list[str]) -> DataFrame:
     """A1: turns and time of each speaker."""
     return turns.groupBy(*keys, "speaker").agg(F.count("*").alias("turns"), F.sum(F.greatest(F.col("end") - F.col("start"), F.lit(0))).alias("time"))

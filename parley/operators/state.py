@@ -129,6 +129,36 @@ def upload_decision(local: DataFrame, remote: DataFrame) -> DataFrame:
     return x.select("key", F.when(F.col("r_hash") == F.col("hash"), "skip").when(F.col("r_hash").isNotNull(), "update").when(F.col("pages") == 1, "adopt").otherwise("create").alias("decision"))
 
 
+def upload_outcomes(local: DataFrame, known: DataFrame, pages: DataFrame, upload_baseline: bool = False, refresh_participants: bool = False) -> DataFrame:
+    """E31 whole: what to do with each asked note (key, exists, title, hash, participants), given what is known of earlier ones (key, hash, page_id, participants,
+    baseline: there before uploads began) and the other side's pages (page_id, title, archived): key, action, reason, page_id. In order: missing; skipped, if it isn't
+    Markdown; for an unchanged hash refresh (``refresh_participants``, where they differ and the page is live) or skipped, a baseline one unless
+    ``upload_baseline``; update of its live page; adopt, the least live page of its title; create. Of notes of one title that would all be created the first key
+    is, the others adopt its page, whose id isn't known yet (null). Keys are unique in each table; null counts as empty, or false."""
+    k = known.select("key", F.col("hash").alias("k_hash"), F.nullif("page_id", F.lit("")).alias("k_page"), F.col("participants").alias("k_participants"), F.coalesce("baseline", F.lit(False)).alias("k_baseline"))
+    live = pages.filter(~F.coalesce("archived", F.lit(False)))
+    x = local.join(k, "key", "left").join(live.select(F.col("page_id").alias("k_page"), F.lit(True).alias("live")), "k_page", "left")
+    x = x.join(live.groupBy("title").agg(F.min("page_id").alias("titled")), "title", "left")
+    has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    is_live, same = F.coalesce("live", F.lit(False)), F.coalesce(F.col("k_hash") == F.col("hash"), F.lit(False))
+    renewed = F.lit(refresh_participants) & has("participants") & is_live & ~F.col("participants").eqNullSafe(F.col("k_participants"))
+    old, page = F.coalesce("k_baseline", F.lit(False)), F.col("k_page")
+    rules = (
+        (~F.coalesce("exists", F.lit(False)), "missing", "no such file", None), (~F.lower("key").endswith(".md"), "skipped", "not Markdown", None),
+        (same & renewed, "refresh", "participants", page), (same & old & F.lit(not upload_baseline), "skipped", "baseline", page), (same & ~old, "skipped", "same hash", page),
+        (is_live, "update", "changed", page), (F.col("titled").isNotNull(), "adopt", "title is there", F.col("titled")),
+    )
+    row = lambda action, reason, to: F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"), (F.lit(None).cast("string") if to is None else to).alias("page_id"))
+    chosen = row("create", "new", None)
+    for when, *what in reversed(rules):
+        chosen = F.when(when, row(*what)).otherwise(chosen)
+    x = x.select("key", "title", chosen.alias("x")).select("key", "title", "x.*")
+    first = x.filter("action = 'create' and title is not null").groupBy("title").agg(F.min("key").alias("first"))
+    later = (F.col("action") == "create") & (F.col("key") != F.col("first"))
+    x = x.join(first, "title", "left").withColumn("later", F.coalesce(later, F.lit(False)))
+    return x.select("key", F.when(F.col("later"), "adopt").otherwise(F.col("action")).alias("action"), F.when(F.col("later"), "title is there").otherwise(F.col("reason")).alias("reason"), "page_id")
+
+
 def ancestors(blocks: DataFrame, most: int = 6) -> DataFrame:
     """The first title that isn't empty up the chain of parents (id, parent_id, title), within ``most`` levels."""
     return blocks.sparkSession.sql("""with recursive up(id, at, title, depth) as (

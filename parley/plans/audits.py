@@ -275,6 +275,29 @@ def upload_decision(spark: SparkSession, d: str) -> DataFrame:
     return S.upload_decision(local, remote)
 
 
+@query("""with l as (select o_orderkey k, 'n' || o_orderkey || case when o_orderkey % 17 = 0 then '.txt' else '.md' end "key", o_orderkey % 19 <> 0 there, 't' || (o_custkey * 10 + o_orderkey % 7) title, o_orderstatus h, case when o_orderkey % 4 <> 0 then 'p' || o_custkey % 5 end people from orders),
+  n as (select "key", case when k % 3 = 0 then 'old' else h end h, case when k % 5 <> 0 then 'page' || k end page, case when k % 6 = 1 then people else 'q' end people, k % 8 = 1 base from l where k % 2 = 1),
+  p as (select 'page' || k page_id, case when k % 7 = 0 then title else 'x' || k end title, k % 11 = 0 archived from l where k % 3 <> 2), live as (select * from p where not archived), t as (select title, min(page_id) titled from live group by 1),
+  x as (select l.*, n.page, coalesce(n.h = l.h, false) same, coalesce(n.base, false) base, n.people before, live.page_id is not null live, titled from l left join n using ("key") left join live on live.page_id = n.page left join t on t.title = l.title),
+  y as (select *, case when not there then 'missing' when "key" not like '%.md' then 'not md' when same and people is not null and live and people is distinct from before then 'refresh' when same and base then 'baseline' when same then 'same' when live then 'update' when titled is not null then 'adopt' else 'create' end a from x),
+  z as (select *, case when a = 'create' and row_number() over (partition by title, a order by "key") > 1 then 'adopt' else a end b from y)
+  select "key", case b when 'not md' then 'skipped' when 'baseline' then 'skipped' when 'same' then 'skipped' else b end "action", case b when 'missing' then 'no such file' when 'not md' then 'not Markdown' when 'refresh' then 'participants' when 'same' then 'same hash' when 'update' then 'changed' when 'adopt' then 'title is there' when 'create' then 'new' else b end reason,
+    case when b in ('refresh', 'baseline', 'same', 'update') then page when b = 'adopt' and a = 'adopt' then titled end page_id from z""")
+def upload_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Notes by order; some missing, not Markdown, known before, with pages that are live, archived or gone, titles that are shared."""
+    o = table(spark, d, "orders")
+    s = lambda c: c.cast("string")
+    k = F.col("o_orderkey")
+    local = o.select(
+        k.alias("k"), F.concat(F.lit("n"), s(k), F.when(k % 17 == 0, ".txt").otherwise(".md")).alias("key"), (k % 19 != 0).alias("exists"), F.concat(F.lit("t"), s(F.col("o_custkey") * 10 + k % 7)).alias("title"),
+        F.col("o_orderstatus").alias("hash"), F.when(k % 4 != 0, F.concat(F.lit("p"), s(F.col("o_custkey") % 5))).alias("participants"),
+    )
+    k, page = F.col("k"), F.concat(F.lit("page"), s(F.col("k")))
+    known = local.filter(k % 2 == 1).select("key", F.when(k % 3 == 0, "old").otherwise(F.col("hash")).alias("hash"), F.when(k % 5 != 0, page).alias("page_id"), F.when(k % 6 == 1, F.col("participants")).otherwise("q").alias("participants"), (k % 8 == 1).alias("baseline"))
+    pages = local.filter(k % 3 != 2).select(page.alias("page_id"), F.when(k % 7 == 0, F.col("title")).otherwise(F.concat(F.lit("x"), s(k))).alias("title"), (k % 11 == 0).alias("archived"))
+    return S.upload_outcomes(local.drop("k"), known, pages, refresh_participants=True)
+
+
 @query("""with recursive b as (select c_custkey id, case when c_custkey > 1 then c_custkey // 2 end parent, case when c_custkey % 3 = 0 then c_name else '' end title from customer),
   u as (select b.id, p.id "at", p.title, 1 depth from b join b p on b.parent = p.id union all select u.id, p.id, p.title, depth + 1 from u join b c on u."at" = c.id join b p on c.parent = p.id where depth < 6)
   select id, arg_min(title, depth) title, min(depth)::int depth from u where title <> '' group by 1""")

@@ -228,6 +228,35 @@ def speaker_runs(spark: SparkSession, d: str) -> DataFrame:
     return runs.groupBy("meeting", "seq", "run").agg(F.min("speaker").alias("speaker"), F.array_join(F.transform(ordered, lambda x: x["word"]), " ").alias("text"), F.count("*").alias("n"))
 
 
+_SEGMENTS = """c as (select *, word // 40 segment, case when word % 5 = 0 then '' else 'w' || word % 3 end said from w), g as (select meeting, segment, min(ws) ss, max(we) se, 'S' || segment whole from c group by all), d as (select * from c where segment % 4 <> 0),
+  u as (select meeting, word id, 'w' kind, ws, we from d union all select meeting, segment, 's', ss, se from g where segment % 4 = 0),
+  h as (select u.*, turn, speaker, 2 * ts <= ws + we and ws + we <= 2 * te hit, least(we, te) - greatest(ws, ts) over_ from u join t using (meeting) where ts <= we and te >= ws),
+  j as (select meeting, id, kind, coalesce(first(speaker order by turn) filter (hit), first(speaker order by over_ desc, turn) filter (over_ > 0)) speaker from h group by all),
+  k as (select u.meeting, u.id, u.kind, speaker from u left join j using (meeting, id, kind)), v as (select d.*, speaker from d join k on kind = 'w' and k.meeting = d.meeting and id = word)"""
+
+
+@query(f"""with {_WT}, {_SEGMENTS}, f as (select *, case when row_number() over o = 1 or lag(speaker) over o is distinct from speaker then 1 else 0 end n from v window o as (partition by meeting, segment order by word)),
+  r as (select *, sum(n) over (partition by meeting, segment order by word)::bigint run from f), x as (select meeting, segment, run, arg_min(ws, word) "start", arg_max(we, word) "end", min(speaker) speaker, coalesce(string_agg(said, ' ' order by word) filter (said <> ''), 'S' || segment) text from r group by 1, 2, 3)
+  select * from x union all select meeting, segment, 1, ss, se, speaker, whole from g join k using (meeting) where kind = 's' and id = segment and segment % 4 = 0""")
+def segment_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks as words, forty event ids a segment, of which every fourth has lost its words; split where the speaker changes."""
+    return I.assign_segments(*_segments(spark, d), turn_spans(spark, d), BUCKET)
+
+
+@query(f"""with {_WT}, {_SEGMENTS}, n as (select meeting, segment, speaker, count(*) n, min(word) f from v where speaker is not null group by all), b as (select meeting, segment, speaker from n qualify row_number() over (partition by meeting, segment order by n desc, f) = 1)
+  select g.meeting, g.segment, 1::bigint run, ss "start", se "end", case when g.segment % 4 = 0 then k.speaker else b.speaker end speaker, whole text from g left join b on b.meeting = g.meeting and b.segment = g.segment left join k on k.kind = 's' and k.meeting = g.meeting and k.id = g.segment""")
+def segment_speakers(spark: SparkSession, d: str) -> DataFrame:
+    """The same segments, whole."""
+    return I.assign_segments(*_segments(spark, d), turn_spans(spark, d), BUCKET, split=False)
+
+
+def _segments(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    w = word_spans(spark, d).withColumn("segment", F.floor(F.col("word") / 40))
+    whole = w.groupBy("meeting", "segment").agg(F.min("ws").alias("ss"), F.max("we").alias("se")).withColumn("text", F.concat(F.lit("S"), F.col("segment").cast("string")))
+    said = F.when(F.col("word") % 5 == 0, "").otherwise(F.concat(F.lit("w"), (F.col("word") % 3).cast("string")))
+    return whole, w.withColumn("text", said).withColumn("ws", F.when(F.col("segment") % 4 != 0, F.col("ws")))
+
+
 def synthetic_meeting(spark: SparkSession, seconds: int = 5400, meetings: int = 1) -> tuple[DataFrame, DataFrame]:
     """Words of 0.42 s every 0.5 s, turns of 4 s by four speakers in rotation, one overlapping turn
     for every 25; in milliseconds."""
