@@ -369,3 +369,34 @@ def test_glossary_and_ledger_of_a_note(spark):
     assert {(r.variant, r["count"]) for r in counts.collect()} == {("가옹", 2), ("가옴", 1)}
     assert [r.line for r in identity.ledger_lines(counts, 1).orderBy("line_no").collect()] == [*identity.PREFACE, "- 가옹 → **가온** (2회)"]
     assert identity.ledger_lines(counts.limit(0)).count() == 0
+
+
+def test_upload_outcomes(spark):
+    local = [(k, e, t, h, p) for k, e, t, h, p in (
+        ("gone.md", False, "g", "1", None), ("text.txt", True, "x", "1", None), ("same.MD", True, "s", "1", None), ("people.md", True, "p", "1", "kim"), ("archived.md", True, "a", "1", "kim"), ("base.md", True, "b", "1", None),
+        ("live.md", True, "l", "2", None), ("lost.md", True, "o", "2", None), ("titled.md", True, "t", "1", None), ("new1.md", True, "n", "1", None), ("new2.md", True, "n", "1", None), ("none.md", True, None, None, None), ("none2.md", None, "z", "1", None),
+    )]
+    known = [("same.MD", "1", "p1", None, False), ("people.md", "1", "p2", None, None), ("archived.md", "1", "p3", "lee", False), ("base.md", "1", None, None, True), ("live.md", "1", "p4", None, False), ("lost.md", "1", "p9", None, False)]
+    pages = [("p1", "s", False), ("p2", "p", None), ("p3", "a", True), ("p4", "l", False), ("p6", "t", False), ("p5", "t", False), ("p0", "t", True)]
+    rows = lambda r, s: spark.createDataFrame(r, s)
+    tables = rows(local, "key string, exists boolean, title string, hash string, participants string"), rows(known, "key string, hash string, page_id string, participants string, baseline boolean"), rows(pages, "page_id string, title string, archived boolean")
+    got = {r.key: (r.action, r.page_id) for r in states.upload_outcomes(*tables, refresh_participants=True).collect()}
+    assert got == {
+        "gone.md": ("missing", None), "text.txt": ("skipped", None), "same.MD": ("skipped", "p1"), "people.md": ("refresh", "p2"), "archived.md": ("skipped", "p3"), "base.md": ("skipped", None), "live.md": ("update", "p4"),
+        "lost.md": ("create", None), "titled.md": ("adopt", "p5"), "new1.md": ("create", None), "new2.md": ("adopt", None), "none.md": ("create", None), "none2.md": ("missing", None),
+    }
+    got = {r.key: r.action for r in states.upload_outcomes(*tables, upload_baseline=True).filter("key in ('base.md', 'people.md')").collect()}
+    assert got == {"base.md": "create", "people.md": "skipped"}
+    empty = [t.limit(0) for t in tables]
+    assert states.upload_outcomes(*empty).count() == 0 and {r.action for r in states.upload_outcomes(tables[0], *empty[1:]).collect()} == {"missing", "skipped", "create", "adopt"}
+
+
+def test_segments_of_meetings(spark):
+    segments = spark.createDataFrame([("m", 0, 0, 10, "a b"), ("m", 1, 10, 20, " whole "), ("m", 2, 20, 30, "none"), ("m", 3, 90, 99, None)], "meeting string, segment int, ss long, se long, text string")
+    words = spark.createDataFrame([
+        ("m", 0, 0, 0, 2, "a"), ("m", 0, 1, 2, 4, " b"), ("m", 0, 2, 6, 9, "c"), ("m", 0, 3, None, 9, "lost"), ("m", 1, 4, 11, 12, None), ("m", 1, 5, 40, 41, ""), ("m", 1, 6, 50, 51, ""), ("m", 1, 7, 13, 14, "d"), ("m", 9, 8, 1, 2, "stray"),
+    ], "meeting string, segment int, word int, ws long, we long, text string")
+    turns = spark.createDataFrame([("m", 0, "A", 0, 5), ("m", 1, "B", 5, 30)], "meeting string, turn int, speaker string, ts long, te long")
+    rows = lambda split: sorted(tuple(r) for r in intervals.assign_segments(segments, words, turns, 7, split).collect())
+    assert rows(True) == [("m", 0, 1, 0, 4, "A", "a b"), ("m", 0, 2, 6, 9, "B", "c"), ("m", 1, 1, 11, 12, "B", "whole"), ("m", 1, 2, 40, 51, None, "whole"), ("m", 1, 3, 13, 14, "B", "d"), ("m", 2, 1, 20, 30, "B", "none"), ("m", 3, 1, 90, 99, None, None)]
+    assert rows(False) == [("m", 0, 1, 0, 10, "A", "a b"), ("m", 1, 1, 10, 20, "B", " whole "), ("m", 2, 1, 20, 30, "B", "none"), ("m", 3, 1, 90, 99, None, None)]
