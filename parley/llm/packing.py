@@ -30,13 +30,13 @@ SEQUENCE, END, VOCABULARY = 2048, 0, "byte_bpe_50k.json"
 UNIT = 8
 
 
-def pieces(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str | None = None) -> DataFrame:
+def pieces(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str | None = None, special: bool = False) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32."""
     path = path or vocabulary(VOCABULARY)
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, SPACED)
+        enc = encoder(path, SPACED, special)
         for b in together(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(enc.encode(b.column("text"))):
@@ -169,10 +169,10 @@ def places(bins: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
-def pack(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str | None = None) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(df: DataFrame, sequence: int = SEQUENCE, end: int = END, path: str | None = None, special: bool = False) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``special``: special tokens in a text are found, not spelled."""
     with scratch(df.sparkSession):
-        return store(_packed(df.sparkSession, store(pieces(df, sequence, end, path), "pieces"), sequence), "packed", keep=True)
+        return store(_packed(df.sparkSession, store(pieces(df, sequence, end, path, special), "pieces"), sequence), "packed", keep=True)
 
 
 def _packed(spark: SparkSession, cut: DataFrame, sequence: int) -> DataFrame:
