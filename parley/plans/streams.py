@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,19 +11,30 @@ from .base import SQL, query, table
 from .files import scratch_folder
 
 
-def _stateful(stream: DataFrame, mode: str) -> DataFrame:
-    """_run for processors with keyed state."""
-    with stateful.keyed_state(stream.sparkSession):
-        return _run(stream, mode)
-
-
 def _run(stream: DataFrame, mode: str) -> DataFrame:
-    """The rows that a stream gives from the files there are."""
+    """The rows that a stream gives from the files there are: a table in the shared folder, which the executors write; nothing meets on the driver. State is in
+    RocksDB, as processors with timers need it, so it isn't held in the executors' heaps."""
     spark = stream.sparkSession
-    name = f"parley_{uuid.uuid4().hex}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", scratch_folder(spark, name)).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    path = scratch_folder(spark, "stream")
+    out = stream.writeStream.option("checkpointLocation", scratch_folder(spark, "stream-state")).outputMode(mode).trigger(availableNow=True)
+    if mode == "append":
+        with stateful.keyed_state(spark):
+            query_ = out.format("parquet").start(f"{path}/rows")
+        query_.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    done = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{number}")
+        done.append(number)
+
+    with stateful.keyed_state(spark):
+        query_ = out.foreachBatch(write).start()
+    query_.awaitTermination()
+    whole = done[-1:] if mode == "complete" else done  # a complete table comes anew with each batch
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(f"{path}/{n}" for n in whole))
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -81,7 +90,7 @@ def stream_jobs(spark: SparkSession, d: str) -> DataFrame:
     """The stages of durable jobs as keyed state of a stream of events: each user's last."""
     kind = F.element_at(F.array(*map(F.lit, ("recorded", "noted", "reviewed", "failed"))), (F.col("event_id") % 4 + 1).cast("int"))
     e = _events(spark, d).select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), kind.alias("kind"), "ts")
-    return _stateful(stateful.job_stages(e), "update").groupBy("key").agg(F.max_by("stage", "seq").alias("stage"))
+    return _run(stateful.job_stages(e), "update").groupBy("key").agg(F.max_by("stage", "seq").alias("stage"))
 
 
 @query(SQL["stream_restart_groups"])
@@ -90,7 +99,7 @@ def stream_restart_state(spark: SparkSession, d: str) -> DataFrame:
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     length = F.greatest(F.floor("value"), F.lit(0)).cast("long") * 60_000_000
     items = _events(spark, d).select(F.col("user_id").cast("string").alias("key"), start.alias("start"), (start + length).alias("end"))
-    return _stateful(stateful.restart_groups(items, 10_800_000_000), "append")
+    return _run(stateful.restart_groups(items, 10_800_000_000), "append")
 
 
 @query("select '| ' || r_regionkey || ' | ' || r_name || ' |' line from region")
