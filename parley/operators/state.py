@@ -161,7 +161,11 @@ def upload_outcomes(local: DataFrame, known: DataFrame, pages: DataFrame, upload
 
 def ancestors(blocks: DataFrame, most: int = 6) -> DataFrame:
     """The first title that isn't empty up the chain of parents (id, parent_id, title), within ``most`` levels."""
-    return blocks.sparkSession.sql("""with recursive up(id, at, title, depth) as (
-        select b.id, p.id, p.title, 1 from {blocks} b join {blocks} p on b.parent_id = p.id
-        union all select u.id, p.id, p.title, u.depth + 1 from up u join {blocks} c on u.at = c.id join {blocks} p on c.parent_id = p.id where u.depth < {most})
-      select id, min_by(title, depth) title, min(depth) depth from up where title <> '' group by id""", blocks=blocks, most=most)
+    up = blocks.select(F.col("id").alias("up_id"), F.col("parent_id").alias("up_parent"), F.col("title").alias("up_title"))
+    x = blocks.select("id", F.col("parent_id").alias("at"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("int").alias("depth"))
+    for level in range(1, most + 1):  # one join a level; what has its title asks for no parent
+        met = F.col("up_title") != ""
+        x = x.join(up, F.col("at") == F.col("up_id"), "left").select(
+            "id", F.when(met, F.lit(None)).otherwise(F.col("up_parent")).alias("at"), F.when(met, F.col("up_title")).otherwise(F.col("title")).alias("title"), F.when(met, level).otherwise(F.col("depth")).alias("depth")
+        )
+    return x.filter("depth is not null").groupBy("id").agg(F.min_by("title", "depth").alias("title"), F.min("depth").alias("depth"))
