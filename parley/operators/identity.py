@@ -133,11 +133,23 @@ def usage_issues(lines: DataFrame, ledger: DataFrame, roster: DataFrame, least:
     if roster.limit(1).count():
         known = known.join(roster.select(F.col("name").alias("_name")).distinct(), "_name", "left_semi")
     heading = F.regexp_extract("line", r"^#{2,3}\s*(?:[0-9]+(?:[.][0-9]+)*[.]?\s*)?(.+?)\s*$", 1)
-    section = F.last(F.when(heading != "", heading), ignorenulls=True).over(Window.partitionBy("note").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
-    body = lines.withColumn("_section", section).filter(F.coalesce(F.col("_section") != DONE, F.lit(True))).drop("_section")
     ends = rf"^(?:님|씨)?(?:$|[^{BOUNDARY}]|{PARTICLES})"
-    hit = _begun(body.select("note", "line_no", "line"), "line", known.drop("_name"), 4).filter(F.col("rest").rlike(ends))
-    return hit.select("note", "line_no", F.trim("line").alias("line"), "variant", "target", "count").distinct()
+    told = lines.select("note", "line_no", "line", F.when(heading != "", heading).alias("_heading"))
+    window = Window.partitionBy("note").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    outside = F.coalesce(F.last("_heading", ignorenulls=True).over(window) != DONE, F.lit(True))
+    known, variants = known.drop("_name"), terms.collected(known, "variant")
+    if variants is None:
+        body = told.withColumn("_outside", outside).filter("_outside").select("note", "line_no", "line")
+        hit = _begun_by_join(body, "line", known, 4).filter(F.col("rest").rlike(ends))
+        return hit.select("note", "line_no", F.trim("line").alias("line"), "variant", "target", "count").distinct()
+    # a line moves once, with its variants beside it, and only if it has some; headings go without their text
+    met = F.array_distinct(F.transform(F.filter("_terms", lambda t: t["rest"].rlike(ends)), lambda t: t["term"]))
+    found = terms.occurrences(told.withColumn("_head", F.col("_heading").isNotNull()), "line", variants, BOUNDARY, places=True, after=4, also="_head")
+    is_head = F.col("_terms").isNull()
+    placed = found.select("note", "line_no", F.when(~is_head, F.trim("line")).alias("line"), met.alias("_variants"), F.when(is_head, F.col("_heading")).alias("_heading")).filter(F.col("_heading").isNotNull() | (F.size("_variants") > 0))
+    first = Window.partitionBy("note").orderBy("line_no", F.col("_heading").isNull()).rowsBetween(Window.unboundedPreceding, 0)  # a heading stands over its own line
+    kept = placed.withColumn("_section", F.last("_heading", ignorenulls=True).over(first)).filter(F.col("_variants").isNotNull() & F.coalesce(F.col("_section") != DONE, F.lit(True))).select("note", "line_no", "line", "_variants").distinct()
+    return kept.withColumn("variant", F.explode("_variants")).join(small(known.select("variant", "target", "count").distinct()), "variant").select("note", "line_no", "line", "variant", "target", "count")
 
 
 def reported(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +35,15 @@ def _inside(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     return ((points[:, None] >= ranges[:, 0]) & (points[:, None] <= ranges[:, 1])).any(1)
 
 
-def occurrences(df: DataFrame, text: str, terms: list[str], alone: str = "", places: bool = False) -> DataFrame:
+def occurrences(df: DataFrame, text: str, terms: list[str], alone: str = "", places: bool = False, after: int = 0, also: str | None = None) -> DataFrame:
     """The other columns of ``df`` and ``_terms``: the distinct terms that stand in ``text``, in the order of their first place; rows without one
     are left out. ``alone`` is a character class, such as ``a-z0-9``: before a term none of it may stand. With
-    ``places`` the text is kept, and ``_terms`` has a struct (term, start from 0) for each place, in order. A null text has no terms."""
+    ``places`` the text is kept, and ``_terms`` has a struct (term, start from 0) for each place, in order; with ``after`` also ``rest``, so many characters
+    behind it. A null text has no terms. Rows in which the boolean column ``also`` is true come once more, with null for their terms."""
     ship(df.sparkSession)
     made, ranges, keep = automata(terms), _letters(alone), [f for f in df.schema if places or f.name != text]
-    kind = "struct<term: string, start: int>" if places else "string"
+    kind = f"struct<term: string, start: int{', rest: string' if after else ''}>" if places else "string"
+    sizes = np.array([len(t) for t in terms], np.int64)
     words = pa.array(terms, pa.string())
 
     def rows(batch: pa.RecordBatch, automata_: list[Automaton]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +59,11 @@ def occurrences(df: DataFrame, text: str, terms: list[str], alone: str = "", pla
                 continue
             values = words.take(pa.array(term))
             if places:
-                values = pa.StructArray.from_arrays([values, pa.array(start.astype(np.int32))], ["term", "start"])
+                cols = {"term": values, "start": pa.array(start.astype(np.int32))}
+                if after:
+                    said = dict(zip(some.tolist(), batch.column(text).take(pa.array(some + first)).to_pylist()))
+                    cols["rest"] = pa.array([said[r][e : e + after] for r, e in zip(row.tolist(), (start + sizes[term]).tolist())], pa.string())
+                values = pa.StructArray.from_arrays(list(cols.values()), list(cols))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), values)
             picked = batch.take(pa.array(some + first))
             yield pa.RecordBatch.from_arrays([*(picked.column(f.name) for f in keep), lists], names=[*(f.name for f in keep), "_terms"])
@@ -64,6 +71,9 @@ def occurrences(df: DataFrame, text: str, terms: list[str], alone: str = "", pla
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from rows(batch, made)
+            if also and len(extra := pa.Table.from_batches([batch]).filter(pa.compute.field(also)).combine_chunks()):
+                none = pa.nulls(len(extra), pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), *([("rest", pa.string())] if after else [])]) if places else pa.string()))
+                yield pa.RecordBatch.from_arrays([*(extra.column(f.name).combine_chunks() for f in keep), none], names=[*(f.name for f in keep), "_terms"])
 
     return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"_terms array<{kind}>"]))
 
