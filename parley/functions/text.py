@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -350,13 +351,23 @@ def _banded(held: dict, b: Sequence, more: int, side: int) -> int:
     return edits_
 
 
+#: Items of both sides that are compared at once.
+TOGETHER = 1 << 19
+
+
 def _distances(a: pd.Series, b: pd.Series, of: Callable) -> pd.Series:
     """Of a batch at once where few edits suffice; null where either side is."""
     known = (a.notna() & b.notna()).to_numpy()
     out = pd.Series([None] * len(a), dtype="Int32")
-    if known.any():
-        xs, ys = a[known].tolist(), b[known].tolist()
-        out[known] = of(xs, ys, lambda i: edits(xs[i], ys[i]))
+    at = np.flatnonzero(known)
+    upto = np.cumsum([len(a.iloc[i]) + len(b.iloc[i]) for i in at])
+    first = 0
+    while first < len(at):  # so many pairs together that their numbers stay small in memory, however long the batch's texts are
+        stop = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + TOGETHER, "right")))
+        some = at[first:stop]
+        xs, ys = a.iloc[some].tolist(), b.iloc[some].tolist()
+        out.iloc[some] = of(xs, ys, lambda i: edits(xs[i], ys[i]))
+        first = stop
     return out
 
 
