@@ -110,14 +110,19 @@ def edit_distance(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", "distance", F.greatest(F.length("a"), F.length("b")).cast("long").alias("longer"), (F.col("distance").cast("double") / F.length("a")).alias("rate"))
 
 
+#: Turns of a task that compares them, about.
+TURNS = 5_000
+
+
 @query()
 def ab_text_compare(spark: SparkSession, d: str) -> DataFrame:
     """Matching ratio of each conversation turn with the one before."""
     from pyspark.sql import Window
 
-    c = table(spark, d, "conversations")
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
     before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    return c.withColumn("before", before).filter("before is not null").select("conv_id", "turn", T.matching_ratio(F.col("before"), F.col("text")).alias("ratio"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), c.count() // TURNS)  # a number given isn't lowered: a turn costs far more than its bytes
+    return c.withColumn("before", before).filter("before is not null").repartition(parts, "conv_id", "turn").select("conv_id", "turn", T.matching_ratio(F.col("before"), F.col("text")).alias("ratio"))
 
 
 _TIME = r"(?:[0-9]{1,2}:)?[0-9]{1,2}:[0-9]{2}(?:[.,][0-9]+)?"

@@ -7,6 +7,7 @@ import random
 import pandas as pd
 
 from parley.functions import text as T
+from parley.plans import texts
 
 
 def test_distances_of_a_batch_go_in_parts(monkeypatch):
@@ -23,3 +24,9 @@ def test_distances_of_a_batch_go_in_parts(monkeypatch):
     got = T._distances(pd.Series(xs, index=range(5, 85)), pd.Series(ys, index=range(5, 85)), of)
     assert [None if pd.isna(x) else int(x) for x in got] == [None if x is None else T.edits(x, y) for x, y in zip(xs, ys)]
     assert len(seen) > 5 and max(seen) <= 200
+
+
+def test_turns_are_compared_in_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(texts, "TURNS", 10, raising=False)
+    spark.createDataFrame([(c, t, f"turn {t} of {c}") for c in range(40) for t in range(4)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert texts.ab_text_compare(spark, str(tmp_path)).rdd.getNumPartitions() >= 16
