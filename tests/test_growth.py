@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pandas as pd
 
 from parley.functions import text as T
+from parley.operators import publication
 from parley.plans import texts
 
 
@@ -26,6 +28,22 @@ def test_distances_of_a_batch_go_in_parts(monkeypatch):
     assert len(seen) > 5 and max(seen) <= 200
 
 
+def test_admission_moves_each_side_once(spark):
+    h = lambda c: c * 64
+    receipts = [(1, "a", h("0")), (1, "b", h("1")), (2, "a", h("2")), (3, "a", "plain"), (4, "a", None), (5, "a", h("3")), (5, None, h("3")), (None, "a", h("0")), (6, "a", h("A")), (7, "a", h("4")), (7, "a", h("5"))]
+    artifacts = [(1, "a", h("0")), (1, "b", h("9")), (3, "a", "plain"), (4, "a", h("0")), (5, "a", None), (5, None, h("3")), (None, "a", h("0")), (6, "a", h("a")), (7, "a", h("4")), (7, "a", h("6")), (8, "a", h("0"))]
+    want: dict = {}
+    for k, kind, sha in receipts:
+        met = [s for a, b, s in artifacts if None not in (k, kind) and (a, b) == (k, kind)] or [None]
+        m, s = want.get(k, (0, 0))
+        want[k] = (m + met.count(None), s + sum(x is not None and sha is not None and x != sha for x in met))
+    frame = lambda rows: spark.createDataFrame(rows, "key long, kind string, sha256 string")
+    found = publication.admitted(frame(receipts), frame(artifacts))
+    assert {r.key: (r.missing, r.stale) for r in found.collect()} == want and all(r.ready == (r.missing + r.stale == 0) for r in found.collect())
+    plan = publication.admitted(frame(receipts), frame(artifacts))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+
+
 def test_turns_are_compared_in_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(texts, "TURNS", 10, raising=False)
     spark.createDataFrame([(c, t, f"turn {t} of {c}") for c in range(40) for t in range(4)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
