@@ -7,6 +7,7 @@ import time
 from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,32 @@ def test_long_texts_are_matched_in_time():
 def test_ratio_column(spark):
     df = spark.createDataFrame([(1, "abcd", "bcde"), (2, None, ""), (3, "x", None)], "k int, a string, b string")
     assert [r[0] for r in df.orderBy("k").select(T.matching_ratio("a", "b")).collect()] == [0.75, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("lanes,step", [(8, 0), (4096, 0), (4096, 25)])
+def test_far_pairs_go_together(monkeypatch, lanes, step):
+    """Bands of many pairs in one step, wider ones where the first doesn't hold a shortest path, and words that are no other's."""
+    monkeypatch.setattr(distance, "LANES", lanes)
+    monkeypatch.setattr(distance, "STEP", step)
+    rng = random.Random(lanes + step)
+    pairs = [("", ""), ("", "abc"), ("abc", "abc"), ("abc", "xabcy"), ("a" * 64, "b" * 64), ("a" * 65, "b" * 129)]
+    for n in (40, 130, 400):
+        for letters in ("ab", "abcdefgh ", "가나\U0001f44d xyz"):
+            a = "".join(rng.choice(letters) for _ in range(rng.randrange(n // 2, n)))
+            cut = rng.randrange(len(a))
+            pairs += [(a, "".join(c for i, c in enumerate(a) if i % 7 != 6)), (a.upper(), a.lower()), (a[cut:] + a[:cut], a), (a, a + a[:cut]), (a, changed(rng, a, 9, letters))]
+    want = [plain(*p) for p in pairs]
+    asked = []
+    other = lambda i: asked.append(i) or want[i]
+    assert distance.in_vectors(pairs, other).tolist() == want and (step or not asked)
+    assert distance.in_vectors([(list(a), list(b)) for a, b in pairs], other).tolist() == want
+
+
+def test_many_far_pairs_take_few_calls(monkeypatch):
+    """Texts a seventh apart are compared together, not one after another."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(300, 1200))) for _ in range(200)]
+    other, calls, alone = ["".join(c for i, c in enumerate(t) if i % 7 != 6) for t in texts], [], T.edits
+    monkeypatch.setattr(T, "edits", lambda a, b: calls.append(1) or alone(a, b))
+    assert T._distances(pd.Series(texts), pd.Series(other), distance.of_texts).tolist() == [alone(a, b) for a, b in zip(texts, other)]
+    assert len(calls) < 20
