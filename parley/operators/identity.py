@@ -220,12 +220,12 @@ def glossary(notes: DataFrame, most: int = 80) -> DataFrame:
     other remarks, then the targets of arrows in the sections of completed and open checks; cleaned, noise left out (P8)."""
     all_ = lambda c, p: F.regexp_extract_all(c, F.lit(p), F.lit(1))
     remarks = F.flatten(F.transform(F.split(_section(F.col("text"), "기타 메모"), r"\r\n|\n"), lambda line: F.when(line.rlike(CATEGORY), F.split(F.regexp_replace(F.regexp_extract(line, CATEGORY, 2), r"\s*\([^)]*\)\s*", " "), "[,、]")).otherwise(F.concat(all_(line, r"\*\*([^*\n]+?)\*\*"), all_(line, "`([^`\n]+?)`")))))
-    arrows = [x for name in ("검증 완료", "검증 필요") for x in (all_(_section(F.col("text"), name), arrow) for arrow in ARROWS)]
-    each = notes.select("note", F.posexplode(F.concat(remarks, *arrows)).alias("pos", "term"))
+    checks = [F.get(F.transform(F.array(_section(F.col("text"), name)), lambda s: F.concat(*(all_(s, arrow) for arrow in ARROWS))), F.lit(0)) for name in ("검증 완료", "검증 필요")]
+    each = notes.select("note", F.posexplode(F.concat(remarks, *checks)).alias("pos", "term")).groupBy("term").agg(F.min(F.struct("note", "pos")).alias("first"))  # a term is cleaned once, not in each note
     bare = T.stripped(F.regexp_replace(T.stripped(F.col("term")), r"^[.,;·「」『』\"'`]+|[.,;·「」『』\"'`]+$", ""))
     balanced = F.when(F.regexp_count(bare, F.lit(r"\(")) != F.regexp_count(bare, F.lit(r"\)")), T.stripped(F.regexp_replace(bare, "[()]", ""))).otherwise(bare)
     kept = each.withColumn("term", balanced).filter(F.length("term").between(2, 40) & ~F.col("term").rlike("|".join(NOISE)) & ~F.col("term").contains("/") & ~F.col("term").contains(" 등"))
-    first = kept.groupBy("term").agg(F.min(F.struct("note", "pos")).alias("first"))
+    first = kept.groupBy("term").agg(F.min("first").alias("first"))
     return first.orderBy("first").limit(most).select("term", F.col("first.note").alias("note"))
 
 

@@ -196,7 +196,7 @@ def _noted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
     target = F.concat(F.lit("표준"), n, F.when(k % 6 == 0, " 추정").otherwise(""))
     text = F.concat(F.lit("# t\n- `밖` → **안**\n### 5.2 검증 완료\n- `가"), n, F.lit("님`, 나"), n, F.lit(" (화자 A) → **"), target, F.lit("**, ok\n- 글 없음\n### 기타 메모\n- **제품**: 알파"), n, F.lit(" (옛), 근거 말\n- `코드"), n, F.lit("` 씀\n### 5.3 검증 필요\n- `다` → **라"), n, F.lit("**\n"))
-    c = table(spark, d, "customer")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # keys move, not the notes made of them
     said = c.filter("c_custkey % 5 <> 0").select(k.alias("note"), F.concat(F.lit("가"), n, F.when(k % 4 != 0, F.concat(F.lit(" 나"), n)).otherwise("")).alias("text"))
     return c.select(k.alias("note"), text.alias("text")), said
 

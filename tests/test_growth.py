@@ -8,8 +8,8 @@ import re
 import pandas as pd
 
 from parley.functions import text as T
-from parley.operators import publication
-from parley.plans import texts
+from parley.operators import identity, publication
+from parley.plans import ledgers, texts
 
 
 def test_distances_of_a_batch_go_in_parts(monkeypatch):
@@ -48,3 +48,12 @@ def test_turns_are_compared_in_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(texts, "TURNS", 10, raising=False)
     spark.createDataFrame([(c, t, f"turn {t} of {c}") for c in range(40) for t in range(4)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert texts.ab_text_compare(spark, str(tmp_path)).rdd.getNumPartitions() >= 16
+
+
+def test_glossary_cleans_each_term_once(spark, tmp_path, monkeypatch):
+    """Notes of one file are read by many tasks, and terms meet before they are cleaned: the same term in another form still has its first note."""
+    spark.range(1, 41).selectExpr("id c_custkey", "cast(id % 5 as int) c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    assert ledgers._noted(spark, str(tmp_path))[0].rdd.getNumPartitions() > 1
+    text = "### 기타 메모\n- **TERM** 말\n"
+    notes = spark.createDataFrame([(n, text.replace("TERM", t)) for n, t in ((4, "베타"), (3, "베타."), (2, "감마"), (5, " 베타"))], "note long, text string")
+    assert [tuple(r) for r in identity.glossary(notes).collect()] == [("감마", 2), ("베타", 3)]
