@@ -30,7 +30,12 @@ def carried(lines: DataFrame, key: str, heading: Column, name: str = "section")
 def fences(lines: Column) -> Column:
     """The code fences of an array of lines (first, last: indexes, marks included), in order; a fence ends with the mark that began it, or never.
     A fold over the lines with a mark, since each one's meaning depends on those before."""
-    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.when(x.contains("```") | x.contains("~~~"), F.regexp_extract(x, r"^\s*(```|~~~)", 1)).otherwise("").alias("mark"))), lambda m: m["mark"] != "")
+    return spans(F.filter(F.transform(lines, lambda x, i: F.when(x.contains("```") | x.contains("~~~"), F.struct(i.alias("at"), x.alias("line")))), lambda m: m.isNotNull()))
+
+
+def spans(lines: Column) -> Column:
+    """The fences of the lines (at: index, line) that may have a mark."""
+    marks = F.filter(F.transform(lines, lambda x: F.struct(x["at"].alias("at"), F.regexp_extract(x["line"], r"^\s*(```|~~~)", 1).alias("mark"))), lambda m: m["mark"] != "")
     span = lambda a, b: F.array(F.struct(a.alias("first"), b.alias("last")))
 
     def step(acc: Column, m: Column) -> Column:

@@ -6,9 +6,10 @@ import random
 import re
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from parley.functions import text as T
-from parley.operators import identity, publication
+from parley.operators import identity, publication, readable
 from parley.plans import ledgers, texts
 
 
@@ -57,3 +58,24 @@ def test_glossary_cleans_each_term_once(spark, tmp_path, monkeypatch):
     text = "### 기타 메모\n- **TERM** 말\n"
     notes = spark.createDataFrame([(n, text.replace("TERM", t)) for n, t in ((4, "베타"), (3, "베타."), (2, "감마"), (5, " 베타"))], "note long, text string")
     assert [tuple(r) for r in identity.glossary(notes).collect()] == [("감마", 2), ("베타", 3)]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parts_of_notes_are_not_copied_from_level_to_level(spark):
+    """A value that is used often is kept without a copy of all its parts, unlike transform does with what it makes."""
+    notes = spark.createDataFrame([("a", "# t\n## 1. b\n")], "note_key string, text string")
+    for plan in (_plan(readable.projected(notes)), _plan(notes.select(readable.picture_of(F.col("text"))))):
+        assert "transform(array(" not in plan and "aggregate(" in plan
+
+
+def test_white_space_of_lines(spark):
+    """A note with rare white space is stripped of all of it, others of what they have; a line break in any form, and marks after it."""
+    text = " # t　\r\n\x1c날 \r## 1. a\x85\n ```\n ~~~\n## no\n~~~\n- §4.1 \n## 2. Action Items\n - [X] **A1 · **가**** \n　홍 ·  ·  낮 · §4.1\n## 4. b\n###　4.1 다 ABC\x1f\n"
+    made = spark.createDataFrame([(text,), (text.replace("홍 · ", "홍 "),)], "text string").select(readable.readable_text(F.col("text"), F.lit(None).cast("string")).alias("r")).collect()
+    assert [x.r for x in made] == [
+        "# t\n\n> 날\n\n## 1. a\n\n ```\n ~~~\n## no\n~~~\n- [4.1 다 ABC](#41-다-abc)\n\n---\n\n## 2. Action Items\n\n- [x] **A1 · **가**** — **담당** · 홍 · **일정** ·  · 낮 · **근거** · [4.1 다 ABC](#41-다-abc)\n\n---\n\n## 4. b\n\n###　4.1 다 ABC\n",
+        "# t\n\n> 날\n\n## 1. a\n\n ```\n ~~~\n## no\n~~~\n- [4.1 다 ABC](#41-다-abc)\n\n---\n\n## 2. Action Items\n\n- [x] **A1 · **가**** — **담당** · 홍 · **일정** · 낮 · **근거** · [4.1 다 ABC](#41-다-abc)\n\n---\n\n## 4. b\n\n###　4.1 다 ABC\n",
+    ]
