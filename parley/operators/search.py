@@ -24,9 +24,9 @@ def distinctive(terms: DataFrame, generic: tuple[str, ...]) -> DataFrame:
 SMALL = 100_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, to be broadcast if it has at most SMALL rows."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+def small(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def found(terms: DataFrame, docs: DataFrame, key: str, text: str, top: int) -> DataFrame:
